@@ -120,3 +120,8 @@ def scored(spark: SparkSession, sf_dir: str, regular_only: bool = False) -> Data
 def curve_prob(x: str | Column, curve: str = "v3") -> Column:
     coefs, hi, hi_val = STANDIN_CURVES[curve]
     return clamp_curve(x, coefs, hi, hi_val)
+
+
+def awarded(spark: SparkSession, sf_dir: str, k: int = 3) -> DataFrame:
+    """Scored rows that receive 3-2-1 votes by descending score (the original ``check``)."""
+    return award_votes(scored(spark, sf_dir), "contest_id", "score", ROW_KEY, k=k, seed=SEED)
