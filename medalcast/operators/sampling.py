@@ -52,7 +52,7 @@ def contest_weights(df: DataFrame, contest: str, name: str, prob: str,
 def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
                  seed: int = 0, scale: int = 100, first_sim: int = 1,
                  sims_per_block: int = 64, sim_col: str = "sim",
-                 votes_col: str = "votes") -> DataFrame:
+                 votes_col: str = "votes", num_partitions: int | None = None) -> DataFrame:
     """Simulated 3-2-1 votes: one row per (sim, contest, awarded name).
 
     ``votes = k + 1 - draw``, so a contest with fewer than k weighted names
@@ -60,18 +60,22 @@ def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int,
     """
     weights = contest_weights(df, contest, name, prob, scale)
     return sample_from_weights(weights, contest, name, "weight", n_sims, k, seed, first_sim,
-                               sims_per_block, sim_col, votes_col)
+                               sims_per_block, sim_col, votes_col, num_partitions)
 
 
 def sample_from_weights(weights: DataFrame, contest: str, name: str, weight: str,
                         n_sims: int, k: int = 3, seed: int = 0, first_sim: int = 1,
                         sims_per_block: int = 64, sim_col: str = "sim",
-                        votes_col: str = "votes") -> DataFrame:
+                        votes_col: str = "votes", num_partitions: int | None = None) -> DataFrame:
+    # An explicit partition count: the rows entering this exchange are few
+    # (weights x blocks) but each one fans out into sims_per_block races, so
+    # AQE must not coalesce it by its input size.
+    n_parts = int(num_partitions or weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last_sim = first_sim + n_sims - 1
     n_blocks = max(1, math.ceil(n_sims / sims_per_block))
     blocks = (weights.select(contest, name, weight)
               .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-              .repartition(contest, "_block"))
+              .repartition(n_parts, contest, "_block"))
     lo = F.lit(first_sim) + F.col("_block") * F.lit(sims_per_block)
     hi = F.least(lo + F.lit(sims_per_block - 1), F.lit(last_sim))
     races = (blocks.withColumn(sim_col, F.explode(F.sequence(lo, hi)))
