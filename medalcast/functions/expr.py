@@ -46,6 +46,47 @@ def row_uniform(*cols: ColumnLike) -> Column:
     return (digest32.cast("double") + F.lit(0.5)) / F.lit(_TWO_32)
 
 
+# --- fixed values: 32-bit mixing constants (MurmurHash3 finaliser, golden-ratio step) ---
+MIX_C1 = 0x85EBCA6B
+MIX_C2 = 0xC2B2AE35
+MIX_STEP = 0x9E3779B9
+_M16 = 0xFFFF
+_M32 = 0xFFFFFFFF
+
+
+def hash32(*cols: ColumnLike) -> Column:
+    """First 32 bits of the MD5 of the key text, as a non-negative bigint."""
+    return F.conv(F.substring(F.md5(key_text(*cols)), 1, 8), 16, 10).cast("bigint")
+
+
+def _mul32(h: Column, m: int) -> Column:
+    # (h * m) mod 2^32 in two 16-bit halves, so no product exceeds 2^49
+    lo = (h.bitwiseAND(F.lit(_M16)) * F.lit(m))
+    hi = F.shiftleft((F.shiftright(h, 16) * F.lit(m)).bitwiseAND(F.lit(_M16)), 16)
+    return (lo + hi).bitwiseAND(F.lit(_M32))
+
+
+def mix32(h: Column) -> Column:
+    """MurmurHash3's 32-bit finaliser on a bigint holding 0 <= h < 2^32."""
+    h = h.bitwiseXOR(F.shiftright(h, 16))
+    h = _mul32(h, MIX_C1)
+    h = h.bitwiseXOR(F.shiftright(h, 13))
+    h = _mul32(h, MIX_C2)
+    return h.bitwiseXOR(F.shiftright(h, 16))
+
+
+def stream_uniform(base32: ColumnLike, index: ColumnLike) -> Column:
+    """Uniform (0,1) number ``index`` of the stream seeded by ``base32``.
+
+    ``base32`` is a per-row 32-bit hash (``hash32``), computed once per row;
+    each index then costs a handful of integer operations instead of a
+    digest: a Weyl step ``base + index * golden`` mixed by MurmurHash3's
+    finaliser (the construction of SplitMix generators, on 32 bits).
+    """
+    x = (col(base32) + col(index).cast("bigint") * F.lit(MIX_STEP)).bitwiseAND(F.lit(_M32))
+    return (mix32(x).cast("double") + F.lit(0.5)) / F.lit(_TWO_32)
+
+
 def right_closed_bin(x: ColumnLike, start: float, stop: float, step: float) -> Column:
     """Ordinal of ``x`` in ``cut(x, c(-Inf, seq(start, stop, step), Inf))``.
 

@@ -8,8 +8,10 @@ Here the three dependent draws are one ranking: each (contest, name) gets the
 exponential race key ``-ln(u) / w`` with ``u`` uniform and ``w`` its summed
 weight, and the k smallest keys are the ordered draws (Efraimidis & Spirakis,
 2006: ordering by ``u^(1/w)`` is weighted sampling without replacement,
-equal in law to the sequential draws). ``u`` comes from a hash of
-(seed, sim, contest, name), so a retried task redraws the same values.
+equal in law to the sequential draws). ``u`` is a pure function of
+(seed, contest, name, sim): a 32-bit MD5 prefix of (seed, contest, name),
+computed once per weighted name, drives a SplitMix-style stream indexed by
+the simulation number, so a retried task redraws the same values.
 
 Scale notes
 -----------
@@ -37,7 +39,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import copies_weight, row_uniform
+from ..functions.expr import copies_weight, hash32, stream_uniform
 from ..session import ensure_checkpoint_dir
 
 
@@ -67,24 +69,62 @@ def sample_from_weights(weights: DataFrame, contest: str, name: str, weight: str
                         n_sims: int, k: int = 3, seed: int = 0, first_sim: int = 1,
                         sims_per_block: int = 64, sim_col: str = "sim",
                         votes_col: str = "votes", num_partitions: int | None = None) -> DataFrame:
+    """Long vote table from precomputed (contest, name, weight) rows."""
+    top = _ranked_draws(weights, contest, name, weight, n_sims, k, seed, first_sim,
+                        sims_per_block, sim_col, num_partitions)
+    return top.select(F.col(sim_col).cast("bigint").alias(sim_col), contest, name,
+                      (F.lit(k + 1) - F.col("_draw")).cast("bigint").alias(votes_col))
+
+
+def _ranked_draws(weights: DataFrame, contest: str, name: str, weight: str, n_sims: int,
+                  k: int, seed: int, first_sim: int, sims_per_block: int, sim_col: str,
+                  num_partitions: int | None) -> DataFrame:
     # An explicit partition count: the rows entering this exchange are few
     # (weights x blocks) but each one fans out into sims_per_block races, so
     # AQE must not coalesce it by its input size.
     n_parts = int(num_partitions or weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last_sim = first_sim + n_sims - 1
     n_blocks = max(1, math.ceil(n_sims / sims_per_block))
-    blocks = (weights.select(contest, name, weight)
+    blocks = (weights.select(contest, name, weight,
+                             hash32(F.lit(seed), F.col(contest), F.col(name)).alias("_base"))
               .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
               .repartition(n_parts, contest, "_block"))
     lo = F.lit(first_sim) + F.col("_block") * F.lit(sims_per_block)
     hi = F.least(lo + F.lit(sims_per_block - 1), F.lit(last_sim))
     races = (blocks.withColumn(sim_col, F.explode(F.sequence(lo, hi)))
-             .withColumn("_key", -F.ln(row_uniform(F.lit(seed), F.col(sim_col), F.col(contest),
-                                                    F.col(name))) / F.col(weight)))
+             .withColumn("_u", stream_uniform("_base", sim_col))
+             .withColumn("_key", -F.ln(F.col("_u")) / F.col(weight)))
     w = Window.partitionBy(contest, "_block", sim_col).orderBy("_key", name)
-    top = races.withColumn("_draw", F.row_number().over(w)).filter(F.col("_draw") <= k)
-    return top.select(F.col(sim_col).cast("bigint").alias(sim_col), contest, name,
-                      (F.lit(k + 1) - F.col("_draw")).cast("bigint").alias(votes_col))
+    return races.withColumn("_draw", F.row_number().over(w)).filter(F.col("_draw") <= k)
+
+
+def sample_podiums(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
+                   seed: int = 0, scale: int = 100, first_sim: int = 1,
+                   sims_per_block: int = 64, sim_col: str = "sim",
+                   num_partitions: int | None = None) -> DataFrame:
+    """Simulated podiums, one row per (sim, contest): ``name_v3, name_v2, name_v1``
+    (for k=3), NULL where a contest had fewer weighted names (D9, N16).
+
+    The rows leave the ranking window sorted by (contest, block, sim), so this
+    grouping streams (sort aggregate) with no exchange.
+    """
+    weights = contest_weights(df, contest, name, prob, scale)
+    top = _ranked_draws(weights, contest, name, "weight", n_sims, k, seed, first_sim,
+                        sims_per_block, sim_col, num_partitions)
+    places = [F.max(F.when(F.col("_draw") == i, F.col(name))).alias(f"{name}_v{k + 1 - i}")
+              for i in range(1, k + 1)]
+    return top.groupBy(contest, "_block", sim_col).agg(*places).drop("_block") \
+        .withColumn(sim_col, F.col(sim_col).cast("bigint"))
+
+
+def podiums_to_votes(podiums: DataFrame, contest: str, name: str, k: int = 3,
+                     sim_col: str = "sim", votes_col: str = "votes") -> DataFrame:
+    """Wide podiums to the long vote table ``(sim, contest, name, votes)``."""
+    cols = [f"{name}_v{v}" for v in range(k, 0, -1)]
+    long = podiums.unpivot([sim_col, contest], cols, "_place", name)
+    return long.filter(F.col(name).isNotNull()).select(
+        sim_col, contest, name,
+        F.regexp_extract("_place", r"_v(\d+)$", 1).cast("bigint").alias(votes_col))
 
 
 def sample_votes_batched(df: DataFrame, contest: str, name: str, prob: str, n_sims: int,

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from ..operators.calibrate import apply_curves
 from ..operators.report import report_board, report_contenders, report_teams, team_counts
-from ..operators.sampling import sample_votes
-from ..operators.summary import (most_likely_podium, podium_long, round_leaderboard,
+from ..operators.sampling import podiums_to_votes, sample_podiums
+from ..operators.summary import (modal_podium, podium_long, podium_text, round_leaderboard,
                                  sim_summary, team_top_k, top_names)
+from ..session import cut_lineage
 from ..schema import SIMS_BACKTEST, TOP_BOARD, TOP_PER_TEAM
 from ..sources.standin import SEED, STANDIN_CURVES, scored
 from .base_sql import BASE, weight_sql
-from .registry import register, u_sql
+from .registry import hash32_sql, register, stream_uniform_sql
 
 SIMS = SIMS_BACKTEST
 
@@ -27,15 +28,29 @@ def season_rows(spark, d):
     return apply_curves(scored(spark, d, regular_only=True), "score", STANDIN_CURVES, ["v3"])
 
 
+def season_podiums(spark, d, n_sims: int = SIMS):
+    """One simulated podium per (sim, contest)."""
+    return sample_podiums(season_rows(spark, d), "contest_id", "name", "v3_prob", n_sims, k=3,
+                          seed=SEED)
+
+
 def season_samples(spark, d, n_sims: int = SIMS):
-    return sample_votes(season_rows(spark, d), "contest_id", "name", "v3_prob", n_sims, k=3,
-                        seed=SEED)
+    """The long vote table ``(sim, contest_id, name, votes)``."""
+    return podiums_to_votes(season_podiums(spark, d, n_sims), "contest_id", "name")
 
 
 def season_summary(spark, d, denominator: str = "appearances"):
     return sim_summary(season_samples(spark, d), SIMS, denominator)
 
 
+def season_outputs(spark, d):
+    """Podiums written once to the shared checkpoint folder, then the summary
+    and the modal podium both read that table (the simulation runs once)."""
+    pods = cut_lineage(season_podiums(spark, d), "season-podiums")
+    summary = sim_summary(podiums_to_votes(pods, "contest_id", "name"), SIMS)
+    return summary, modal_podium(podium_text(pods))
+
+
 def _round6(df, cols=("p05", "mdn_votes", "p95")):
     return df.withColumns({c: F.round(c, 6) for c in cols})
 
@@ -62,8 +77,9 @@ samples as (
     select sim, contest_id, name,
            row_number() over (partition by contest_id, sim order by key_, name) rn_
     from (select s.sim, w.contest_id, w.name,
-                 -ln({u_sql(str(SEED), 's.sim', 'w.contest_id', 'w.name')}) / w.weight as key_
-          from weights w cross join (select range::bigint as sim from range(1, {SIMS + 1})) s))
+                 -ln({stream_uniform_sql('w.base_', 's.sim')}) / w.weight as key_
+          from (select *, {hash32_sql(str(SEED), 'contest_id', 'name')} as base_ from weights) w
+          cross join (select range::bigint as sim from range(1, {SIMS + 1})) s))
   where rn_ <= 3
 ),
 totals as (
@@ -181,12 +197,12 @@ def sim_summary_all_sims(spark, d):
 
 @register("likely_podium", SEASON + "select contest_id, combo321 from podium")
 def likely_podium(spark, d):
-    return most_likely_podium(season_samples(spark, d))
+    return modal_podium(podium_text(season_podiums(spark, d)))
 
 
 @register("podium_split_long", SEASON + "select contest_id, votes, name from podium_long")
 def podium_split_long(spark, d):
-    return podium_long(most_likely_podium(season_samples(spark, d)), ["contest_id"])
+    return podium_long(modal_podium(podium_text(season_podiums(spark, d))), ["contest_id"])
 
 
 @register("top_names", SEASON + "select name from top20")
@@ -195,9 +211,8 @@ def top_names_q(spark, d):
 
 
 def _board(spark, d):
-    samples = season_samples(spark, d)
-    summary = sim_summary(samples, SIMS)
-    return round_leaderboard(summary, most_likely_podium(samples), season_rows(spark, d),
+    summary, podium = season_outputs(spark, d)
+    return round_leaderboard(summary, podium, season_rows(spark, d),
                              "contest_id", "stage", "name", TOP_BOARD)
 
 

@@ -45,3 +45,29 @@ def horner_sql(x: str, coefs) -> str:
 def d(v: float) -> str:
     """A double literal for DuckDB."""
     return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+# DuckDB forms of functions.expr.hash32 / stream_uniform
+_C1, _C2, _STEP = 0x85EBCA6B, 0xC2B2AE35, 0x9E3779B9
+
+
+def hash32_sql(*exprs: str) -> str:
+    k = ", ".join(f"cast({e} as varchar)" for e in exprs)
+    return f"('0x' || substr(md5(concat_ws('|', {k})), 1, 8))::bigint"
+
+
+def _mul32_sql(h: str, m: int) -> str:
+    return (f"(((({h}) & 65535) * {m}) + ((((({h}) >> 16) * {m}) & 65535) << 16)) & 4294967295")
+
+
+def _mix32_sql(h: str) -> str:
+    h = f"xor({h}, (({h}) >> 16))"
+    h = f"({_mul32_sql(h, _C1)})"
+    h = f"xor({h}, ({h} >> 13))"
+    h = f"({_mul32_sql(h, _C2)})"
+    return f"xor({h}, ({h} >> 16))"
+
+
+def stream_uniform_sql(base: str, index: str) -> str:
+    x = f"((({base}) + (cast({index} as bigint) * {_STEP})) & 4294967295)"
+    return f"((cast({_mix32_sql(x)} as double) + 0.5e0) / 4294967296e0)"
