@@ -66,25 +66,35 @@ def _mul32(h: Column, m: int) -> Column:
     return (lo + hi).bitwiseAND(F.lit(_M32))
 
 
-def mix32(h: Column) -> Column:
-    """MurmurHash3's 32-bit finaliser on a bigint holding 0 <= h < 2^32."""
-    h = h.bitwiseXOR(F.shiftright(h, 16))
-    h = _mul32(h, MIX_C1)
-    h = h.bitwiseXOR(F.shiftright(h, 13))
-    h = _mul32(h, MIX_C2)
-    return h.bitwiseXOR(F.shiftright(h, 16))
-
-
-def stream_uniform(base32: ColumnLike, index: ColumnLike) -> Column:
-    """Uniform (0,1) number ``index`` of the stream seeded by ``base32``.
+def with_stream_uniform(df, base32: str, index: str, out: str):
+    """Add ``out``: uniform (0,1) number ``index`` of the stream seeded by ``base32``.
 
     ``base32`` is a per-row 32-bit hash (``hash32``), computed once per row;
     each index then costs a handful of integer operations instead of a
     digest: a Weyl step ``base + index * golden`` mixed by MurmurHash3's
-    finaliser (the construction of SplitMix generators, on 32 bits).
+    32-bit finaliser (the construction of SplitMix generators, on 32 bits).
+    Every mixing step is its own column: a step reads the previous one twice,
+    and separate projections keep Catalyst from inlining them into one
+    exponentially repeated expression.
     """
-    x = (col(base32) + col(index).cast("bigint") * F.lit(MIX_STEP)).bitwiseAND(F.lit(_M32))
-    return (mix32(x).cast("double") + F.lit(0.5)) / F.lit(_TWO_32)
+    steps = [
+        lambda h: (col(base32) + col(index).cast("bigint") * F.lit(MIX_STEP)).bitwiseAND(
+            F.lit(_M32)),
+        lambda h: h.bitwiseXOR(F.shiftright(h, 16)),
+        lambda h: _mul32(h, MIX_C1),
+        lambda h: h.bitwiseXOR(F.shiftright(h, 13)),
+        lambda h: _mul32(h, MIX_C2),
+        lambda h: h.bitwiseXOR(F.shiftright(h, 16)),
+    ]
+    tmp = []
+    prev = None
+    for i, step in enumerate(steps):
+        name = f"_{out}_h{i}"
+        df = df.withColumn(name, step(F.col(prev) if prev else None))
+        tmp.append(name)
+        prev = name
+    df = df.withColumn(out, (F.col(prev).cast("double") + F.lit(0.5)) / F.lit(_TWO_32))
+    return df.drop(*tmp)
 
 
 def right_closed_bin(x: ColumnLike, start: float, stop: float, step: float) -> Column:

@@ -39,7 +39,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import copies_weight, hash32, stream_uniform
+from ..functions.expr import copies_weight, hash32, with_stream_uniform
 from ..session import ensure_checkpoint_dir
 
 
@@ -91,9 +91,9 @@ def _ranked_draws(weights: DataFrame, contest: str, name: str, weight: str, n_si
               .repartition(n_parts, contest, "_block"))
     lo = F.lit(first_sim) + F.col("_block") * F.lit(sims_per_block)
     hi = F.least(lo + F.lit(sims_per_block - 1), F.lit(last_sim))
-    races = (blocks.withColumn(sim_col, F.explode(F.sequence(lo, hi)))
-             .withColumn("_u", stream_uniform("_base", sim_col))
-             .withColumn("_key", -F.ln(F.col("_u")) / F.col(weight)))
+    races = with_stream_uniform(blocks.withColumn(sim_col, F.explode(F.sequence(lo, hi))),
+                                "_base", sim_col, "_u") \
+        .withColumn("_key", -F.ln(F.col("_u")) / F.col(weight))
     w = Window.partitionBy(contest, "_block", sim_col).orderBy("_key", name)
     return races.withColumn("_draw", F.row_number().over(w)).filter(F.col("_draw") <= k)
 
