@@ -44,7 +44,7 @@ scored as (
          cast(case when rk_ <= least(3, n_) then least(3, n_) + 1 - rk_ else 0 end as bigint)
            as true_votes
   from (select *,
-               row_number() over (partition by contest_id order by qty desc, ln, pk, entity_id) rk_,
+               row_number() over (partition by contest_id order by qty desc, ln, pk, entity_id, cents, disc, tax, psize) rk_,
                count(*) over (partition by contest_id) n_,
                sum(cents) over (partition by contest_id) tot_
         from fact)

@@ -15,7 +15,7 @@ margin          floor(o_totalprice / 1000)
 player          supplier (``entity_id``, ``name``); club = supplier's nation
 position        p_type
 statistics      qty, cents, disc, tax, psize (integers, so sums are exact)
-true votes      3-2-1 by qty desc, ln, pk, entity_id (``least(3, n) + 1 - rank``)
+true votes      3-2-1 by qty desc, ln, pk, entity_id, cents, ... (``least(3, n) + 1 - rank``)
 raw score       4 * (cents / contest total) - 0.5
 ==============  ==============================================================
 
@@ -29,11 +29,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import clamp_curve
-from ..operators.awards import award_votes, votes_or_zero
+from ..operators.awards import award_votes
 from ..operators.features import group_shares
 
 ROW_KEY = ["contest_id", "ln", "pk", "entity_id"]
@@ -110,11 +110,27 @@ def scored(spark: SparkSession, sf_dir: str, regular_only: bool = False) -> Data
     shares = group_shares(f, ["contest_id"], ["cents"], "contest_", "contest_pct_",
                           keep_totals=False)
     s = shares.withColumn("score", score_expr(F.col("contest_pct_cents"))).drop("contest_pct_cents")
-    truth = award_votes(f.select(*ROW_KEY, "qty"), "contest_id", "qty", ROW_KEY, k=3,
-                        votes_col="true_votes",
-                        order=[F.col("qty").desc(), F.col("ln"), F.col("pk"),
-                               F.col("entity_id")])
-    return votes_or_zero(s, truth, ROW_KEY, "true_votes")
+    return s.withColumn("true_votes", label_votes())
+
+
+# total order of rows inside a contest for the stand-in label; the row key
+# (contest_id, ln, pk, entity_id) is not unique in every extract, so the
+# statistics follow it
+LABEL_ORDER = ["ln", "pk", "entity_id", "cents", "disc", "tax", "psize"]
+
+
+def label_votes(k: int = 3):
+    """Stand-in for the recorded 3-2-1 votes: by qty desc, then ``LABEL_ORDER``.
+
+    This plays the part of a column the source data already carries, so it is
+    computed row-preserving with a per-contest window (the awarding operator
+    itself, ``award_votes``, keeps only the top rows and is skew-safe).
+    """
+    w = Window.partitionBy("contest_id").orderBy(F.col("qty").desc(),
+                                                 *[F.col(c) for c in LABEL_ORDER])
+    rank = F.row_number().over(w)
+    m = F.least(F.lit(k), F.count(F.lit(1)).over(Window.partitionBy("contest_id")))
+    return F.when(rank <= m, m + 1 - rank).otherwise(F.lit(0)).cast("bigint")
 
 
 def curve_prob(x: str | Column, curve: str = "v3") -> Column:
