@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calibrate import apply_curves
 from ..operators.report import report_board, report_contenders, report_teams, team_counts
-from ..operators.sampling import podiums_to_votes, sample_podiums
+from ..operators.sampling import podiums_to_votes, sample_podiums, sample_votes
 from ..operators.summary import (modal_podium, podium_long, podium_text, round_leaderboard,
                                  sim_summary, team_top_k, top_names)
 from ..session import cut_lineage
@@ -36,7 +36,8 @@ def season_podiums(spark, d, n_sims: int = SIMS):
 
 def season_samples(spark, d, n_sims: int = SIMS):
     """The long vote table ``(sim, contest_id, name, votes)``."""
-    return podiums_to_votes(season_podiums(spark, d, n_sims), "contest_id", "name")
+    return sample_votes(season_rows(spark, d), "contest_id", "name", "v3_prob", n_sims, k=3,
+                        seed=SEED)
 
 
 def season_summary(spark, d, denominator: str = "appearances"):

@@ -107,8 +107,11 @@ def scored(spark: SparkSession, sf_dir: str, regular_only: bool = False) -> Data
     f = fact(spark, sf_dir)
     if regular_only:
         f = f.filter(F.col("stage").rlike("^[0-9]"))
+    # window form: the label below partitions by contest too, so both share
+    # one exchange and the fact joins run once (the join form would rerun
+    # them for the totals branch)
     shares = group_shares(f, ["contest_id"], ["cents"], "contest_", "contest_pct_",
-                          keep_totals=False)
+                          keep_totals=False, method="window")
     s = shares.withColumn("score", score_expr(F.col("contest_pct_cents"))).drop("contest_pct_cents")
     return s.withColumn("true_votes", label_votes())
 
