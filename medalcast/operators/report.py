@@ -34,3 +34,12 @@ def report_teams(team_table: DataFrame, team: str = "player_team", name: str = "
 def team_counts(team_table: DataFrame, team: str = "player_team") -> DataFrame:
     """Rows per team: the grouping index of the team report."""
     return team_table.groupBy(team).agg(F.count(F.lit(1)).alias("n"))
+
+
+def metrics_table(metrics: DataFrame, digits: int = 2) -> DataFrame:
+    """Long ``(metric, estimate, estimate_text)``: rounded half-even and printed
+    with thousands separators (X14, X7)."""
+    long = metrics.unpivot([], list(metrics.columns), "metric", "estimate")
+    r = half_even("estimate", digits)
+    return long.select("metric", r.alias("estimate"), F.format_number(r, digits)
+                       .alias("estimate_text"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.awards import (entity_history, regression_metrics, season_leaders,
                                 season_tally_one, tally_comparison, vote_accuracy)
+from ..operators.report import metrics_table
 from ..sources.standin import ROW_KEY, awarded, scored
 from .base_sql import BASE
 from .registry import register
@@ -117,3 +118,18 @@ from scored
 def regression_metrics_q(spark, d):
     m = regression_metrics(scored(spark, d), "true_votes", "score")
     return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
+
+
+def _r2(x: str) -> str:
+    return f"cast(round_even(cast(cast({x} as varchar) as decimal(38, 18)), 2) as double)"
+
+
+@register("metrics_table", BASE + f"""
+select metric, {_r2('v')} as estimate, format('{{:,.2f}}', {_r2('v')}) as estimate_text
+from (unpivot (select sqrt(avg((true_votes - score) * (true_votes - score))) as rmse,
+                      pow(corr(true_votes::double, score), 2) as rsq,
+                      avg(abs(true_votes - score)) as mae from scored)
+      on rmse, rsq, mae into name metric value v)
+""")
+def metrics_table_q(spark, d):
+    return metrics_table(regression_metrics(scored(spark, d), "true_votes", "score"))

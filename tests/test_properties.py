@@ -159,3 +159,15 @@ def test_gbt_roundtrip_and_beats_mean(spark, tmp_path):
     save_model(model, path)
     again = load_model(path).transform(df).select("prediction").collect()
     assert [r[0] for r in again] == [r[0] for r in pred.select("prediction").collect()]
+
+
+def test_season_range_prunes_partitions(spark, tmp_path):
+    from medalcast.sources.tables import load_seasons, save
+    df = spark.createDataFrame([(s, str(s), i) for s in range(2010, 2016) for i in range(5)],
+                               "y int, season string, v int")
+    path = str(tmp_path / "extract")
+    save(df, path, ["season"])
+    got = load_seasons(spark, path, 2012, 2013)
+    assert sorted({r.season for r in got.collect()}) == ["2012", "2013"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "season" in plan.split("PartitionFilters")[1][:200]
