@@ -168,6 +168,6 @@ def test_season_range_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "extract")
     save(df, path, ["season"])
     got = load_seasons(spark, path, 2012, 2013)
-    assert sorted({r.season for r in got.collect()}) == ["2012", "2013"]
+    assert sorted({str(r.season) for r in got.collect()}) == ["2012", "2013"]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "season" in plan.split("PartitionFilters")[1][:200]
