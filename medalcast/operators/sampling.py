@@ -53,7 +53,7 @@ def contest_weights(df: DataFrame, contest: str, name: str, prob: str,
 
 def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
                  seed: int = 0, scale: int = 100, first_sim: int = 1,
-                 sims_per_block: int = 64, sim_col: str = "sim",
+                 sims_per_block: int = 16, sim_col: str = "sim",
                  votes_col: str = "votes", num_partitions: int | None = None) -> DataFrame:
     """Simulated 3-2-1 votes: one row per (sim, contest, awarded name).
 
@@ -67,7 +67,7 @@ def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int,
 
 def sample_from_weights(weights: DataFrame, contest: str, name: str, weight: str,
                         n_sims: int, k: int = 3, seed: int = 0, first_sim: int = 1,
-                        sims_per_block: int = 64, sim_col: str = "sim",
+                        sims_per_block: int = 16, sim_col: str = "sim",
                         votes_col: str = "votes", num_partitions: int | None = None) -> DataFrame:
     """Long vote table from precomputed (contest, name, weight) rows."""
     top = _ranked_draws(weights, contest, name, weight, n_sims, k, seed, first_sim,
@@ -100,7 +100,7 @@ def _ranked_draws(weights: DataFrame, contest: str, name: str, weight: str, n_si
 
 def sample_podiums(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
                    seed: int = 0, scale: int = 100, first_sim: int = 1,
-                   sims_per_block: int = 64, sim_col: str = "sim",
+                   sims_per_block: int = 16, sim_col: str = "sim",
                    num_partitions: int | None = None) -> DataFrame:
     """Simulated podiums, one row per (sim, contest): ``name_v3, name_v2, name_v1``
     (for k=3), NULL where a contest had fewer weighted names (D9, N16).
