@@ -28,10 +28,18 @@ def season_rows(spark, d):
     return apply_curves(scored(spark, d, regular_only=True), "score", STANDIN_CURVES, ["v3"])
 
 
-def season_podiums(spark, d, n_sims: int = SIMS):
+def season_rows_written(spark, d):
+    """The season rows a multi-step query reads several times (sampler input,
+    round lookup, who played where, players), written once to the shared
+    checkpoint folder instead of re-running the joins for each use."""
+    cols = ["contest_id", "name", "stage", "v3_prob", "entity_id", "club", "team"]
+    return cut_lineage(season_rows(spark, d).select(*cols), "season-rows")
+
+
+def season_podiums(spark, d, n_sims: int = SIMS, rows=None):
     """One simulated podium per (sim, contest)."""
-    return sample_podiums(season_rows(spark, d), "contest_id", "name", "v3_prob", n_sims, k=3,
-                          seed=SEED)
+    rows = season_rows(spark, d) if rows is None else rows
+    return sample_podiums(rows, "contest_id", "name", "v3_prob", n_sims, k=3, seed=SEED)
 
 
 def season_samples(spark, d, n_sims: int = SIMS):
@@ -44,10 +52,10 @@ def season_summary(spark, d, denominator: str = "appearances"):
     return sim_summary(season_samples(spark, d), SIMS, denominator)
 
 
-def season_outputs(spark, d):
+def season_outputs(spark, d, rows):
     """Podiums written once to the shared checkpoint folder, then the summary
     and the modal podium both read that table (the simulation runs once)."""
-    pods = cut_lineage(season_podiums(spark, d), "season-podiums")
+    pods = cut_lineage(season_podiums(spark, d, rows=rows), "season-podiums")
     summary = sim_summary(podiums_to_votes(pods, "contest_id", "name"), SIMS)
     return summary, modal_podium(podium_text(pods))
 
@@ -212,9 +220,9 @@ def top_names_q(spark, d):
 
 
 def _board(spark, d):
-    summary, podium = season_outputs(spark, d)
-    return round_leaderboard(summary, podium, season_rows(spark, d),
-                             "contest_id", "stage", "name", TOP_BOARD)
+    rows = season_rows_written(spark, d)
+    summary, podium = season_outputs(spark, d, rows)
+    return round_leaderboard(summary, podium, rows, "contest_id", "stage", "name", TOP_BOARD)
 
 
 @register("round_leaderboard", SEASON + "select * from board")
@@ -222,9 +230,19 @@ def round_leaderboard_q(spark, d):
     return _board(spark, d)
 
 
-def _players(spark, d, team_col):
-    return season_rows(spark, d).select(F.col("entity_id").alias("player_id"), "name",
-                                        F.col(team_col).alias("player_team"))
+def _players(rows, team_col):
+    return rows.select(F.col("entity_id").alias("player_id"), "name",
+                       F.col(team_col).alias("player_team"))
+
+
+def _team_table(spark, d, team_col, round_first=False):
+    """Summary and the player list both come from one written copy of the rows."""
+    rows = season_rows_written(spark, d)
+    summary = sim_summary(sample_votes(rows, "contest_id", "name", "v3_prob", SIMS, k=3,
+                                       seed=SEED), SIMS)
+    if round_first:
+        summary = _round6(summary)
+    return team_top_k(summary, _players(rows, team_col), k=TOP_PER_TEAM)
 
 
 _TEAM_COLS = ("name, {p05} p05, {mdn} mdn_votes, {p95} p95, win_perc, player_id, "
@@ -233,22 +251,19 @@ _TEAM_COLS = ("name, {p05} p05, {mdn} mdn_votes, {p95} p95, win_perc, player_id,
 
 @register("team_top_k", SEASON + f"select {_TEAM_COLS} from team_top")
 def team_top_k_q(spark, d):
-    t = team_top_k(season_summary(spark, d), _players(spark, d, "club"), k=TOP_PER_TEAM)
-    return _round6(t)
+    return _round6(_team_table(spark, d, "club"))
 
 
 @register("team_top_k_fanout", SEASON + f"select {_TEAM_COLS} from team_top_fan")
 def team_top_k_fanout(spark, d):
-    t = team_top_k(season_summary(spark, d), _players(spark, d, "team"), k=TOP_PER_TEAM)
-    return _round6(t)
+    return _round6(_team_table(spark, d, "team"))
 
 
 @register("team_counts", SEASON + """
 select player_team, cast(count(*) as bigint) as n from team_top group by player_team
 """)
 def team_counts_q(spark, d):
-    t = team_top_k(season_summary(spark, d), _players(spark, d, "club"), k=TOP_PER_TEAM)
-    return team_counts(t)
+    return team_counts(_team_table(spark, d, "club"))
 
 
 @register("report_board", SEASON + """
@@ -273,6 +288,4 @@ def report_contenders_q(spark, d):
 select player_team as Team, name as Name, {r6('mdn_votes')} as Votes from team_top
 """)
 def report_teams_q(spark, d):
-    t = team_top_k(_round6(season_summary(spark, d)), _players(spark, d, "club"),
-                   k=TOP_PER_TEAM)
-    return report_teams(t)
+    return report_teams(_team_table(spark, d, "club", round_first=True))
