@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.calibrate import apply_curves
 from ..operators.report import report_board, report_contenders, report_teams, team_counts
 from ..operators.sampling import podiums_to_votes, sample_podiums, sample_votes
-from ..operators.summary import (modal_podium, podium_long, podium_text, round_leaderboard,
+from ..operators.summary import (modal_podium_wide, podium_long, round_leaderboard,
                                  sim_summary, team_top_k, top_names)
 from ..session import cut_lineage
 from ..schema import SIMS_BACKTEST, TOP_BOARD, TOP_PER_TEAM
@@ -57,7 +57,7 @@ def season_outputs(spark, d, rows):
     and the modal podium both read that table (the simulation runs once)."""
     pods = cut_lineage(season_podiums(spark, d, rows=rows), "season-podiums")
     summary = sim_summary(podiums_to_votes(pods, "contest_id", "name"), SIMS)
-    return summary, modal_podium(podium_text(pods))
+    return summary, modal_podium_wide(pods)
 
 
 def _round6(df, cols=("p05", "mdn_votes", "p95")):
@@ -206,12 +206,12 @@ def sim_summary_all_sims(spark, d):
 
 @register("likely_podium", SEASON + "select contest_id, combo321 from podium")
 def likely_podium(spark, d):
-    return modal_podium(podium_text(season_podiums(spark, d)))
+    return modal_podium_wide(season_podiums(spark, d))
 
 
 @register("podium_split_long", SEASON + "select contest_id, votes, name from podium_long")
 def podium_split_long(spark, d):
-    return podium_long(modal_podium(podium_text(season_podiums(spark, d))), ["contest_id"])
+    return podium_long(modal_podium_wide(season_podiums(spark, d)), ["contest_id"])
 
 
 @register("top_names", SEASON + "select name from top20")

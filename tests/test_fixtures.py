@@ -193,6 +193,16 @@ def test_same_name_twice(spark):
     assert 0.75 < share_a < 0.95
 
 
+def test_modal_podium_wide_matches_text_form(spark):
+    from medalcast.operators.summary import modal_podium_wide
+    df = spark.createDataFrame([(c, f"n{i}", 0.05 * (i + 1)) for c in range(6)
+                                for i in range(c % 5 + 1)], "c long, name string, p double")
+    pods = sample_podiums(df, "c", "name", "p", 60, seed=8)
+    a = rows(modal_podium(podium_text(pods, "c"), "c"), "c", "combo321")
+    b = rows(modal_podium_wide(pods, "c"), "c", "combo321")
+    assert sorted(a) == sorted(b)
+
+
 def test_podiums_and_long_votes_agree(spark):
     df = spark.createDataFrame([(c, f"n{i}", 0.1 * (i + 1)) for c in range(5) for i in range(4)],
                                "c long, name string, p double")
