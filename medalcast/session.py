@@ -8,6 +8,7 @@ settings (AQE on, skew-join splitting on, UTC timestamps, UI off).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,18 +46,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared, fault-tolerant
-    path). Only when it is unset (tests, local runs) a scratch folder is made.
+    On a cluster the deployment names it (a shared, fault-tolerant path);
+    without it this raises, as a folder on one machine would be read back in
+    part. Only a local master gets a scratch folder of its own, once a session.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="medalcast-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # core confs may be read-only at run time; the context dir suffices
-            pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
