@@ -18,7 +18,8 @@ Method
    only links inside one component are left out.
 
 With 32 bands of 8 rows a pair at similarity 0.85 is a candidate with
-probability 1 - (1 - 0.85^8)^32 > 0.9999; above it more surely.
+probability 1 - (1 - 0.85^8)^32 > 0.9999, with 36 bands of 7 (``band_rows``) one
+at 0.8 with more than 0.9997; above that more surely.
 
 Cases: a null or wordless text has an empty set, links with nothing and is its
 own class. Fewer than k words: the whole sequence is the one shingle. Repeated
@@ -44,7 +45,7 @@ from .stage import Scratch
 
 SMALL = 12            # buckets up to this many nodes give all their pairs at once
 BLOCK = 4096          # larger buckets are chained in blocks of about this many nodes
-ROWS_PER_BAND = 8
+BAND_ROWS = 8
 LEAD = 14.0           # log-likelihood by which a pair must fall short to be dropped unverified
 BROADCAST_IDS = 100_000  # ids sent to every task when reading candidates' sets; more are joined by shuffle
 
@@ -59,17 +60,17 @@ def _sets(batch: pa.RecordBatch, k: int):
         yield batch.column(0).slice(i, j - i), row, g, j - i
 
 
-def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, band_rows: int = BAND_ROWS) -> DataFrame:
     """(id, n_shingles, d1, d2, bands, regs) of every document; d1, d2 are 0 for an empty set."""
     schema = "id long, n_shingles long, d1 long, d2 long, bands array<long>, regs binary"
 
     def run(batches: Iterator[pa.RecordBatch]):
-        n_bands = sk.M // ROWS_PER_BAND
+        n_bands = sk.M // band_rows
         for batch in batches:
             for ids, row, h, n in _sets(batch, k):
                 size = np.bincount(row, minlength=n).astype(np.int64)
                 reg = sk.registers(row, h, n)
-                bands = tv.as_long(sk.band_keys(reg, ROWS_PER_BAND))
+                bands = tv.as_long(sk.band_keys(reg, band_rows))
                 at = np.concatenate([[0], np.cumsum(size)])
                 dig = np.zeros((n, 2), np.int64)
                 for r in np.flatnonzero(size):
@@ -172,7 +173,7 @@ def _cross_pairs(big: DataFrame, comp: DataFrame, take: int, scratch: Scratch):
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                           num: int = 85, den: int = 100) -> DataFrame:
+                           num: int = 85, den: int = 100, band_rows: int = BAND_ROWS) -> DataFrame:
     """One row per input row: (id, n_shingles, n_links, component).
 
     ``component`` is the smallest id reachable over links of similarity
@@ -182,7 +183,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dedup")
-    sk_all = scratch.write(sketch_documents(docs, id_col, text_col, k), "sketches")
+    sk_all = scratch.write(sketch_documents(docs, id_col, text_col, k, band_rows), "sketches")
     solid = sk_all.filter((F.col("n_shingles") > 0) & F.col("id").isNotNull())
     reps = scratch.write(solid.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "nodes")
     nodes = (solid.join(reps.select(F.col("rep").alias("id"), "d1", "d2"), ["id", "d1", "d2"], "left_semi")
@@ -224,3 +225,26 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return out.select(
         "id", "n_shingles", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with one document (the smallest id) of each class; rows that repeat it are kept once.
+
+    Rows with a null id and empty documents stay.
+    """
+    scratch = Scratch(docs.sparkSession, "near-dedup-keep")
+    cls = scratch.write(near_duplicate_classes(docs, id_col, text_col, **options).select("id", "n_shingles", "component"), "classes")
+    key = F.col(f"`{id_col}`").cast("long")
+
+    def named(ids):
+        ids = ids.withColumnRenamed("id", "__n_id")
+        return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    cond = key == F.col("__n_id")
+    lead = cls.filter("n_shingles > 0 and id = component").select("id")
+    # an id whose rows are of several classes stays if it leads one of them
+    out = docs.join(named(cls.filter("id <> component").select("id").distinct().join(lead, "id", "left_anti")), cond, "left_anti")
+    twice = scratch.write(lead.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "repeated")
+    if not twice.isEmpty():
+        again = named(twice)
+        out = out.join(again, cond, "left_anti").unionByName(docs.join(again, cond, "left_semi").dropDuplicates([id_col, text_col]))
+    return out

@@ -56,9 +56,9 @@ def registers(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
 
 
 def band_keys(reg: np.ndarray, rows_per_band: int) -> np.ndarray:
-    """uint64 [n_rows, M / rows_per_band]: a hash of each band's register values and its number."""
-    n = len(reg)
-    parts = reg.reshape(n, M // rows_per_band, rows_per_band).astype(U)
+    """uint64 [n_rows, M // rows_per_band]: a hash of each band's register values and its number."""
+    n, bands = len(reg), M // rows_per_band
+    parts = reg[:, :bands * rows_per_band].reshape(n, bands, rows_per_band).astype(U)
     acc = np.zeros(parts.shape[:2], U) + (np.arange(parts.shape[1], dtype=U) * U(0x9E3779B97F4A7C15))[None, :]
     for c in range(rows_per_band):
         acc = mix(acc + parts[:, :, c])

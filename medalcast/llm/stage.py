@@ -22,10 +22,10 @@ class Scratch:
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def write(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def write(self, df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out
