@@ -50,51 +50,11 @@ def row_uniform(*cols: ColumnLike) -> Column:
 MIX_C1 = 0x85EBCA6B
 MIX_C2 = 0xC2B2AE35
 MIX_STEP = 0x9E3779B9
-_M16 = 0xFFFF
-_M32 = 0xFFFFFFFF
 
 
-def hash32(*cols: ColumnLike) -> Column:
-    """First 32 bits of the MD5 of the key text, as a non-negative bigint."""
-    return F.conv(F.substring(F.md5(key_text(*cols)), 1, 8), 16, 10).cast("bigint")
-
-
-def _mul32(h: Column, m: int) -> Column:
-    # (h * m) mod 2^32 in two 16-bit halves, so no product exceeds 2^49
-    lo = (h.bitwiseAND(F.lit(_M16)) * F.lit(m))
-    hi = F.shiftleft((F.shiftright(h, 16) * F.lit(m)).bitwiseAND(F.lit(_M16)), 16)
-    return (lo + hi).bitwiseAND(F.lit(_M32))
-
-
-def with_stream_uniform(df, base32: str, index: str, out: str):
-    """Add ``out``: uniform (0,1) number ``index`` of the stream seeded by ``base32``.
-
-    ``base32`` is a per-row 32-bit hash (``hash32``), computed once per row;
-    each index then costs a handful of integer operations instead of a
-    digest: a Weyl step ``base + index * golden`` mixed by MurmurHash3's
-    32-bit finaliser (the construction of SplitMix generators, on 32 bits).
-    Every mixing step is its own column: a step reads the previous one twice,
-    and separate projections keep Catalyst from inlining them into one
-    exponentially repeated expression.
-    """
-    steps = [
-        lambda h: (col(base32) + col(index).cast("bigint") * F.lit(MIX_STEP)).bitwiseAND(
-            F.lit(_M32)),
-        lambda h: h.bitwiseXOR(F.shiftright(h, 16)),
-        lambda h: _mul32(h, MIX_C1),
-        lambda h: h.bitwiseXOR(F.shiftright(h, 13)),
-        lambda h: _mul32(h, MIX_C2),
-        lambda h: h.bitwiseXOR(F.shiftright(h, 16)),
-    ]
-    tmp = []
-    prev = None
-    for i, step in enumerate(steps):
-        name = f"_{out}_h{i}"
-        df = df.withColumn(name, step(F.col(prev) if prev else None))
-        tmp.append(name)
-        prev = name
-    df = df.withColumn(out, (F.col(prev).cast("double") + F.lit(0.5)) / F.lit(_TWO_32))
-    return df.drop(*tmp)
+def hash32(*cols: ColumnLike, word: int = 0) -> Column:
+    """32 bits (the first word, or the next ones) of the MD5 of the key text, as a non-negative bigint."""
+    return F.conv(F.substring(F.md5(key_text(*cols)), 1 + 8 * word, 8), 16, 10).cast("bigint")
 
 
 def right_closed_bin(x: ColumnLike, start: float, stop: float, step: float) -> Column:
@@ -131,13 +91,19 @@ def horner(x: ColumnLike, coefs: Sequence[float]) -> Column:
 def clamp_curve(x: ColumnLike, coefs: Sequence[float], hi: float, hi_val: float,
                 lo: float = -0.05, lo_val: float = 0.0) -> Column:
     """Polynomial probability with tail clamps (M15): ``x > hi -> hi_val``,
-    ``x < lo -> lo_val``, else the polynomial."""
-    x = col(x)
+    ``x < lo -> lo_val``, else the polynomial; NULL where ``x`` is NULL or NaN."""
+    x = no_nan(x)
     return (F.when(x > F.lit(hi), F.lit(hi_val))
             .when(x < F.lit(lo), F.lit(lo_val))
             .otherwise(horner(x, coefs)))
 
 
+def no_nan(x: ColumnLike) -> Column:
+    """A score, with NaN as NULL: Spark orders NaN above every number, so it would win and clamp high."""
+    x = col(x).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def copies_weight(p: ColumnLike, scale: int = 100) -> Column:
     """Integer copy count ``round(scale * p)`` used for weighted draws.
 

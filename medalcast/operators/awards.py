@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import col, row_uniform, safe_ratio
+from ..functions.expr import col, no_nan, row_uniform, safe_ratio
 
 
 def top_k_ranked(df: DataFrame, partition: Sequence[str], order: Sequence[Column], k: int,
@@ -37,9 +37,11 @@ def award_votes(df: DataFrame, contest: str, score: str, tie_keys: Sequence[str]
 
     Ties are broken by a uniform number keyed on ``(seed, tie_keys)`` and then by
     the keys themselves, so the result is random-looking but repeatable. A
-    contest with m < k rows awards m, ..., 1 (``least(k, rows) + 1 - rank``).
+    contest with m < k scored rows awards m, ..., 1 (``least(k, rows) + 1 - rank``).
+    A row whose score is NULL or NaN gets no award and doesn't count.
     Only awarded rows are returned.
     """
+    df = df.filter(no_nan(score).isNotNull())
     if order is None:
         order = [col(score).desc_nulls_last(), row_uniform(F.lit(seed), *tie_keys),
                  *[F.col(c) for c in tie_keys]]

@@ -1,4 +1,4 @@
-"""Replicated weighted sampling of 3-2-1 votes.
+"""Replicated weighted sampling of 3-2-1 votes.
 
 The original draws, per simulated season and per match, a 3-vote winner with
 probability proportional to ``round(100 p)``, removes every row of that
@@ -9,38 +9,39 @@ exponential race key ``-ln(u) / w`` with ``u`` uniform and ``w`` its summed
 weight, and the k smallest keys are the ordered draws (Efraimidis & Spirakis,
 2006: ordering by ``u^(1/w)`` is weighted sampling without replacement,
 equal in law to the sequential draws). ``u`` is a pure function of
-(seed, contest, name, sim): a 32-bit MD5 prefix of (seed, contest, name),
-computed once per weighted name, drives a SplitMix-style stream indexed by
-the simulation number, so a retried task redraws the same values.
+(seed, contest, name, sim): 64 bits of an MD5 digest of (seed, contest, name),
+computed once per weighted name, drive a stream of 52-bit uniforms indexed by
+the simulation number, so a retried task redraws the same values and two names
+share a stream only if all 64 bits agree.
 
 Scale notes
 -----------
-* Weights are summed per (contest, name) first (partial aggregation), so the
-  replicated table has one row per weighted name, never per copy.
-* Each weighted name is copied into ``ceil(n_sims / sims_per_block)`` sim
-  blocks and the copies are hash-partitioned on (contest, block). Simulations
-  are then generated inside the partition and ranked by a window over
-  (contest, block, sim), which that partitioning already satisfies: the
-  rows x sims table is never shuffled, and a contest holding a third of all
-  rows is spread over all of its blocks instead of one task.
-* ``row_number() <= k`` becomes ``WindowGroupLimit``: only k rows per
-  (contest, sim) leave the sort.
-* Very large runs go through ``sample_votes_batched``, which writes each batch
-  of simulations to the shared checkpoint folder (lost executors recompute
-  one batch, not the run).
+* Weights are summed per (contest, name) first (partial aggregation). Each
+  weighted name is shipped once, by contest; simulations exist only inside the
+  tasks, in numpy blocks of names x simulations, and what leaves a task is
+  summed: votes per (name, sim) of a batch, or one podium per contest.
+* A contest with more than ``CHUNK`` names is split by a hash of the name. The
+  k smallest keys of a union are the k smallest of the parts' k smallest, so
+  each part sends its k best per simulation and these are ranked again.
+* Runs of any number of simulations keep the same memory; ``first_sim`` lets a
+  run be cut into batches that draw the same values.
 """
 
 from __future__ import annotations
 
-import math
-import os
-import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.expr import copies_weight, hash32, with_stream_uniform
-from ..session import ensure_checkpoint_dir
+from ..functions.expr import MIX_C1, MIX_C2, MIX_STEP, copies_weight, hash32
+
+CHUNK = 4096            # names of a contest ranked in one task
+SIM_BLOCK = 256         # simulations drawn at once
+CELLS = 1 << 19         # names x simulations held at once, about
 
 
 def contest_weights(df: DataFrame, contest: str, name: str, prob: str,
@@ -51,95 +52,225 @@ def contest_weights(df: DataFrame, contest: str, name: str, prob: str,
             .groupBy(contest, name).agg(F.sum("_w").alias("weight")))
 
 
+# ---- the draws, in numpy ------------------------------------------------------------------
+
+def _mix32(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint32(16))
+    h = h * np.uint32(MIX_C1)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(MIX_C2)
+    h ^= h >> np.uint32(16)
+    return h
+
+
+def stream_uniforms(a: np.ndarray, b: np.ndarray, sims: np.ndarray) -> np.ndarray:
+    """[names, sims] uniforms in (0, 1) of the streams with state words a, b (32 bits each)."""
+    a, b = a.astype(np.uint32)[:, None], b.astype(np.uint32)[:, None]
+    x = _mix32(a + (sims.astype(np.int64) * MIX_STEP & 0xFFFFFFFF).astype(np.uint32)[None, :])
+    y = _mix32(x ^ b)
+    z = _mix32(x + y)
+    top = (y.astype(np.int64) << 20) + (z >> np.uint32(12))
+    return (top + 0.5) / 4503599627370496.0
+
+
+def _best(starts: np.ndarray, n: int, weight, a, b, sims: np.ndarray, k: int):
+    """Per place: (row of the winner, key) as [contests, sims]; row -1 where a contest has no name left.
+
+    Rows of a contest lie together, in name order, from ``starts`` on.
+    """
+    keys = -np.log(stream_uniforms(a, b, sims)) / weight[:, None]
+    size = np.diff(np.append(starts, n))
+    row_at = np.arange(n)[:, None]
+    out = []
+    for _ in range(k):
+        low = np.minimum.reduceat(keys, starts, axis=0)
+        hit = keys == np.repeat(low, size, axis=0)
+        win = np.minimum.reduceat(np.where(hit, row_at, n), starts, axis=0)     # the first name, if keys tie
+        left = np.isfinite(low)
+        c, s = np.nonzero(left)
+        keys[win[c, s], s] = np.inf
+        out.append((np.where(left, win, -1), low))
+    return out
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches of whole (contest, part) runs of sorted rows, about CELLS / SIM_BLOCK rows each."""
+    held, limit = None, max(1, CELLS // SIM_BLOCK)
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        held = t if held is None else pa.concat_tables([held, t])
+        mark = held.column("_run").to_numpy()
+        edge = np.flatnonzero(mark[1:] != mark[:-1]) + 1
+        at = 0
+        while len(edge) and held.num_rows - at > limit:
+            cut = edge[np.searchsorted(edge, at + limit, side="right") - 1]
+            if cut <= at:
+                later = edge[edge > at]
+                if not len(later):
+                    break
+                cut = later[0]
+            yield held.slice(at, cut - at)
+            at = int(cut)
+        held = held.slice(at)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _each_block(batches, n_sims: int, k: int, first_sim: int, emit: Callable):
+    """Calls ``emit(table, starts, sims, places)`` for every block of simulations of every run batch."""
+    for t in _runs(batches):
+        t = t.combine_chunks()
+        run = t.column("_run").to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        w, a, b = (t.column(c).to_numpy() for c in ("weight", "_a", "_b"))
+        yield from emit(t, starts, (
+            (sims, _best(starts, t.num_rows, w, a, b, sims, k))
+            for s in range(first_sim, first_sim + n_sims, SIM_BLOCK)
+            for sims in [np.arange(s, min(s + SIM_BLOCK, first_sim + n_sims))]))
+
+
+# ---- layout -------------------------------------------------------------------------------
+
+def _laid_out(weights: DataFrame, contest: str, name: str, weight: str, seed: int) -> DataFrame:
+    """Weighted names with their stream words, dealt by (contest, part) and sorted; ``_run`` numbers the runs of a task."""
+    large = (weights.groupBy(contest).agg(F.count(F.lit(1)).alias("_names")).filter(F.col("_names") > CHUNK))
+    parts = F.ceil(F.col("_names") / F.lit(CHUNK)).cast("int")
+    rows = (weights.select(contest, name, F.col(weight).cast("double").alias("weight"),
+                           hash32(F.lit(seed), F.col(contest), F.col(name)).alias("_a"),
+                           hash32(F.lit(seed), F.col(contest), F.col(name), word=1).alias("_b"))
+            .join(large, contest, "left")
+            .withColumn("_part", F.when(F.col("_names").isNull(), F.lit(-1))
+                        .otherwise(F.pmod(F.xxhash64(name), F.greatest(parts, F.lit(1))).cast("int")))
+            .drop("_names"))
+    n = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit count: few rows enter, but each stands for many races, so AQE must not merge them by size
+    rows = rows.repartition(n, contest, "_part").sortWithinPartitions(contest, "_part", name)
+    return rows.withColumn("_run", F.xxhash64(contest, "_part"))
+
+
+def _split_places(laid: DataFrame, contest: str, name: str, n_sims: int, k: int, first_sim: int) -> DataFrame:
+    """(contest, sim, place, name) of split contests: the parts' k best, ranked again."""
+    fields = {f.name: f.dataType for f in laid.schema.fields}
+    schema = T.StructType([T.StructField(contest, fields[contest]), T.StructField("_sim", T.LongType()),
+                           T.StructField(name, fields[name]), T.StructField("_key", T.DoubleType())])
+
+    def emit(t, starts, blocks):
+        for sims, places in blocks:
+            for win, key in places:
+                c, s = np.nonzero(win >= 0)
+                rows = pa.array(win[c, s])
+                yield pa.RecordBatch.from_arrays(
+                    [t.column(contest).take(rows).combine_chunks(), pa.array(sims[s]), t.column(name).take(rows).combine_chunks(),
+                     pa.array(key[c, s])], names=[contest, "_sim", name, "_key"])
+    best = laid.filter(F.col("_part") >= 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
+    w = Window.partitionBy(contest, "_sim").orderBy("_key", name)
+    return best.withColumn("_place", F.row_number().over(w)).filter(F.col("_place") <= k)
+
+
+# ---- outputs ------------------------------------------------------------------------------
+
 def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
-                 seed: int = 0, scale: int = 100, first_sim: int = 1,
-                 sims_per_block: int = 16, sim_col: str = "sim",
-                 votes_col: str = "votes", num_partitions: int | None = None) -> DataFrame:
+                 seed: int = 0, scale: int = 100, first_sim: int = 1, sim_col: str = "sim",
+                 votes_col: str = "votes") -> DataFrame:
     """Simulated 3-2-1 votes: one row per (sim, contest, awarded name).
 
     ``votes = k + 1 - draw``, so a contest with fewer than k weighted names
     gives only the first places (N16).
     """
     weights = contest_weights(df, contest, name, prob, scale)
-    return sample_from_weights(weights, contest, name, "weight", n_sims, k, seed, first_sim,
-                               sims_per_block, sim_col, votes_col, num_partitions)
-
-
-def sample_from_weights(weights: DataFrame, contest: str, name: str, weight: str,
-                        n_sims: int, k: int = 3, seed: int = 0, first_sim: int = 1,
-                        sims_per_block: int = 16, sim_col: str = "sim",
-                        votes_col: str = "votes", num_partitions: int | None = None) -> DataFrame:
-    """Long vote table from precomputed (contest, name, weight) rows."""
-    top = _ranked_draws(weights, contest, name, weight, n_sims, k, seed, first_sim,
-                        sims_per_block, sim_col, num_partitions)
-    return top.select(F.col(sim_col).cast("bigint").alias(sim_col), contest, name,
-                      (F.lit(k + 1) - F.col("_draw")).cast("bigint").alias(votes_col))
-
-
-def _ranked_draws(weights: DataFrame, contest: str, name: str, weight: str, n_sims: int,
-                  k: int, seed: int, first_sim: int, sims_per_block: int, sim_col: str,
-                  num_partitions: int | None) -> DataFrame:
-    # An explicit partition count: the rows entering this exchange are few
-    # (weights x blocks) but each one fans out into sims_per_block races, so
-    # AQE must not coalesce it by its input size.
-    n_parts = int(num_partitions or weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last_sim = first_sim + n_sims - 1
-    n_blocks = max(1, math.ceil(n_sims / sims_per_block))
-    blocks = (weights.select(contest, name, weight,
-                             hash32(F.lit(seed), F.col(contest), F.col(name)).alias("_base"))
-              .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-              .repartition(n_parts, contest, "_block"))
-    lo = F.lit(first_sim) + F.col("_block") * F.lit(sims_per_block)
-    hi = F.least(lo + F.lit(sims_per_block - 1), F.lit(last_sim))
-    races = with_stream_uniform(blocks.withColumn(sim_col, F.explode(F.sequence(lo, hi))),
-                                "_base", sim_col, "_u") \
-        .withColumn("_key", -F.ln(F.col("_u")) / F.col(weight))
-    w = Window.partitionBy(contest, "_block", sim_col).orderBy("_key", name)
-    return races.withColumn("_draw", F.row_number().over(w)).filter(F.col("_draw") <= k)
-
-
-def sample_podiums(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
-                   seed: int = 0, scale: int = 100, first_sim: int = 1,
-                   sims_per_block: int = 16, sim_col: str = "sim",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Simulated podiums, one row per (sim, contest): ``name_v3, name_v2, name_v1``
-    (for k=3), NULL where a contest had fewer weighted names (D9, N16).
-
-    The rows leave the ranking window sorted by (contest, block, sim), so this
-    grouping streams (sort aggregate) with no exchange.
+    laid = _laid_out(weights, contest, name, "weight", seed)
+    fields = {f.name: f.dataType for f in laid.schema.fields}
+    schema = T.StructType([T.StructField(sim_col, T.LongType()), T.StructField(contest, fields[contest]),
+                           T.StructField(name, fields[name]), T.StructField(votes_col, T.LongType())])
+
+    def emit(t, starts, blocks):
+        for sims, places in blocks:
+            for j, (win, _) in enumerate(places):
+                c, s = np.nonzero(win >= 0)
+                rows = pa.array(win[c, s])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sims[s]), t.column(contest).take(rows).combine_chunks(), t.column(name).take(rows).combine_chunks(),
+                     pa.array(np.full(len(s), k - j, np.int64))], names=[sim_col, contest, name, votes_col])
+    small = laid.filter(F.col("_part") < 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
+    split = _split_places(laid, contest, name, n_sims, k, first_sim)
+    return small.unionByName(split.select(F.col("_sim").alias(sim_col), contest, name,
+                                          (F.lit(k + 1) - F.col("_place")).cast("bigint").alias(votes_col)))
+
+
+def season_totals(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3, seed: int = 0,
+                  scale: int = 100, first_sim: int = 1) -> DataFrame:
+    """(name, sim, total_votes) over all contests: ``sample_votes`` summed, without its rows.
+
+    A task sums the votes of each batch of contests per (name, sim) before anything leaves it.
     """
-    weights = contest_weights(df, contest, name, prob, scale)
-    top = _ranked_draws(weights, contest, name, "weight", n_sims, k, seed, first_sim,
-                        sims_per_block, sim_col, num_partitions)
-    places = [F.max(F.when(F.col("_draw") == i, F.col(name))).alias(f"{name}_v{k + 1 - i}")
-              for i in range(1, k + 1)]
-    return top.groupBy(contest, "_block", sim_col).agg(*places).drop("_block") \
-        .withColumn(sim_col, F.col(sim_col).cast("bigint"))
-
-
-def podiums_to_votes(podiums: DataFrame, contest: str, name: str, k: int = 3,
-                     sim_col: str = "sim", votes_col: str = "votes") -> DataFrame:
-    """Wide podiums to the long vote table ``(sim, contest, name, votes)``."""
-    cols = [f"{name}_v{v}" for v in range(k, 0, -1)]
-    long = podiums.unpivot([sim_col, contest], cols, "_place", name)
-    return long.filter(F.col(name).isNotNull()).select(
-        sim_col, contest, name,
-        F.regexp_extract("_place", r"_v(\d+)$", 1).cast("bigint").alias(votes_col))
-
-
-def sample_votes_batched(df: DataFrame, contest: str, name: str, prob: str, n_sims: int,
-                         batch_sims: int = 1000, **kw) -> DataFrame:
-    """``sample_votes`` in batches of simulations, each written to the shared
-    checkpoint folder; returns the union as one table read back from there."""
-    spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "sims-" + uuid.uuid4().hex)
-    weights = contest_weights(df, contest, name, prob, kw.pop("scale", 100)).checkpoint()
-    first = kw.pop("first_sim", 1)
-    done = 0
-    while done < n_sims:
-        n = min(batch_sims, n_sims - done)
-        part = sample_from_weights(weights, contest, name, "weight", n, first_sim=first + done,
-                                   **kw)
-        part.write.mode("append").parquet(path)
-        done += n
-    return spark.read.parquet(path)
+    laid = _laid_out(contest_weights(df, contest, name, prob, scale), contest, name, "weight", seed)
+    fields = {f.name: f.dataType for f in laid.schema.fields}
+    schema = T.StructType([T.StructField(name, fields[name]), T.StructField("sim", T.LongType()), T.StructField("_v", T.LongType())])
+
+    def emit(t, starts, blocks):
+        code = t.column(name).combine_chunks().dictionary_encode()
+        if isinstance(code, pa.ChunkedArray):
+            code = code.combine_chunks()
+        who, names = code.indices.to_numpy(), code.dictionary
+        for sims, places in blocks:
+            votes = np.zeros((len(names), len(sims)), np.int64)
+            for j, (win, _) in enumerate(places):
+                c, s = np.nonzero(win >= 0)
+                votes += (k - j) * np.bincount(who[win[c, s]] * len(sims) + s, minlength=votes.size).reshape(votes.shape)
+            i, s = np.nonzero(votes)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), pa.array(sims[s]), pa.array(votes[i, s])], names=[name, "sim", "_v"])
+    small = laid.filter(F.col("_part") < 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
+    split = _split_places(laid, contest, name, n_sims, k, first_sim)
+    votes = small.unionByName(split.select(name, F.col("_sim").alias("sim"), (F.lit(k + 1) - F.col("_place")).cast("bigint").alias("_v")))
+    return votes.groupBy(name, "sim").agg(F.sum("_v").cast("bigint").alias("total_votes"))
+
+
+def modal_podiums(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3, seed: int = 0,
+                  scale: int = 100, first_sim: int = 1) -> DataFrame:
+    """Most frequent ordered podium of each contest over the simulations (D11, N26), with its places.
+
+    Columns: contest, ``v<k>`` .. ``v1`` (NULL where fewer names were drawn) and ``combo``, the places joined by
+    `` > ``. Equal counts go to the first text. Only contests with a weighted name appear.
+    """
+    laid = _laid_out(contest_weights(df, contest, name, prob, scale), contest, name, "weight", seed)
+    fields = {f.name: f.dataType for f in laid.schema.fields}
+    cols = [f"v{k - j}" for j in range(k)]
+    schema = T.StructType([T.StructField(contest, fields[contest]), *[T.StructField(c, fields[name]) for c in cols]])
+
+    def emit(t, starts, blocks):
+        size = np.diff(np.append(starts, t.num_rows))
+        base = int(size.max()) + 1
+        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        place = (base ** k) * np.arange(len(starts), dtype=np.int64)[:, None]
+        for _, places in blocks:
+            code = np.zeros(places[0][0].shape, np.int64)
+            for win, _ in places:
+                code = code * base + np.where(win < 0, 0, win - starts[:, None] + 1)
+            found, n = np.unique(code + place, return_counts=True)
+            codes, back = np.unique(np.concatenate([codes, found]), return_inverse=True)
+            counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(codes)).astype(np.int64)
+        owner = codes // base ** k
+        best = np.maximum.reduceat(counts, np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])))
+        names = t.column(name).to_pylist()
+        top: dict[int, tuple] = {}
+        for at in np.flatnonzero(counts == best[owner]).tolist():
+            c, rest, got = int(owner[at]), int(codes[at] % base ** k), []
+            for _ in range(k):
+                rest, i = divmod(rest, base)
+                got.append(names[starts[c] + i - 1] if i else None)
+            got = tuple(reversed(got))
+            text = " > ".join(str(x) for x in got if x is not None).encode()
+            if c not in top or text < top[c][0]:
+                top[c] = (text, got)
+        order = sorted(top)
+        yield pa.RecordBatch.from_arrays(
+            [t.column(contest).take(pa.array(starts[order])).combine_chunks(),
+             *[pa.array([top[c][1][j] for c in order], t.schema.field(name).type) for j in range(k)]], names=[contest, *cols])
+    small = laid.filter(F.col("_part") < 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
+    split = _split_places(laid, contest, name, n_sims, k, first_sim)
+    podium = split.groupBy(contest, "_sim").agg(*[F.max(F.when(F.col("_place") == j + 1, F.col(name))).alias(c) for j, c in enumerate(cols)])
+    text = F.concat_ws(" > ", *cols)
+    counted = podium.groupBy(contest, *cols).agg(F.count(F.lit(1)).alias("_n"))
+    first = Window.partitionBy(contest).orderBy(F.desc("_n"), text)
+    hot = counted.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(contest, *cols)
+    return small.unionByName(hot).withColumn("combo", text)

@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from ..operators.calibrate import apply_curves
 from ..operators.report import report_board, report_contenders, report_teams, team_counts
-from ..operators.sampling import podiums_to_votes, sample_podiums, sample_votes
-from ..operators.summary import (modal_podium_wide, podium_long, round_leaderboard,
-                                 sim_summary, team_top_k, top_names)
-from ..session import cut_lineage
+from ..operators.sampling import modal_podiums, sample_votes, season_totals
+from ..operators.summary import (podium_long, round_leaderboard, split_podium, summarise_totals,
+                                 team_top_k, top_names)
 from ..schema import SIMS_BACKTEST, TOP_BOARD, TOP_PER_TEAM
 from ..sources.standin import SEED, STANDIN_CURVES, scored
 from .base_sql import BASE, weight_sql
-from .registry import hash32_sql, register, stream_uniform_sql
+from .registry import hash32_sql, races_sql, register
 
 SIMS = SIMS_BACKTEST
 
@@ -28,36 +27,23 @@ def season_rows(spark, d):
     return apply_curves(scored(spark, d, regular_only=True), "score", STANDIN_CURVES, ["v3"])
 
 
-def season_rows_written(spark, d):
-    """The season rows a multi-step query reads several times (sampler input,
-    round lookup, who played where, players), written once to the shared
-    checkpoint folder instead of re-running the joins for each use."""
-    cols = ["contest_id", "name", "stage", "v3_prob", "entity_id", "club", "team"]
-    return cut_lineage(season_rows(spark, d).select(*cols), "season-rows")
+_DRAW = ("contest_id", "name", "v3_prob", SIMS, 3, SEED)
+ROUNDS = ["1", "2", "3", "4", "5"]     # the regular stages
 
 
-def season_podiums(spark, d, n_sims: int = SIMS, rows=None):
-    """One simulated podium per (sim, contest)."""
-    rows = season_rows(spark, d) if rows is None else rows
-    return sample_podiums(rows, "contest_id", "name", "v3_prob", n_sims, k=3, seed=SEED)
-
-
-def season_samples(spark, d, n_sims: int = SIMS):
+def season_samples(spark, d):
     """The long vote table ``(sim, contest_id, name, votes)``."""
-    return sample_votes(season_rows(spark, d), "contest_id", "name", "v3_prob", n_sims, k=3,
-                        seed=SEED)
+    return sample_votes(season_rows(spark, d), *_DRAW)
 
 
-def season_summary(spark, d, denominator: str = "appearances"):
-    return sim_summary(season_samples(spark, d), SIMS, denominator)
+def season_summary(spark, d, denominator: str = "appearances", rows=None):
+    rows = season_rows(spark, d) if rows is None else rows
+    return summarise_totals(season_totals(rows, *_DRAW), SIMS, denominator)
 
 
-def season_outputs(spark, d, rows):
-    """Podiums written once to the shared checkpoint folder, then the summary
-    and the modal podium both read that table (the simulation runs once)."""
-    pods = cut_lineage(season_podiums(spark, d, rows=rows), "season-podiums")
-    summary = sim_summary(podiums_to_votes(pods, "contest_id", "name"), SIMS)
-    return summary, modal_podium_wide(pods)
+def season_podium(spark, d, rows=None):
+    """The most frequent podium of each contest, with its places."""
+    return modal_podiums(season_rows(spark, d) if rows is None else rows, *_DRAW)
 
 
 def _round6(df, cols=("p05", "mdn_votes", "p95")):
@@ -85,10 +71,8 @@ samples as (
   select sim, contest_id, name, cast(4 - rn_ as bigint) as votes from (
     select sim, contest_id, name,
            row_number() over (partition by contest_id, sim order by key_, name) rn_
-    from (select s.sim, w.contest_id, w.name,
-                 -ln({stream_uniform_sql('w.base_', 's.sim')}) / w.weight as key_
-          from (select *, {hash32_sql(str(SEED), 'contest_id', 'name')} as base_ from weights) w
-          cross join (select range::bigint as sim from range(1, {SIMS + 1})) s))
+    from ({races_sql(f"""(select *, {hash32_sql(str(SEED), 'contest_id', 'name')} as a_,
+                          {hash32_sql(str(SEED), 'contest_id', 'name', word=1)} as b_ from weights)""", SIMS)}))
   where rn_ <= 3
 ),
 totals as (
@@ -206,12 +190,13 @@ def sim_summary_all_sims(spark, d):
 
 @register("likely_podium", SEASON + "select contest_id, combo321 from podium")
 def likely_podium(spark, d):
-    return modal_podium_wide(season_podiums(spark, d))
+    return season_podium(spark, d).select("contest_id", F.col("combo").alias("combo321"))
 
 
 @register("podium_split_long", SEASON + "select contest_id, votes, name from podium_long")
 def podium_split_long(spark, d):
-    return podium_long(modal_podium_wide(season_podiums(spark, d)), ["contest_id"])
+    text = season_podium(spark, d).select("contest_id", F.col("combo").alias("combo321"))
+    return podium_long(split_podium(text), ["contest_id"])
 
 
 @register("top_names", SEASON + "select name from top20")
@@ -220,9 +205,9 @@ def top_names_q(spark, d):
 
 
 def _board(spark, d):
-    rows = season_rows_written(spark, d)
-    summary, podium = season_outputs(spark, d, rows)
-    return round_leaderboard(summary, podium, rows, "contest_id", "stage", "name", TOP_BOARD)
+    rows = season_rows(spark, d)
+    return round_leaderboard(season_summary(spark, d, rows=rows), season_podium(spark, d, rows), rows,
+                             "contest_id", "stage", "name", TOP_BOARD, rounds=ROUNDS)
 
 
 @register("round_leaderboard", SEASON + "select * from board")
@@ -236,10 +221,8 @@ def _players(rows, team_col):
 
 
 def _team_table(spark, d, team_col, round_first=False):
-    """Summary and the player list both come from one written copy of the rows."""
-    rows = season_rows_written(spark, d)
-    summary = sim_summary(sample_votes(rows, "contest_id", "name", "v3_prob", SIMS, k=3,
-                                       seed=SEED), SIMS)
+    rows = season_rows(spark, d)
+    summary = season_summary(spark, d, rows=rows)
     if round_first:
         summary = _round6(summary)
     return team_top_k(summary, _players(rows, team_col), k=TOP_PER_TEAM)

@@ -7,9 +7,9 @@ from medalcast.functions.expr import clamp_curve, copies_weight, right_closed_bi
 from medalcast.operators.awards import award_votes, vote_accuracy
 from medalcast.operators.features import group_shares, recode_position, signed_margin
 from medalcast.operators.modeling import pool_rare_levels
-from medalcast.operators.sampling import podiums_to_votes, sample_podiums, sample_votes
-from medalcast.operators.summary import (modal_podium, podium_text, round_leaderboard,
-                                         sim_summary, team_top_k)
+from medalcast.operators.sampling import modal_podiums, sample_votes, season_totals
+from medalcast.operators.summary import (round_leaderboard, sim_summary, sim_totals, split_podium,
+                                         team_top_k)
 from medalcast.sources.registry import resolve_versions
 
 
@@ -119,19 +119,12 @@ def test_board(spark):
                                    "contest_id long, combo321 string")
     played = spark.createDataFrame([(10, "1", "a"), (10, "1", "b"), (11, "2", "a")],
                                    "contest_id long, stage string, name string")
-    board = {r.name: r for r in round_leaderboard(summary, podium, played).collect()}
+    board = {r.name: r for r in round_leaderboard(summary, split_podium(podium), played).collect()}
     assert (board["a"].R1, board["a"].R2) == ("3", "0")
     assert (board["b"].R1, board["b"].R2) == ("0", "-")
     assert board["a"].Total == 3.0
 
 
-def test_modal_podium(spark):
-    combos = spark.createDataFrame(
-        [(1, s, c) for s, c in enumerate(["a > b > c", "a > b > c", "b > a > c", "b > a > c",
-                                          "a > c > b"])], "contest_id long, sim long, combo321 string")
-    assert rows(modal_podium(combos), "combo321") == [("a > b > c",)]
-
-
 def test_accuracy_scopes(spark):
     awarded = spark.createDataFrame([("s", 3, 3), ("s", 2, 0), ("s", 1, 1)],
                                     "season string, votes long, true_votes long")
@@ -170,13 +163,11 @@ def test_team_fanout(spark):
 
 
 def test_short_podium(spark):
-    df = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.3), (1, "c", 0.0)],
+    df = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.3), (1, "c", 0.0), (2, "only", 0.2), (3, "none", 0.0)],
                                "c long, name string, p double")
-    pods = sample_podiums(df, "c", "name", "p", 50, seed=1)
-    assert pods.filter(F.col("name_v1").isNotNull()).count() == 0
-    assert pods.filter(F.col("name_v3").isNull() | F.col("name_v2").isNull()).count() == 0
-    texts = {r[0] for r in podium_text(pods, "c").select("combo321").collect()}
-    assert texts <= {"a > b", "b > a"}
+    got = {r.c: (r.v3, r.v2, r.v1, r.combo) for r in modal_podiums(df, "c", "name", "p", 50, seed=1).collect()}
+    assert got[1][2] is None and got[1][3] in ("a > b", "b > a")
+    assert got[2] == ("only", None, None, "only") and 3 not in got
 
 
 def test_same_name_twice(spark):
@@ -193,20 +184,62 @@ def test_same_name_twice(spark):
     assert 0.75 < share_a < 0.95
 
 
-def test_modal_podium_wide_matches_text_form(spark):
-    from medalcast.operators.summary import modal_podium_wide
-    df = spark.createDataFrame([(c, f"n{i}", 0.05 * (i + 1)) for c in range(6)
-                                for i in range(c % 5 + 1)], "c long, name string, p double")
-    pods = sample_podiums(df, "c", "name", "p", 60, seed=8)
-    a = rows(modal_podium(podium_text(pods, "c"), "c"), "c", "combo321")
-    b = rows(modal_podium_wide(pods, "c"), "c", "combo321")
-    assert sorted(a) == sorted(b)
-
-
-def test_podiums_and_long_votes_agree(spark):
-    df = spark.createDataFrame([(c, f"n{i}", 0.1 * (i + 1)) for c in range(5) for i in range(4)],
-                               "c long, name string, p double")
-    a = sample_votes(df, "c", "name", "p", 30, seed=5)
-    b = podiums_to_votes(sample_podiums(df, "c", "name", "p", 30, seed=5), "c", "name")
-    assert sorted(rows(a, "sim", "c", "name", "votes")) == sorted(rows(b, "sim", "c", "name",
-                                                                        "votes"))
+def _by_hand(votes, k=3):
+    """(totals, modal podium per contest) from collected vote rows."""
+    from collections import Counter, defaultdict
+    totals, podium = Counter(), defaultdict(dict)
+    for r in votes:
+        totals[r.name, r.sim] += r.votes
+        podium[r.c, r.sim][r.votes] = r.name
+    texts = defaultdict(Counter)
+    for (c, _), places in podium.items():
+        texts[c][" > ".join(places[v] for v in range(k, 0, -1) if v in places)] += 1
+    return totals, {c: min(t, key=lambda x: (-t[x], x)) for c, t in texts.items()}
+
+
+def _crowd(spark, hot=300):
+    """Small contests and one hot contest that holds most names."""
+    rows_ = [(c, f"n{i}", 0.05 * (i + 1)) for c in range(12) for i in range(c % 5 + 1)]
+    rows_ += [(99, f"h{i:03d}", 0.01 * (1 + i % 7)) for i in range(hot)]
+    return spark.createDataFrame(rows_, "c long, name string, p double")
+
+
+def test_outputs_agree_and_a_split_contest_changes_nothing(spark, monkeypatch):
+    from medalcast.operators import sampling
+    df = _crowd(spark)
+    votes = sample_votes(df, "c", "name", "p", 300, seed=8)
+    whole = sorted(rows(votes, "sim", "c", "name", "votes"))
+    monkeypatch.setattr(sampling, "CHUNK", 40)          # the hot contest is split by name
+    monkeypatch.setattr(sampling, "SIM_BLOCK", 70)
+    for _ in range(2):
+        assert sorted(rows(sample_votes(df, "c", "name", "p", 300, seed=8), "sim", "c", "name", "votes")) == whole
+        totals, modal = _by_hand(votes.collect())
+        got = {(r.name, r.sim): r.total_votes for r in season_totals(df, "c", "name", "p", 300, seed=8).collect()}
+        assert got == dict(totals) == {(r.name, r.sim): r.total_votes for r in sim_totals(votes).collect()}
+        assert {r.c: r.combo for r in modal_podiums(df, "c", "name", "p", 300, seed=8).collect()} == modal
+        monkeypatch.setattr(sampling, "CHUNK", 1)       # every contest of two names or more is split
+    assert season_totals(df.limit(0), "c", "name", "p", 5).count() == 0
+
+
+def test_streams_of_names_are_independent():
+    """Streams that share one state word, or are one step apart, aren't correlated."""
+    import numpy as np
+    from medalcast.operators.sampling import stream_uniforms
+    sims = np.arange(1, 20001)
+    step = (77 + 0x9E3779B9) & 0xFFFFFFFF
+    u = stream_uniforms(np.array([77, 77, step, 78]), np.array([5, 6, 6, 5]), sims)
+    assert u.min() > 0 and u.max() < 1
+    c = np.corrcoef(u)
+    assert np.abs(c - np.eye(4)).max() < 0.03
+    lag = np.corrcoef(u[0, 1:], u[2, :-1])[0, 1]       # the shifted stream of another name
+    assert abs(lag) < 0.03 and abs(u.mean() - 0.5) < 0.01
+
+
+def test_missing_scores_get_no_award(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 1, nan), (1, 2, 0.5), (1, 3, None), (1, 4, 0.1), (2, 1, None), (3, 1, nan), (3, 2, -1.0)],
+                               "c long, i long, s double")
+    got = sorted(rows(award_votes(df, "c", "s", ["c", "i"]), "c", "i", "votes"))
+    assert got == [(1, 2, 2), (1, 4, 1), (3, 2, 1)]
+    x = spark.createDataFrame([(nan,), (None,), (9.0,)], "x double")
+    assert [r[0] for r in x.select(clamp_curve("x", [0.1, 0.2], 3.5, 0.975)).collect()] == [None, None, 0.975]

@@ -13,7 +13,7 @@ from medalcast.operators.features import group_shares
 from medalcast.operators.modeling import (gbt_pipeline, kfold_assign, load_model,
                                           near_zero_variance, save_model, stratified_split)
 from medalcast.operators.rows import dense_row_id
-from medalcast.operators.sampling import sample_votes, sample_votes_batched
+from medalcast.operators.sampling import sample_votes
 from medalcast.operators.summary import sim_summary
 
 
@@ -46,20 +46,18 @@ def test_sampling_properties(contests):
                                        F.count_distinct("name").alias("d"),
                                        F.count_distinct("votes").alias("dv"))
     assert per.filter("n != d or n != dv or n > 3").count() == 0
-    again = sample_votes(contests.repartition(7), "c", "name", "p", 40, seed=9,
-                         sims_per_block=7, num_partitions=5)
+    again = sample_votes(contests.repartition(7), "c", "name", "p", 40, seed=9)
     cols = ["sim", "c", "name", "votes"]
     assert sorted(map(tuple, votes.select(cols).collect())) == \
         sorted(map(tuple, again.select(cols).collect()))
 
 
 def test_batched_equals_single(contests):
-    one = sample_votes(contests, "c", "name", "p", 25, seed=4, sims_per_block=8)
-    batched = sample_votes_batched(contests, "c", "name", "p", 25, batch_sims=10, seed=4,
-                                   sims_per_block=8)
+    one = sample_votes(contests, "c", "name", "p", 25, seed=4)
+    parts = [sample_votes(contests, "c", "name", "p", n, seed=4, first_sim=first) for first, n in ((1, 10), (11, 10), (21, 5))]
     cols = ["sim", "c", "name", "votes"]
     assert sorted(map(tuple, one.select(cols).collect())) == \
-        sorted(map(tuple, batched.select(cols).collect()))
+        sorted(tuple(r) for part in parts for r in part.select(cols).collect())
 
 
 def test_summary_order(contests):
@@ -72,7 +70,7 @@ def test_first_place_law(spark):
     df = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.3), (1, "c", 0.1)],
                                "c long, name string, p double")
     n = 20000
-    votes = sample_votes(df, "c", "name", "p", n, seed=2024, sims_per_block=1000)
+    votes = sample_votes(df, "c", "name", "p", n, seed=2024)
     first = dict(map(tuple, votes.filter("votes = 3").groupBy("name").count().collect()))
     for k, w in (("a", 0.6), ("b", 0.3), ("c", 0.1)):
         se = math.sqrt(w * (1 - w) / n)
