@@ -42,11 +42,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, model_path: str =
         while name in docs.columns:
             name += "_"
         return name
-    ids, text = fresh("pieces"), fresh("decoded")
-    model = pieces.read_model(model_path)
-    out = pieces.decode(pieces.encode(docs, model, out_col=ids), model, pieces_col=ids, out_col=text)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], ids, F.size(ids).alias(fresh("n_pieces")),
-                      F.col(text).eqNullSafe(F.col("text")).alias(fresh("lossless")))
+    ids, same = fresh("pieces"), fresh("lossless")
+    out = pieces.encode(docs, pieces.read_model(model_path), out_col=ids, check_col=same)
+    return out.withColumn(fresh("n_pieces"), F.size(F.col(ids)))
 
 
 STAGES = [("quality_rules", rules), ("line_dedup", lines), ("near_dedup", near), ("decontamination", benchmark), ("sentencepiece", tokens)]

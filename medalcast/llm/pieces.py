@@ -41,10 +41,10 @@ from .textvec import U, mix
 
 WIDE = 32
 NONE = np.int32(2**31 - 1)
-SLICE = 1 << 20
+SLICE = 1 << 18        # bytes of text worked on at once
 VARIANTS = 4
 SHORT = 15             # bytes of a word that can be remembered
-REMEMBER = 1_000_000   # (word, variant) entries a worker keeps, about 50 bytes each
+REMEMBER = 700_000     # (word, variant) entries a worker keeps, about 50 bytes each
 DENSE = 0x400          # pairs of code points below it are looked up in a square table
 
 
@@ -353,8 +353,8 @@ class Encoder:
         self.slots = np.full(1 << bits, -1, np.int32)
         self.words = np.zeros((REMEMBER, 2), U)
         self.at = np.zeros(REMEMBER + 1, np.int64)
-        self.ids = np.zeros(0, np.int32)
-        self.n = 0
+        self.ids = np.zeros(1 << 16, np.int32)     # remembered pieces, then those of the rows at work
+        self.n = self.kept = self.used = 0
 
     def _find(self, word: np.ndarray, h: np.ndarray) -> np.ndarray:
         """Entry of each (two-number) word, or -1."""
@@ -370,14 +370,26 @@ class Encoder:
             todo, slot = todo[go], slot[go]
         return got
 
-    def _keep(self, word: np.ndarray, h: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
-        m = min(len(word), REMEMBER - self.n)
+    def _put(self, ids: np.ndarray) -> int:
+        """Where ``ids`` now lie behind those in use."""
+        at = self.used
+        if at + len(ids) > len(self.ids):
+            more = np.zeros(max(2 * len(self.ids), at + len(ids)), np.int32)
+            more[:at] = self.ids[:at]
+            self.ids = more
+        self.ids[at:at + len(ids)] = ids
+        self.used = at + len(ids)
+        return at
+
+    def _keep(self, word: np.ndarray, h: np.ndarray, counts: np.ndarray) -> None:
+        """Remember these words' pieces, the first ones behind those kept so far, as far as there is room."""
+        m = min(len(word), len(self.words) - self.n)
         if m <= 0:
             return
         word, h, counts = word[:m], h[:m], counts[:m]
         self.words[self.n:self.n + m] = word
         self.at[self.n + 1:self.n + m + 1] = self.at[self.n] + np.cumsum(counts)
-        self.ids = np.concatenate([self.ids, ids[:int(counts.sum())]])
+        self.kept += int(counts.sum())
         entry = np.arange(self.n, self.n + m, dtype=np.int32)
         slot = (h >> self.shift).astype(np.int64)
         while len(entry):
@@ -423,22 +435,17 @@ class Encoder:
         if len(literal):
             short[np.searchsorted(begin, literal, side="right") - 1] = False
         at, counts = np.empty(len(begin), np.int64), np.empty(len(begin), np.int64)
+        self.used = self.kept
         pick = np.flatnonzero(short)
-        extra = []
         if len(pick):
-            e, more = self._short(buf, begin[pick], length[pick], key[pick])
-            at[pick], counts[pick] = e
-            extra.append(more)
-        grown = len(self.ids) + sum(map(len, extra))
+            at[pick], counts[pick] = self._short(buf, begin[pick], length[pick], key[pick])
         pick = np.flatnonzero(~short)
         if len(pick):
             ids, c = self._chunks(buf, begin[pick], length[pick], key[pick])
             counts[pick] = c
-            at[pick] = grown + np.cumsum(c) - c
-            extra.append(ids)
-        flat = np.concatenate([self.ids, *extra]) if sum(map(len, extra)) else self.ids
+            at[pick] = self._put(ids) + np.cumsum(c) - c
         total = np.concatenate([[0], np.cumsum(counts)])
-        ids = flat[np.arange(int(total[-1])) + np.repeat(at - total[:-1], counts)]
+        ids = self.ids[np.arange(int(total[-1])) + np.repeat(at - total[:-1], counts)]
         per_row = np.bincount(row, weights=counts, minlength=n).astype(np.int64)
         return ids, per_row
 
@@ -448,7 +455,7 @@ class Encoder:
         return encode_rows(self.v, data, ends, key, self.dropout, pad_empty=True)
 
     def _short(self, buf, begin, length, key):
-        """((start, count) of each word's pieces in the remembered ids and the new ones behind them, new ones not kept)."""
+        """(start, count) of each word's pieces in ``ids``."""
         cells = begin[:, None] + np.arange(SHORT)[None, :]
         data = np.zeros((len(begin), SHORT + 1), np.uint8)
         data[:, :SHORT] = buf[np.minimum(cells, len(buf) - 1)]
@@ -459,7 +466,6 @@ class Encoder:
         h = mix(word[:, 0] ^ mix(word[:, 1] ^ self.salt))
         got = self._find(word, h)
         new = np.flatnonzero(got < 0)
-        more = np.zeros(0, np.int32)
         start, count = np.empty(len(begin), np.int64), np.empty(len(begin), np.int64)
         if len(new):
             order = np.argsort(h[new], kind="stable")
@@ -470,16 +476,15 @@ class Encoder:
             back[order] = np.cumsum(head) - 1
             one = new[order[head]]
             ids, c = self._chunks(buf, begin[one], length[one], h[one])
-            before = len(self.ids)
-            self._keep(word[one], h[one], ids, c)
-            more = ids[len(self.ids) - before:]
-            start[new], count[new] = (before + np.cumsum(c) - c)[back], c[back]
+            at = self._put(ids)
+            self._keep(word[one], h[one], c)
+            start[new], count[new] = (at + np.cumsum(c) - c)[back], c[back]
         old = np.flatnonzero(got >= 0)
         start[old], count[old] = self.at[got[old]], self.at[got[old] + 1] - self.at[got[old]]
-        return (start, count), more
+        return start, count
 
 
-def decode_rows(v: Vocabulary, ids: np.ndarray, counts: np.ndarray):
+def decode_rows(v, ids: np.ndarray, counts: np.ndarray):
     """(bytes, offsets) of the texts of rows of pieces; the space put in front is taken off."""
     size = np.diff(v.bytes_at)[ids]
     first = np.concatenate([[0], np.cumsum(size)])
@@ -524,16 +529,19 @@ def _valid(buf: np.ndarray) -> bool:
 
 
 def encode(docs: DataFrame, model: bytes, text_col: str = "text", key_col: str = "doc_id", out_col: str = "pieces",
-           seed: int = 17, dropout: float = 0.1) -> DataFrame:
+           seed: int = 17, dropout: float = 0.1, check_col: str | None = None) -> DataFrame:
     """``docs`` with an array of piece ids; ``key_col`` (a long, null as 0) makes the draws of each row its own.
 
+    ``check_col``, if given, tells whether the pieces, decoded again in the same task, are the text.
     ``model`` (the bytes of a model file, about 0.5 MB) is broadcast.
     """
     if not 0 <= dropout <= 1:
         raise ValueError("dropout is a probability")
     held = docs.sparkSession.sparkContext.broadcast(model)
     t, k = docs.columns.index(text_col), docs.columns.index(key_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    added = [T.StructField(out_col, T.ArrayType(T.IntegerType()))] + [T.StructField(check_col, T.BooleanType())] * bool(check_col)
+    schema = T.StructType([*docs.schema.fields, *added])
+    names = [f.name for f in schema.fields]
 
     def run(batches):
         enc = _encoder(held.value, seed, dropout)
@@ -546,11 +554,20 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", key_col: str =
                 part, at = buf[off[i]:off[j]], off[i:j + 1] - off[i]
                 ids, counts = (enc.rows if _valid(part) else partial(_by_row, enc))(part, at, key[i:j])
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                got = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids), mask=pa.array(null[i:j]))
-                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, got], names=[*b.schema.names, out_col])
+                cols = [pa.ListArray.from_arrays(pa.array(ends), pa.array(ids), mask=pa.array(null[i:j]))]
+                if check_col:
+                    cols.append(pa.array(_same(*decode_rows(enc.v, ids, counts), part, at)))
+                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, *cols], names=names)
     return docs.mapInArrow(run, schema)
 
 
+def _same(data, off, want, want_off) -> np.ndarray:
+    """Whether each row's bytes are the wanted ones."""
+    if len(data) == len(want) and (off == want_off).all() and (data == want).all():
+        return np.ones(len(off) - 1, bool)
+    return np.array([np.array_equal(data[off[i]:off[i + 1]], want[want_off[i]:want_off[i + 1]]) for i in range(len(off) - 1)])
+
+
 def _by_row(enc: Encoder, buf, off, key):
     """Rows one by one; a row of invalid UTF-8 is all bytes, behind the space in front."""
     ids, counts = [], []
@@ -565,6 +582,11 @@ def _by_row(enc: Encoder, buf, off, key):
     return np.concatenate(ids), np.array(counts, np.int64)
 
 
+def _text(v, ids, counts, validity=None) -> pa.Array:
+    data, off = decode_rows(v, ids, counts)
+    return pa.StringArray.from_buffers(len(counts), pa.py_buffer(off.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)), validity)
+
+
 def decode(encoded: DataFrame, model: bytes, pieces_col: str = "pieces", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of each row's pieces. Unknown ids raise; null pieces give null."""
     held = encoded.sparkSession.sparkContext.broadcast(model)
@@ -579,10 +601,7 @@ def decode(encoded: DataFrame, model: bytes, pieces_col: str = "pieces", out_col
             ids = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             at = np.concatenate([[0], np.cumsum(counts)])
             for i, j in tv.slices(at, SLICE // 4):
-                data, off = decode_rows(v, ids[at[i]:at[j]], counts[i:j])
-                text = pa.StringArray.from_buffers(
-                    j - i, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)),
-                    _validity(col.slice(i, j - i)))
+                text = _text(v, ids[at[i]:at[j]], counts[i:j], _validity(col.slice(i, j - i)))
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, text], names=[*b.schema.names, out_col])
     return encoded.mapInArrow(run, schema)
 

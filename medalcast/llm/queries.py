@@ -30,9 +30,8 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document under seeded merge-dropout, decoded again and compared with the text."""
     model = pieces.read_model(corpus_pipeline.MODEL_PATH)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = pieces.decode(pieces.encode(docs, model), model)
-    return out.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"),
-                      F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    out = pieces.encode(docs, model, check_col="lossless")
+    return out.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), "lossless")
 
 
 @_query("op2_line_dedup")
