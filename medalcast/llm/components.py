@@ -34,6 +34,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one link and is no smaller end."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("high")).unionByName(edges.select(F.col("b").alias("n"), F.lit(0).alias("high")))
+    return ends.groupBy("n").agg(F.sum("high").alias("h"), F.min("high").alias("l")).filter("h > 1 or (h = 1 and l = 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b) links of longs -> (node, component) with the smallest node of each component.
 
@@ -43,20 +49,9 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     e = edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     e = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = scratch.write(e, "links")
-
-    def mark(df):
-        r = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        return tuple(r)
-
-    before = mark(e)
-    while before[0]:
-        mid = scratch.write(_star(e, large=True), "large")
-        nxt = scratch.write(_star(mid, large=False), "small")
+    while not _stars(e):
+        nxt = scratch.write(_star(_star(e, large=True), large=False), "stars")
         scratch.drop(e)
-        scratch.drop(mid)
-        e, after = nxt, mark(nxt)
-        if after == before:
-            break
-        before = after
+        e = nxt
     nodes = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

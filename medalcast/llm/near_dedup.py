@@ -12,10 +12,10 @@ Method
 3. The joint likelihood of the two sketches drops a pair only if the best
    similarity at or above the threshold is e^-``LEAD`` times less likely than
    the most likely one. The rest is verified on full shingle sets.
-4. Verified links give components. Large buckets that still hold several
-   components give further pairs between components, with 4, 16, 64, ... nodes
-   of each until all nodes were taken: no link between candidates is lost,
-   only links inside one component are left out.
+4. Verified links give components. For large buckets that still hold several,
+   an exact prefix filter over their nodes' shingles gives every pair of
+   different components that can reach the similarity; these are verified too.
+   No link between components is lost; only links inside one are left out.
 
 With 32 bands of 8 rows a pair at similarity 0.85 is a candidate with
 probability 1 - (1 - 0.85^8)^32 > 0.9999, with 36 bands of 7 (``band_rows``) one
@@ -150,26 +150,32 @@ def _ordered(pairs: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def _cross_pairs(big: DataFrame, comp: DataFrame, take: int, scratch: Scratch):
-    """Pairs between different components of one bucket, ``take`` nodes of each; and how many nodes were left out.
+def _cross_pairs(big: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Pairs of different components, among nodes of large buckets that hold several, that can reach the similarity.
 
-    None if every bucket holds one component.
+    Exact prefix filter (Bayardo et al., 2007; Xiao et al., 2008): with shingles ordered from rare to frequent, two
+    sets that reach it share one of each one's first ``n - ceil(t n) + 1``, at positions that leave enough behind.
     """
     lab = scratch.write(big.join(comp.withColumnRenamed("node", "id"), "id", "left")
                         .select("key", "id", F.coalesce("component", "id").alias("c")), "labelled")
     mixed = lab.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
-    # the chance order of a (key, component) is cut into slots, so the nodes taken need no sort of a whole bucket
-    size = lab.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    pick = (lab.join(mixed, "key", "left_semi").join(size, ["key", "c"])
-            .withColumn("slot", F.pmod(F.xxhash64("id", "key", F.lit(take)), F.greatest(F.lit(1), F.ceil(F.col("n") / take)))))
-    taken = scratch.write(pick.filter("slot = 0").select("key", "id", "c"), "taken")
-    left = pick.filter("slot > 0").count()
-    if taken.isEmpty() and not left:
-        return None, 0
-    pairs = (taken.select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
-             .join(taken.select("key", F.col("id").alias("b"), F.col("c").alias("cb")), "key")
-             .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b"))
-    return _ordered(pairs), left
+    rest = scratch.write(lab.join(mixed, "key", "left_semi").select("id", "c").distinct(), "rest")
+    tok = sets.join(rest, "id").select("id", F.explode("s").alias("x"))
+    df = tok.groupBy("x").agg(F.count(F.lit(1)).alias("df"))
+    ranked = tok.join(df, "x").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("r"))   # one document's
+    n = F.size("r")
+    prefix = F.slice("r", F.lit(1), (n - F.floor((n * num + (den - 1)) / den) + 1).cast("int"))
+    first = scratch.write(ranked.join(rest, "id").select("id", "c", n.alias("n"), F.posexplode(prefix).alias("at", "t"))
+                          .filter("t.df > 1").select("id", "c", "n", "at", F.col("t.x").alias("x")), "prefixes")
+    # per shingle, the component that has most of its sets only meets the others
+    main = (first.groupBy("x", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("x")
+            .agg(F.max(F.struct("k", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).filter("cs > 1").select("x", "top"))
+    some = first.join(main, "x").filter("c <> top")
+    a, b = some.alias("a"), first.alias("b")
+    shared = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    need = F.floor(((F.col("a.n") + F.col("b.n")) * num + (num + den - 1)) / (num + den))     # whole numbers, rounded up
+    fits = ((F.col("a.c") != F.col("b.c")) & (F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num) & (shared >= need))
+    return _ordered(a.join(b, (F.col("a.x") == F.col("b.x")) & fits).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -202,20 +208,17 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     edges = scratch.write(links(_first_pairs(members)), "edges")
     comp = scratch.write(connected_components(edges, scratch), "components")
-    big = members.filter(F.col("g") > SMALL)
-    take = 4
-    while True:
-        pairs, left = _cross_pairs(big, comp, take, scratch)
-        if pairs is None:
-            break
-        more = scratch.write(edges.unionByName(links(pairs.join(edges, ["a", "b"], "left_anti"))), "edges")
-        grown = more.count() > edges.count()
-        edges = more
-        if grown:
-            comp = scratch.write(connected_components(edges, scratch), "components")
-        if not left:   # every pair between components of a bucket was tried
-            break
-        take *= 4
+    # links between components: their components are those of a graph of components
+    more = scratch.write(links(_cross_pairs(members.filter(F.col("g") > SMALL), comp, sets, num, den, scratch)), "cross-edges")
+    if not more.isEmpty():
+        lone = comp.select(F.col("node").alias("n"), F.col("component").alias("c"))
+        ends = (more.join(lone.toDF("a", "ca"), "a", "left").join(lone.toDF("b", "cb"), "b", "left")
+                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        over = scratch.write(connected_components(ends, scratch), "components-of-components").toDF("component", "whole")
+        nodes_all = comp.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                                     .join(comp.select("node"), "node", "left_anti").withColumn("component", F.col("node")))
+        comp = nodes_all.join(over, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+        edges = edges.unionByName(more)
     both = edges.select("a").unionByName(edges.select(F.col("b").alias("a")))
     degree = both.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
     label = (reps.join(comp, F.col("rep") == F.col("node"), "left").drop("node")
