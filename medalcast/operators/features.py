@@ -14,7 +14,7 @@ form is kept as an option for inputs already clustered on the keys.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql.window import WindowSpec
@@ -68,9 +68,38 @@ def group_shares(df: DataFrame, keys: Sequence[str], stat_cols: Sequence[str],
 
 def team_and_match_shares(df: DataFrame, contest: str, team: str, stat_cols: Sequence[str],
                           null_policy: str = "propagate", method: str = "join") -> DataFrame:
-    """Both groupings of the cleaning step: per (contest, team) and per contest."""
-    out = group_shares(df, [contest, team], stat_cols, "team_", "team_pct_", null_policy, method)
-    return group_shares(out, [contest], stat_cols, "match_", "match_pct_", null_policy, method)
+    """Both groupings of the cleaning step: per (contest, team) and per contest.
+
+    The join form sums the rows once, per (contest, team); contest totals are
+    sums of those, and the two small tables meet before one join to the rows.
+    """
+    if method == "window":
+        out = group_shares(df, [contest, team], stat_cols, "team_", "team_pct_", null_policy, method)
+        return group_shares(out, [contest], stat_cols, "match_", "match_pct_", null_policy, method)
+    if method != "join":
+        raise ValueError(f"method must be 'join' or 'window', not {method!r}")
+    sums = df.groupBy(contest, team).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in stat_cols],
+        *[F.count(c).alias(f"_k_{c}") for c in stat_cols])
+
+    def kept(c: str) -> Column:
+        if null_policy == "skip":
+            return F.col(f"_s_{c}")
+        if null_policy == "propagate":     # one missing value makes the total missing (N1)
+            return F.when(F.col(f"_k_{c}") == F.col("_n"), F.col(f"_s_{c}"))
+        raise ValueError(f"null_policy must be 'propagate' or 'skip', not {null_policy!r}")
+
+    whole = sums.groupBy(contest).agg(F.sum("_n").alias("_n"), *[
+        F.sum(f"{p}{c}").alias(f"{p}{c}") for c in stat_cols for p in ("_s_", "_k_")])
+    whole = whole.select(F.col(contest).alias("_c"), *[kept(c).alias("match_" + c) for c in stat_cols])
+    team_tot = sums.select(F.col(contest).alias("_tc"), F.col(team).alias("_tt"),
+                           *[kept(c).alias("team_" + c) for c in stat_cols])
+    totals = team_tot.join(whole, F.col("_tc").eqNullSafe(F.col("_c"))).drop("_c")
+    out = df.join(totals, df[contest].eqNullSafe(F.col("_tc")) & df[team].eqNullSafe(F.col("_tt")), "left")
+    out = out.drop("_tc", "_tt").withColumns(
+        {f"{p}_pct_{c}": safe_ratio(c, f"{p}_{c}") for p in ("team", "match") for c in stat_cols})
+    order = [f"{p}_{x}{c}" for p in ("team", "match") for x in ("", "pct_") for c in stat_cols]
+    return out.select(*df.columns, *order)
 
 
 def signed_margin(winner: str | Column, team: str | Column, margin: str | Column) -> Column:
@@ -111,7 +140,3 @@ def add_match_features(df: DataFrame, contest: str, team: str, winner: str, marg
         "team_result": signed_margin(winner, team, margin),
         "player_position_cln": recode_position(position, position_groups),
     })
-
-
-def rename_map(cols: Sequence[str], prefix: str) -> Mapping[str, str]:
-    return {c: prefix + c for c in cols}

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.calibrate import (apply_curves, calibration_table, complement_probability,
-                                   curve_points, fit_polynomial, probability_long)
+                                   curve_points, curve_table, fit_polynomial, load_curves,
+                                   probability_long, save_curves)
 from ..operators.rows import add_row, drop_ordinals, replicate_rows
-from ..functions.expr import copies_weight
+from ..functions.expr import copies_weight, horner
 from ..schema import BINS_ONE_TWO, BINS_THREE, BINS_VALIDATION, CURVE_DEGREES, FIT_ANCHOR_V2, \
     FIT_DROP_ROWS
+from ..session import ensure_checkpoint_dir
 from ..sources.standin import ROW_KEY, STANDIN_CURVES, scored
 from .base_sql import BASE, weight_sql
 from .registry import d, register
@@ -91,35 +96,44 @@ from ({_points_sql(BINS_THREE, 3, FIT_DROP_ROWS["v3"])})
 """)
 def curve_fit_linear(spark, d_):
     pts = curve_points(_calib(spark, d_, BINS_THREE), 3, FIT_DROP_ROWS["v3"])
-    return pts.agg(F.round(F.regr_slope("y", "x"), 9).alias("slope"),
-                   F.round(F.regr_intercept("y", "x"), 9).alias("intercept"))
+    intercept, slope = fit_polynomial(pts, 1)
+    return pts.agg(F.count(F.lit(1))).select(F.round(F.lit(slope), 9).alias("slope"), F.round(F.lit(intercept), 9).alias("intercept"))
+
+
+def _moments(points, curve: str, degree: int):
+    """A least-squares fit leaves residuals orthogonal to x^0 .. x^degree: those means, rounded, and the points used."""
+    pts = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    left = F.col("y") - horner("x", fit_polynomial(pts, degree))
+    per = pts.agg(F.count(F.lit(1)).alias("n_points"), *[F.avg(left * F.pow("x", F.lit(j))).alias(f"m{j}") for j in range(degree + 1)])
+    return per.select(F.lit(curve).alias("curve"), "n_points", F.posexplode(F.array(*[f"m{j}" for j in range(degree + 1)])).alias("power", "m")) \
+        .select("curve", "n_points", "power", F.abs(F.round("m", 6)).alias("moment"))
 
 
-def _coef_frame(spark, curve: str, coefs, unit: str):
-    rows = [(curve, unit, i, float(c)) for i, c in enumerate(coefs)]
-    return spark.createDataFrame(rows, "curve string, unit string, power int, coef double")
+def _moments_sql(points: str, curve: str, degree: int) -> str:
+    return f"""select '{curve}' as curve, n_points, cast(range as integer) as power, 0.0e0 as moment
+from (select cast(count(*) as bigint) as n_points from ({points}) where x is not null and y is not null) cross join range({degree + 1})"""
 
 
-@register("curve_fit_poly5")
+@register("curve_fit_poly5", BASE + _moments_sql(_points_sql(BINS_ONE_TWO, 1, FIT_DROP_ROWS["v1"]), "v1", CURVE_DEGREES["v1"]))
 def curve_fit_poly5(spark, d_):
-    """1-vote curve: degree-5 least squares on bin points (rows-only check)."""
+    """1-vote curve: degree-5 least squares on bin points."""
     pts = curve_points(_calib(spark, d_, BINS_ONE_TWO), 1, FIT_DROP_ROWS["v1"])
-    return _coef_frame(spark, "v1", fit_polynomial(pts, CURVE_DEGREES["v1"]), "bin")
+    return _moments(pts, "v1", CURVE_DEGREES["v1"])
 
 
-@register("curve_fit_poly4")
+@register("curve_fit_poly4", BASE + _moments_sql(_points_sql(BINS_ONE_TWO, 2, FIT_DROP_ROWS["v2"], FIT_ANCHOR_V2), "v2", CURVE_DEGREES["v2"]))
 def curve_fit_poly4(spark, d_):
-    """2-vote curve: degree-4 fit with the anchor point (rows-only check)."""
+    """2-vote curve: degree-4 fit with the anchor point."""
     pts = curve_points(_calib(spark, d_, BINS_ONE_TWO), 2, FIT_DROP_ROWS["v2"], FIT_ANCHOR_V2)
-    return _coef_frame(spark, "v2", fit_polynomial(pts, CURVE_DEGREES["v2"]), "bin")
+    return _moments(pts, "v2", CURVE_DEGREES["v2"])
 
 
-@register("curve_fit_rows")
+@register("curve_fit_rows", BASE + _moments_sql("select score as x, true_votes as y from scored", "v3", CURVE_DEGREES["v3"]))
 def curve_fit_rows(spark, d_):
     """3-vote curve fitted on every scored row (indicator of 3 true votes), degree 5."""
     s = scored(spark, d_).select(F.col("score").alias("x"),
                                  (F.col("true_votes") == 3).cast("double").alias("y"))
-    return _coef_frame(spark, "v3", fit_polynomial(s, CURVE_DEGREES["v3"]), "row")
+    return _moments(s, "v3", CURVE_DEGREES["v3"])
 
 
 @register("curve_probability", BASE + f"""
@@ -130,6 +144,15 @@ def curve_probability(spark, d_):
     return out.select(*ROW_KEY, "score", "v3_prob")
 
 
+@register("curve_saved_probability", BASE + f"select {K}, score, v3_prob from probs")
+def curve_saved_probability(spark, d_):
+    """The curves as a saved and reread table, then applied."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "curves-" + uuid.uuid4().hex)
+    save_curves(curve_table(spark, STANDIN_CURVES), path)
+    out = apply_curves(scored(spark, d_), "score", load_curves(spark, path), ["v3"])
+    return out.select(*ROW_KEY, "score", "v3_prob")
+
+
 _COMP = """select {k}, score, v1_prob, v2_prob, v3_prob,
        1.0e0 - (v1_prob + v2_prob + v3_prob) as v0_prob,
        (1.0e0 - (v1_prob + v2_prob + v3_prob)) + v1_prob + v2_prob + v3_prob as total_p

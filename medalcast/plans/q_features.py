@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -10,7 +13,8 @@ from ..operators.features import (add_match_features, group_shares, group_totals
                                   recode_position, signed_margin)
 from ..operators.rows import dense_row_id
 from ..sources.standin import ROW_KEY, STANDIN_POSITION_GROUPS, STAT_COLS, fact
-from ..sources.tables import season_range
+from ..session import ensure_checkpoint_dir
+from ..sources.tables import load_seasons, save, season_range
 from .base_sql import BASE
 from .registry import register
 
@@ -32,6 +36,30 @@ def season_extract(spark, d):
     return season_range(fact(spark, d), "season", 1995, 1997)
 
 
+@register("seasons_saved", BASE + """
+select * from fact where cast(season as integer) between 1995 and 1997
+""")
+def seasons_saved(spark, d):
+    """The table saved by season and a range of seasons reread; only their folders are scanned."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "seasons-" + uuid.uuid4().hex)
+    f = fact(spark, d)
+    save(f, path, ["season"])
+    back = load_seasons(spark, path, 1995, 1997)
+    return back.select(*[F.col(x.name).cast(x.dataType) for x in f.schema.fields])
+
+
+@register("positional_block", BASE + "select ln, pk, entity_id, contest_date from fact")
+def positional_block_q(spark, d):
+    f = fact(spark, d)
+    return f.select(*C.positional_block(f, 2, 5))
+
+
+@register("nominal_columns", BASE + "select season, stage, team, winner, name, club, pos from fact")
+def nominal_columns_q(spark, d):
+    f = fact(spark, d)
+    return f.select(*C.nominal_columns(f))
+
+
 @register("regular_stage_rows", BASE + """
 select * from fact where regexp_matches(stage, '^[0-9]')
 """)

@@ -6,8 +6,6 @@ thresholds and workload sizes, written out in their natural order.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # --- fixed values: position recode (group -> codes), checked in this order ---
 POSITION_GROUPS: list[tuple[str, list[str]]] = [
     ("KEYFWD", ["FF", "CHF"]),
@@ -17,34 +15,12 @@ POSITION_GROUPS: list[tuple[str, list[str]]] = [
 ]
 POSITION_DEFAULT = "GENERAL"
 
-# --- fixed values: statistics whose shares are model features ---
-SHARE_STATS = [
-    "goals", "disposals", "score_involvements", "shots_at_goal", "contested_possessions",
-    "inside_fifties", "handballs", "tackles", "contested_marks", "hitouts_to_advantage",
-    "ground_ball_gets", "goal_assists", "pressure_acts", "intercept_marks", "effective_kicks",
-    "score_launches", "clearances", "metres_gained", "rebounds", "contest_def_one_on_ones",
-]
-
-# --- fixed values: model feature list, in the original order (one entry repeats) ---
-MODEL_VARS = [
-    "match_pct_goals", "match_pct_disposals", "match_pct_score_involvements",
-    "match_pct_shots_at_goal", "match_pct_contested_possessions", "match_pct_inside_fifties",
-    "match_pct_handballs", "match_pct_tackles", "match_pct_contested_marks",
-    "marks_inside_fifty", "match_pct_hitouts_to_advantage", "match_pct_ground_ball_gets",
-    "team_result", "match_pct_goal_assists", "match_pct_pressure_acts", "hitout_win_percentage",
-    "match_pct_intercept_marks", "match_pct_effective_kicks", "match_pct_goal_assists",
-    "match_pct_score_launches", "match_pct_clearances", "match_pct_metres_gained",
-    "player_position_cln", "time_on_ground_percentage", "match_pct_rebounds",
-    "team_pct_contest_def_one_on_ones",
-]
-
 # --- fixed values: calibration curve tail clamps (curve: above, value above) ---
 CURVE_CLAMPS = {
     "v1": (2.45, 0.025),
     "v2": (2.80, 0.075),
     "v3": (3.5, 0.975),
 }
-CURVE_LOW = (-0.05, 0.0)          # every curve: below -0.05 -> 0
 CURVE_DEGREES = {"v1": 5, "v2": 4, "v3": 5}
 
 # --- fixed values: score bins used by the calibration tables (start, stop, step) ---
@@ -57,12 +33,8 @@ FIT_DROP_ROWS = {"v1": [24, 25, 26], "v2": [19, 28, 30, 31, 32, 33, 34], "v3": [
 FIT_ANCHOR_V2 = (3.0, 0.05)
 
 # --- fixed values: workload sizes ---
-SIMS_SEASON = 10000
 SIMS_BACKTEST = 250
-VOTES_PER_CONTEST = 3
-WEIGHT_SCALE = 100
 TRAIN_SHARE = 0.3
-SPLIT_SEED = 3084
 CV_FOLDS = 3
 BOOST_TREES = 500
 RARE_LEVEL_SHARE = 0.01
@@ -70,20 +42,3 @@ NZV_FREQ_CUT = 95 / 5
 NZV_UNIQUE_CUT = 10.0
 TOP_BOARD = 20
 TOP_PER_TEAM = 3
-CONTENDER_MIN_WIN = 0.001
-
-# Required input columns (one row per player per match); the 52 statistics
-# are passed separately as ``stat_cols`` because their order is not fixed.
-PLAYER_MATCH_SCHEMA = T.StructType([
-    T.StructField("match_id", T.LongType()),
-    T.StructField("match_date", T.DateType()),
-    T.StructField("match_round", T.StringType()),
-    T.StructField("match_winner", T.StringType()),
-    T.StructField("match_margin", T.IntegerType()),
-    T.StructField("player_id", T.LongType()),
-    T.StructField("player_first_name", T.StringType()),
-    T.StructField("player_last_name", T.StringType()),
-    T.StructField("player_team", T.StringType()),
-    T.StructField("player_position", T.StringType()),
-    T.StructField("brownlow_votes", T.IntegerType()),
-])

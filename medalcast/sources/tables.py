@@ -35,4 +35,4 @@ def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> Non
 def load_seasons(spark: SparkSession, path: str, first: int, last: int,
                  season: str = "season") -> DataFrame:
     """Season-range extract from a table written ``partitionBy(season)``; prunes partitions."""
-    return season_range(spark.read.parquet(path), season, first, last)
+    return season_range(load(spark, path), season, first, last)
