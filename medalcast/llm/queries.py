@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontaminate, line_dedup, near_dedup, pieces, quality_model, quality_rules, span_dedup, toxicity, url_filter
+from . import (
+    chat, decontaminate, line_dedup, near_dedup, oracles, pieces, quality_model, quality_rules, span_dedup, toxicity, url_filter,
+)
 from .stage import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +36,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), "lossless")
 
 
-@_query("op2_line_dedup")
+@_query("op2_line_dedup", oracles.OP2)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that an earlier line equals, or is one edit away from."""
     out = line_dedup.line_report(table(spark, sf_dir, "documents"))
@@ -42,12 +44,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(F.transform("removed", lambda x: x.cast("string")), ",").alias("removed_lines"))
 
 
-@_query("op3_minhash_dedup")
+@_query("op3_minhash_dedup", oracles.OP3)
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: 5-word shingles, similarity 0.85 or more."""
     out = near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
-                      (F.col("id") == F.col("component")).alias("kept"), "n_links")
+                      (F.col("id") == F.col("component")).alias("kept"))
 
 
 @_query("op4_substring_dedup")
@@ -57,7 +59,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.dedup_spans(docs).select("doc_id", "n_pieces", "n_removed", "cut_words", "cut_spans", "text")
 
 
-@_query("op5_chat_format")
+@_query("op5_chat_format", oracles.OP5)
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formatted conversations, read back; conversation -7 holds control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -66,7 +68,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(chat.format_conversations(turns.unionByName(probe)))
 
 
-@_query("op6_decontamination")
+@_query("op6_decontamination", oracles.OP6)
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 13-word windows of benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -90,7 +92,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-@_query("op9_quality_rules")
+@_query("op9_quality_rules", oracles.OP9)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule measures and the weakly supervised verdict of every document."""
     out = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
