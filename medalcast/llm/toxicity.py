@@ -1,20 +1,26 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's probability is a logistic
-function of its hashed words; the document's is their noisy-or,
+function of its features; the document's is their noisy-or,
 ``1 - prod(1 - p)``. Only documents carry labels, so the sentence weights are
-fitted through the noisy-or (full-batch Adam on the driver, over the hashed
-words of at most ``TRAIN_ROWS`` labelled documents, first in hash order of the
-id). Scoring runs in the tasks over every whole text with the weight table
-(2^20 floats, 4 MB) broadcast, and gives back the sentences that offend.
+fitted through the noisy-or (full-batch Adam on the driver).
+
+Features are 64-bit hashes of words and of their first 4, 5 and 6 bytes (stems
+of inflected insults). Fitting takes at most ``TRAIN_ROWS`` labelled documents,
+first in hash order of the id; Spark counts in how many of them, and of the
+toxic ones, each feature occurs, and the ``MAX_FEATURES`` that lean furthest to
+toxic (``Z`` standard errors or more) are the model's vocabulary. Only those
+features' places reach the driver. Scoring runs in the tasks over every whole
+text with vocabulary and weights broadcast, and gives the sentences that offend.
 
 Inputs of a score are the text's words alone (A-Z folded runs of letters,
 digits and non-ASCII characters), never labels, ids, language or source.
 
 Cases: null, empty or wordless texts have no sentence and score 0. Labels that
 are null are ignored; several labels of one id count as the highest. Without
-any positive label every score is that of the starting weights. Repeated rows
-get equal scores; extra columns are ignored; an empty table gives an empty one.
+any positive label every score is that of a model without features. Repeated
+rows get equal scores; extra columns are ignored; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations
@@ -26,28 +32,36 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .sample import pick
-from .textvec import U
-
-BUCKETS = 1 << 20
-TRAIN_ROWS = 8_000       # labelled documents fitted on, at most
-EPOCHS = 120
+from .stage import Scratch
+from .textvec import U, mix
+
+TRAIN_ROWS = 10_000      # labelled documents fitted on, at most
+MAX_FEATURES = 2_000
+MIN_TOXIC = 4            # toxic documents a feature must occur in
+Z = 4.0
+STEMS = (4, 5, 6)
+EPOCHS = 200
 RATE = 0.08
-L2 = 2e-4
-START = -6.0             # bias of a sentence without any known word
-MIN_DOCS = 3             # a bucket needs as many training documents
+L2 = 1e-4
+START = -6.0             # bias of a sentence without any feature
 LONGEST = 40             # words of a sentence; longer ones are cut
 OFFENDS = 0.3            # sentence probability from which it is reported
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?\n")] = True
+_FOLD = np.arange(256, dtype=U)
+_FOLD[65:91] += U(32)
 
 
 def sentences(buf: np.ndarray, off: np.ndarray):
-    """(bucket of each word, first word of each sentence, row of each sentence, byte span of each sentence)."""
+    """([words, 1 + stems] features, first word of each sentence, row of each sentence, byte span of each sentence).
+
+    A feature of 0 stands for none (a word no longer than the stem).
+    """
     starts, ends, h, first = tv.words(buf, off, tv.ALNUM)
     n = len(starts)
     if not n:
         z = np.zeros(0, np.int64)
-        return z, z, z, z, z
+        return np.zeros((0, 1 + len(STEMS)), U), z, z, z, z
     stops = np.concatenate([[0], np.cumsum(_STOP[buf])])
     new = np.ones(n, bool)
     new[1:] = stops[starts[1:]] != stops[ends[:-1]]
@@ -56,97 +70,153 @@ def sentences(buf: np.ndarray, off: np.ndarray):
     place = np.arange(n) - np.repeat(head, np.diff(np.append(head, n)))
     head = np.flatnonzero(place % LONGEST == 0)
     row = tv.row_ids(first)[head]
-    return (h & U(BUCKETS - 1)).astype(np.int64), head, row, starts[head], ends[np.append(head[1:], n) - 1]
+    feats = np.zeros((n, 1 + len(STEMS)), U)
+    feats[:, 0] = h
+    size, packed = ends - starts, np.zeros(n, U)
+    for j in range(max(STEMS)):
+        packed |= _FOLD[buf[np.minimum(starts + j, len(buf) - 1)]] << U(8 * j)
+        if j + 1 in STEMS:
+            feats[:, 1 + STEMS.index(j + 1)] = np.where(size > j + 1, mix(packed ^ U((j + 1) << 56)), U(0))
+    return feats, head, row, starts[head], ends[np.append(head[1:], n) - 1]
 
 
 def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-class Bags:
-    """Training documents as flat arrays: word buckets, sentence and document bounds, labels."""
-
-    def __init__(self, rows):
-        self.y = np.array([r[0] for r in rows], float)
-        self.words = np.concatenate([np.frombuffer(r[1], np.int32) for r in rows]).astype(np.int64)
-        heads = [np.frombuffer(r[2], np.int32) for r in rows]
-        sizes = np.cumsum([0] + [len(r[1]) // 4 for r in rows])
-        self.head = np.concatenate([x + s for x, s in zip(heads, sizes, strict=False)])
-        self.doc = np.repeat(np.arange(len(rows)), [len(x) for x in heads])
-        self.word_doc = np.repeat(np.arange(len(rows)), np.diff(sizes))
-
-
-def fit(rows) -> tuple[float, np.ndarray]:
-    """(bias, weights) from (label, word buckets, sentence heads) of each document that has a word."""
-    weights = np.zeros(BUCKETS, np.float32)
-    if not rows or not any(r[0] for r in rows):
-        return START, weights
-    b = Bags(rows)
-    known, at = np.unique(b.words, return_inverse=True)
-    pairs = np.unique(b.word_doc * len(known) + at) % len(known)
-    often = np.bincount(pairs, minlength=len(known)) >= MIN_DOCS
-    sent = np.repeat(np.arange(len(b.head)), np.diff(np.append(b.head, len(at))))
-    at, sent = at[often[at]], sent[often[at]]
-    w, bias = np.zeros(len(known)), START
-    m, v = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
-    n_docs = len(b.y)
+def fit(bags: list[tuple[int, int, bytes, bytes]], n_features: int) -> tuple[float, np.ndarray]:
+    """(bias, weight of each feature) from (label, sentences, feature places, their sentences) of each document."""
+    w, bias = np.zeros(n_features), START
+    bags = [x for x in bags if x[1]]
+    if not n_features or not any(x[0] for x in bags):
+        return bias, w
+    y = np.array([x[0] for x in bags], float)
+    count = np.array([x[1] for x in bags], float)
+    at = np.concatenate([np.frombuffer(x[2], np.int32) for x in bags]).astype(np.int64)
+    key = np.concatenate([np.frombuffer(x[3], np.int32).astype(np.int64) + (i << 32) for i, x in enumerate(bags)])
+    held, sent = np.unique(key, return_inverse=True)         # sentences with a feature
+    doc = held >> 32
+    bare = count - np.bincount(doc, minlength=len(bags))
+    m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, EPOCHS + 1):
-        z = bias + np.bincount(sent, weights=w[at], minlength=len(b.head))
-        p = _sigmoid(z)
-        log_clean = np.bincount(b.doc, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n_docs)
+        p = _sigmoid(bias + np.bincount(sent, weights=w[at], minlength=len(held)))
+        p0 = float(_sigmoid(bias))
+        log_clean = bare * np.log1p(-p0) + np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(bags))
         clean = np.exp(log_clean)
-        pull = np.where(b.y > 0, clean / np.maximum(1 - clean, 1e-9), -1.0)    # d log-likelihood / d z is pull * p
-        g = np.minimum(pull[b.doc] * p, 1.0)
-        grad = np.append(np.bincount(at, weights=g[sent], minlength=len(known)), g.sum()) / n_docs
+        pull = np.where(y > 0, clean / np.maximum(1 - clean, 1e-9), -1.0)    # d log-likelihood / d z is pull * p
+        g = np.minimum(pull[doc] * p, 1.0)
+        g_bias = g.sum() + (np.minimum(pull * p0, 1.0) * bare).sum()
+        grad = np.append(np.bincount(at, weights=g[sent], minlength=n_features), g_bias) / len(bags)
         grad[:-1] -= L2 * w
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         move = RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
         w += move[:-1]
-        bias = min(bias + 0.1 * move[-1], -3.0)
-    weights[known] = w
-    return float(bias), weights
+        bias = min(bias + 0.2 * move[-1], -3.0)
+    return float(bias), w
+
+
+def _find(feats: np.ndarray, vocabulary: np.ndarray):
+    """(word, place in the sorted vocabulary) of every feature that is in it."""
+    if not len(vocabulary) or not len(feats):
+        z = np.zeros(0, np.int64)
+        return z, z
+    word, col = np.nonzero(_marks(vocabulary)[(feats & U(0xFFFFF)).astype(np.int64)])
+    x = feats[word, col]
+    at = np.minimum(np.searchsorted(vocabulary, x), len(vocabulary) - 1)
+    ok = vocabulary[at] == x
+    return word[ok], at[ok]
+
+
+_MARKS: list = [None, None]
+
+
+def _marks(vocabulary: np.ndarray) -> np.ndarray:
+    """Which low 20 bits any feature of the vocabulary has; kept for the latest vocabulary."""
+    if _MARKS[0] is not vocabulary:
+        table = np.zeros(1 << 20, bool)
+        table[(vocabulary & U(0xFFFFF)).astype(np.int64)] = True
+        _MARKS[:] = vocabulary, table
+    return _MARKS[1]
 
 
-def training_bags(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, limit: int) -> list:
-    """(label, buckets, heads) of at most ``limit`` labelled documents, to the driver."""
+def _sample(docs, labels, id_col, text_col, label_col, limit) -> DataFrame:
+    """(id, t, y) of at most ``limit`` labelled documents."""
     known = (labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
              .filter("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y")))
     some = F.broadcast(pick(known, "id", limit))                       # at most ``limit`` small rows
-    src = (docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"))
-           .join(some, "id").select("id", "t", "y"))
+    return (docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"))
+            .join(some, "id").select("id", "t", "y").dropDuplicates(["id"]))
 
+
+def _leaning(sample: DataFrame) -> np.ndarray:
+    """Sorted hashes of the features that lean to toxic documents."""
+    def run(batches):
+        for b in batches:
+            buf, off = tv.utf8(b.column(1))
+            y = b.column(2).to_numpy()
+            for i, j in tv.slices(off):
+                feats, head, row, _, _ = sentences(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+                of = np.repeat(row, np.diff(np.append(head, len(feats))))
+                r, x = tv.distinct_per_row(np.repeat(of, feats.shape[1]), feats.ravel())
+                for k in range(0, len(r), 200_000):
+                    z = slice(k, k + 200_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(tv.as_long(x[z])), pa.array(y[i:j][r[z]])], names=["x", "y"])
+    n, k = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not k:
+        return np.zeros(0, U)
+    share = k / n
+    per = (sample.mapInArrow(run, "x long, y int").filter("x <> 0").groupBy("x")
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")).filter(F.col("k") >= MIN_TOXIC))
+    z = (F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
+    best = per.withColumn("z", z).filter(F.col("z") >= Z).orderBy(F.desc("z"), "x").limit(MAX_FEATURES).select("x").collect()
+    return np.sort(np.array([r["x"] for r in best], np.int64).view(U))
+
+
+def _bags(sample: DataFrame, vocabulary: np.ndarray) -> list:
+    """(label, sentences, feature places, their sentences) of every document of the sample."""
     def run(batches):
         for b in batches:
             buf, off = tv.utf8(b.column(1))
             for i, j in tv.slices(off):
-                bucket, head, row, _, _ = sentences(buf[off[i]:off[j]], off[i:j + 1] - off[i])
-                cut = np.searchsorted(row, np.arange(j - i + 1))
-                wcut = np.append(head, len(bucket))[cut]
-                words = [bucket[wcut[r]:wcut[r + 1]].astype(np.int32).tobytes() for r in range(j - i)]
-                heads = [(head[cut[r]:cut[r + 1]] - wcut[r]).astype(np.int32).tobytes() for r in range(j - i)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i),
-                                                  pa.array(words, pa.binary()), pa.array(heads, pa.binary())],
-                                                 names=["id", "y", "words", "heads"])
-    got = src.mapInArrow(run, "id long, y int, words binary, heads binary").dropDuplicates(["id"]).collect()
-    return [(r["y"], bytes(r["words"]), bytes(r["heads"])) for r in sorted(got, key=lambda r: r["id"]) if r["words"]]
-
-
-def score_documents(docs: DataFrame, model: tuple[float, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                feats, head, row, _, _ = sentences(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+                word, at = _find(feats, vocabulary)
+                sent = np.searchsorted(head, word, side="right") - 1
+                first = np.searchsorted(row, np.arange(j - i + 1))       # first sentence of each row
+                cut = np.searchsorted(sent, first)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(np.diff(first)),
+                     pa.array([at[cut[r]:cut[r + 1]].astype(np.int32).tobytes() for r in range(j - i)], pa.binary()),
+                     pa.array([(sent[cut[r]:cut[r + 1]] - first[r]).astype(np.int32).tobytes() for r in range(j - i)], pa.binary())],
+                    names=["id", "y", "n", "at", "sent"])
+    got = sample.mapInArrow(run, "id long, y int, n long, at binary, sent binary").collect()
+    return [(r["y"], r["n"], bytes(r["at"]), bytes(r["sent"])) for r in sorted(got, key=lambda r: r["id"])]
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+          limit: int = TRAIN_ROWS):
+    """(vocabulary, bias, weights) fitted on at most ``limit`` labelled documents."""
+    sample = Scratch(docs.sparkSession, "toxicity").write(_sample(docs, labels, id_col, text_col, label_col, limit), "sample", compression="zstd")
+    vocabulary = _leaning(sample)
+    return (vocabulary, *fit(_bags(sample, vocabulary), len(vocabulary)))
+
+
+def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (id, score, n_sentences, offending): flat byte spans of sentences from ``OFFENDS`` on,
     worst first."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"))
 
     def run(batches):
-        bias, weights = held.value
+        vocabulary, bias, weights = held.value
         for b in batches:
             buf, off = tv.utf8(b.column(1))
             for i, j in tv.slices(off):
-                bucket, head, row, lo, hi = sentences(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+                feats, head, row, lo, hi = sentences(buf[off[i]:off[j]], off[i:j + 1] - off[i])
                 n = j - i
-                z = bias + np.add.reduceat(weights[bucket].astype(float), head) if len(head) else np.zeros(0)
-                p = _sigmoid(z)
+                word, at = _find(feats, vocabulary)
+                sent = np.searchsorted(head, word, side="right") - 1
+                p = _sigmoid(bias + np.bincount(sent, weights=weights[at], minlength=len(head)))
                 log_clean = np.bincount(row, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n)
                 bad = np.flatnonzero(p >= OFFENDS)
                 bad = bad[np.lexsort((bad, -p[bad], row[bad]))]
@@ -168,5 +238,5 @@ def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2):
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Fit on the labelled rows outside the held-out fold and score every document."""
-    bags = training_bags(docs, labels.filter(~held_out(id_col)), id_col, text_col, label_col, train_rows)
-    return score_documents(docs, fit(bags), id_col, text_col)
+    model = train(docs, labels.filter(~held_out(id_col)), id_col, text_col, label_col, train_rows)
+    return score_documents(docs, model, id_col, text_col)
