@@ -101,15 +101,14 @@ from d left join covered using (doc_id) left join found using (doc_id)
 _STOP = ", ".join(f"'{x}'" for x in qr.FUNCTION_WORDS)
 _V = [f"v{j}" for j in range(len(qr.RULES))]
 _VOTES = [
-    ("n_words >= 60", "n_words < 50"),
-    ("word_chars >= 3 * n_words and word_chars <= 9 * n_words and n_words > 0",
-     "word_chars < 2 * n_words or word_chars > 13 * n_words or n_words = 0"),
-    ("50 * n_symbols <= n_words", "5 * n_symbols > n_words"),
-    ("10 * n_dup_lines <= n_lines", "10 * n_dup_lines > 4 * n_lines"),
-    ("10 * n_repeat_words <= n_words", "10 * n_repeat_words > 3 * n_words"),
-    ("10 * n_upper <= word_chars", "10 * n_upper > 3 * word_chars"),
-    ("50 * n_bang <= n_words", "10 * n_bang > n_words"),
-    ("n_function >= 3 and 2 * n_ended >= n_lines", "n_function = 0 and 4 * n_ended < n_lines"),
+    ("false", "word_chars < 2 * n_words or word_chars > 13 * n_words or n_words = 0"),
+    ("false", "5 * n_symbols > n_words"),
+    ("false", "10 * n_dup_lines > 4 * n_lines"),
+    ("false", "10 * n_repeat_words > 3 * n_words"),
+    ("false", "10 * n_upper > 3 * word_chars"),
+    ("false", "10 * n_bang > n_words"),
+    ("n_function >= 3 and 2 * n_ended >= n_lines", "n_function = 0"),
+    ("50 * n_symbols <= n_words and 50 * n_bang <= n_words and 10 * n_upper <= word_chars and n_words > 0", "false"),
 ]
 _Z = "ln(good / (1 - good))" + "".join(f" + v{j} * ln(a{j} / (1 - a{j}))" for j in range(len(_V)))
 _LOW_A, _HIGH_A = qr.ACCURACY

@@ -1,7 +1,8 @@
 """Quality rules by weak supervision, in Spark expressions only.
 
 Each rule looks at one aspect of a text and votes good (1), bad (-1) or
-abstains (0). Nobody labels anything: expectation-maximisation over the counts
+abstains (0); most only object, as the absence of one defect says little.
+Nobody labels anything: expectation-maximisation over the counts
 of vote patterns (at most 3^8, summed by Spark over all documents) estimates
 every rule's accuracy and the share of good texts, and a text's posterior
 probability of being good, given its votes, is the verdict. Two hard floors
@@ -39,7 +40,7 @@ FUNCTION_WORDS = ["the", "of", "and", "to", "in", "is", "that", "der", "die", "u
 BLANK = r"[\x20\x09-\x0D]+"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "n_lines", "n_ended", "n_upper", "n_bang", "n_function"]
-RULES = ["length", "word_length", "symbols", "duplicate_lines", "repetition", "capitals", "shouting", "prose"]
+RULES = ["word_length", "symbols", "duplicate_lines", "repetition", "capitals", "shouting", "prose", "tidy"]
 
 
 def let(value: Column, body) -> Column:
@@ -102,17 +103,19 @@ def votes(c) -> dict[str, Column]:
     """Rule -> vote in {-1, 0, 1}, over ``c(name)`` of each feature; integer comparisons only."""
     n, chars, lines = c("n_words"), c("word_chars"), c("n_lines")
 
-    def vote(good, bad):
-        return F.when(bad, -1).when(good, 1).otherwise(0)
+    def vote(bad, good=None):
+        v = F.when(bad, -1)
+        return (v if good is None else v.when(good, 1)).otherwise(0)
+    tidy = (50 * c("n_symbols") <= n) & (50 * c("n_bang") <= n) & (10 * c("n_upper") <= chars) & (n > 0)
     return {
-        "length": vote(n >= 60, n < MIN_WORDS),
-        "word_length": vote((chars >= 3 * n) & (chars <= 9 * n) & (n > 0), (chars < 2 * n) | (chars > 13 * n) | (n == 0)),
-        "symbols": vote(50 * c("n_symbols") <= n, 5 * c("n_symbols") > n),
-        "duplicate_lines": vote(10 * c("n_dup_lines") <= lines, 10 * c("n_dup_lines") > 4 * lines),
-        "repetition": vote(10 * c("n_repeat_words") <= n, 10 * c("n_repeat_words") > 3 * n),
-        "capitals": vote(10 * c("n_upper") <= chars, 10 * c("n_upper") > 3 * chars),
-        "shouting": vote(50 * c("n_bang") <= n, 10 * c("n_bang") > n),
-        "prose": vote((c("n_function") >= 3) & (2 * c("n_ended") >= lines), (c("n_function") == 0) & (4 * c("n_ended") < lines)),
+        "word_length": vote((chars < 2 * n) | (chars > 13 * n) | (n == 0)),
+        "symbols": vote(5 * c("n_symbols") > n),
+        "duplicate_lines": vote(10 * c("n_dup_lines") > 4 * lines),
+        "repetition": vote(10 * c("n_repeat_words") > 3 * n),
+        "capitals": vote(10 * c("n_upper") > 3 * chars),
+        "shouting": vote(10 * c("n_bang") > n),
+        "prose": vote(c("n_function") == 0, (c("n_function") >= 3) & (2 * c("n_ended") >= lines)),
+        "tidy": vote(F.lit(False), tidy),
     }
 
 
