@@ -539,7 +539,9 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", key_col: str =
         raise ValueError("dropout is a probability")
     held = docs.sparkSession.sparkContext.broadcast(model)
     t, k = docs.columns.index(text_col), docs.columns.index(key_col)
-    added = [T.StructField(out_col, T.ArrayType(T.IntegerType()))] + [T.StructField(check_col, T.BooleanType())] * bool(check_col)
+    added = [T.StructField(out_col, T.ArrayType(T.IntegerType()))]
+    if check_col:
+        added.append(T.StructField(check_col, T.BooleanType()))
     schema = T.StructType([*docs.schema.fields, *added])
     names = [f.name for f in schema.fields]
 

@@ -1,7 +1,7 @@
 """Quality classifier from weak labels.
 
-Eight heuristic labellers look at a text and vote good (2), bad (0) or abstain
-(1). A vote pattern has at most 3^8 forms; Spark counts them over all
+Nine heuristic labellers look at a text and vote good (2), bad (0) or abstain
+(1). A vote pattern has at most 3^9 forms; Spark counts them over all
 documents, and expectation-maximisation on those counts estimates, for each
 labeller and class, how often it casts each vote (overlapping labellers with
 class-conditional error rates, after Dawid & Skene, 1979). Posterior class
@@ -25,7 +25,7 @@ from . import textvec as tv
 from .sample import pick
 from .textvec import U, mix
 
-LABELLERS = ["length", "word_length", "symbols", "variety", "capitals", "sentence_ends", "shouting", "line_repeats"]
+LABELLERS = ["length", "word_length", "symbols", "variety", "capitals", "sentence_ends", "shouting", "line_repeats", "tidy"]
 BUCKETS = 1 << 18
 TRAIN_ROWS = 8_000       # documents the scorer is trained on, at most
 EM_ROUNDS = 50
@@ -53,7 +53,7 @@ def _per_row(values: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def votes(buf, off, starts, ends, h, first) -> np.ndarray:
-    """[rows, 8] of 0 (bad), 1 (abstains), 2 (good)."""
+    """[rows, 9] of 0 (bad), 1 (abstains), 2 (good)."""
     n_rows = len(off) - 1
     n = np.diff(first)
     row = tv.row_ids(first)
@@ -78,19 +78,19 @@ def votes(buf, off, starts, ends, h, first) -> np.ndarray:
     n_lines = np.maximum(np.bincount(lrow, minlength=n_rows), 1)
     repeats = 1 - np.bincount(tv.distinct_per_row(lrow, lh)[0], minlength=n_rows) / n_lines
 
-    def vote(good, bad):
+    def vote(bad, good=False):
         return np.where(bad, 0, np.where(good, 2, 1))
-    out = np.stack([
-        vote(n >= 60, n < 30),
-        vote((mean >= 3) & (mean <= 9), (mean < 2) | (mean > 14)),
-        vote(symbols <= 0.02, symbols > 0.2),
-        vote(variety >= 4, variety < 2),
-        vote(upper <= 0.15, upper > 0.6),
-        vote((word_end >= 0.02) & (word_end <= 0.25), (word_end < 0.005) | (word_end > 0.5)),
-        vote(bang <= 0.02, bang > 0.1),
-        vote((repeats <= 0.05) & (n_lines > 1), repeats > 0.3),
+    return np.stack([
+        vote(n < 30, n >= 80),
+        vote((mean < 2) | (mean > 14)),
+        vote(symbols > 0.2),
+        vote(variety < 2, variety >= 5),
+        vote(upper > 0.6),
+        vote((word_end < 0.005) | (word_end > 0.5), (word_end >= 0.03) & (word_end <= 0.3)),
+        vote(bang > 0.1),
+        vote(repeats > 0.3),
+        vote(n == 0, (symbols <= 0.02) & (bang <= 0.02) & (upper <= 0.15) & (n > 0)),
     ], axis=1)
-    return out
 
 
 def features(buf, off, starts, ends, h, first):
@@ -135,8 +135,8 @@ class LabelModel:
         pats = np.array(sorted(counts), np.int64).reshape(-1)
         n = np.array([counts[p] for p in sorted(counts)], float)
         self.good = 0.8
-        # start: a labeller names the class it votes for four times in five
-        self.rate = np.tile(np.array([[0.4, 0.5, 0.1], [0.1, 0.5, 0.4]]), (k, 1, 1))   # [labeller, class, vote]
+        # start: objections are rare in good texts; abstaining says nothing yet
+        self.rate = np.tile(np.array([[0.4, 0.5, 0.1], [0.02, 0.5, 0.48]]), (k, 1, 1))   # [labeller, class, vote]
         if not n.sum():
             return
         v = self._votes(pats)
@@ -200,7 +200,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
     """One row per input row: (id, score, posterior, n_votes, kept)."""
     spark = docs.sparkSession
     counts = {r["pattern"]: r["n"] for r in
-              label(docs, id_col, text_col).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}   # at most 3^8 rows
+              label(docs, id_col, text_col).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}   # at most 3^9 rows
     model = LabelModel(counts)
     src = _source(docs, id_col, text_col)
     some = F.broadcast(pick(src.filter("id is not null").select("id").distinct(), "id", train_rows))

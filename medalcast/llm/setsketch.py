@@ -33,7 +33,7 @@ def registers(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
     at = np.zeros(len(h))
     done, block = 0, 1
     while len(e):
-        step = max(1, (1 << 21) // block)          # bounded matrices
+        step = max(1, (1 << 19) // block)          # bounded matrices
         last = np.empty(len(e))
         for i in range(0, len(e), step):
             j = np.arange(done + 1, done + block + 1, dtype=U) * U(0xD1342543DE82EF95)

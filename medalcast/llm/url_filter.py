@@ -9,7 +9,7 @@ than ``MARGIN`` times its trust and above ``FLOOR`` of the mass; all else is all
 
 Links between hosts are the absolute ``href``s of the pages, weighted by how
 many pages have them, and a subdomain is linked with its parent domain (and
-back), as a site is with its parts. Links are counted per host pair before any
+back), as a site is with its parts, where both have pages. Links are counted per host pair before any
 iteration, with partial sums before each shuffle, so neither a host with a third
 of all pages nor one that a third of all pages link to gathers rows in a task.
 Ranks are written to the shared folder after every round.
@@ -66,9 +66,9 @@ def host_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     found = p.select("src", F.explode(F.array_distinct(F.transform(href, host_of))).alias("dst"))
     links = (found.filter("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst")
              .agg(F.count(F.lit(1)).cast("double").alias("w")))
-    hosts = p.select("src").filter("src <> ''").distinct().union(links.select("dst")).distinct()
+    hosts = p.select("src").filter("src <> ''").distinct()
     parent = F.regexp_extract("src", r"^[^.]+\.(.+\..+)$", 1)
-    up = hosts.select("src", parent.alias("dst")).filter("dst <> ''")
+    up = hosts.select("src", parent.alias("dst")).filter("dst <> ''").join(hosts.select(F.col("src").alias("dst")), "dst", "left_semi").select("src", "dst")
     tied = up.union(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).withColumn("w", F.lit(PARENT_WEIGHT))
     return links.union(tied).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 

@@ -132,7 +132,7 @@ def test_large_bucket_needs_cross_pairs(spark, monkeypatch):
 
 def test_line_dedup(spark, hard):
     long = "a line that is long enough to be compared with an edit"
-    rows = [*hard, (20, f"{long}\nshort\n\n{long}!\nother"), (21, f" {long}\t\nshort\n{long[1:]}\nshors"),
+    rows = [*hard, (20, f"{long}\nshort\n\n{long}!\nother"), (21, f" {long}\t\nshort\n{long[:10] + long[11:]}\nshors"),
             (22, long.replace("edit", "edib") + "\nkept line of its own, longer than the bound"), (23, long[:20] + "é" + long[21:])]
     src = frame(spark, [*rows, (None, long)])
     got = {(r["id"], n): r["n_near"] for r in line_dedup.line_report(src).collect() for n in r["removed"]}
