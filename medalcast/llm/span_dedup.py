@@ -4,10 +4,10 @@ A text is cut into pieces: a piece ends at sentence or clause punctuation
 (``.!?,;:`` at a word's end), at a line end, or after ``PIECE_WORDS`` words.
 Every run of ``RUN`` consecutive pieces with at least ``MIN_WORDS`` words is
 hashed (128 bits over its words, A-Z folded), the hashes are joined over all
-documents, and every piece inside a run that occurred before, by (document id,
-piece number), is removed. Any repeated passage of more than 50 words holds at
-least five pieces, so it loses all pieces that begin and end inside it. Shorter
-repeats, such as single stock sentences, stay.
+documents, and the pieces inside runs that occurred before, by (document id,
+piece number), are removed where they add up to ``MIN_CUT`` words or more side
+by side. A repeated passage of more than 50 words thus loses all pieces that
+begin and end inside it; shorter repeats, such as single stock lines, stay.
 
 First occurrences are minima, combined before the shuffle and joined back; a
 run that a third of the corpus shares is split by the skew join, never held in
@@ -33,8 +33,9 @@ from .stage import Scratch
 from .textvec import U
 
 PIECE_WORDS = 12
-RUN = 3
-MIN_WORDS = 10
+RUN = 2
+MIN_WORDS = 3
+MIN_CUT = 20
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True
 _SECOND = np.array([tv._mix_int(9000 + i) | 1 for i in range(PIECE_WORDS)], dtype=U)
@@ -107,7 +108,19 @@ def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return again.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("starts"))
 
 
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def _long_enough(mark: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
+    """``mark`` without the stretches of marked pieces that have fewer than ``least`` words."""
+    edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
+    total = np.concatenate([[0], np.cumsum(size)])
+    out = mark.copy()
+    for lo, hi in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
+        if total[hi] - total[lo] < least:
+            out[lo:hi] = False
+    return out
+
+
+def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, min_words: int = MIN_WORDS,
+                min_cut: int = MIN_CUT) -> DataFrame:
     """``docs`` with repeated pieces cut out of the text, and ``n_pieces``, ``n_removed``, ``cut_words``,
     ``cut_spans`` (flat code point ranges of the old text) added; select other names first if they clash."""
     gone = repeated_pieces(docs, id_col, text_col, run, min_words).withColumnRenamed("id", "__s_id")
@@ -137,7 +150,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         continue
                     mark = np.zeros(counts[r] + 1, bool)
                     mark[(np.array(s)[:, None] + np.arange(run)[None, :]).ravel()] = True
-                    mark = mark[:-1]
+                    mark = _long_enough(mark[:-1], p.size[p.first[r]:p.first[r + 1]], min_cut)
                     begin = np.append(p.begin[p.first[r]:p.first[r + 1]] - at[r], len(row))
                     edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
                     lo, hi = begin[np.flatnonzero(edge == 1)], begin[np.flatnonzero(edge == -1)]
