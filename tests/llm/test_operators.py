@@ -428,3 +428,24 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"]: r["text"] for r in out} == texts and len(out) == len(texts)
     assert all(r["lossless"] and r["n_chars"] == len(r["text"]) for r in out)
+
+
+CLASHES = ["id", "no", "line", "gone", "near", "component", "n_hit", "spans", "items", "key", "pieces", "lossless", "n_words", "kept", "quality", "h1"]
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_stages_on_hard_rows_with_clashing_columns(spark, hard, at):
+    name, stage = corpus_pipeline.STAGES[at]
+    rows = [*hard, (None, "a row without an id"), (None, None), (5, "one"), (104, None)]
+    docs = frame(spark, rows)
+    for c in CLASHES:
+        docs = docs.withColumn(c, docs.n_chars)
+    out = stage(spark, docs, SF)
+    if at < 4:
+        assert out.columns == docs.columns
+    else:
+        assert out.columns[:len(docs.columns)] == docs.columns and out.count() == len(rows)
+    got = out.collect()
+    assert {(r["doc_id"], r["text"]) for r in got} <= {(i, t) for i, t in rows} or at == 1
+    empty = stage(spark, docs.limit(0), SF)
+    assert empty.count() == 0 and empty.columns == out.columns
