@@ -169,3 +169,16 @@ def test_season_range_prunes_partitions(spark, tmp_path):
     assert sorted({str(r.season) for r in got.collect()}) == ["2012", "2013"]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "season" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_recipe_pools_drops_and_is_saved_with_the_model(spark, tmp_path):
+    from medalcast.operators.modeling import fit_recipe, gbt_pipeline, load_model, save_model
+    rows_ = [(i, float(i % 7), "a" if i % 3 else "b'\\", "x", f"rare{i}" if i % 2 else None, float(i % 2)) for i in range(400)]
+    train = spark.createDataFrame(rows_, "i long, v double, g string, flat string, many string, y double")
+    levels = fit_recipe(train, ["g", "flat", "many"])
+    assert levels == {"g": ["a", "b'\\"]}                 # one level and all-rare columns have no variance
+    model = gbt_pipeline(["v"], ["g", "flat", "many"], "y", trees=2, levels=levels).fit(train)
+    save_model(model, str(tmp_path / "m"))
+    new = spark.createDataFrame([(1, 2.0, "unseen", "x", "z", 0.0), (2, 2.0, None, None, None, 0.0), (3, 1.0, "b'\\", "x", "z", 0.0)], train.schema)
+    got = load_model(str(tmp_path / "m")).transform(new).orderBy("i").collect()
+    assert [r.g_pooled for r in got] == ["other", "other", "b'\\"] and all(r.prediction is not None for r in got)
