@@ -16,28 +16,41 @@ from medalcast.llm.stage import Scratch, table
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+#: Rows of an Arrow batch: texts are long, and both ends of the pipe to Python hold a batch.
+BATCH_ROWS = 2_000
+
+
+def _settings(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    _settings(spark)
     return quality_rules.keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document or line has, within one edit, go; documents left without a word go."""
+    _settings(spark)
     return line_dedup.dedup_lines(docs, size_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays."""
+    _settings(spark)
     return near_dedup.keep_one(docs, num=80, band_rows=7)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share benchmark passages with a twentieth of their words or more go."""
+    _settings(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, model_path: str = MODEL_PATH) -> DataFrame:
     """Adds the piece ids of each text, their number, and whether they decode to it."""
+    _settings(spark)
     def fresh(name):
         while name in docs.columns:
             name += "_"

@@ -128,7 +128,7 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
                     [s.column(0).take(pa.array(runs)), pa.array(parts), text,
                      pa.ListArray.from_arrays(pa.array(span_at.astype(np.int32)), pa.array(spans.astype(np.int64)))],
                     names=["conv_id", "part", "text", "loss_spans"])
-    return src.mapInArrow(run, "conv_id long, part long, text string, loss_spans array<long>")
+    return src.mapInArrow(tv.lean(run), "conv_id long, part long, text string, loss_spans array<long>")
 
 
 _TURN = re.compile(r"### ((?:[^\\:]+|\\.|:(?! ))*): ((?:[^\\<]+|\\.|<(?!/turn>))*)</turn>\n", re.S)
@@ -183,4 +183,4 @@ def digest_conversations(formatted: DataFrame) -> DataFrame:
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tv.lean(run), schema)

@@ -216,7 +216,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                             pa.array(items, pa.list_(pa.string()))]
                     yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, *cols],
                                                      names=[*batch.schema.names, *added])
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(tv.lean(run), schema)
 
     if n_blocks == 1:
         return scan(0)
@@ -242,7 +242,7 @@ def _union_blocks(docs: DataFrame, scans: list[DataFrame], text_col: str, prefix
             yield pa.RecordBatch.from_arrays(
                 [b.column("__digest"), pa.array(hit, pa.int64()), pa.array(spans, pa.list_(pa.int32())), b.column("items")],
                 names=["__digest", "n_hit", "spans", "items"])
-    per = per.mapInArrow(run, "__digest string, n_hit long, spans array<int>, items array<string>")
+    per = per.mapInArrow(tv.lean(run), "__digest string, n_hit long, spans array<int>, items array<string>")
     per = per.toDF("__digest", "__hit", "__spans", "__items")
     base = scans[0].drop(*[prefix + c for c in ("n_hit", "spans", "items")]).withColumn("__digest", digest)
     return base.join(per, "__digest", "left").select(

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from . import textvec as tv
 from .stage import Scratch
 from .textvec import U, as_long, mix
 
@@ -105,7 +106,7 @@ def _variants(cand: DataFrame) -> DataFrame:
                 held, rows = [], 0
         if held:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-    return cand.select("id", "no", "line").mapInArrow(packed, "key long, id long, no int, pos int")
+    return cand.select("id", "no", "line").mapInArrow(tv.lean(packed), "key long, id long, no int, pos int")
 
 
 def _near(cand: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, band_r
                 ], names=["id", "n_shingles", "d1", "d2", "bands", "regs"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tv.lean(run), schema)
 
 
 def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k: int) -> DataFrame:
@@ -96,7 +96,7 @@ def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     right = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
-    return src.join(right, "id", "left_semi").mapInArrow(run, "id long, s array<long>").dropDuplicates(["id"])
+    return src.join(right, "id", "left_semi").mapInArrow(tv.lean(run), "id long, s array<long>").dropDuplicates(["id"])
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -117,7 +117,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     def side(x):
         return nodes.select(F.col("id").alias(x), F.col("n_shingles").alias("n" + x), F.col("regs").alias("r" + x))
     return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(tv.lean(run), "a long, b long"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

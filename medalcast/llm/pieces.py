@@ -44,7 +44,7 @@ NONE = np.int32(2**31 - 1)
 SLICE = 1 << 18        # bytes of text worked on at once
 VARIANTS = 4
 SHORT = 15             # bytes of a word that can be remembered
-REMEMBER = 700_000     # (word, variant) entries a worker keeps, about 50 bytes each
+REMEMBER = 400_000     # (word, variant) entries a worker keeps, about 50 bytes each
 DENSE = 0x400          # pairs of code points below it are looked up in a square table
 
 
@@ -560,7 +560,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", key_col: str =
                 if check_col:
                     cols.append(pa.array(_same(*decode_rows(enc.v, ids, counts), part, at)))
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, *cols], names=names)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tv.lean(run), schema)
 
 
 def _same(data, off, want, want_off) -> np.ndarray:
@@ -605,7 +605,7 @@ def decode(encoded: DataFrame, model: bytes, pieces_col: str = "pieces", out_col
             for i, j in tv.slices(at, SLICE // 4):
                 text = _text(v, ids[at[i]:at[j]], counts[i:j], _validity(col.slice(i, j - i)))
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, text], names=[*b.schema.names, out_col])
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(tv.lean(run), schema)
 
 
 def _validity(col):

@@ -27,7 +27,7 @@ from .textvec import U, mix
 
 LABELLERS = ["length", "word_length", "symbols", "variety", "capitals", "sentence_ends", "shouting", "line_repeats", "tidy"]
 BUCKETS = 1 << 18
-TRAIN_ROWS = 8_000       # documents the scorer is trained on, at most
+TRAIN_ROWS = 4_000       # documents the scorer is trained on, at most
 EM_ROUNDS = 50
 EPOCHS = 80
 RATE = 0.5
@@ -120,7 +120,7 @@ def label(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             for i, j, w in _sliced(b, 1):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(votes(*w) @ base)], names=["id", "pattern"])
-    return _source(docs, id_col, text_col).mapInArrow(run, "id long, pattern long")
+    return _source(docs, id_col, text_col).mapInArrow(tv.lean(run), "id long, pattern long")
 
 
 def _source(docs, id_col, text_col):
@@ -215,7 +215,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
                 feats = [bucket[order[at[r]:at[r + 1]]].astype(np.int32).tobytes() for r in range(j - i)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(votes(*w) @ base), pa.array(feats, pa.binary())],
                                                  names=["id", "pattern", "f"])
-    sample = (src.join(some, "id", "left_semi").mapInArrow(emit, "id long, pattern long, f binary").dropDuplicates(["id"]).collect())
+    sample = (src.join(some, "id", "left_semi").mapInArrow(tv.lean(emit), "id long, pattern long, f binary").dropDuplicates(["id"]).collect())
     sample.sort(key=lambda r: r["id"])
     target = model.posterior([r["pattern"] for r in sample]) if sample else []
     held = spark.sparkContext.broadcast((model, *train(list(zip(target, [bytes(r["f"]) for r in sample], strict=True)))))
@@ -233,4 +233,4 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
                     [b.column(0).slice(i, j - i), pa.array(s), pa.array(model.posterior(v @ base)),
                      pa.array((v != 1).sum(axis=1)), pa.array(s >= KEEP_AT)],
                     names=["id", "score", "posterior", "n_votes", "kept"])
-    return src.mapInArrow(score, "id long, score double, posterior double, n_votes long, kept boolean")
+    return src.mapInArrow(tv.lean(score), "id long, score double, posterior double, n_votes long, kept boolean")

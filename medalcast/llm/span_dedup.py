@@ -93,7 +93,7 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, run: int, min_words: int)
                         [pa.array(ids[i:j][row[z]]), pa.array(at[z].astype(np.int32)), pa.array(tv.as_long(h1[z])), pa.array(tv.as_long(h2[z]))],
                         names=["id", "no", "h1", "h2"])
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t")).filter("id is not null")
-    return src.mapInArrow(emit, "id long, no int, h1 long, h2 long")
+    return src.mapInArrow(tv.lean(emit), "id long, no int, h1 long, h2 long")
 
 
 def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
@@ -167,4 +167,4 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [*cols, pa.array(counts, pa.int64()), pa.array(removed), pa.array(words), pa.array(spans, pa.list_(pa.int64()))],
                     names=names)
-    return both.mapInArrow(cut, schema)
+    return both.mapInArrow(tv.lean(cut), schema)

@@ -12,6 +12,7 @@ separators, so a text of any length costs eight bytes a word plus a fixed part.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,6 +74,33 @@ SPACED_CASED = WordClass([b for b in range(256) if b not in _SPACE], fold_case=F
 ALNUM = WordClass([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 
 
+def give_back() -> None:
+    """Return memory that this worker freed to the system; allocators keep it for themselves otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):      # another C library
+    _TRIM = None
+
+
+def lean(run):
+    """``run`` (over an iterator of batches) with freed memory given back after every batch."""
+    def fed(batches):
+        for b in batches:
+            yield b
+            del b
+            give_back()
+
+    def whole(batches):
+        yield from run(fed(batches))
+        give_back()
+    return whole
+
+
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; a null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

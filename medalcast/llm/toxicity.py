@@ -166,7 +166,7 @@ def _leaning(sample: DataFrame) -> np.ndarray:
     if not k:
         return np.zeros(0, U)
     share = k / n
-    per = (sample.mapInArrow(run, "x long, y int").filter("x <> 0").groupBy("x")
+    per = (sample.mapInArrow(tv.lean(run), "x long, y int").filter("x <> 0").groupBy("x")
            .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")).filter(F.col("k") >= MIN_TOXIC))
     z = (F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
     best = per.withColumn("z", z).filter(F.col("z") >= Z).orderBy(F.desc("z"), "x").limit(MAX_FEATURES).select("x").collect()
@@ -189,7 +189,7 @@ def _bags(sample: DataFrame, vocabulary: np.ndarray) -> list:
                      pa.array([at[cut[r]:cut[r + 1]].astype(np.int32).tobytes() for r in range(j - i)], pa.binary()),
                      pa.array([(sent[cut[r]:cut[r + 1]] - first[r]).astype(np.int32).tobytes() for r in range(j - i)], pa.binary())],
                     names=["id", "y", "n", "at", "sent"])
-    got = sample.mapInArrow(run, "id long, y int, n long, at binary, sent binary").collect()
+    got = sample.mapInArrow(tv.lean(run), "id long, y int, n long, at binary, sent binary").collect()
     return [(r["y"], r["n"], bytes(r["at"]), bytes(r["sent"])) for r in sorted(got, key=lambda r: r["id"])]
 
 
@@ -227,7 +227,7 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, np.ndarray]
                     [b.column(0).slice(i, n), pa.array(-np.expm1(log_clean)), pa.array(np.bincount(row, minlength=n)),
                      pa.ListArray.from_arrays(pa.array((2 * at).astype(np.int32)), pa.array(spans.astype(np.int64)))],
                     names=["id", "score", "n_sentences", "offending"])
-    return src.mapInArrow(run, "id long, score double, n_sentences long, offending array<long>")
+    return src.mapInArrow(tv.lean(run), "id long, score double, n_sentences long, offending array<long>")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2):
