@@ -9,7 +9,8 @@ Method
    candidates. A band bucket of up to ``SMALL`` nodes gives all its pairs. A
    larger one gives a sparse chain over a band-specific order, in blocks, so a
    bucket of any size is split over tasks and gives a linear number of pairs.
-3. The joint likelihood of the two sketches drops a pair only if the best
+3. Pairs whose sizes can't reach the similarity are dropped, in whole numbers.
+   The joint likelihood of the two sketches drops another only if the best
    similarity at or above the threshold is e^-``LEAD`` times less likely than
    the most likely one. The rest is verified on full shingle sets.
 4. Verified links give components. For large buckets that still hold several,
@@ -99,19 +100,19 @@ def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, k
     return src.join(right, "id", "left_semi").mapInArrow(tv.lean(run), "id long, s array<long>").dropDuplicates(["id"])
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that the sketches' joint likelihood doesn't rule out."""
+def _likely(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that neither their sizes nor the sketches' joint likelihood rule out."""
     def run(batches):
         for t in batches:
             if not t.num_rows:
                 continue
             ra, rb = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint16).reshape(-1, sk.M) for c in ("ra", "rb"))
-            na, nb = (t.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            keep = np.zeros(t.num_rows, bool)
+            na, nb = (t.column(c).to_numpy() for c in ("na", "nb"))
+            keep = den * np.minimum(na, nb) >= num * np.maximum(na, nb)
             for i in range(0, t.num_rows, 2000):
                 z = slice(i, i + 2000)
-                _, lead = sk.joint_estimate(ra[z], rb[z], na[z], nb[z], threshold)
-                keep[z] = lead <= LEAD
+                _, lead = sk.joint_estimate(ra[z], rb[z], na[z].astype(float), nb[z].astype(float), num / den)
+                keep[z] &= lead <= LEAD
             yield t.select(["a", "b"]).filter(pa.array(keep))
 
     def side(x):
@@ -212,7 +213,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     sets = scratch.write(_shingle_sets(docs, id_col, text_col, named, k), "sets")
 
     def links(pairs):
-        return _linked(_likely(pairs, cand, num / den), sets, num, den)
+        return _linked(_likely(pairs, cand, num, den), sets, num, den)
 
     edges = scratch.write(links(_first_pairs(members)), "edges")
     comp = scratch.write(connected_components(edges, scratch), "components")

@@ -83,15 +83,17 @@ def joint_estimate(reg_a: np.ndarray, reg_b: np.ndarray, n_a: np.ndarray, n_b: n
 
     The likelihood is concave enough in j for a grid then a refinement to find
     its top; a lead of 0 means that the top lies at or above the threshold.
+    Whether two sizes can reach the threshold at all is for the caller to decide
+    in whole numbers; here the largest possible similarity is the threshold at least.
     """
     more = (reg_a > reg_b).sum(axis=1).astype(float)
     less = (reg_a < reg_b).sum(axis=1).astype(float)
     same = M - more - less
     u = n_a / (n_a + n_b)
-    top = np.minimum(u / (1 - u), (1 - u) / u)               # largest possible similarity
+    top = np.maximum(np.minimum(u / (1 - u), (1 - u) / u), threshold)      # largest possible similarity
     grid = np.linspace(0, 1, 101)[None, :] * top[:, None]
     ll = log_likelihood(grid, u[:, None], more[:, None], less[:, None], same[:, None])
     best = ll.argmax(axis=1)
     j = grid[np.arange(len(u)), best]
-    ll_at = log_likelihood(np.minimum(np.maximum(j, threshold), top), u, more, less, same)
-    return j, np.where(top < threshold, np.inf, np.maximum(0.0, ll.max(axis=1) - ll_at))
+    ll_at = log_likelihood(np.maximum(j, threshold), u, more, less, same)
+    return j, np.maximum(0.0, ll.max(axis=1) - ll_at)

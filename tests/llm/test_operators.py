@@ -115,6 +115,30 @@ def test_near_duplicates(spark, hard):
     assert near_dedup.near_duplicate_classes(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("num", [85, 80])
+def test_containment_at_the_limit_in_both_id_orders(spark, num):
+    rng = random.Random(num)
+    rows = []
+    for n, k in enumerate([1, 2, 5, 7, 10]):              # sets of 20k shingles, and of the limit's share of them
+        size = 20 * k
+        w = [f"d{n}x{i}" for i in range(size + 4)]
+        cut = w[:size * num // 100 + 4]
+        rows += [(100 * n + 1, " ".join(w)), (100 * n + 2, " ".join(cut))]
+        up = [f"u{x}" for x in w]
+        rows += [(100 * n + 11, " ".join(up[:len(cut)])), (100 * n + 12, " ".join(up))]
+        short = [f"s{x}" for x in w]                      # one shingle less than the limit
+        rows += [(100 * n + 21, " ".join(short)), (100 * n + 22, " ".join(short[:len(cut) - 1]))]
+    rng.shuffle(rows)
+    out = near_dedup.near_duplicate_classes(frame(spark, rows), num=num, band_rows=7 if num == 80 else 8).collect()
+    want = brute.classes(rows, num)
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in out} == want
+    assert sum(i != c for i, (_, c) in want.items()) == 10
+    for a in range(1, 400):                               # no size pair at the limit is ruled out by rounding
+        n_a, n_b = np.array([20.0 * a, num / 5 * a]), np.array([num / 5 * a, 20.0 * a])
+        reg = np.ones((2, setsketch.M), np.uint16)
+        assert np.isfinite(setsketch.joint_estimate(reg, reg, n_a, n_b, num / 100)[1]).all()
+
+
 def test_large_bucket_needs_cross_pairs(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL", 2)
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
