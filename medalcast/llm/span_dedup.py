@@ -1,13 +1,18 @@
 """Substring dedup by sliding runs of consecutive sentence pieces.
 
 A text is cut into pieces: a piece ends at sentence or clause punctuation
-(``.!?,;:`` at a word's end), at a line end, or after ``PIECE_WORDS`` words.
-Every run of ``RUN`` consecutive pieces with at least ``MIN_WORDS`` words is
-hashed (128 bits over its words, A-Z folded), the hashes are joined over all
-documents, and the pieces inside runs that occurred before, by (document id,
-piece number), are removed where they add up to ``MIN_CUT`` words or more side
-by side. A repeated passage of more than 50 words thus loses all pieces that
-begin and end inside it; shorter repeats, such as single stock lines, stay.
+(``.!?,;:`` at a word's end) or at a line end. Longer ones than ``PIECE_WORDS``
+are cut again by content: behind every word whose hash is the least among its
+``REACH`` neighbours on either side, and behind every local minimum where more
+than twice ``PIECE_WORDS`` are left. The cuts inside a passage thus don't depend
+on where it starts. Runs are consecutive pieces of at least ``RUN_WORDS`` words
+together: the shortest from every piece onwards, and the shortest back from
+every piece that ends none of these. They are hashed (128 bits over their words,
+A-Z folded), the hashes are joined over all documents, and the pieces inside
+runs that occurred before, by (document id, piece number), are removed where
+they add up to ``MIN_CUT`` words or more side by side. A repeated passage of
+more than 50 words thus loses all pieces that begin and end inside it; shorter
+repeats, such as single stock lines, stay.
 
 First occurrences are minima, combined before the shuffle and joined back; a
 run that a third of the corpus shares is split by the skew join, never held in
@@ -16,7 +21,7 @@ piece numbers to the texts.
 
 Cases: null text stays null; rows with a null id pass untouched and hold back
 nothing. Rows that repeat an id and its text get equal results. Overlapping
-repeats inside one text (one sentence over and over) keep the first pieces.
+repeats inside one text (one sentence over and over) keep the first run whole.
 Empty tables give empty ones; other columns are passed on whatever their names.
 """
 
@@ -33,23 +38,55 @@ from .stage import Scratch
 from .textvec import U
 
 PIECE_WORDS = 12
-RUN = 2
-MIN_WORDS = 3
+REACH = 4
+RUN_WORDS = 16
 MIN_CUT = 20
+LENGTHS = 32               # a run is packed as its first piece * LENGTHS + its number of pieces
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True
-_SECOND = np.array([tv._mix_int(9000 + i) | 1 for i in range(PIECE_WORDS)], dtype=U)
+_BASES = [(x & ~7) | 5 for x in (tv._mix_int(9001), tv._mix_int(9002))]      # powers repeat after 2**62 only
+
+
+def _least(h: np.ndarray, part: np.ndarray, reach: int) -> np.ndarray:
+    """Words with ``reach`` neighbours of their part on either side, none of which has a smaller hash."""
+    n = len(h)
+    out = np.zeros(n, bool)
+    if n <= 2 * reach:
+        return out
+    mid = slice(reach, n - reach)
+    ok = (part[:n - 2 * reach] == part[mid]) & (part[2 * reach:] == part[mid])
+    for d in range(1, reach + 1):
+        ok &= (h[mid] <= h[reach - d:n - reach - d]) & (h[mid] <= h[reach + d:n - reach + d])
+    out[mid] = ok
+    return out
+
+
+def _cut_again(cut: np.ndarray, h: np.ndarray, longest: int, reach: int) -> np.ndarray:
+    """``cut`` (word ends a piece) with pieces of more than ``longest`` words cut at their least hashes."""
+    size = np.diff(np.concatenate([[-1], np.flatnonzero(cut)]))
+    part = np.repeat(np.arange(len(size)), size)
+    return cut | (_least(h, part, reach) & np.repeat(size > longest, size))
+
+
+def _span_hashes(h: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int) -> np.ndarray:
+    """Hash of the words lo..hi-1 of every span, by differences of one running polynomial."""
+    power = np.full(len(h) + 1, U(base))
+    power[0] = 1
+    np.cumprod(power, out=power)
+    total = np.concatenate([np.zeros(1, U), np.cumsum(h * power[:-1])])
+    power[1:] = U(pow(base, -1, 1 << 64))
+    np.cumprod(power, out=power)
+    return tv.mix((total[hi] - total[lo]) * power[lo] ^ (hi - lo).astype(U))
 
 
 class Pieces:
-    """Pieces of a slice of rows: first word's byte, word count, two hashes, and the rows' first pieces."""
+    """Pieces of a slice of rows: first word's byte, word count, the words' hashes, and the rows' first pieces."""
 
     def __init__(self, buf: np.ndarray, off: np.ndarray):
         starts, ends, h, first = tv.words(buf, off, tv.SPACED)
-        n = len(starts)
-        if not n:
+        self.h = h
+        if not len(starts):
             self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            self.h1 = self.h2 = np.zeros(0, U)
             self.first = np.zeros(len(off), np.int64)
             return
         lines = np.concatenate([[0], np.cumsum(buf == 0x0A)])
@@ -57,55 +94,61 @@ class Pieces:
         cut[:-1] |= lines[starts[1:]] != lines[ends[:-1]]
         cut[-1] = True
         cut[first[1:][first[1:] > 0] - 1] = True
-        opens = np.flatnonzero(np.concatenate([[True], cut[:-1]]))
-        place = np.arange(n) - np.repeat(opens, np.diff(np.append(opens, n)))
-        head = np.flatnonzero(place % PIECE_WORDS == 0)          # natural pieces, cut again if long
-        self.size = np.diff(np.append(head, n))
-        place %= PIECE_WORDS
-        self.h1 = tv.mix(np.add.reduceat(h * tv.gram_consts(PIECE_WORDS)[place], head) ^ self.size.astype(U))
-        self.h2 = tv.mix(np.add.reduceat((h ^ U(0x5851F42D4C957F2D)) * _SECOND[place], head) ^ self.size.astype(U))
+        cut = _cut_again(cut, h, PIECE_WORDS, REACH)
+        cut = _cut_again(cut, h, 2 * PIECE_WORDS, 1)
+        head = np.flatnonzero(np.concatenate([[True], cut[:-1]]))
+        self.size = np.diff(np.append(head, len(starts)))
         self.begin = starts[head]
         self.first = np.searchsorted(head, first)
 
-    def runs(self, run: int, min_words: int):
-        """(row, piece number, hash, second hash) of every run."""
-        n = len(self.size) - run + 1
-        if n <= 0:
-            z = np.zeros(0, np.int64)
-            return z, z, z.astype(U), z.astype(U)
-        row = tv.row_ids(self.first)[:n]
-        words = sum(self.size[j:j + n] for j in range(run))
-        ok = (np.arange(n) + run <= self.first[1:][row]) & (words >= min_words)
-        at = np.flatnonzero(ok)
-        return row[at], at - self.first[row[at]], tv.grams(self.h1, run)[at], tv.grams(self.h2, run)[at]
-
-
-def _runs(docs: DataFrame, id_col: str, text_col: str, run: int, min_words: int) -> DataFrame:
+    def runs(self, run_words: int):
+        """(row, packed run, hash, second hash) of every run."""
+        n = len(self.size)
+        at = np.concatenate([[0], np.cumsum(self.size)])
+        row = tv.row_ids(self.first)
+        b = np.arange(n)
+        e = np.searchsorted(at, at[:-1] + run_words)                        # shortest onwards
+        e[e > self.first[1:][row]] = 0                                      # past the row's end
+        back = np.searchsorted(at, at[1:] - run_words, side="right") - 1    # shortest backwards, to each piece
+        more = np.flatnonzero((back >= self.first[:-1][row]) & (e[back] != b + 1))
+        fits = e > 0
+        lo, hi = np.concatenate([b[fits], back[more]]), np.concatenate([e[fits], more + 1])
+        row = row[lo]
+        h1, h2 = (_span_hashes(self.h, at[lo], at[hi], x) for x in _BASES)
+        return row, (lo - self.first[row]) * LENGTHS + (hi - lo), h1, h2
+
+
+def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
     def emit(batches):
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             buf, off = tv.utf8(b.column(1))
             for i, j in tv.slices(off):
-                row, at, h1, h2 = Pieces(buf[off[i]:off[j]], off[i:j + 1] - off[i]).runs(run, min_words)
+                row, at, h1, h2 = Pieces(buf[off[i]:off[j]], off[i:j + 1] - off[i]).runs(run_words)
                 for k in range(0, len(row), 100_000):
                     z = slice(k, k + 100_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[i:j][row[z]]), pa.array(at[z].astype(np.int32)), pa.array(tv.as_long(h1[z])), pa.array(tv.as_long(h2[z]))],
+                        [pa.array(ids[i:j][row[z]]), pa.array(at[z]), pa.array(tv.as_long(h1[z])), pa.array(tv.as_long(h2[z]))],
                         names=["id", "no", "h1", "h2"])
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t")).filter("id is not null")
-    return src.mapInArrow(tv.lean(emit), "id long, no int, h1 long, h2 long")
+    return src.mapInArrow(tv.lean(emit), "id long, no long, h1 long, h2 long")
 
 
-def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
-                    min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, starts): sorted first pieces of the runs of each document that occurred before."""
+def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS) -> DataFrame:
+    """(id, starts): sorted runs (packed) of each document that occurred before."""
+    if not 0 < run_words < LENGTHS:
+        raise ValueError(f"run_words must be from 1 to {LENGTHS - 1}, not {run_words}")
     scratch = Scratch(docs.sparkSession, "span-dedup")
-    runs = _runs(docs, id_col, text_col, run, min_words)
+    runs = _runs(docs, id_col, text_col, run_words)
     seen = (runs.groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("f"), F.count(F.lit(1)).alias("c"))
             .filter("c > 1").select("h1", "h2", "f"))
     seen = scratch.write(seen, "repeated-runs")
     again = runs.join(seen, ["h1", "h2"]).filter(F.struct("id", "no") != F.col("f"))
-    return again.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("starts"))
+    lo, first = (F.shiftright(x, LENGTHS.bit_length() - 1) for x in ("no", "f.no"))
+    end, first_end = lo + F.col("no") % LENGTHS, first + F.col("f.no") % LENGTHS
+    lo = F.when(F.col("id") == F.col("f.id"), F.greatest(lo, first_end)).otherwise(lo)     # the first one stays whole
+    left = again.filter(lo < end).select("id", (lo * LENGTHS + end - lo).alias("no"))
+    return left.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("starts"))
 
 
 def _long_enough(mark: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
@@ -119,11 +162,11 @@ def _long_enough(mark: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, min_words: int = MIN_WORDS,
+def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS,
                 min_cut: int = MIN_CUT) -> DataFrame:
     """``docs`` with repeated pieces cut out of the text, and ``n_pieces``, ``n_removed``, ``cut_words``,
     ``cut_spans`` (flat code point ranges of the old text) added; select other names first if they clash."""
-    gone = repeated_pieces(docs, id_col, text_col, run, min_words).withColumnRenamed("id", "__s_id")
+    gone = repeated_pieces(docs, id_col, text_col, run_words).withColumnRenamed("id", "__s_id")
     both = docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__s_id"), "left").drop("__s_id")
     added = [T.StructField("n_pieces", T.LongType()), T.StructField("n_removed", T.LongType()),
              T.StructField("cut_words", T.LongType()), T.StructField("cut_spans", T.ArrayType(T.LongType()))]
@@ -148,9 +191,11 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         spans.append([])
                         texts.append(None if null[i + r] else row.tobytes())
                         continue
-                    mark = np.zeros(counts[r] + 1, bool)
-                    mark[(np.array(s)[:, None] + np.arange(run)[None, :]).ravel()] = True
-                    mark = _long_enough(mark[:-1], p.size[p.first[r]:p.first[r + 1]], min_cut)
+                    no, length = np.divmod(np.array(s), LENGTHS)
+                    depth = np.zeros(counts[r] + 1, np.int64)
+                    np.add.at(depth, no, 1)
+                    np.add.at(depth, no + length, -1)
+                    mark = _long_enough(np.cumsum(depth)[:-1] > 0, p.size[p.first[r]:p.first[r + 1]], min_cut)
                     begin = np.append(p.begin[p.first[r]:p.first[r + 1]] - at[r], len(row))
                     edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
                     lo, hi = begin[np.flatnonzero(edge == 1)], begin[np.flatnonzero(edge == -1)]

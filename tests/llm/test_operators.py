@@ -270,6 +270,24 @@ def test_span_dedup(spark, hard):
     assert span_dedup.dedup_spans(frame(spark, [])).count() == 0
 
 
+def test_span_dedup_of_any_pieces(spark):
+    rng = random.Random(21)
+    lists = [" ".join(f"{w}{mark}" for w in words(rng, 60).split()) for mark in ("!!", ",", ";", ".\n")]
+    bare = [words(rng, 51) for _ in range(12)]
+    rows = [(n, t) for n, t in enumerate(lists)] + [(100 + n, t) for n, t in enumerate(lists)]
+    for n, p in enumerate(bare):                          # unpunctuated, starting at any place of an unpunctuated text
+        rows += [(200 + n, f"{words(rng, 20 + n)} {p} {words(rng, 30)}"), (300 + n, f"{words(rng, 37 + 3 * n)} {p} {words(rng, 30)}")]
+    rows += [(400, " ".join(["spam"] * 200)), (500, "Buy it now, friend. " * 50)]
+    out = {r["doc_id"]: r for r in span_dedup.dedup_spans(frame(spark, rows)).collect()}
+    for n in range(len(lists)):
+        assert out[n]["n_removed"] == 0 and out[100 + n]["text"].strip() == "" and out[100 + n]["cut_words"] == 60
+    for n, p in enumerate(bare):
+        assert out[200 + n]["n_removed"] == 0 and 20 <= out[300 + n]["cut_words"] <= 51
+        cut = "".join(rows_text[a:b] for rows_text in [dict(rows)[300 + n]] for a, b in [out[300 + n]["cut_spans"]])
+        assert cut.strip() in p
+    assert out[400]["text"].split() == ["spam"] * 16 and out[500]["cut_words"] == 200 - 16
+
+
 def test_chat(spark):
     rng = random.Random(1)
     parts = ["#", "### ", "<", "</turn>", "\\", "\n", " ", ": ", ":", "a", "é", "😀", "</tur", "n>"]
