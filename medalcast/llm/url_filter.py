@@ -4,15 +4,21 @@ Rules fit a host and its subdomains where the path starts with the rule's; the
 longest wins. For the rest, trust is a personalised PageRank from the hosts of
 allowed pages over links between hosts, and distrust one from the hosts of
 blocked pages over the reversed links (Gyongyi et al., "Combating Web Spam with
-TrustRank", 2004, and its reverse). A host is blocked if its distrust is more
-than ``MARGIN`` times its trust and above ``FLOOR`` of the mass; all else is allowed.
+TrustRank", 2004, and its reverse). Either is set against the same rank from all
+pages (Gyongyi et al., "Link Spam Detection Based on Mass Estimation", 2006):
+the share of a host's rank that stems from allowed, or blocked, pages. A host's
+own pages that no rule blocks so speak for it, and shares don't depend on how
+large the table is. A host is blocked if its distrust is more than ``MARGIN``
+times its trust and above ``FLOOR``; all else is allowed. A host of one page
+that links to a wholly blocked host alone has 0.46.
 
 Links between hosts are the absolute ``href``s of the pages, weighted by how
 many pages have them, and a subdomain is linked with its parent domain (and
 back), as a site is with its parts, where both have pages. Links are counted per host pair before any
 iteration, with partial sums before each shuffle, so neither a host with a third
 of all pages nor one that a third of all pages link to gathers rows in a task.
-Ranks are written to the shared folder after every round.
+Ranks are written to the shared folder after every round, until no kind of rank
+changes by more than ``TOLERANCE`` of its mass.
 
 Cases: a null url, or one without ``://``, has an empty host and path, fits no
 rule and is allowed. Null html has no links. Repeated rows are judged alike and
@@ -30,9 +36,10 @@ from .stage import Scratch
 # --- fixed values: (verdict, host, path) ---
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 DAMPING = 0.85
-ROUNDS = 10
+TOLERANCE = 1e-4
+ROUNDS = 100        # at most; the change of a round is 2 * DAMPING ** rounds or less, under TOLERANCE after 61
 MARGIN = 1.0
-FLOOR = 0.0
+FLOOR = 0.45
 PARENT_WEIGHT = 1.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -73,41 +80,58 @@ def host_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     return links.union(tied).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(kind, host, rank) from (src, dst, w) links and (kind, host, w) seeds: 'trust' flows along links, 'distrust' against them."""
+def propagate(links: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = ROUNDS, damping: float = DAMPING,
+              tolerance: float = TOLERANCE) -> DataFrame:
+    """(kind, host, rank) from (src, dst, w) links and (kind, host, w) seeds.
+
+    'trust' and 'all_trust' flow along links, 'distrust' and 'all_distrust' against them.
+    """
     mass = seeds.groupBy("kind").agg(F.sum("w").alias("total"))
     seed = scratch.write(seeds.join(F.broadcast(mass), "kind").filter("total > 0")        # two rows
                          .select("kind", "host", (F.col("w") / F.col("total")).alias("seed")), "seeds")
-    both = (links.select(F.lit("trust").alias("kind"), "src", "dst", "w")
-            .unionByName(links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "w")))
+    along = links.select(F.explode(F.array(F.lit("trust"), F.lit("all_trust"))).alias("kind"), "src", "dst", "w")
+    against = links.select(F.explode(F.array(F.lit("distrust"), F.lit("all_distrust"))).alias("kind"),
+                           F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
+    both = along.unionByName(against)
     out = both.groupBy("kind", "src").agg(F.sum("w").alias("all_w"))
     step = scratch.write(both.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("w") / F.col("all_w")).alias("p")), "steps")
     rank = seed.select("kind", "host", F.col("seed").alias("rank"))
     last = None
-    for _ in range(rounds):
+    for done in range(rounds):
         flow = (rank.join(step, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("p")).alias("flow")))
         nxt = (flow.join(seed, ["kind", "host"], "full").select(
             "kind", "host", (F.coalesce("flow", F.lit(0.0)) * damping + F.coalesce("seed", F.lit(0.0)) * (1 - damping)).alias("rank")))
-        rank = scratch.write(nxt, "ranks")
+        new = scratch.write(nxt, "ranks")
+        diff = (new.unionByName(rank.select("kind", "host", (-F.col("rank")).alias("rank"))).groupBy("kind", "host")
+                .agg(F.abs(F.sum("rank")).alias("d")).groupBy("kind").agg(F.sum("d").alias("d")).agg(F.max("d")))
+        still = done + 1 < rounds and (diff.first()[0] or 0.0) > tolerance
         if last is not None:
             scratch.drop(last)
-        last = rank
+        rank = last = new
+        if not still:
+            break
     return rank
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=None) -> DataFrame:
-    """One row per input row: (id, host, path, rule, verdict, trust, distrust)."""
+    """One row per input row: (id, host, path, rule, verdict, trust, distrust); the last two are shares of the host's rank."""
     rules = RULES if rules is None else rules
     scratch = Scratch(pages.sparkSession, "urls")
     u = F.col(f"`{url_col}`")
     base = pages.select(F.col(f"`{id_col}`").alias("id"), host_of(u).alias("host"), path_of(u).alias("path"))
     name, verdict = _by_rule(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"rule": name, "ruled": verdict})
-    seeds = (base.filter("ruled is not null and host <> ''").groupBy("host", "ruled").agg(F.count(F.lit(1)).cast("double").alias("w"))
-             .select(F.when(F.col("ruled") == "allow", "trust").otherwise("distrust").alias("kind"), "host", "w"))
+    pages_of = base.filter("host <> ''").groupBy("host", "ruled").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    kinds = F.array(F.when(F.col("ruled") == "allow", "trust").when(F.col("ruled") == "block", "distrust"), F.lit("all_trust"), F.lit("all_distrust"))
+    seeds = scratch.write(pages_of.select(F.explode(kinds).alias("kind"), "host", "w").filter("kind is not null")
+                          .groupBy("kind", "host").agg(F.sum("w").alias("w")), "page-seeds")
     links = scratch.write(host_links(pages, url_col, html_col), "links")
     rank = propagate(links, seeds, scratch)
-    per = rank.groupBy("host").agg(*[F.sum(F.when(F.col("kind") == k, F.col("rank"))).alias(k) for k in ("trust", "distrust")])
+    mass = seeds.groupBy("kind").agg(F.sum("w").alias("mass"))                             # four rows
+    pages_rank = rank.join(F.broadcast(mass), "kind").withColumn("r", F.col("rank") * F.col("mass"))
+    per = pages_rank.groupBy("host").agg(*[
+        (F.sum(F.when(F.col("kind") == k, F.col("r"))) / F.sum(F.when(F.col("kind") == "all_" + k, F.col("r")))).alias(k)
+        for k in ("trust", "distrust")])
     out = base.join(per, "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     method = F.when((distrust > MARGIN * trust) & (distrust > FLOOR), "block").otherwise("allow")

@@ -429,6 +429,21 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_url_filter_weighs_a_hosts_own_pages(spark):
+    def site(host, n_de, n_en, html=""):
+        return [(f"http://{host}/de/{i}", html) for i in range(n_de)] + [(f"http://{host}/en/{i}", html) for i in range(n_en)]
+    link = '<a href="http://h{}.example.com/x">x</a>'
+    rows = site("mixed.example.com", 1, 9) + site("bad.example.com", 9, 1)
+    rows += [(f"http://h{i}.example.com/en/", link.format(i + 1)) for i in range(12)] + [("http://h12.example.com/de/", "")]
+    for times in (1, 40):                                 # verdicts don't depend on the table's size
+        all_rows = [(i, u, h) for i, (u, h) in enumerate(rows * times)]
+        out = url_filter.judge_urls(spark.createDataFrame(all_rows, "page_id long, url string, html string")).collect()
+        got = {(r["host"], r["path"][:4]): r["verdict"] for r in out}
+        assert got["mixed.example.com", "/de/"] == "block" and got["mixed.example.com", "/en/"] == "allow"
+        assert got["bad.example.com", "/de/"] == got["bad.example.com", "/en/"] == "block"
+        assert [got[f"h{i}.example.com", "/en/"] for i in range(11, -1, -1)] == ["block"] + ["allow"] * 11
+
+
 def test_propagation_matches_a_plain_loop(spark):
     rng = random.Random(15)
     links = {(f"h{rng.randrange(12)}", f"h{rng.randrange(12)}"): float(rng.randrange(1, 4)) for _ in range(30)}
