@@ -6,18 +6,18 @@ vocabulary become byte pieces); the adjacent pair whose merge has the best
 score is taken, the leftmost if tied, until none is left. Provilkov et al.,
 "BPE-Dropout" (2020): with probability ``dropout`` a candidate taken from the
 agenda is skipped for good. The draw is a hash of a key, the place and the merged piece, so a retried task
-gives the same pieces, and every segmentation decodes to the same text. A word
-of up to 15 bytes has ``VARIANTS`` keys, of (seed, word, variant), and each of
-its occurrences picks one by (seed, row key, place in the text); any other
-chunk has a key of its own, of (seed, row key, place). Another seed or row thus
-gives other merges. ``dropout=0`` is SentencePiece's own encoding.
+gives the same pieces, and every segmentation decodes to the same text. Every
+chunk of every text has a key of its own, of (seed, row key, place), so another
+seed, row or place gives other merges. ``dropout=0`` is SentencePiece's own encoding.
 
 Chunks start at a run of spaces, which no piece has inside, and are cut again
 where no piece spans two neighbouring characters; merges can't cross such a
 place, so the parts are independent. Parts of one length are worked on together
 in numpy, one agenda step of every part at a time; parts of more than ``WIDE``
-characters use a heap each. A worker remembers the pieces of up to ``REMEMBER``
-(word, variant) by the word's bytes; what it remembers never changes a result.
+characters use a heap each. A worker remembers the merges that up to ``REMEMBER``
+words of up to 15 bytes make without dropout, and their pieces. An occurrence of
+which none of these merges is skipped has these pieces; any other runs its own
+agenda. What a worker remembers never changes a result.
 
 Lossless: a literal U+2581 in a text goes through byte pieces, spaces are
 neither trimmed nor folded, and invalid UTF-8 goes through byte pieces byte by
@@ -42,9 +42,8 @@ from .textvec import U, mix
 WIDE = 32
 NONE = np.int32(2**31 - 1)
 SLICE = 1 << 18        # bytes of text worked on at once
-VARIANTS = 4
 SHORT = 15             # bytes of a word that can be remembered
-REMEMBER = 400_000     # (word, variant) entries a worker keeps, about 50 bytes each
+REMEMBER = 400_000     # words a worker keeps, about 80 bytes each
 DENSE = 0x400          # pairs of code points below it are looked up in a square table
 
 
@@ -177,11 +176,13 @@ def _skips(key: np.ndarray, place: np.ndarray, piece: np.ndarray, dropout: float
     return draw < U(min(2**64 - 1, int(dropout * 2.0**64)))
 
 
-def _agenda(v: Vocabulary, sym: np.ndarray, first: np.ndarray, key: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
+def _agenda(v: Vocabulary, sym: np.ndarray, first: np.ndarray, key: np.ndarray, place: np.ndarray, dropout: float,
+            log: list | None = None) -> np.ndarray:
     """Merge parts of one length: ``sym`` [n, L] of symbols becomes pieces at their first symbol's column, -1 elsewhere.
 
     ``first`` [n, L - 1]: the merges of neighbouring characters. Flat tables with W = L + 1 columns hold, at a live symbol's cell, the symbol, the piece and rank of its merge
     with the next live symbol, and links to its neighbours; column L is the end of the part.
+    ``log`` takes (row, column, piece) of the merges.
     """
     n, width = sym.shape
     w = width + 1
@@ -230,6 +231,8 @@ def _agenda(v: Vocabulary, sym: np.ndarray, first: np.ndarray, key: np.ndarray,
                 at, new = at[go], new[go]
                 if not len(at):
                     continue
+        if log is not None:
+            log.append((which[at // w], at % w, new))
         right = nxt[at]
         after = nxt[right]
         before = prv[at]
@@ -245,8 +248,8 @@ def _agenda(v: Vocabulary, sym: np.ndarray, first: np.ndarray, key: np.ndarray,
             flat[cells] = v.rank_or_none[got]
 
 
-def _heap(v: Vocabulary, symbols: np.ndarray, key, place: int, dropout: float) -> np.ndarray:
-    """The same agenda for one long part."""
+def _heap(v: Vocabulary, symbols: np.ndarray, key, place: int, dropout: float, log: list | None = None) -> np.ndarray:
+    """The same agenda for one long part; ``log`` takes (column, piece) of the merges."""
     n = len(symbols)
     sym = symbols.tolist()
     nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -272,6 +275,8 @@ def _heap(v: Vocabulary, symbols: np.ndarray, key, place: int, dropout: float) -
             continue                                   # a neighbour has merged meanwhile
         if dropout > 0 and _skips(np.array([key], U), np.array([place + i]), np.array([p]), dropout)[0]:
             continue
+        if log is not None:
+            log.append((i, p))
         sym[i], sym[k] = p, -1
         nxt[i] = nxt[k]
         if nxt[k] < n:
@@ -281,9 +286,12 @@ def _heap(v: Vocabulary, symbols: np.ndarray, key, place: int, dropout: float) -
     return np.array(sym, np.int32)
 
 
-def encode_rows(v: Vocabulary, buf: np.ndarray, off: np.ndarray, key: np.ndarray, dropout: float, pad_empty: bool = False):
+def encode_rows(v: Vocabulary, buf: np.ndarray, off: np.ndarray, key: np.ndarray, dropout: float, pad_empty: bool = False,
+                log: list | None = None):
     """(ids, counts): the pieces of every row, one after the other; ``key``: uint64 of each row.
 
+    ``log`` takes (row, place, piece) of the merges.
+
     Works on every character; ``Encoder`` calls it for the chunks it doesn't remember. Rows without text have
     no pieces, or the space in front alone with ``pad_empty``.
     """
@@ -316,13 +324,20 @@ def encode_rows(v: Vocabulary, buf: np.ndarray, off: np.ndarray, key: np.ndarray
         pick = part[length == width]
         if width > WIDE:
             for p in pick.tolist():
-                out[p:p + width] = _heap(v, sym[p:p + width], key[row[p]], p - int(starts[row[p]]), dropout)
+                made = None if log is None else []
+                out[p:p + width] = _heap(v, sym[p:p + width], key[row[p]], p - int(starts[row[p]]), dropout, made)
+                if made:
+                    c, merged = np.array(made, np.int64).T
+                    log.append((np.full(len(c), row[p]), p - starts[row[p]] + c, merged))
             continue
         step = max(1, (1 << 16) // int(width))
         for i in range(0, len(pick), step):
             p = pick[i:i + step]
             cells = p[:, None] + np.arange(width)[None, :]
-            out[cells] = _agenda(v, sym[cells], pair[cells[:, :-1]], key[row[p]], p - starts[row[p]], dropout)
+            made = None if log is None else []
+            out[cells] = _agenda(v, sym[cells], pair[cells[:, :-1]], key[row[p]], p - starts[row[p]], dropout, made)
+            if made:
+                log.extend((row[p[r]], p[r] - starts[row[p[r]]] + c, m) for r, c, m in made)
     # characters outside the vocabulary, and inner characters that are no piece, become bytes
     raw = (sym < 0) | (out >= v.size)
     size = np.ones(m, np.int64)
@@ -354,6 +369,8 @@ class Encoder:
         self.words = np.zeros((REMEMBER, 2), U)
         self.at = np.zeros(REMEMBER + 1, np.int64)
         self.ids = np.zeros(1 << 16, np.int32)     # remembered pieces, then those of the rows at work
+        self.merge_at = np.zeros(REMEMBER + 1, np.int64)
+        self.merges = np.zeros((0, 2), np.int32)   # (place, piece) of the remembered words' merges
         self.n = self.kept = self.used = 0
 
     def _find(self, word: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -381,15 +398,22 @@ class Encoder:
         self.used = at + len(ids)
         return at
 
-    def _keep(self, word: np.ndarray, h: np.ndarray, counts: np.ndarray) -> None:
-        """Remember these words' pieces, the first ones behind those kept so far, as far as there is room."""
+    def _keep(self, word: np.ndarray, h: np.ndarray, counts: np.ndarray, merges: np.ndarray, n_merges: np.ndarray) -> None:
+        """Remember these words' pieces and merges, the first ones behind those kept so far, as far as there is room."""
         m = min(len(word), len(self.words) - self.n)
         if m <= 0:
             return
-        word, h, counts = word[:m], h[:m], counts[:m]
+        word, h, counts, n_merges = word[:m], h[:m], counts[:m], n_merges[:m]
         self.words[self.n:self.n + m] = word
         self.at[self.n + 1:self.n + m + 1] = self.at[self.n] + np.cumsum(counts)
         self.kept += int(counts.sum())
+        have, more = int(self.merge_at[self.n]), int(n_merges.sum())
+        if have + more > len(self.merges):
+            room = np.zeros((max(2 * len(self.merges), have + more), 2), np.int32)
+            room[:have] = self.merges[:have]
+            self.merges = room
+        self.merges[have:have + more] = merges[:more]
+        self.merge_at[self.n + 1:self.n + m + 1] = have + np.cumsum(n_merges)
         entry = np.arange(self.n, self.n + m, dtype=np.int32)
         slot = (h >> self.shift).astype(np.int64)
         while len(entry):
@@ -438,7 +462,8 @@ class Encoder:
         self.used = self.kept
         pick = np.flatnonzero(short)
         if len(pick):
-            at[pick], counts[pick] = self._short(buf, begin[pick], length[pick], key[pick])
+            at[pick], counts[pick], dropped = self._short(buf, begin[pick], length[pick], key[pick])
+            short[pick[dropped]] = False
         pick = np.flatnonzero(~short)
         if len(pick):
             ids, c = self._chunks(buf, begin[pick], length[pick], key[pick])
@@ -449,24 +474,23 @@ class Encoder:
         per_row = np.bincount(row, weights=counts, minlength=n).astype(np.int64)
         return ids, per_row
 
-    def _chunks(self, buf, begin, length, key):
+    def _chunks(self, buf, begin, length, key, dropout=None, log=None):
         ends = np.concatenate([[0], np.cumsum(length)])
         data = buf[np.arange(int(ends[-1])) + np.repeat(begin - ends[:-1], length)]
-        return encode_rows(self.v, data, ends, key, self.dropout, pad_empty=True)
+        return encode_rows(self.v, data, ends, key, self.dropout if dropout is None else dropout, pad_empty=True, log=log)
 
     def _short(self, buf, begin, length, key):
-        """(start, count) of each word's pieces in ``ids``."""
+        """(start, count) of each word's pieces without dropout in ``ids``, and whether it skips one of their merges."""
         cells = begin[:, None] + np.arange(SHORT)[None, :]
         data = np.zeros((len(begin), SHORT + 1), np.uint8)
         data[:, :SHORT] = buf[np.minimum(cells, len(buf) - 1)]
         data[:, :SHORT][np.arange(SHORT)[None, :] >= length[:, None]] = 0
-        variant = (key >> U(40)).astype(np.int64) % VARIANTS if self.dropout > 0 else 0
-        data[:, SHORT] = length + 16 * variant
+        data[:, SHORT] = length
         word = data.view(U)
         h = mix(word[:, 0] ^ mix(word[:, 1] ^ self.salt))
         got = self._find(word, h)
         new = np.flatnonzero(got < 0)
-        start, count = np.empty(len(begin), np.int64), np.empty(len(begin), np.int64)
+        start, count, dropped = np.empty(len(begin), np.int64), np.empty(len(begin), np.int64), np.zeros(len(begin), bool)
         if len(new):
             order = np.argsort(h[new], kind="stable")
             w = word[new[order]]
@@ -475,13 +499,33 @@ class Encoder:
             back = np.empty(len(new), np.int64)
             back[order] = np.cumsum(head) - 1
             one = new[order[head]]
-            ids, c = self._chunks(buf, begin[one], length[one], h[one])
+            log = [] if self.dropout > 0 else None
+            ids, c = self._chunks(buf, begin[one], length[one], h[one], 0.0, log)
             at = self._put(ids)
-            self._keep(word[one], h[one], c)
+            made, n_made = np.zeros((0, 2), np.int32), np.zeros(len(one), np.int64)
+            if log:
+                word_no, place, piece = (np.concatenate(x) for x in zip(*log, strict=True))
+                by_word = np.argsort(word_no, kind="stable")
+                made = np.stack([place, piece], axis=1).astype(np.int32)[by_word]
+                n_made = np.bincount(word_no, minlength=len(one))
             start[new], count[new] = (at + np.cumsum(c) - c)[back], c[back]
+            dropped[new] = self._skipped(key[new], made, (np.cumsum(n_made) - n_made)[back], n_made[back])
         old = np.flatnonzero(got >= 0)
-        start[old], count[old] = self.at[got[old]], self.at[got[old] + 1] - self.at[got[old]]
-        return start, count
+        e = got[old]
+        start[old], count[old] = self.at[e], self.at[e + 1] - self.at[e]
+        dropped[old] = self._skipped(key[old], self.merges, self.merge_at[e], self.merge_at[e + 1] - self.merge_at[e])
+        if len(new):
+            self._keep(word[one], h[one], c, made, n_made)
+        return start, count, dropped
+
+    def _skipped(self, key, merges, first, n) -> np.ndarray:
+        """Whether any of the ``n`` merges from ``first`` on is skipped under each key."""
+        out = np.zeros(len(key), bool)
+        if self.dropout > 0 and len(key):
+            who = np.repeat(np.arange(len(key)), n)
+            m = merges[np.arange(len(who)) + np.repeat(first - (np.cumsum(n) - n), n)]
+            out[who[_skips(key[who], m[:, 0], m[:, 1], self.dropout)]] = True
+        return out
 
 
 def decode_rows(v, ids: np.ndarray, counts: np.ndarray):

@@ -251,6 +251,38 @@ def test_pieces_remembering_and_paths_agree(model, monkeypatch):
     assert pieces.decode_rows(v, ids.astype(np.int64), counts)[0].tobytes() == bad.tobytes()
 
 
+def test_every_occurrence_of_a_word_draws_its_own_merges(model):
+    v = pieces.Vocabulary(model)
+    word = " international"
+    n = 3000
+    buf = np.frombuffer((word * n).encode(), np.uint8)
+    enc = pieces.Encoder(v, 17, 0.1)
+    ids, _ = enc.rows(buf, np.array([0, len(buf)]), np.array([5]))
+    again, _ = enc.rows(buf, np.array([0, len(buf)]), np.array([5]))       # all words remembered by now
+    assert (ids == again).all()
+    other, _ = enc.rows(buf, np.array([0, len(buf)]), np.array([6]))
+    assert len(other) != len(ids) or (other != ids).any()
+    text = pieces.decode_rows(v, ids.astype(np.int64), np.array([len(ids)]))[0].tobytes()
+    assert text == buf.tobytes()
+    seen, now = Counter(), []
+    raw = [v.bytes[v.bytes_at[i]:v.bytes_at[i + 1]].tobytes() for i in ids]
+    for i, b in zip(ids.tolist(), raw, strict=True):
+        if b.startswith(b" ") and now:
+            seen[tuple(now)] += 1
+            now = []
+        now.append(i)
+    assert len(seen) > 20
+    # the shortcut gives what the plain agenda gives under the same keys
+    for text in ("the quick brown fox jumps over it", "word " * 40 + "end"):
+        b = np.frombuffer(text.encode(), np.uint8)
+        at = np.flatnonzero(np.concatenate([[True], b[:-1] == 0x20]))
+        end = np.append(at[1:] - 1, len(b))
+        key = pieces.mix(pieces.mix(np.array([9], np.uint64) ^ enc.salt)[0] + at.astype(np.uint64))
+        want = [pieces.encode_rows(v, b[i:j], np.array([0, j - i]), key[w:w + 1], 0.1, pad_empty=True)[0]
+                for w, (i, j) in enumerate(zip(at, end, strict=True))]
+        assert (enc.rows(b, np.array([0, len(b)]), np.array([9]))[0] == np.concatenate(want)).all()
+
+
 def test_span_dedup(spark, hard):
     rng = random.Random(7)
     passage = ". ".join(words(rng, 17) for _ in range(4)) + "."
