@@ -144,3 +144,17 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        not (n_words < {qr.MIN_WORDS} or 100 * n_repeat_words > 50 * n_words) and 1 / (1 + exp(-({_Z}))) >= {qr.KEEP_AT} as kept
 from v cross join (select * from em where i = {qr.EM_ROUNDS})
 """
+
+# ---- op11: payloads grouped whole; base32 five bits at a time ----
+
+OP11 = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+q as (select page_id, h, cast(octet_length(encode(h)) as bigint) as payload_bytes, sha1(h) as x from p),
+o as (select *, row_number() over (partition by h order by page_id nulls last) as nth,
+             first_value(page_id) over (partition by h order by page_id nulls last) as first_id from q)
+select page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         cast(1 + ((('0x' || substr(x, 1 + 10 * cast(i // 8 as integer), 10))::bigint >> cast(35 - 5 * (i % 8) as integer)) & 31) as integer), 1)), '') as payload_digest,
+       case when nth = 1 then 'response' else 'revisit' end as record_type, case when nth > 1 then first_id end as refers_to
+from o
+"""

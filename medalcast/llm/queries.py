@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import (
-    chat, decontaminate, line_dedup, near_dedup, oracles, pieces, quality_model, quality_rules, span_dedup, toxicity, url_filter,
+    align, chat, decontaminate, line_dedup, near_dedup, oracles, pieces, quality_model, quality_rules, repair, span_dedup, toxicity,
+    url_filter, warc,
 )
 from .stage import table
 
+BYTE_BPE_PATH = "/opt/tokenizers/byte_bpe_50k.json"
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
 
@@ -107,6 +110,27 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "trust", "distrust")
 
 
+@_query("op11_warc", oracles.OP11)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records, repeated payloads as revisits, read back from the written archives."""
+    out = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return out.withColumnRenamed("source_id", "page_id").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair."""
+    out = repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+    return out.withColumnRenamed("conv", "conv_id")
+
+
+@_query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str, a_path: str = BYTE_BPE_PATH, b_path: str = corpus_pipeline.MODEL_PATH) -> DataFrame:
+    """Byte groups and links between the tokens of two tokenizers, with corpus counts of linked ids."""
+    out = align.align_corpus(table(spark, sf_dir, "documents"), pieces.read_model(a_path), pieces.read_model(b_path))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over all documents."""

@@ -102,3 +102,134 @@ def conversation(turns):
     loss = "".join(t for r, t in turns if r == "assistant")
     return (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),
             len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def first_records(pages, min_bytes=0):
+    """[(id, bytes, base32 SHA-1, type, response's id)] of (id, html) pages, sorted."""
+    import base64
+    rows = [(i, (t or "").encode()) for i, t in pages]
+    first = {}
+    for i, p in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault(p, [i, False])
+    out = []
+    for i, p in rows:
+        sha = base64.b32encode(hashlib.sha1(p).digest()).decode()
+        held = first[p]
+        if len(p) < min_bytes or (held[0] == i and not held[1]):
+            held[1] = held[1] or len(p) >= min_bytes
+            out.append((i, len(p), sha, "response", None))
+        else:
+            out.append((i, len(p), sha, "revisit", held[0]))
+    return out
+
+
+def damaged(rows):
+    """Rows (conv, turn, role, text) after damage, per conversation in order; every conversation is a key."""
+    import zlib
+    out = defaultdict(list)
+    for c, t, r, x in rows:
+        r, x = " " if r is None else r, " " if x is None else x
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        here = out[c]
+        if kind == 1:
+            x = ""
+        if kind == 2:
+            x = re.sub("[.!?]", "", x)
+        if kind == 4:
+            r = "user"
+        if kind:
+            here += [(t, r, x)] * (2 if kind == 3 else 1)
+    return {c: sorted(v, key=lambda k: (k[0] is not None, k[0] or 0, k[1], k[2])) for c, v in out.items()}
+
+
+def cheapest(rows):
+    """(cost, edits) by working backwards over (row, last role); rows: (must go, truncated, initial)."""
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+    added = {"": "u", "s": "u", "u": "a", "a": "u"}
+    n = len(rows)
+    best = {}
+    for i in range(n, -1, -1):
+        here = {}
+        for last in follows:
+            ways = [(0, "")] if i == n and last in ("", "a") else []
+            if i < n:
+                go, cut, x = rows[i]
+                c, e = best[i + 1, last]
+                ways.append((c + 3, "D" + e))
+                if not go:
+                    if x and x in follows[last]:
+                        c, e = best[i + 1, x]
+                        ways.append((c + cut, "K" + e))
+                    c, e = best[i + 1, added[last]]
+                    ways.append((c + 2 + cut, "R" + e))
+            here[last] = ways
+        for last in follows:                 # up to three insertions in a row
+            ways, at, ins = list(here[last]), last, 0
+            while ins < 3:
+                at, ins = added[at], ins + 1
+                ways += [(c + 2 * ins, "I" * ins + e) for c, e in here[at]]
+            best[i, last] = min(ways)
+    return best[0, ""]
+
+
+def repairs(rows):
+    """conv -> (gaps, blank, duplicate, truncated, illegal, cost, edits, digest) of (conv, turn, role, text) rows as they are, in order."""
+    out = {}
+    for conv, turns in rows.items():
+        seen, marks, count = set(), [], Counter()
+        for _, r, x in turns:
+            body = x.rstrip(SPACE)
+            fault = "blank" if not body else "dup" if (r, x) in seen else "cut" if body[-1] not in ".!?" else ""
+            seen.add((r, x))
+            count[fault] += 1
+            marks.append((fault in ("blank", "dup"), int(fault == "cut"), r[:1]))
+        cost, edits = cheapest(marks)
+        known = [t for t, _, _ in turns if t is not None]
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        said, last, at = [], "", 0
+        for e in edits:
+            if e == "I":
+                last = "a" if last == "u" else "u"
+                said.append(("user:" if last == "u" else "assistant:"))
+                continue
+            _, r, x = turns[at]
+            at += 1
+            if e == "K":
+                last = r[:1]
+                said.append(f"{r}:{x}")
+            elif e == "R":
+                last = "a" if last == "u" else "u"
+                said.append(("user:" if last == "u" else "assistant:") + x)
+        out[conv] = (gaps, count["blank"], count["dup"], count["cut"], illegal, cost, edits, hashlib.sha256("\n".join(said).encode()).hexdigest())
+    return out
+
+
+def alignments(docs, encode_a, encode_b):
+    """id -> (n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of unique ids; encoders give (id, bytes) lists for a whole text."""
+    out, links = {}, {}
+    for i, t in docs:
+        a, b = (encode_a(t), encode_b(t)) if t else ([], [])
+        want = (" " + t).encode() if t else b""
+        if not t or b"".join(x for _, x in a) != want or b"".join(x for _, x in b) != want:
+            out[i], links[i] = (0, 0, 0, ""), []
+            continue
+
+        def ranges(toks):
+            at, got = 0, []
+            for k, x in toks:
+                got.append((at, at + len(x), k))
+                at += len(x)
+            return got
+        ra, rb = ranges(a), ranges(b)
+        cuts, groups, start = sorted({x[1] for x in ra} & {x[1] for x in rb}), [], 0
+        for c in cuts:
+            groups.append("|".join(",".join(str(k) for s, _, k in side if start <= s < c) for side in (ra, rb)))
+            start = c
+        links[i] = [(x[2], y[2]) for x in ra for y in rb if x[0] < y[1] and y[0] < x[1]]
+        out[i] = (len(ra), len(rb), len(cuts), ";".join(groups))
+    count = Counter(p for got in links.values() for p in set(got))
+    best = defaultdict(int)
+    for (x, _), n in count.items():
+        best[x] = max(best[x], n)
+    return {i: (v[0], v[1], v[2], len(links[i]), sum(count[p] == best[p[0]] for p in links[i]), sum(count[p] for p in links[i]), v[3]) for i, v in out.items()}
