@@ -34,9 +34,11 @@ empty table gives an empty one.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +48,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
+from .pieces import _once
 from .stage import Scratch
 
 HOT = 200_000            # pairs above 1 / HOT of all links are looked up in the task; there are fewer than HOT
-REMEMBER = 24 << 20      # bytes of distinct chunks a task keeps before it starts anew; about ten times that in memory
+REMEMBER = 8 << 20       # bytes of distinct chunks a worker keeps, counting 8 a chunk; about 20 times that in memory
+BESIDE = 1 << 20         # and of later ones, before they are forgotten
 SLICE = 1 << 20          # bytes of text worked on at once
 COUNTED = 2_000_000      # pairs gathered before they are summed
 #: a space between two characters that are not white space
@@ -82,9 +86,10 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_len, self.b_len = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.n_b = n_b
-        text = [str(i) for i in range(max(n_a, n_b))]
-        #: decimal ids with what may follow them
-        self.text = {s: np.array([x + s for x in text], object) for s in (",", "|", ";", "")}
+        self.flat = [(np.frombuffer(b"".join(t), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in t])])) for t in (self.a_bytes, self.b_bytes)]
+        self.n_text = max(n_a, n_b)
+        #: decimal ids, once for each mark that may follow them
+        self.text = np.array([f"{i}{mark}" for mark in (",", "|", ";", "") for i in range(self.n_text)], object)
         pre = (json.loads(a_json).get("pre_tokenizer") or {})
         regular = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         plain = json.loads(a_json).get("normalizer") is None
@@ -112,6 +117,21 @@ def _ragged(at: np.ndarray, idx: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(at[idx] - (ends - n), n)
 
 
+def _same(ids: np.ndarray, row: np.ndarray, data: np.ndarray, data_at: np.ndarray, want: np.ndarray, want_at: np.ndarray) -> np.ndarray:
+    """Whether the decoded bytes of each row's tokens are the wanted ones."""
+    n = len(want_at) - 1
+    size = np.bincount(row, weights=(data_at[ids + 1] - data_at[ids]), minlength=n).astype(np.int64)
+    fits = size == np.diff(want_at)
+    mine = data[_ragged(data_at, ids if fits.all() else ids[fits[row]])]
+    which = np.arange(n) if fits.all() else np.flatnonzero(fits)
+    theirs = want if fits.all() else want[_ragged(want_at, which)]
+    wrong = np.flatnonzero(mine != theirs)
+    if len(wrong):
+        ends = np.cumsum(size[which])
+        fits[which[np.unique(np.searchsorted(ends, wrong, side="right"))]] = False
+    return fits
+
+
 def align(tok: Tokenizers, texts: list[str]):
     """Alignments of ``texts`` (none empty), each with a space in front.
 
@@ -130,13 +150,13 @@ def align(tok: Tokenizers, texts: list[str]):
     a_ids = [e.ids for e in enc]
     na = np.array([len(x) for x in a_ids], np.int64)
     a_row = np.repeat(np.arange(n), na)
-    a = np.array([i for x in a_ids for i in x], np.int64)
-    span = np.array([p for e in enc for p in e.offsets], np.int64).reshape(-1, 2)
+    a = np.fromiter(chain.from_iterable(a_ids), np.int64, int(na.sum()))
+    offsets = chain.from_iterable(chain.from_iterable(e.offsets for e in enc))
+    span = np.fromiter(offsets, np.int64, 2 * len(a)).reshape(-1, 2)
     proto = tok.b.encode(texts, return_type="proto", num_threads=1)
-    got = [(p.id, p.begin, p.end) for x in proto for p in x.pieces]
     nb = np.array([len(x.pieces) for x in proto], np.int64)
     b_row = np.repeat(np.arange(n), nb)
-    b = np.array(got, np.int64).reshape(-1, 3)
+    b, b_span = np.fromiter((v for x in proto for p in x.pieces for v in (p.id, p.end)), np.int64, 2 * int(nb.sum())).reshape(-1, 2).T
 
     def last_of_row(row):
         return np.append(row[1:] != row[:-1], True) if len(row) else np.zeros(0, bool)
@@ -145,20 +165,19 @@ def align(tok: Tokenizers, texts: list[str]):
     a_first = (np.cumsum(na) - na)[a_row]
     shared = np.append(span[1:, 0] < span[:-1, 1], False) & ~last_of_row(a_row)
     a_end = refine(tok.a_len[a], char_at[chars[a_row] + span[:, 1]], ~shared & (span[:, 1] > span[:, 0]), a_first, at[a_row])
-    # B: byte spans over the text without the space in front; all but the last byte piece of a character are empty
+    # B: byte spans, one behind the other, over the text without the space in front; all but the last byte piece of a character are empty
     b_first = (np.cumsum(nb) - nb)[b_row]
-    b_end = refine(tok.b_len[b[:, 0]], at[b_row] + 1 + b[:, 2], b[:, 2] > b[:, 1], b_first, at[b_row])
-    b = b[:, 0]
+    b_begin = np.where(np.arange(len(b)) == b_first, 0, np.append(0, b_span[:-1]) if len(b) else b_span)
+    b_end = refine(tok.b_len[b], at[b_row] + 1 + b_span, b_span > b_begin, b_first, at[b_row])
 
-    ok = np.array([b"".join([tok.a_bytes[i] for i in x]) == r for x, r in zip(a_ids, raw, strict=True)], bool)
-    b_at = np.concatenate([[0], np.cumsum(nb)])
-    ok &= np.array([b"".join([tok.b_bytes[i] for i in b[b_at[k]:b_at[k + 1]]]) == raw[k] for k in range(n)], bool)
+    ok = _same(a, a_row, *tok.flat[0], buf, at) & _same(b, b_row, *tok.flat[1], buf, at)
     if not ok.all():
         ka, kb = ok[a_row], ok[b_row]
         a, a_end, a_row, b, b_end, b_row = a[ka], a_end[ka], a_row[ka], b[kb], b_end[kb], b_row[kb]
         na, nb = np.where(ok, na, 0), np.where(ok, nb, 0)
 
-    cuts = np.intersect1d(a_end, b_end)                      # ends of texts among them
+    near = np.searchsorted(b_end, a_end)                     # both ascend
+    cuts = a_end[b_end[near] == a_end] if len(b_end) else a_end[:0]      # ends of texts among them
     ga, gb = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
     groups = np.bincount(np.searchsorted(at, cuts, side="left") - 1, minlength=n) if len(cuts) else np.zeros(n, np.int64)
     # links: B tokens that end behind an A token's start and start before its end
@@ -183,10 +202,8 @@ def align(tok: Tokenizers, texts: list[str]):
     ends_a = np.append(ga[1:] != ga[:-1], True) if len(ga) else np.zeros(0, bool)
     ends_b = np.append(gb[1:] != gb[:-1], True) if len(gb) else np.zeros(0, bool)
     close = last_of_row(b_row)
-    words = np.where(ends_a, tok.text["|"][a], tok.text[","][a])
-    out[np.arange(len(a)) + behind_a[ga]] = words
-    words = np.where(close, tok.text[""][b], np.where(ends_b, tok.text[";"][b], tok.text[","][b]))
-    out[np.arange(len(b)) + before_b[gb]] = words
+    out[np.arange(len(a)) + behind_a[ga]] = tok.text[a + tok.n_text * ends_a]
+    out[np.arange(len(b)) + before_b[gb]] = tok.text[b + tok.n_text * np.where(close, 3, 2 * ends_b)]
     out = out.tolist()
     edge = np.concatenate([[0], np.cumsum(na + nb)])
     text = ["".join(out[edge[k]:edge[k + 1]]) for k in range(n)]
@@ -194,45 +211,68 @@ def align(tok: Tokenizers, texts: list[str]):
 
 
 class _Chunks:
-    """Alignments of the chunks seen in a task, looked up by chunk."""
+    """Alignments of the chunks seen by a worker, looked up by chunk."""
 
     def __init__(self, tok: Tokenizers):
         self.tok = tok
-        self.clear()
-
-    def clear(self):
-        self.known, self.weight, self.text = {}, 0, []
-        self.n = 0
-        self.stat, self.ok = np.zeros((1024, 4), np.int64), np.zeros(1024, bool)
-        self.at, self.keys, self.used = np.zeros(1025, np.int64), np.zeros(4096, np.uint32), 0
+        self.known, self.text, self.n, self.used, self.weight = {}, [], 0, 0, 0
+        self.stat, self.ok = np.zeros((1024, 4), np.int32), np.zeros(1024, bool)
+        self.at, self.keys = np.zeros(1025, np.int64), np.zeros(4096, np.uint32)
+        self.kept, self.beside, self.later = None, 0, []
 
     def _room(self, rows, keys):
         def grown(x, need):
             if need <= len(x):
                 return x
-            y = np.zeros((max(need, 2 * len(x)), *x.shape[1:]), x.dtype)
+            y = np.zeros((max(need, len(x) * 3 // 2), *x.shape[1:]), x.dtype)
             y[:len(x)] = x
             return y
         self.stat, self.ok = grown(self.stat, self.n + rows), grown(self.ok, self.n + rows)
         self.at, self.keys = grown(self.at, self.n + rows + 1), grown(self.keys, self.used + keys)
 
+    def _forget(self):
+        """Once the first chunks fill the memory, drop the later ones when they do."""
+        if self.kept is None:
+            if self.weight > REMEMBER:
+                self.kept = self.n, self.used
+        elif self.beside > BESIDE:
+            for c in self.later:
+                del self.known[c]
+            self.n, self.used = self.kept
+            del self.text[self.n:]
+            self.later, self.beside = [], 0
+
     def find(self, chunks: list[str]) -> np.ndarray:
-        if self.weight > REMEMBER:
-            self.clear()
+        self._forget()
         known = self.known
         fresh = [c for c in dict.fromkeys(chunks) if c not in known]
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i:i + 20_000]
+        if fresh:
+            collects = gc.isenabled()
+            gc.disable()                  # nothing made here is cyclic, and a collection walks all that is kept
+            try:
+                self._add(fresh)
+            finally:
+                if collects:
+                    gc.enable()
+        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+
+    def _add(self, fresh: list[str]) -> None:
+        for i in range(0, len(fresh), 10_000):
+            part = fresh[i:i + 10_000]
             stat, ok, text, keys, at = align(self.tok, part)
             self._room(len(part), len(keys))
             self.stat[self.n:self.n + len(part)], self.ok[self.n:self.n + len(part)] = stat, ok
             self.keys[self.used:self.used + len(keys)] = keys
             self.at[self.n + 1:self.n + len(part) + 1] = at[1:] + self.used
-            known.update(zip(part, range(self.n, self.n + len(part)), strict=True))
+            self.known.update(zip(part, range(self.n, self.n + len(part)), strict=True))
             self.text += text
             self.n, self.used = self.n + len(part), self.used + len(keys)
-            self.weight += sum(map(len, part)) + 8 * len(part)
-        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+            weight = sum(map(len, part)) + 8 * len(part)
+            if self.kept is None:
+                self.weight += weight
+            else:
+                self.beside += weight
+                self.later += part
 
 
 def _rows(chunks: _Chunks, texts: list):
@@ -249,7 +289,7 @@ def _rows(chunks: _Chunks, texts: list):
     starts = ends - np.diff(ends, prepend=0)
     bad = np.concatenate([[0], np.cumsum(~chunks.ok[idx])])
     good = (bad[ends] == bad[starts]) & (ends > starts)
-    stat = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(chunks.stat[idx], axis=0)])
+    stat = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(chunks.stat[idx], axis=0, dtype=np.int64)])
     stat = np.where(good[:, None], stat[ends] - stat[starts], 0)
     where = idx.tolist()
     text = [";".join([chunks.text[i] for i in where[s:e]]) if g else None for s, e, g in zip(starts.tolist(), ends.tolist(), good.tolist(), strict=True)]
@@ -299,7 +339,8 @@ def tokens(docs: DataFrame, a_json: bytes, b_model: bytes, id_col: str = "doc_id
               + (", groups string" if with_groups else ""))
 
     def run(batches):
-        chunks, z = _Chunks(Tokenizers(*held.value)), zstandard.ZstdCompressor(level=1)
+        chunks = _once(("align", *held.value), lambda: _Chunks(Tokenizers(*held.value)))
+        z = zstandard.ZstdCompressor(level=1)
         row = TaskContext.get().partitionId() << 33
         for b in batches:
             _, off = tv.utf8(b.column(1))

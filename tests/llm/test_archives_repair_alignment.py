@@ -212,6 +212,7 @@ def test_alignment_of_given_documents_and_its_memory_reset(spark, files, encoder
     tok = align.Tokenizers(*files)
     whole = align._rows(align._Chunks(tok), [t for _, t in rows])
     monkeypatch.setattr(align, "REMEMBER", 500)
+    monkeypatch.setattr(align, "BESIDE", 700)
     chunks = align._Chunks(tok)
     for i, (_, t) in enumerate(rows[:40]):
         stat, text, _, _, _ = align._rows(chunks, [t])
