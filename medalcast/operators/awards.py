@@ -51,14 +51,6 @@ def award_votes(df: DataFrame, contest: str, score: str, tie_keys: Sequence[str]
     return out.withColumnRenamed("_rank", "rank") if keep_rank else out.drop("_rank")
 
 
-def votes_or_zero(df: DataFrame, awarded: DataFrame, keys: Sequence[str],
-                  votes_col: str = "votes") -> DataFrame:
-    """Every row of ``df`` with its awarded votes, 0 when it got none."""
-    v = awarded.select(*keys, votes_col)
-    return df.join(v, on=list(keys), how="left") \
-        .withColumn(votes_col, F.coalesce(F.col(votes_col), F.lit(0)).cast("bigint"))
-
-
 def tally(votes: DataFrame, keys: Sequence[str], votes_col: str = "votes",
           out: str = "medal_tally") -> DataFrame:
     """Sum of votes per key (A5)."""

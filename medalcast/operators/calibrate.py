@@ -11,15 +11,20 @@ fits on bins) works on a table whose size is fixed by the parameters.
 ``fit_curve(unit="row")`` fits on every scored row through MLlib's normal
 equations, which aggregate a (d+1)x(d+1) moment matrix across executors.
 Fitted coefficients are the only values brought to the driver.
+``degree_moments`` sums centred powers in one pass for every curve and degree at
+once; a fit of any degree is then solved from one row of sums.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import numpy as np
+from numpy.polynomial import Polynomial
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +84,55 @@ def fit_polynomial(points: DataFrame, degree: int, x: str = "x", y: str = "y") -
     return [float(m.intercept), *[float(c) for c in m.coefficients.toArray()]]
 
 
+def degree_moments(df: DataFrame, x: str, ys: dict[str, Column], degree: int, centre: float, scale: float, by: Sequence[str] = ()) -> DataFrame:
+    """Power sums of ``u = (x - centre) / scale`` for least squares of every curve in ``ys`` up to ``degree``.
+
+    One pass: ``s0 .. s<2 degree>`` are shared by all curves; each has ``b0 .. b<degree>`` (with y) and ``yy``.
+    Sums with the same centre and scale add up, so they can be kept per season (``by``) and merged.
+    Rows with a missing x or y are left out of that curve's fit, as ``lm`` does; a y that is missing must be so in all.
+    """
+    u = (F.col(x).cast("double") - F.lit(float(centre))) / F.lit(float(scale))
+    first = next(iter(ys.values()))
+    some = df.filter(F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double")) & first.isNotNull())
+    src = some.select(*by, u.alias("_u"), *[y.cast("double").alias(f"_y_{c}") for c, y in ys.items()])
+    power = [F.lit(1.0), F.col("_u"), *[F.pow("_u", F.lit(float(j))) for j in range(2, 2 * degree + 1)]]
+    sums = [F.sum(p).alias(f"s{j}") for j, p in enumerate(power)]
+    for c in ys:
+        y = F.col(f"_y_{c}")
+        sums += [F.sum(y * power[j]).alias(f"{c}_b{j}") for j in range(degree + 1)] + [F.sum(y * y).alias(f"{c}_yy")]
+    return src.groupBy(*by).agg(*sums)
+
+
+def merge_moments(moments: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sums of ``degree_moments`` added up over the groups that ``by`` doesn't keep."""
+    return moments.groupBy(*by).agg(*[F.sum(c).alias(c) for c in moments.columns if re.fullmatch(r"s\d+|.*_(b\d+|yy)", c)])
+
+
+DEGREES_SCHEMA = "curve string, degree int, n long, coefs array<double>, sse double, rsq double"
+
+
+def fit_degrees(moments: DataFrame, curves: Sequence[str], degree: int, centre: float, scale: float) -> DataFrame:
+    """Least-squares polynomials of degree 1 .. ``degree`` of every curve, from one row of moments.
+
+    Columns: curve, degree, n, coefs (of x), sse, rsq. A degree that the points don't determine gets the
+    least coefficients that fit. No rows: no fits.
+    """
+    m = moments.first()
+    rows = []
+    for c in curves if m is not None and m["s0"] else ():
+        s = np.array([m[f"s{j}"] for j in range(2 * degree + 1)])
+        b, yy = np.array([m[f"{c}_b{j}"] for j in range(degree + 1)]), m[f"{c}_yy"]
+        spread = yy - b[0] * b[0] / s[0]
+        for d in range(1, degree + 1):
+            gram = s[np.add.outer(np.arange(d + 1), np.arange(d + 1))]
+            own = np.linalg.lstsq(gram, b[:d + 1], rcond=1e-14)[0]
+            sse = float(yy - 2 * own @ b[:d + 1] + own @ gram @ own)
+            line = Polynomial([-centre / scale, 1 / scale])
+            of_x = Polynomial(own)(line).coef
+            rows.append((c, d, int(s[0]), [float(v) for v in np.pad(of_x, (0, d + 1 - len(of_x)))], sse, float(1 - sse / spread) if spread > 0 else None))
+    return moments.sparkSession.createDataFrame(rows, DEGREES_SCHEMA)
+
+
 CURVE_SCHEMA = T.StructType([
     T.StructField("curve", T.StringType()),
     T.StructField("degree", T.IntegerType()),

@@ -16,20 +16,26 @@ share a stream only if all 64 bits agree.
 
 Scale notes
 -----------
-* Weights are summed per (contest, name) first (partial aggregation). Each
-  weighted name is shipped once, by contest; simulations exist only inside the
-  tasks, in numpy blocks of names x simulations, and what leaves a task is
-  summed: votes per (name, sim) of a batch, or one podium per contest.
+* Weights are summed per (contest, name) first (partial aggregation) and written
+  once. Each weighted name is shipped once, by contest; simulations exist only
+  inside the tasks, in numpy blocks of names x simulations.
+* One pass over the races gives all a season needs (``season_draws``): a task
+  sums the votes of all its contests per (name, simulation) and counts the
+  podiums of each contest. What leaves it is at most names x simulations votes,
+  as one array per name and block of simulations, and the distinct podiums.
 * A contest with more than ``CHUNK`` names is split by a hash of the name. The
   k smallest keys of a union are the k smallest of the parts' k smallest, so
   each part sends its k best per simulation and these are ranked again.
 * Runs of any number of simulations keep the same memory; ``first_sim`` lets a
-  run be cut into batches that draw the same values.
+  run be cut into batches that draw the same values. ``resumable_draws`` writes
+  each batch to a folder of its own, which a replay overwrites, so a season of
+  10,000 simulations goes on after a lost driver where it stopped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +44,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import MIX_C1, MIX_C2, MIX_STEP, copies_weight, hash32
+from ..session import cut_lineage
 
 CHUNK = 4096            # names of a contest ranked in one task
 SIM_BLOCK = 256         # simulations drawn at once
 CELLS = 1 << 19         # names x simulations held at once, about
+HELD = 1 << 23          # names x simulations whose votes a task sums before it gives them out
+SIM_BATCH = 1000        # simulations of a resumable batch
 
 
 def contest_weights(df: DataFrame, contest: str, name: str, prob: str,
@@ -116,58 +125,60 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _each_block(batches, n_sims: int, k: int, first_sim: int, emit: Callable):
-    """Calls ``emit(table, starts, sims, places)`` for every block of simulations of every run batch."""
-    for t in _runs(batches):
-        t = t.combine_chunks()
-        run = t.column("_run").to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        w, a, b = (t.column(c).to_numpy() for c in ("weight", "_a", "_b"))
-        yield from emit(t, starts, (
-            (sims, _best(starts, t.num_rows, w, a, b, sims, k))
-            for s in range(first_sim, first_sim + n_sims, SIM_BLOCK)
-            for sims in [np.arange(s, min(s + SIM_BLOCK, first_sim + n_sims))]))
+def _blocks(t: pa.Table, n_sims: int, k: int, first_sim: int):
+    """(simulations, places) of every block of simulations of a table of whole runs, and where its runs start."""
+    run = t.column("_run").to_numpy()
+    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    w, a, b = (t.column(c).to_numpy() for c in ("weight", "_a", "_b"))
+
+    def drawn():
+        for s in range(first_sim, first_sim + n_sims, SIM_BLOCK):
+            sims = np.arange(s, min(s + SIM_BLOCK, first_sim + n_sims))
+            yield sims, _best(starts, t.num_rows, w, a, b, sims, k)
+    return starts, drawn()
 
 
 # ---- layout -------------------------------------------------------------------------------
 
-def _laid_out(weights: DataFrame, contest: str, name: str, weight: str, seed: int) -> DataFrame:
-    """Weighted names with their stream words, dealt by (contest, part) and sorted; ``_run`` numbers the runs of a task."""
-    large = (weights.groupBy(contest).agg(F.count(F.lit(1)).alias("_names")).filter(F.col("_names") > CHUNK))
-    parts = F.ceil(F.col("_names") / F.lit(CHUNK)).cast("int")
-    rows = (weights.select(contest, name, F.col(weight).cast("double").alias("weight"),
-                           hash32(F.lit(seed), F.col(contest), F.col(name)).alias("_a"),
-                           hash32(F.lit(seed), F.col(contest), F.col(name), word=1).alias("_b"))
-            .join(large, contest, "left")
-            .withColumn("_part", F.when(F.col("_names").isNull(), F.lit(-1))
-                        .otherwise(F.pmod(F.xxhash64(name), F.greatest(parts, F.lit(1))).cast("int")))
-            .drop("_names"))
+def _large(weights: DataFrame, contest: str) -> DataFrame:
+    """Contests of too many names for one task, with their ``_names``."""
+    return weights.groupBy(contest).agg(F.count(F.lit(1)).alias("_names")).filter(F.col("_names") > CHUNK)
+
+
+def _laid_out(weights: DataFrame, contest: str, name: str, weight: str, seed: int, split: bool) -> DataFrame:
+    """Weighted names with their stream words, dealt by (contest, part) and sorted.
+
+    ``weights`` is a written table; ``split`` tells whether any contest is ``_large``. ``_run`` numbers the runs of
+    a task; ``_part`` is -1 for a contest that isn't split.
+    """
+    rows = weights.select(contest, name, F.col(weight).cast("double").alias("weight"),
+                          hash32(F.lit(seed), F.col(contest), F.col(name)).alias("_a"),
+                          hash32(F.lit(seed), F.col(contest), F.col(name), word=1).alias("_b"))
+    if split:
+        parts = F.ceil(F.col("_names") / F.lit(CHUNK)).cast("int")
+        rows = (rows.join(_large(weights, contest), contest, "left")
+                .withColumn("_part", F.when(F.col("_names").isNull(), F.lit(-1))
+                            .otherwise(F.pmod(F.xxhash64(name), F.greatest(parts, F.lit(1))).cast("int")))
+                .drop("_names"))
+    else:
+        rows = rows.withColumn("_part", F.lit(-1))
     n = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # an explicit count: few rows enter, but each stands for many races, so AQE must not merge them by size
     rows = rows.repartition(n, contest, "_part").sortWithinPartitions(contest, "_part", name)
     return rows.withColumn("_run", F.xxhash64(contest, "_part"))
 
 
-def _split_places(laid: DataFrame, contest: str, name: str, n_sims: int, k: int, first_sim: int) -> DataFrame:
-    """(contest, sim, place, name) of split contests: the parts' k best, ranked again."""
-    fields = {f.name: f.dataType for f in laid.schema.fields}
-    schema = T.StructType([T.StructField(contest, fields[contest]), T.StructField("_sim", T.LongType()),
-                           T.StructField(name, fields[name]), T.StructField("_key", T.DoubleType())])
-
-    def emit(t, starts, blocks):
-        for sims, places in blocks:
-            for win, key in places:
-                c, s = np.nonzero(win >= 0)
-                rows = pa.array(win[c, s])
-                yield pa.RecordBatch.from_arrays(
-                    [t.column(contest).take(rows).combine_chunks(), pa.array(sims[s]), t.column(name).take(rows).combine_chunks(),
-                     pa.array(key[c, s])], names=[contest, "_sim", name, "_key"])
-    best = laid.filter(F.col("_part") >= 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
-    w = Window.partitionBy(contest, "_sim").orderBy("_key", name)
+def _written_weights(df: DataFrame, contest: str, name: str, prob: str, scale: int) -> DataFrame:
+    return cut_lineage(contest_weights(df, contest, name, prob, scale), "weights")
+
+
+def _ranked_again(best: DataFrame, contest: str, sim: str, name: str, k: int) -> DataFrame:
+    """The k best of a split contest's parts' k best, with their ``_place``."""
+    w = Window.partitionBy(contest, sim).orderBy("_key", name)
     return best.withColumn("_place", F.row_number().over(w)).filter(F.col("_place") <= k)
 
 
-# ---- outputs ------------------------------------------------------------------------------
+# ---- long votes ---------------------------------------------------------------------------
 
 def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
                  seed: int = 0, scale: int = 100, first_sim: int = 1, sim_col: str = "sim",
@@ -177,100 +188,293 @@ def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int,
     ``votes = k + 1 - draw``, so a contest with fewer than k weighted names
     gives only the first places (N16).
     """
-    weights = contest_weights(df, contest, name, prob, scale)
-    laid = _laid_out(weights, contest, name, "weight", seed)
+    weights = _written_weights(df, contest, name, prob, scale)
+    split = not _large(weights, contest).isEmpty()
+    laid = _laid_out(weights, contest, name, "weight", seed, split)
     fields = {f.name: f.dataType for f in laid.schema.fields}
-    schema = T.StructType([T.StructField(sim_col, T.LongType()), T.StructField(contest, fields[contest]),
-                           T.StructField(name, fields[name]), T.StructField(votes_col, T.LongType())])
-
-    def emit(t, starts, blocks):
-        for sims, places in blocks:
-            for j, (win, _) in enumerate(places):
-                c, s = np.nonzero(win >= 0)
-                rows = pa.array(win[c, s])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sims[s]), t.column(contest).take(rows).combine_chunks(), t.column(name).take(rows).combine_chunks(),
-                     pa.array(np.full(len(s), k - j, np.int64))], names=[sim_col, contest, name, votes_col])
-    small = laid.filter(F.col("_part") < 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
-    split = _split_places(laid, contest, name, n_sims, k, first_sim)
-    return small.unionByName(split.select(F.col("_sim").alias(sim_col), contest, name,
-                                          (F.lit(k + 1) - F.col("_place")).cast("bigint").alias(votes_col)))
-
-
-def season_totals(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3, seed: int = 0,
-                  scale: int = 100, first_sim: int = 1) -> DataFrame:
-    """(name, sim, total_votes) over all contests: ``sample_votes`` summed, without its rows.
-
-    A task sums the votes of each batch of contests per (name, sim) before anything leaves it.
+    schema = T.StructType([T.StructField(sim_col, T.LongType()), T.StructField(contest, fields[contest]), T.StructField(name, fields[name]),
+                           T.StructField(votes_col, T.LongType()), T.StructField("_key", T.DoubleType())])
+
+    def run(batches):
+        for t in _runs(batches):
+            t = t.combine_chunks()
+            for sims, places in _blocks(t, n_sims, k, first_sim)[1]:
+                for j, (win, key) in enumerate(places):
+                    c, s = np.nonzero(win >= 0)
+                    rows = pa.array(win[c, s])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(sims[s]), t.column(contest).take(rows).combine_chunks(), t.column(name).take(rows).combine_chunks(),
+                         pa.array(np.full(len(s), k - j, np.int64)), pa.array(key[c, s])], names=schema.names)
+    out = [sim_col, contest, name, votes_col]
+    whole = laid.filter(F.col("_part") < 0).mapInArrow(run, schema).select(*out)
+    if not split:
+        return whole
+    parts = _ranked_again(laid.filter(F.col("_part") >= 0).mapInArrow(run, schema), contest, sim_col, name, k)
+    return whole.unionByName(parts.withColumn(votes_col, (F.lit(k + 1) - F.col("_place")).cast("bigint")).select(*out))
+
+
+# ---- one pass for a season ----------------------------------------------------------------
+
+class _Votes:
+    """Votes of one task per (name, simulation), over all its contests."""
+
+    def __init__(self, n_sims: int, first_sim: int):
+        self.n, self.first = n_sims, first_sim
+        self.at: dict = {}
+        self.votes = np.zeros((64, n_sims), np.int32)
+
+    def rows(self, names: list) -> np.ndarray:
+        at = self.at
+        out = np.array([at.setdefault(x, len(at)) for x in names], np.int64)
+        if len(at) > len(self.votes):
+            more = np.zeros((max(len(at), len(self.votes) * 3 // 2), self.n), np.int32)
+            more[:len(self.votes)] = self.votes
+            self.votes = more
+        return out
+
+    def full(self) -> bool:
+        return len(self.at) * self.n > HELD
+
+    def out(self, kind):
+        """(names, first simulation of a block, its votes) in parts; starts anew."""
+        names = list(self.at)
+        for a in range(0, self.n, SIM_BLOCK):
+            block = self.votes[:len(names), a:a + SIM_BLOCK]
+            some = np.flatnonzero(block.any(axis=1))
+            if len(some):
+                flat = np.ascontiguousarray(block[some])
+                ends = np.arange(len(some) + 1, dtype=np.int32) * flat.shape[1]
+                yield (pa.array([names[i] for i in some], kind), pa.array(np.full(len(some), self.first + a, np.int64)),
+                       pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel())))
+        self.at, self.votes = {}, np.zeros((64, self.n), np.int32)
+
+
+def _distinct(cols: list[np.ndarray], counts: np.ndarray):
+    """Distinct rows of the columns (non-negative) with their summed counts."""
+    widths = [int(c.max()) + 1 if len(c) else 1 for c in cols]
+    span = 1
+    for w in widths:
+        span *= w
+    code = np.zeros(len(counts), np.int64)
+    for c, w in zip(cols, widths, strict=True):
+        if span >= 1 << 62:               # dense numbers place by place, so that nothing overflows
+            code = np.unique(code, return_inverse=True)[1]
+        code = code * w + c
+    _, first, back = np.unique(code, return_index=True, return_inverse=True)
+    return [c[first] for c in cols], np.bincount(back, weights=counts, minlength=len(first)).astype(np.int64)
+
+
+def season_draws(weights: DataFrame, contest: str, name: str, n_sims: int, k: int = 3, seed: int = 0, first_sim: int = 1,
+                 totals: bool = True, podiums: bool = True, split: bool | None = None) -> DataFrame:
+    """All draws of a season in one pass, summed: rows of three kinds.
+
+    ``votes``: (name, sim, votes): the votes of a task in a block of simulations from ``sim`` on.
+    ``podium``: (contest, places, n): how often a contest had these places (positions in name order from 1, 0 for none).
+    ``part``: (contest, sim, name, key): the k best of a part of a split contest, to be ranked again.
+    ``weights`` is a written table of (contest, name, weight); ``split`` tells whether any contest has more than
+    ``CHUNK`` names (looked up if not given).
     """
-    laid = _laid_out(contest_weights(df, contest, name, prob, scale), contest, name, "weight", seed)
+    split = not _large(weights, contest).isEmpty() if split is None else split
+    laid = _laid_out(weights, contest, name, "weight", seed, split)
     fields = {f.name: f.dataType for f in laid.schema.fields}
-    schema = T.StructType([T.StructField(name, fields[name]), T.StructField("sim", T.LongType()), T.StructField("_v", T.LongType())])
-
-    def emit(t, starts, blocks):
-        code = t.column(name).combine_chunks().dictionary_encode()
-        if isinstance(code, pa.ChunkedArray):
-            code = code.combine_chunks()
-        who, names = code.indices.to_numpy(), code.dictionary
-        for sims, places in blocks:
-            votes = np.zeros((len(names), len(sims)), np.int64)
-            for j, (win, _) in enumerate(places):
-                c, s = np.nonzero(win >= 0)
-                votes += (k - j) * np.bincount(who[win[c, s]] * len(sims) + s, minlength=votes.size).reshape(votes.shape)
-            i, s = np.nonzero(votes)
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), pa.array(sims[s]), pa.array(votes[i, s])], names=[name, "sim", "_v"])
-    small = laid.filter(F.col("_part") < 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
-    split = _split_places(laid, contest, name, n_sims, k, first_sim)
-    votes = small.unionByName(split.select(name, F.col("_sim").alias("sim"), (F.lit(k + 1) - F.col("_place")).cast("bigint").alias("_v")))
-    return votes.groupBy(name, "sim").agg(F.sum("_v").cast("bigint").alias("total_votes"))
+    schema = T.StructType([
+        T.StructField("kind", T.StringType()), T.StructField(contest, fields[contest]), T.StructField(name, fields[name]),
+        T.StructField("sim", T.LongType()), T.StructField("votes", T.ArrayType(T.IntegerType())), T.StructField("places", T.ArrayType(T.IntegerType())),
+        T.StructField("n", T.LongType()), T.StructField("key", T.DoubleType())])
+
+    def run(batches):
+        held, types = _Votes(n_sims, first_sim), None
+
+        def batch(kind, size, **cols):
+            cols["kind"] = pa.array([kind] * size)
+            return pa.RecordBatch.from_arrays([cols.get(f) if f in cols else pa.nulls(size, types[f]) for f in schema.names], names=schema.names)
+
+        def given_out():
+            for who, sims, votes in held.out(types[name]):
+                yield batch("votes", len(who), **{name: who, "sim": sims, "votes": votes})
+        for t in _runs(batches):
+            t = t.combine_chunks()
+            if types is None:
+                types = {contest: t.schema.field(contest).type, name: t.schema.field(name).type, "kind": pa.string(), "sim": pa.int64(),
+                         "votes": pa.list_(pa.int32()), "places": pa.list_(pa.int32()), "n": pa.int64(), "key": pa.float64()}
+            code = t.column(name).combine_chunks().dictionary_encode()
+            if isinstance(code, pa.ChunkedArray):
+                code = code.combine_chunks()
+            who, n_names = code.indices.to_numpy(), len(code.dictionary)
+            mine = held.rows(code.dictionary.to_pylist()) if totals else None
+            starts, blocks = _blocks(t, n_sims, k, first_sim)
+            whole = t.column("_part").to_numpy()[starts] < 0
+            seen, counts = [np.zeros(0, np.int64) for _ in range(k + 1)], np.zeros(0, np.int64)
+            for sims, places in blocks:
+                for win, key in places:
+                    c, s = np.nonzero((win >= 0) & ~whole[:, None])
+                    if len(c):
+                        rows = pa.array(win[c, s])
+                        yield batch("part", len(c), **{contest: t.column(contest).take(rows).combine_chunks(), "sim": pa.array(sims[s]),
+                                                       name: t.column(name).take(rows).combine_chunks(), "key": pa.array(key[c, s])})
+                if totals:
+                    votes = np.zeros(n_names * len(sims), np.int64)
+                    for j, (win, _) in enumerate(places):
+                        c, s = np.nonzero((win >= 0) & whole[:, None])
+                        votes += (k - j) * np.bincount(who[win[c, s]] * len(sims) + s, minlength=len(votes))
+                    a = int(sims[0]) - first_sim
+                    held.votes[mine, a:a + len(sims)] += votes.reshape(n_names, len(sims)).astype(np.int32)
+                if podiums:
+                    pick = np.flatnonzero(whole)
+                    cols = [np.repeat(pick, len(sims))]
+                    cols += [np.where(win < 0, 0, win - starts[:, None] + 1)[pick].ravel() for win, _ in places]
+                    found, times = _distinct(cols, np.ones(len(cols[0]), np.int64))
+                    seen, counts = _distinct([np.concatenate(x) for x in zip(seen, found, strict=True)], np.concatenate([counts, times]))
+            if len(counts):
+                flat = np.stack(seen[1:], axis=1).astype(np.int32).ravel()
+                ends = np.arange(len(counts) + 1, dtype=np.int32) * k
+                yield batch("podium", len(counts), **{contest: t.column(contest).take(pa.array(starts[seen[0]])).combine_chunks(),
+                                                      "places": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "n": pa.array(counts)})
+            if held.full():
+                yield from given_out()
+        if types is not None and totals:
+            yield from given_out()
+    return laid.mapInArrow(run, schema)
+
+
+def resumable_draws(weights: DataFrame, contest: str, name: str, n_sims: int, path: str, k: int = 3, seed: int = 0,
+                    batch: int = SIM_BATCH) -> tuple[DataFrame, DataFrame, bool]:
+    """(draws, weights, whether contests are split): ``season_draws`` written under ``path`` in batches of simulations, each complete or redone.
+
+    A batch is a folder that Spark marks when it is whole; a run with the same arguments skips whole
+    ones and overwrites others, so it goes on after a lost driver. The weights are kept beside them:
+    a second run under the same path draws from the first one's.
+    """
+    spark = weights.sparkSession
+    base = os.path.join(path, f"k{k}-seed{seed}-batch{batch}")
+    kept = os.path.join(path, "weights")
+    if not _whole(spark, kept):
+        weights.write.mode("overwrite").parquet(kept)
+    weights = spark.read.parquet(kept)
+    split = not _large(weights, contest).isEmpty()
+    firsts = range(1, n_sims + 1, batch)
+    names = {s: os.path.join(base, f"sims-{s}-{min(s + batch, n_sims + 1) - 1}") for s in firsts}
+    for s in firsts:
+        if not _whole(spark, names[s]):
+            season_draws(weights, contest, name, min(batch, n_sims + 1 - s), k, seed, s, split=split).write.mode("overwrite").parquet(names[s])
+    return spark.read.parquet(*names.values()), weights, split
+
+
+def _whole(spark, path: str) -> bool:
+    """Whether a write to ``path`` was committed."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def draw_totals(draws: DataFrame, contest: str, name: str, k: int = 3, split: bool = True) -> DataFrame:
+    """(name, sim, total_votes) of ``season_draws``: arrays of one name and block are added up, then spread.
+
+    ``split`` says whether the draws may hold split contests; they are a written table then.
+    """
+    fields = {f.name: f.dataType for f in draws.schema.fields}
+    schema = T.StructType([T.StructField(name, fields[name]), T.StructField("sim", T.LongType()), T.StructField("total_votes", T.LongType())])
+    src = (draws.filter(F.col("kind") == "votes").select(name, "sim", F.size("votes").alias("_w"), "votes")
+           .repartition(name, "sim").sortWithinPartitions(name, "sim"))
 
+    def run(batches):
+        held = None                      # the name, block and sums that may go on in the next batch
 
-def modal_podiums(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3, seed: int = 0,
-                  scale: int = 100, first_sim: int = 1) -> DataFrame:
-    """Most frequent ordered podium of each contest over the simulations (D11, N26), with its places.
+        def spread(who, sim, votes):
+            i, s = np.nonzero(votes)
+            return pa.RecordBatch.from_arrays([who.take(pa.array(i)), pa.array(sim[i] + s), pa.array(votes[i, s])], names=schema.names)
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            if held is not None:
+                t = pa.concat_tables([held, t])
+            t = t.combine_chunks()
+            who = t.column(0).combine_chunks()
+            code = who.dictionary_encode()
+            code = (code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code).indices.to_numpy()
+            sim = t.column(1).to_numpy()
+            new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (sim[1:] != sim[:-1])]))
+            held = t.slice(int(new[-1]))
+            width = t.column(2).to_numpy()
+            ends = np.append(new[1:], len(sim))
+            for w in np.unique(width[new[:-1]]):          # the last block of a season may be shorter
+                runs = np.flatnonzero(width[new[:-1]] == w)
+                rows = np.concatenate([np.arange(new[r], ends[r]) for r in runs])
+                votes = t.column(3).combine_chunks().take(pa.array(rows)).flatten().to_numpy().reshape(-1, w)
+                size = ends[runs] - new[runs]
+                total = np.add.reduceat(votes, np.cumsum(size) - size, axis=0, dtype=np.int64)
+                yield spread(who.take(pa.array(new[runs])), sim[new[runs]], total)
+        if held is not None:
+            flat = held.column(3).combine_chunks().flatten().to_numpy().reshape(held.num_rows, -1)
+            yield spread(held.column(0).combine_chunks().slice(0, 1), held.column(1).to_numpy()[:1], flat.sum(axis=0, dtype=np.int64)[None, :])
+    out = src.mapInArrow(run, schema)
+    if not split:
+        return out
+    parts = draws.filter(F.col("kind") == "part").select(contest, "sim", name, F.col("key").alias("_key"))
+    more = _ranked_again(parts, contest, "sim", name, k).select(name, "sim", (F.lit(k + 1) - F.col("_place")).cast("bigint").alias("total_votes"))
+    return out.unionByName(more).groupBy(name, "sim").agg(F.sum("total_votes").cast("bigint").alias("total_votes"))
+
+
+def draw_podiums(draws: DataFrame, weights: DataFrame, contest: str, name: str, k: int = 3, split: bool = True) -> DataFrame:
+    """Most frequent ordered podium of each contest of ``season_draws`` (D11, N26), with its places.
 
     Columns: contest, ``v<k>`` .. ``v1`` (NULL where fewer names were drawn) and ``combo``, the places joined by
     `` > ``. Equal counts go to the first text. Only contests with a weighted name appear.
     """
-    laid = _laid_out(contest_weights(df, contest, name, prob, scale), contest, name, "weight", seed)
-    fields = {f.name: f.dataType for f in laid.schema.fields}
     cols = [f"v{k - j}" for j in range(k)]
-    schema = T.StructType([T.StructField(contest, fields[contest]), *[T.StructField(c, fields[name]) for c in cols]])
-
-    def emit(t, starts, blocks):
-        size = np.diff(np.append(starts, t.num_rows))
-        base = int(size.max()) + 1
-        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        place = (base ** k) * np.arange(len(starts), dtype=np.int64)[:, None]
-        for _, places in blocks:
-            code = np.zeros(places[0][0].shape, np.int64)
-            for win, _ in places:
-                code = code * base + np.where(win < 0, 0, win - starts[:, None] + 1)
-            found, n = np.unique(code + place, return_counts=True)
-            codes, back = np.unique(np.concatenate([codes, found]), return_inverse=True)
-            counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(codes)).astype(np.int64)
-        owner = codes // base ** k
-        best = np.maximum.reduceat(counts, np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])))
-        names = t.column(name).to_pylist()
-        top: dict[int, tuple] = {}
-        for at in np.flatnonzero(counts == best[owner]).tolist():
-            c, rest, got = int(owner[at]), int(codes[at] % base ** k), []
-            for _ in range(k):
-                rest, i = divmod(rest, base)
-                got.append(names[starts[c] + i - 1] if i else None)
-            got = tuple(reversed(got))
-            text = " > ".join(str(x) for x in got if x is not None).encode()
-            if c not in top or text < top[c][0]:
-                top[c] = (text, got)
-        order = sorted(top)
-        yield pa.RecordBatch.from_arrays(
-            [t.column(contest).take(pa.array(starts[order])).combine_chunks(),
-             *[pa.array([top[c][1][j] for c in order], t.schema.field(name).type) for j in range(k)]], names=[contest, *cols])
-    small = laid.filter(F.col("_part") < 0).mapInArrow(lambda it: _each_block(it, n_sims, k, first_sim, emit), schema)
-    split = _split_places(laid, contest, name, n_sims, k, first_sim)
-    podium = split.groupBy(contest, "_sim").agg(*[F.max(F.when(F.col("_place") == j + 1, F.col(name))).alias(c) for j, c in enumerate(cols)])
+    counted = draws.filter(F.col("kind") == "podium").groupBy(contest, "places").agg(F.sum("n").alias("n"))
+    most = F.rank().over(Window.partitionBy(contest).orderBy(F.desc("n")))
+    top = counted.withColumn("_r", most).filter(F.col("_r") == 1)
+    # a contest that isn't split has at most CHUNK names
+    names = (weights.groupBy(contest).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= CHUNK).drop("_n") if split else None)
+    mine = weights if names is None else weights.join(names, contest, "left_semi")
+    listed = mine.groupBy(contest).agg(F.sort_array(F.collect_list(name)).alias("_names"))
+    place = [F.when(F.col("places")[j] > 0, F.element_at("_names", F.greatest(F.col("places")[j], F.lit(1)))).alias(c) for j, c in enumerate(cols)]
     text = F.concat_ws(" > ", *cols)
-    counted = podium.groupBy(contest, *cols).agg(F.count(F.lit(1)).alias("_n"))
-    first = Window.partitionBy(contest).orderBy(F.desc("_n"), text)
-    hot = counted.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(contest, *cols)
-    return small.unionByName(hot).withColumn("combo", text)
+    named = top.join(listed, contest).select(contest, *place).withColumn("combo", text)
+    out = named.groupBy(contest).agg(F.min_by(F.struct(*cols, "combo"), "combo").alias("_p")).select(contest, "_p.*")
+    if not split:
+        return out
+    parts = draws.filter(F.col("kind") == "part").select(contest, "sim", name, F.col("key").alias("_key"))
+    ranked = _ranked_again(parts, contest, "sim", name, k)
+    podium = ranked.groupBy(contest, "sim").agg(*[F.max(F.when(F.col("_place") == j + 1, F.col(name))).alias(c) for j, c in enumerate(cols)])
+    times = podium.groupBy(contest, *cols).agg(F.count(F.lit(1)).alias("_n")).withColumn("combo", text)
+    first = Window.partitionBy(contest).orderBy(F.desc("_n"), "combo")
+    hot = times.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(contest, *cols, "combo")
+    return out.unionByName(hot)
+
+
+def season_totals(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3, seed: int = 0,
+                  scale: int = 100, first_sim: int = 1) -> DataFrame:
+    """(name, sim, total_votes) over all contests: ``sample_votes`` summed, without its rows."""
+    weights = _written_weights(df, contest, name, prob, scale)
+    draws, split = _lone_draws(weights, contest, name, n_sims, k, seed, first_sim, podiums=False)
+    return draw_totals(draws, contest, name, k, split)
+
+
+def modal_podiums(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3, seed: int = 0,
+                  scale: int = 100, first_sim: int = 1) -> DataFrame:
+    """Most frequent ordered podium of each contest over the simulations, as ``draw_podiums`` gives it."""
+    weights = _written_weights(df, contest, name, prob, scale)
+    draws, split = _lone_draws(weights, contest, name, n_sims, k, seed, first_sim, totals=False)
+    return draw_podiums(draws, weights, contest, name, k, split)
+
+
+def _lone_draws(weights, contest, name, n_sims, k, seed, first_sim, **what):
+    """Draws with one reader, and whether contests are split; written only if they are, as the parts are read apart."""
+    split = not _large(weights, contest).isEmpty()
+    draws = season_draws(weights, contest, name, n_sims, k, seed, first_sim, split=split, **what)
+    return (cut_lineage(draws, "draws") if split else draws), split
+
+
+def season_tables(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3, seed: int = 0, scale: int = 100,
+                  path: str | None = None, batch: int = SIM_BATCH) -> tuple[DataFrame, DataFrame]:
+    """(totals, podiums) of a season from one pass over its races, whose sums are written.
+
+    With a ``path`` the simulations run in batches that a later call resumes (``resumable_draws``).
+    """
+    if path is None:
+        weights = _written_weights(df, contest, name, prob, scale)
+        split = not _large(weights, contest).isEmpty()
+        draws = cut_lineage(season_draws(weights, contest, name, n_sims, k, seed, split=split), "draws")
+    else:
+        draws, weights, split = resumable_draws(contest_weights(df, contest, name, prob, scale), contest, name, n_sims, path, k, seed, batch)
+    return draw_totals(draws, contest, name, k, split), draw_podiums(draws, weights, contest, name, k, split)

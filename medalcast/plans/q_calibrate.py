@@ -5,16 +5,17 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.calibrate import (apply_curves, calibration_table, complement_probability,
-                                   curve_points, curve_table, fit_polynomial, load_curves,
-                                   probability_long, save_curves)
+                                   curve_points, curve_table, degree_moments, fit_degrees, fit_polynomial,
+                                   load_curves, merge_moments, probability_long, save_curves)
 from ..operators.rows import add_row, drop_ordinals, replicate_rows
 from ..functions.expr import copies_weight, horner
 from ..schema import BINS_ONE_TWO, BINS_THREE, BINS_VALIDATION, CURVE_DEGREES, FIT_ANCHOR_V2, \
     FIT_DROP_ROWS
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.standin import ROW_KEY, STANDIN_CURVES, scored
 from .base_sql import BASE, weight_sql
 from .registry import d, register
@@ -136,6 +137,43 @@ def curve_fit_rows(spark, d_):
     return _moments(s, "v3", CURVE_DEGREES["v3"])
 
 
+DEGREES = 8
+_CENTRE, _SCALE = 1.0, 2.0      # the scores' middle and half their range, about; any fixed numbers do
+
+
+def _degrees_sql() -> str:
+    per = " union all ".join(
+        f"""select 'v{k}' as curve, cast(count(*) as bigint) as n_points, round(regr_slope(cast(true_votes = {k} as double), score), 6) as slope,
+        round(regr_intercept(cast(true_votes = {k} as double), score), 6) as intercept from scored where score is not null""" for k in (1, 2, 3))
+    return f"""select curve, cast(d.range as integer) as degree, n_points, case when d.range = 1 then slope end as slope,
+       case when d.range = 1 then intercept end as intercept, true as rises, case when d.range = {DEGREES} then 0.0e0 end as moment
+from ({per}) cross join range(1, {DEGREES + 1}) d"""
+
+
+@register("curve_degrees", BASE + _degrees_sql())
+def curve_degrees(spark, d_):
+    """Three curves of degrees 1 to 8 from one pass of moments, kept per season and merged.
+
+    The straight lines are compared with SQL's; every degree fits no worse than the one before; the residuals of
+    degree 8 are orthogonal to every power (the largest mean, rounded).
+    """
+    s = cut_lineage(scored(spark, d_).select("season", "score", "true_votes"), "scored")
+    ys = {f"v{k}": (F.col("true_votes") == k).cast("double") for k in (1, 2, 3)}
+    seasons = degree_moments(s, "score", ys, DEGREES, _CENTRE, _SCALE, ["season"])
+    fits = fit_degrees(merge_moments(seasons), list(ys), DEGREES, _CENTRE, _SCALE)
+    best = {r["curve"]: r["coefs"] for r in fits.filter(F.col("degree") == DEGREES).collect()}       # three rows
+    u = (F.col("score") - F.lit(_CENTRE)) / F.lit(_SCALE)
+    left = s.filter("score is not null").agg(*[
+        F.greatest(*[F.abs(F.avg((y - horner("score", best[c])) * F.pow(u, F.lit(j)))) for j in range(DEGREES + 1)]).alias(c)
+        for c, y in ys.items() if c in best] or [F.lit(None).cast("double").alias("none")])
+    moment = left.unpivot([], left.columns, "curve", "m")
+    before = F.lag("sse").over(Window.partitionBy("curve").orderBy("degree"))                        # eight rows a curve
+    out = fits.withColumn("rises", F.coalesce(F.col("sse") <= before * (1 + 1e-9), F.lit(True))).join(moment, "curve")
+    one, last = F.col("degree") == 1, F.col("degree") == DEGREES
+    return out.select("curve", "degree", F.col("n").alias("n_points"), F.when(one, F.round(F.col("coefs")[1], 6)).alias("slope"),
+                      F.when(one, F.round(F.col("coefs")[0], 6)).alias("intercept"), "rises", F.when(last, F.round("m", 6)).alias("moment"))
+
+
 @register("curve_probability", BASE + f"""
 select {K}, score, v3_prob from probs
 """)

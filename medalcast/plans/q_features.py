@@ -12,9 +12,9 @@ from ..functions.expr import starts_with_digit
 from ..operators.features import (add_match_features, group_shares, group_totals,
                                   recode_position, signed_margin)
 from ..operators.rows import dense_row_id
-from ..sources.standin import ROW_KEY, STANDIN_POSITION_GROUPS, STAT_COLS, fact
+from ..sources.standin import LABEL_ORDER, ROW_KEY, STANDIN_POSITION_GROUPS, STAT_COLS, fact
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import load_seasons, save, season_range
+from ..sources.tables import load, load_seasons, save, save_bucketed, save_seasons, season_range
 from .base_sql import BASE
 from .registry import register
 
@@ -48,6 +48,21 @@ def seasons_saved(spark, d):
     return back.select(*[F.col(x.name).cast(x.dataType) for x in f.schema.fields])
 
 
+@register("season_refreshed", BASE + """
+select season, cast(count(*) as bigint) as n, cast(sum(qty + case when season = '1997' then 1 else 0 end) as bigint) as qty, cast(sum(cents) as bigint) as cents
+from fact where season <> '1998' or stage <> 'FINAL' group by season
+""")
+def season_refreshed(spark, d):
+    """All seasons saved, then two of them again (one changed, one with fewer rows); the others' folders stay."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "seasons-" + uuid.uuid4().hex)
+    f = fact(spark, d)
+    save_seasons(f, path)
+    save_seasons(f.filter("season in ('1997', '1998')").filter("season <> '1998' or stage <> 'FINAL'")
+                 .withColumn("qty", F.col("qty") + F.when(F.col("season") == "1997", 1).otherwise(0)), path)
+    return load(spark, path).groupBy(F.col("season").cast("string").alias("season")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty"), F.sum("cents").alias("cents"))
+
+
 @register("positional_block", BASE + "select ln, pk, entity_id, contest_date from fact")
 def positional_block_q(spark, d):
     f = fact(spark, d)
@@ -76,6 +91,17 @@ def dense_row_id_q(spark, d):
     return dense_row_id(f, ROW_KEY)
 
 
+_WIDE_ORDER = ["contest_id", *LABEL_ORDER]
+
+
+@register("dense_row_id_wide", BASE + f"""
+select cast(row_number() over (order by {", ".join(_WIDE_ORDER)}) as bigint) as id, * from fact
+""")
+def dense_row_id_wide(spark, d):
+    """Ids on whole rows: every column is carried, and none is written on the way."""
+    return dense_row_id(fact(spark, d), _WIDE_ORDER)
+
+
 @register("feature_select_dedup", BASE + """
 select contest_id, qty, cents, tax, qty_share from (
   select contest_id, qty, cents, tax, qty::double / nullif(sum(qty) over (partition by contest_id), 0)::double qty_share
@@ -210,7 +236,7 @@ def recode_position_q(spark, d):
 _REG = "(select * from fact where regexp_matches(stage, '^[0-9]'))"
 
 
-@register("match_features", BASE + f"""
+_FEATURES_SQL = BASE + f"""
 select {K},
        {", ".join(f"{_share_sql(c, 'tt.team_' + c)} as team_pct_{c}" for c in STAT_COLS)},
        {", ".join(f"{_share_sql(c, 'mt.match_' + c)} as match_pct_{c}" for c in STAT_COLS)},
@@ -221,11 +247,33 @@ from {_REG} f
         from {_REG} r group by contest_id, team) tt using (contest_id, team)
   join (select contest_id, {", ".join(_sum_sql(c, "match_") for c in STAT_COLS)}
         from {_REG} r group by contest_id) mt using (contest_id)
-""")
+"""
+
+
+@register("match_features", _FEATURES_SQL)
 def match_features(spark, d):
     f = fact(spark, d).filter(starts_with_digit("stage"))
+    return _features(f, "join")
+
+
+def _features(f, method):
     out = add_match_features(f, "contest_id", "team", "winner", "margin", "pos", STAT_COLS,
-                             STANDIN_POSITION_GROUPS)
+                             STANDIN_POSITION_GROUPS, method=method)
     return out.select(*ROW_KEY, *["team_pct_" + c for c in STAT_COLS],
                       *["match_pct_" + c for c in STAT_COLS], "team_result",
                       "player_position_cln")
+
+
+BUCKETS = 16
+
+
+def bucketed_fact(spark, d):
+    """The fact rows as a table bucketed and sorted by contest, in the shared folder; the catalogue holds its name."""
+    tag = uuid.uuid4().hex
+    return save_bucketed(fact(spark, d), f"fact_{tag}", os.path.join(ensure_checkpoint_dir(spark), "fact-" + tag), ["contest_id"], BUCKETS)
+
+
+@register("match_features_bucketed", _FEATURES_SQL)
+def match_features_bucketed(spark, d):
+    """The cleaning step over a bucketed table: its two window sums need no exchange."""
+    return _features(bucketed_fact(spark, d).filter(starts_with_digit("stage")), "window")

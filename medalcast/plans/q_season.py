@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ..operators.calibrate import apply_curves
 from ..operators.report import report_board, report_contenders, report_teams, team_counts
-from ..operators.sampling import modal_podiums, sample_votes, season_totals
-from ..operators.summary import (podium_long, round_leaderboard, split_podium, summarise_totals,
-                                 team_top_k, top_names)
+from ..operators.sampling import modal_podiums, sample_votes, season_tables, season_totals
+from ..operators.summary import (SKETCH_ERROR, merge_sketches, podium_long, round_leaderboard, sketch_quantiles, sketch_totals,
+                                 split_podium, summarise_totals, team_top_k, top_names)
 from ..schema import SIMS_BACKTEST, TOP_BOARD, TOP_PER_TEAM
+from ..session import cut_lineage
 from ..sources.standin import SEED, STANDIN_CURVES, scored
 from .base_sql import BASE, weight_sql
 from .registry import hash32_sql, races_sql, register
@@ -188,6 +189,25 @@ def sim_summary_all_sims(spark, d):
     return _round6(season_summary(spark, d, "all_sims"))
 
 
+@register("approx_quantiles", SEASON + """
+select name, cast(count(*) as bigint) as n, true as p05_ok, true as mdn_ok, true as p95_ok from totals group by name
+""")
+def approx_quantiles(spark, d):
+    """Quantile sketches of batches of simulations, merged; whether each quantile's true rank is within the error bound.
+
+    A value's rank runs from the share of totals below it to the share up to it.
+    """
+    totals = cut_lineage(season_totals(season_rows(spark, d), *_DRAW), "totals")
+    got = sketch_quantiles(merge_sketches(sketch_totals(totals, batch=SIMS // 5)))
+    both = totals.join(got.drop("sketch"), "name")
+    n = F.count(F.lit(1))
+
+    def near(q, p):
+        return ((F.count_if(F.col("total_votes") < F.col(q)) / n <= p + SKETCH_ERROR)
+                & (F.count_if(F.col("total_votes") <= F.col(q)) / n >= p - SKETCH_ERROR))
+    return both.groupBy("name").agg(n.alias("n"), near("p05", 0.05).alias("p05_ok"), near("mdn_votes", 0.5).alias("mdn_ok"), near("p95", 0.95).alias("p95_ok"))
+
+
 @register("likely_podium", SEASON + "select contest_id, combo321 from podium")
 def likely_podium(spark, d):
     return season_podium(spark, d).select("contest_id", F.col("combo").alias("combo321"))
@@ -205,9 +225,10 @@ def top_names_q(spark, d):
 
 
 def _board(spark, d):
-    rows = season_rows(spark, d)
-    return round_leaderboard(season_summary(spark, d, rows=rows), season_podium(spark, d, rows), rows,
-                             "contest_id", "stage", "name", TOP_BOARD, rounds=ROUNDS)
+    """One scan and one pass over the races: the rows and the summed draws are written, and read from there."""
+    rows = cut_lineage(season_rows(spark, d).select("contest_id", "stage", "name", "v3_prob"), "season-rows")
+    totals, podium = season_tables(rows, *_DRAW)
+    return round_leaderboard(summarise_totals(totals, SIMS), podium, rows, "contest_id", "stage", "name", TOP_BOARD, rounds=ROUNDS)
 
 
 @register("round_leaderboard", SEASON + "select * from board")
@@ -221,7 +242,7 @@ def _players(rows, team_col):
 
 
 def _team_table(spark, d, team_col, round_first=False):
-    rows = season_rows(spark, d)
+    rows = cut_lineage(season_rows(spark, d).select("contest_id", "name", "v3_prob", "entity_id", team_col), "season-rows")
     summary = season_summary(spark, d, rows=rows)
     if round_first:
         summary = _round6(summary)

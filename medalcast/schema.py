@@ -34,6 +34,7 @@ FIT_ANCHOR_V2 = (3.0, 0.05)
 
 # --- fixed values: workload sizes ---
 SIMS_BACKTEST = 250
+SIMS_SEASON = 10_000      # simulated seasons of a current season
 TRAIN_SHARE = 0.3
 CV_FOLDS = 3
 BOOST_TREES = 500

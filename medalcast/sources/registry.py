@@ -9,9 +9,11 @@ aggregation instead of a driver-side directory walk.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values: version text layout ---
@@ -44,3 +46,73 @@ def resolve_versions(files: DataFrame, group: Sequence[str] = ("model",),
     return agg.select(*group, "current_version", "current_name",
                       version_text(F.col("current_version")).alias("current_file"),
                       nxt.alias("next_version"), version_text(nxt).alias("next_file"))
+
+
+# ---- a stored registry --------------------------------------------------------------------
+# <root>/entries/model=<model>/<version file>   one line each: the file's name
+# <root>/artefacts/<model>/<version>            what was saved
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _create(spark: SparkSession, path: str, line: str) -> bool:
+    """Create a file that must not exist; False if another caller was first."""
+    p, fs = _file_system(spark, path)
+    data = (line + "\n").encode()
+    if fs.getScheme() == "file":              # Hadoop's local files check and create in two steps
+        local = p.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "xb") as f:
+                f.write(data)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise e
+    out.write(bytearray(data))
+    out.close()
+    return True
+
+
+def stored_registry(spark: SparkSession, root: str) -> DataFrame:
+    """(model, name) of every version taken under ``root``."""
+    p, fs = _file_system(spark, f"{root}/entries")
+    if not fs.exists(p):
+        return spark.createDataFrame([], "model string, name string")
+    return spark.read.schema("value string, model string").text(f"{root}/entries").select("model", F.col("value").alias("name"))
+
+
+def take_version(spark: SparkSession, root: str, model: str, tries: int = 1000) -> str:
+    """The model's next version file name, taken by creating its entry: of several callers each gets another.
+
+    Only the folder of this model is listed. A caller that dies after it leaves a version without an artefact.
+    """
+    folder = f"{root}/entries/model={model}"
+    for _ in range(tries):
+        p, fs = _file_system(spark, folder)
+        names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+        taken = [float(n[VERSION_FIRST_CHAR - 1:VERSION_FIRST_CHAR - 1 + VERSION_CHARS]) for n in names
+                 if n.startswith(VERSION_PREFIX) and n.endswith(FILE_SUFFIX)]
+        name = f"{VERSION_PREFIX}{max(taken) + VERSION_STEP if taken else 1.0:.2f}{FILE_SUFFIX}"
+        if _create(spark, f"{folder}/{name}", name):
+            return name
+    raise RuntimeError(f"no version of {model} could be taken")
+
+
+def artefact_path(root: str, model: str, name: str) -> str:
+    return f"{root}/artefacts/{model}/{name.removesuffix('.RData')}"
+
+
+def save_version(spark: SparkSession, root: str, model: str, write: Callable[[str], None]) -> tuple[str, str]:
+    """Take the next version and ``write`` its artefact; (version file name, path)."""
+    name = take_version(spark, root, model)
+    path = artefact_path(root, model, name)
+    write(path)
+    return name, path

@@ -32,6 +32,26 @@ def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> Non
     w.parquet(path)
 
 
+def save_seasons(df: DataFrame, path: str, season: str = "season") -> None:
+    """Write the seasons that ``df`` holds, each replacing its own folder; other seasons stay.
+
+    Spark's dynamic partition overwrite swaps the folders in when the whole write is committed, so a failed
+    refresh leaves the old season.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(season).parquet(path)
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` bucketed and sorted by ``keys`` as table ``name`` at ``path``, and read it.
+
+    Windows, aggregations and joins on ``keys`` (or more columns) over it need no exchange. ``path`` is a
+    folder that all executors share; the catalogue holds only the name. One task writes a bucket.
+    """
+    (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def load_seasons(spark: SparkSession, path: str, first: int, last: int,
                  season: str = "season") -> DataFrame:
     """Season-range extract from a table written ``partitionBy(season)``; prunes partitions."""

@@ -7,6 +7,7 @@ from medalcast.functions.expr import clamp_curve, copies_weight, right_closed_bi
 from medalcast.operators.awards import award_votes, vote_accuracy
 from medalcast.operators.features import group_shares, recode_position, signed_margin
 from medalcast.operators.modeling import pool_rare_levels
+from medalcast.operators import sampling
 from medalcast.operators.sampling import modal_podiums, sample_votes, season_totals
 from medalcast.operators.summary import (round_leaderboard, sim_summary, sim_totals, split_podium,
                                          team_top_k)
@@ -243,3 +244,58 @@ def test_missing_scores_get_no_award(spark):
     assert got == [(1, 2, 2), (1, 4, 1), (3, 2, 1)]
     x = spark.createDataFrame([(nan,), (None,), (9.0,)], "x double")
     assert [r[0] for r in x.select(clamp_curve("x", [0.1, 0.2], 3.5, 0.975)).collect()] == [None, None, 0.975]
+
+
+def test_modal_podiums_of_many_names_and_places(spark):
+    """Podium codes of 3,900 names and six places don't fit 64 bits as one number."""
+    df = spark.createDataFrame([("c", f"n{i:04d}", 9.0 if i < 6 else 0.01) for i in range(3900)] + [("d", "x", 0.5)], "c string, name string, p double")
+    got = {r.c: r for r in modal_podiums(df, "c", "name", "p", 40, k=6, seed=2).collect()}
+    votes = sample_votes(df, "c", "name", "p", 40, k=6, seed=2).collect()
+    podiums = {}
+    for r in votes:
+        podiums.setdefault((r.c, r.sim), {})[r.votes] = r.name
+    for c in ("c", "d"):
+        texts = [" > ".join(v[x] for x in sorted(v, reverse=True)) for (k, _), v in podiums.items() if k == c]
+        most = max(texts.count(t) for t in texts)
+        assert got[c].combo == min((t for t in texts if texts.count(t) == most), key=str.encode)
+    assert got["d"].v6 == "x" and got["d"].v5 is None
+
+
+def test_one_pass_equals_long_votes_with_split_contests(spark, monkeypatch):
+    import random
+    rng = random.Random(3)
+    rows = [(c, f"p{i}", rng.random()) for c in range(12) for i in range(rng.randrange(1, 9))] + [(99, f"q{i}", rng.random()) for i in range(60)]
+    df = spark.createDataFrame(rows, "c long, name string, p double")
+    monkeypatch.setattr(sampling, "CHUNK", 16)
+    monkeypatch.setattr(sampling, "HELD", 500)           # a task gives its sums out several times
+    votes = sample_votes(df, "c", "name", "p", 300, seed=5).groupBy("name", "sim").agg(F.sum("votes").alias("v"))
+    want = {(r.name, r.sim): r.v for r in votes.collect()}
+    totals, podiums = sampling.season_tables(df, "c", "name", "p", 300, seed=5)
+    assert {(r.name, r.sim): r.total_votes for r in totals.collect()} == want
+    alone = {r.c: r.combo for r in modal_podiums(df, "c", "name", "p", 300, seed=5).collect()}
+    assert {r.c: r.combo for r in podiums.collect()} == alone and 99 in alone
+
+
+def test_a_killed_season_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    rows = [(c, f"p{i}", 0.1 * (i + 1)) for c in range(9) for i in range(c + 1)]
+    df = spark.createDataFrame(rows, "c long, name string, p double")
+    whole_totals, whole_podiums = sampling.season_tables(df, "c", "name", "p", 70, seed=4, batch=20, path=str(tmp_path / "a"))
+    want = sorted(map(tuple, whole_totals.collect())), sorted(map(tuple, whole_podiums.collect()))
+    plain = sampling.season_tables(df, "c", "name", "p", 70, seed=4)
+    assert want == (sorted(map(tuple, plain[0].collect())), sorted(map(tuple, plain[1].collect())))
+    draws, calls = sampling.season_draws, []
+
+    def dies(weights, *args, **kw):
+        calls.append(args[-1])
+        if len(calls) == 3:
+            raise KeyboardInterrupt
+        return draws(weights, *args, **kw)
+    monkeypatch.setattr(sampling, "season_draws", dies)
+    with pytest.raises(KeyboardInterrupt):
+        sampling.season_tables(df, "c", "name", "p", 70, seed=4, batch=20, path=str(tmp_path / "b"))
+    # what a batch left half-written is replaced
+    done = tmp_path / "b" / "k3-seed4-batch20" / "sims-21-40"
+    (done / "_SUCCESS").unlink()
+    totals, podiums = sampling.season_tables(df, "c", "name", "p", 70, seed=4, batch=20, path=str(tmp_path / "b"))
+    assert (sorted(map(tuple, totals.collect())), sorted(map(tuple, podiums.collect()))) == want
+    assert calls == [1, 21, 41, 21, 41, 61]              # the first batch was kept
