@@ -3,8 +3,8 @@
 Lines are the ``\\n``-split parts of a text, stripped of white space at both
 ends; lines without a word are never touched. The earliest line, by (document
 id, line number), of equal lines stays. A line of at least ``MIN_CHARS`` code
-points also goes if an earlier one is within edit distance 1 (one code point
-inserted, deleted or replaced): every line emits itself and all its one-deletion
+points also goes if an earlier one (of ``MIN_CHARS - 1`` or more) is within edit
+distance 1 (one code point inserted, deleted or replaced): every line emits itself and all its one-deletion
 variants as 64-bit keys, equal variants meet, and met texts are verified.
 
 * Two lines are one replacement apart iff deleting the same position of both
@@ -23,7 +23,8 @@ keys a line, which is why more isn't offered.
 
 Cases: null text has no lines. Rows with a null id are passed on untouched and
 hold back no other line. Rows that repeat an id and its text are treated alike
-(the same lines stay in each). Empty and very long lines are fine; an empty
+(the same lines stay in each); rows of one id with different texts are different
+documents, in order of the texts' hashes. Empty and very long lines are fine; an empty
 table gives an empty one. Other columns, whatever their names, are passed on.
 """
 
@@ -53,11 +54,16 @@ def strip(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
+def _which(text: Column) -> Column:
+    """31 bits of a text's hash: rows with one id and different texts are different documents."""
+    return F.shiftrightunsigned(F.xxhash64(text.cast("string")), 33)
+
+
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, no, line) of every line with a word, stripped."""
+    """(id, no, line) of every line with a word, stripped; ``no`` is the text's ``_which`` and, below 32 bits, the line's number."""
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t")).filter("id is not null")
-    ex = src.select("id", F.posexplode(_split(F.col("t"))).alias("no", "raw"))
-    return ex.select("id", "no", strip(F.col("raw")).alias("line")).filter(F.col("line") != "")
+    ex = src.select("id", _which(F.col("t")).alias("w"), F.posexplode(_split(F.col("t"))).alias("n", "raw"))
+    return ex.select("id", (F.shiftleft("w", 32) + F.col("n")).alias("no"), strip(F.col("raw")).alias("line")).filter(F.col("line") != "")
 
 
 def _half(m: Column) -> Column:
@@ -93,7 +99,7 @@ def _variants(cand: DataFrame) -> DataFrame:
                     k = keys[i:i + 50_000]
                     pos = np.arange(i - 1, i - 1 + len(k), dtype=np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(k), pa.array(np.full(len(k), id_, np.int64)), pa.array(np.full(len(k), no, np.int32)), pa.array(pos)],
+                        [pa.array(k), pa.array(np.full(len(k), id_, np.int64)), pa.array(np.full(len(k), no, np.int64)), pa.array(pos)],
                         names=["key", "id", "no", "pos"])
 
     def packed(batches):   # one Arrow batch for many short lines
@@ -106,11 +112,14 @@ def _variants(cand: DataFrame) -> DataFrame:
                 held, rows = [], 0
         if held:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-    return cand.select("id", "no", "line").mapInArrow(tv.lean(packed), "key long, id long, no int, pos int")
+    return cand.select("id", "no", "line").mapInArrow(tv.lean(packed), "key long, id long, no long, pos int")
 
 
-def _near(cand: DataFrame) -> DataFrame:
-    """(id, no) of candidate lines with an earlier candidate line within one edit; one row per distinct line comes in."""
+def _near(cand: DataFrame, min_chars: int) -> DataFrame:
+    """(id, no) of candidate lines of ``min_chars`` or more with an earlier candidate line within one edit.
+
+    One row per distinct line comes in; one of a character less may be the earlier line.
+    """
     occ = F.struct("id", "no")
     whole, part = F.col("pos") < 0, F.col("pos") >= 0
     by_key, by_pos = W.partitionBy("key"), W.partitionBy("key", "pos")
@@ -123,19 +132,19 @@ def _near(cand: DataFrame) -> DataFrame:
              .select("id", "no", F.col("lead.id").alias("e_id"), F.col("lead.no").alias("e_no")).distinct())
     earlier = cand.select(F.col("id").alias("e_id"), F.col("no").alias("e_no"), F.col("line").alias("e_line"))
     met = pairs.join(cand.select("id", "no", "line"), ["id", "no"]).join(earlier, ["e_id", "e_no"])
-    return met.filter(F.levenshtein("line", "e_line", 1) >= 0).select("id", "no").distinct()
+    return met.filter((F.char_length("line") >= min_chars) & (F.levenshtein("line", "e_line", 1) >= 0)).select("id", "no").distinct()
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1,
                    min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, no, near): every line to remove; ``near`` tells one removed for an earlier line one edit away."""
+    """(id, no, near): every line to remove (``no`` as in ``lines_of``); ``near`` tells one removed for an earlier line one edit away."""
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     scratch = Scratch(docs.sparkSession, "line-dedup")
     ln = lines_of(docs, id_col, text_col)
     n = F.char_length("line")
     keyed = ln.select("id", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
-                      F.when(n >= min_chars, _block_keys(F.col("line"), n)).alias("k"))
+                      F.when(n >= min_chars - 1, _block_keys(F.col("line"), n)).alias("k"))
     first = scratch.write(
         keyed.groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("f"), F.count(F.lit(1)).alias("c"),
                                       *[F.min(F.get("k", F.lit(i))).alias(f"k{i}") for i in range(4)]), "distinct-lines")
@@ -150,22 +159,24 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small = named.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     cand = scratch.write(ln.join(F.broadcast(named) if small else named, ["id", "no"], "left_semi")
                          .dropDuplicates(["id", "no"]), "candidate-lines", compression="zstd")
-    near = _near(cand).select("id", "no", F.lit(True).alias("near"))
+    near = _near(cand, min_chars).select("id", "no", F.lit(True).alias("near"))
     return again.unionByName(near)
 
 
 def _removals(docs, id_col, text_col, **options) -> DataFrame:
-    """(id, gone, near): sorted line numbers to remove of each document that loses any."""
+    """(id, w, gone, near): sorted line numbers to remove of each document (its id and ``_which``) that loses any."""
     gone = repeated_lines(docs, id_col, text_col, **options)
-    return gone.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("gone"), F.sum(F.col("near").cast("long")).alias("near"))
+    line = F.col("no").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    return (gone.groupBy("id", F.shiftright("no", 32).alias("w"))
+            .agg(F.array_sort(F.collect_set(line)).alias("gone"), F.sum(F.col("near").cast("long")).alias("near")))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per input row: (id, n_lines with a word, n_near, removed line numbers)."""
     per = _removals(docs, id_col, text_col, **options)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _which(F.col(f"`{text_col}`")).alias("w"),
                        F.size(F.filter(_split(F.col(f"`{text_col}`")), lambda x: strip(x) != "")).cast("long").alias("n_lines"))
-    return rows.join(per, "id", "left").select("id", "n_lines", F.coalesce("near", F.lit(0).cast("long")).alias("n_near"),
+    return rows.join(per, ["id", "w"], "left").select("id", "n_lines", F.coalesce("near", F.lit(0).cast("long")).alias("n_near"),
                                                F.coalesce("gone", F.array().cast("array<int>")).alias("removed"))
 
 
@@ -184,8 +195,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Documents that had a word and lost every line with one are dropped if ``drop_emptied``. ``size_col``, if
     given, gets the new text's length in code points where the text changed.
     """
-    per = _removals(docs, id_col, text_col, **options).select(F.col("id").alias("__l_id"), F.col("gone").alias("__l_gone"))
-    out = docs.join(per, F.col(f"`{id_col}`").cast("long") == F.col("__l_id"), "left")
+    per = _removals(docs, id_col, text_col, **options).select(F.col("id").alias("__l_id"), F.col("w").alias("__l_w"), F.col("gone").alias("__l_gone"))
+    out = docs.join(per, (F.col(f"`{id_col}`").cast("long") == F.col("__l_id")) & (_which(F.col(f"`{text_col}`")) == F.col("__l_w")), "left")
     text = F.when(F.col("__l_gone").isNull(), F.col(f"`{text_col}`")).otherwise(drop_lines(F.col(f"`{text_col}`"), F.col("__l_gone")))
     out = out.withColumn("__l_new", text)
     if drop_emptied:

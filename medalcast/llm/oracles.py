@@ -42,10 +42,10 @@ with l as (select doc_id, no - 1 as no, trim(x, {_BLANKS}) as line
            where trim(x, {_BLANKS}) <> ''),
 o as (select *, row_number() over (partition by line order by doc_id, no) as nth, length(line) as n from l),
 k as (select doc_id, no, line, n, m, side, case side when 'f' then substr(line, 1, m // 2) else right(line, m // 2) end as part
-      from (select *, unnest([n, n - 1]) as m from o where nth = 1 and n >= 24) cross join (values ('f'), ('e')) s(side)),
+      from (select *, unnest([n, n - 1]) as m from o where nth = 1 and n >= 23) cross join (values ('f'), ('e')) s(side)),
 p as (select distinct a.doc_id, a.no, a.line as x, b.line as y
       from k a join k b on a.m = b.m and a.side = b.side and a.part = b.part and (b.doc_id, b.no) < (a.doc_id, a.no)
-      where abs(a.n - b.n) <= 1),
+      where abs(a.n - b.n) <= 1 and a.n >= 24),
 q as (select *, coalesce(list_position(list_transform(list_zip(string_split(x, ''), string_split(y, '')), lambda z: z[1] is distinct from z[2]), true),
                          least(length(x), length(y)) + 1) as pos from p),
 near as (select distinct doc_id, no from q

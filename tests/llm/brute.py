@@ -56,7 +56,7 @@ def removed_lines(docs, min_chars=24, max_edits=1):
             if x in seen:
                 gone.add((i, n))
                 continue
-            if max_edits and len(x) >= min_chars and any(one_edit(x, y) for y in seen if len(y) >= min_chars):
+            if max_edits and len(x) >= min_chars and any(one_edit(x, y) for y in seen if len(y) >= min_chars - 1):
                 gone.add((i, n))
             seen[x] = (i, n)
     return gone
@@ -233,3 +233,67 @@ def alignments(docs, encode_a, encode_b):
     for (x, _), n in count.items():
         best[x] = max(best[x], n)
     return {i: (v[0], v[1], v[2], len(links[i]), sum(count[p] == best[p[0]] for p in links[i]), sum(count[p] for p in links[i]), v[3]) for i, v in out.items()}
+
+
+def url_verdicts(pages, rules, lift=2.0, damping=0.85, rounds=300):
+    """[(host, path, rule, verdict)] of (url, html) pages, by plain loops."""
+    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+
+    def cut(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        return low(host), re.match(r"[^?#]*", rest[len(host):])[0]
+    rows, pages_of, links = [], Counter(), Counter()
+    for url, html in pages:
+        host, path = cut(url)
+        fits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        _, rule, ruled = max(fits) if fits else (0, None, None)
+        rows.append((host, path, rule, ruled))
+        if host:
+            pages_of[host, ruled] += 1
+            for dst in {cut(x)[0] for x in re.findall(r"(?i)href\s*=\s*[\"']?([a-z][a-z0-9+.-]*://[^\"'\s>]*)", html or "")}:
+                if dst and dst != host:
+                    links[host, dst] += 1
+    hosts = {h for h, _ in pages_of}
+    for h in hosts:
+        up = h.split(".", 1)[1] if h.count(".") >= 2 else ""
+        if up in hosts:
+            links[h, up] += 1
+            links[up, h] += 1
+
+    def rank(seed, edges):
+        total = sum(seed.values())
+        if not total:
+            return {}
+        seed = {h: w / total for h, w in seed.items()}
+        out = Counter()
+        for (a, _), w in edges.items():
+            out[a] += w
+        r = dict(seed)
+        for _ in range(rounds):
+            nxt = {h: (1 - damping) * w for h, w in seed.items()}
+            for (a, b), w in edges.items():
+                nxt[b] = nxt.get(b, 0) + damping * r.get(a, 0) * w / out[a]
+            r = nxt
+        return {h: x * total for h, x in r.items()}
+    back = Counter({(b, a): w for (a, b), w in links.items()})
+
+    def seeds(kind):
+        got = Counter()
+        for (h, v), n in pages_of.items():
+            if kind in (None, v):
+                got[h] += n
+        return got
+    ranks = {"trust": (rank(seeds("allow"), links), rank(seeds(None), links)), "distrust": (rank(seeds("block"), back), rank(seeds(None), back))}
+    is_open = {h for h, _, _, v in rows if h and v is None}
+    usual, share = {}, {}
+    for k, (some, whole) in ranks.items():
+        base = sum(whole.get(h, 0) for h in is_open)
+        usual[k] = sum(some.get(h, 0) for h in is_open) / base if base else 0
+        share[k] = {h: some.get(h, 0) / x for h, x in whole.items() if x}
+    out = []
+    for host, path, rule, ruled in rows:
+        t, d = share["trust"].get(host, 0), share["distrust"].get(host, 0)
+        worse = usual["distrust"] * t < usual["trust"] * d if usual["trust"] else d > 0
+        out.append((host, path, rule, ruled or ("block" if d > lift * usual["distrust"] and worse else "allow")))
+    return out
