@@ -20,7 +20,8 @@ one task. Only hashes, ids and piece numbers are shuffled; the last join brings
 piece numbers to the texts.
 
 Cases: null text stays null; rows with a null id pass untouched and hold back
-nothing. Rows that repeat an id and its text get equal results. Overlapping
+nothing. Rows that repeat an id and its text get equal results; rows of one id
+with different texts are different documents, in order of the texts' hashes. Overlapping
 repeats inside one text (one sentence over and over) keep the first run whole.
 Empty tables give empty ones; other columns are passed on whatever their names.
 """
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +42,8 @@ PIECE_WORDS = 12
 REACH = 4
 RUN_WORDS = 16
 MIN_CUT = 20
-LENGTHS = 32               # a run is packed as its first piece * LENGTHS + its number of pieces
+LENGTHS = 32               # a run is packed as its first piece * LENGTHS + its number of pieces,
+LOW = (1 << 32) - 1        # in 32 bits below 31 bits of its text's hash
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True
 _BASES = [(x & ~7) | 5 for x in (tv._mix_int(9001), tv._mix_int(9002))]      # powers repeat after 2**62 only
@@ -118,24 +120,31 @@ class Pieces:
         return row, (lo - self.first[row]) * LENGTHS + (hi - lo), h1, h2
 
 
+def _which(text: Column) -> Column:
+    """31 bits of a text's hash, to tell rows with one id and different texts apart."""
+    return F.shiftrightunsigned(F.xxhash64(text.cast("string")), 33)
+
+
 def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
     def emit(batches):
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+            ids, which = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
             buf, off = tv.utf8(b.column(1))
             for i, j in tv.slices(off):
                 row, at, h1, h2 = Pieces(buf[off[i]:off[j]], off[i:j + 1] - off[i]).runs(run_words)
+                at = at + (which[i:j][row] << 32)
                 for k in range(0, len(row), 100_000):
                     z = slice(k, k + 100_000)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[i:j][row[z]]), pa.array(at[z]), pa.array(tv.as_long(h1[z])), pa.array(tv.as_long(h2[z]))],
                         names=["id", "no", "h1", "h2"])
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t")).filter("id is not null")
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"),
+                      _which(F.col(f"`{text_col}`")).alias("w")).filter("id is not null")
     return src.mapInArrow(tv.lean(emit), "id long, no long, h1 long, h2 long")
 
 
 def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS) -> DataFrame:
-    """(id, starts): sorted runs (packed) of each document that occurred before."""
+    """(id, w, starts): sorted runs (packed) of each document (its id and ``_which``) that occurred before."""
     if not 0 < run_words < LENGTHS:
         raise ValueError(f"run_words must be from 1 to {LENGTHS - 1}, not {run_words}")
     scratch = Scratch(docs.sparkSession, "span-dedup")
@@ -144,11 +153,13 @@ def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .filter("c > 1").select("h1", "h2", "f"))
     seen = scratch.write(seen, "repeated-runs")
     again = runs.join(seen, ["h1", "h2"]).filter(F.struct("id", "no") != F.col("f"))
-    lo, first = (F.shiftright(x, LENGTHS.bit_length() - 1) for x in ("no", "f.no"))
+    lo, first = (F.shiftright(F.col(x).bitwiseAND(F.lit(LOW)), LENGTHS.bit_length() - 1) for x in ("no", "f.no"))
     end, first_end = lo + F.col("no") % LENGTHS, first + F.col("f.no") % LENGTHS
-    lo = F.when(F.col("id") == F.col("f.id"), F.greatest(lo, first_end)).otherwise(lo)     # the first one stays whole
-    left = again.filter(lo < end).select("id", (lo * LENGTHS + end - lo).alias("no"))
-    return left.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("starts"))
+    w = F.shiftright("no", 32)
+    same = (F.col("id") == F.col("f.id")) & (w == F.shiftright("f.no", 32))
+    lo = F.when(same, F.greatest(lo, first_end)).otherwise(lo)     # the first one stays whole
+    left = again.filter(lo < end).select("id", w.alias("w"), (lo * LENGTHS + end - lo).alias("no"))
+    return left.groupBy("id", "w").agg(F.array_sort(F.collect_set("no")).alias("starts"))
 
 
 def _long_enough(mark: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
@@ -166,8 +177,9 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_cut: int = MIN_CUT) -> DataFrame:
     """``docs`` with repeated pieces cut out of the text, and ``n_pieces``, ``n_removed``, ``cut_words``,
     ``cut_spans`` (flat code point ranges of the old text) added; select other names first if they clash."""
-    gone = repeated_pieces(docs, id_col, text_col, run_words).withColumnRenamed("id", "__s_id")
-    both = docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__s_id"), "left").drop("__s_id")
+    gone = repeated_pieces(docs, id_col, text_col, run_words).withColumnsRenamed({"id": "__s_id", "w": "__s_w"})
+    mine = (F.col(f"`{id_col}`").cast("long") == F.col("__s_id")) & (_which(F.col(f"`{text_col}`")) == F.col("__s_w"))
+    both = docs.join(gone, mine, "left").drop("__s_id", "__s_w")
     added = [T.StructField("n_pieces", T.LongType()), T.StructField("n_removed", T.LongType()),
              T.StructField("cut_words", T.LongType()), T.StructField("cut_spans", T.ArrayType(T.LongType()))]
     schema = T.StructType([*docs.schema.fields, *added])
