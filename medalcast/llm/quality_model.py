@@ -4,14 +4,19 @@ Nine heuristic labellers look at a text and vote good (2), bad (0) or abstain
 (1). A vote pattern has at most 3^9 forms; Spark counts them over all
 documents, and expectation-maximisation on those counts estimates, for each
 labeller and class, how often it casts each vote (overlapping labellers with
-class-conditional error rates, after Dawid & Skene, 1979). Posterior class
-probabilities of at most ``TRAIN_ROWS`` documents, first in hash order of the
-id, then train a hashed linear scorer (logistic regression on words and word
-shapes, soft targets) that scores every whole text in the tasks.
+class-conditional error rates, after Dawid & Skene, 1979). Kinds of junk don't
+occur together, so one class of bad texts would take in one kind alone and leave
+the others among the good ones, with labellers that object to many of them; a
+labeller therefore objects to at most ``OBJECTS`` of the good texts. Posterior
+class probabilities of at most ``TRAIN_ROWS`` documents, first in hash order of
+the id, then train a hashed linear scorer (logistic regression on soft targets)
+that scores every whole text in the tasks. Its features are words and word
+shapes, and the steps in which the labellers' measures lie.
 
 No given label is read. Cases: null, empty and wordless texts get the score
-``EMPTY_SCORE`` and are not kept. Repeated rows get equal scores. An empty
-table gives an empty one. Extra columns are ignored.
+``EMPTY_SCORE`` and are not kept. Repeated rows get equal scores; rows of one id
+with different texts are documents of their own. An empty table gives an empty
+one. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +31,16 @@ from .sample import pick
 from .textvec import U, mix
 
 LABELLERS = ["length", "word_length", "symbols", "variety", "capitals", "sentence_ends", "shouting", "line_repeats", "tidy"]
+#: steps of the measures, as features of the scorer
+STEPS = {"n": [1, 10, 30, 50, 80, 150, 400, 1000], "mean": [2, 3, 4, 5, 6, 8, 10, 14], "symbols": [0.001, 0.02, 0.05, 0.1, 0.2, 0.5, 1],
+         "variety": [1, 2, 3, 4, 5, 7, 10], "upper": [0.01, 0.03, 0.08, 0.15, 0.3, 0.6, 1], "word_end": [0.005, 0.03, 0.08, 0.15, 0.3, 0.5],
+         "bang": [0.001, 0.02, 0.05, 0.1, 0.3], "repeats": [0.001, 0.05, 0.1, 0.2, 0.3, 0.5]}
 BUCKETS = 1 << 18
 TRAIN_ROWS = 4_000       # documents the scorer is trained on, at most
 EM_ROUNDS = 50
-EPOCHS = 80
-RATE = 0.5
+OBJECTS = 0.02           # share of good texts that a labeller objects to, at most
+EPOCHS = 120
+RATE = 0.05
 L2 = 1e-5
 EMPTY_SCORE = 0.0
 KEEP_AT = 0.5
@@ -52,13 +62,14 @@ def _per_row(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.diff(total[off])
 
 
-def votes(buf, off, starts, ends, h, first) -> np.ndarray:
-    """[rows, 9] of 0 (bad), 1 (abstains), 2 (good)."""
+def measures(buf, off, starts, ends, h, first) -> dict[str, np.ndarray]:
+    """What the labellers look at, per row; word lengths in code points."""
     n_rows = len(off) - 1
     n = np.diff(first)
     row = tv.row_ids(first)
     some = np.maximum(n, 1)
-    mean = np.bincount(row, weights=ends - starts, minlength=n_rows) / some
+    chars = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+    mean = np.bincount(row, weights=chars[ends] - chars[starts], minlength=n_rows) / some
     symbols = _per_row(_SYMBOL[buf], off) / some
     upper = _per_row((buf >= 65) & (buf <= 90), off) / np.maximum(_per_row((buf >= 97) & (buf <= 122), off), 1)
     bang = _per_row(buf == 0x21, off) / some
@@ -77,6 +88,12 @@ def votes(buf, off, starts, ends, h, first) -> np.ndarray:
     lrow = row[head]
     n_lines = np.maximum(np.bincount(lrow, minlength=n_rows), 1)
     repeats = 1 - np.bincount(tv.distinct_per_row(lrow, lh)[0], minlength=n_rows) / n_lines
+    return {"n": n, "mean": mean, "symbols": symbols, "variety": variety, "upper": upper, "word_end": word_end, "bang": bang, "repeats": repeats}
+
+
+def votes(seen: dict[str, np.ndarray]) -> np.ndarray:
+    """[rows, 9] of 0 (bad), 1 (abstains), 2 (good)."""
+    n, mean, symbols, variety, upper, word_end, bang, repeats = (seen[k] for k in STEPS)
 
     def vote(bad, good=False):
         return np.where(bad, 0, np.where(good, 2, 1))
@@ -93,8 +110,30 @@ def votes(buf, off, starts, ends, h, first) -> np.ndarray:
     ], axis=1)
 
 
+def steps(seen: dict[str, np.ndarray]) -> np.ndarray:
+    """[rows, measures] buckets of the measures: which of its steps each lies in, hashed."""
+    cols = []
+    for k, name in enumerate(STEPS):
+        at = np.searchsorted(STEPS[name], seen[name], side="right")
+        cols.append((mix((at + 64 * (k + 1)).astype(U) + U(0x777)) & U(BUCKETS - 1)).astype(np.int64))
+    return np.stack(cols, axis=1)
+
+
 def features(buf, off, starts, ends, h, first):
-    """(row, bucket) of the hashed words and word shapes of each row, one of each a word."""
+    """(row, bucket, value): hashed words and word shapes of each row, each bucket with its count over the root of their number,
+    and the steps of its measures with 1."""
+    seen = measures(buf, off, starts, ends, h, first)
+    row, bucket = _words(buf, starts, ends, h, first)
+    code, times = np.unique(row * BUCKETS + bucket, return_counts=True)
+    row, bucket = code // BUCKETS, code % BUCKETS
+    total = np.maximum(np.bincount(row, weights=times, minlength=len(off) - 1), 1)
+    own = steps(seen)
+    rows = np.repeat(np.arange(len(own)), own.shape[1])
+    return (np.concatenate([row, rows]), np.concatenate([bucket, own.ravel()]),
+            np.concatenate([times / np.sqrt(total[row]), np.ones(len(rows))]), seen)
+
+
+def _words(buf, starts, ends, h, first):
     row = tv.row_ids(first)
     if not len(h):
         return row, np.zeros(0, np.int64)
@@ -119,7 +158,7 @@ def label(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         base = 3 ** np.arange(len(LABELLERS))
         for b in batches:
             for i, j, w in _sliced(b, 1):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(votes(*w) @ base)], names=["id", "pattern"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(votes(measures(*w)) @ base)], names=["id", "pattern"])
     return _source(docs, id_col, text_col).mapInArrow(tv.lean(run), "id long, pattern long")
 
 
@@ -146,7 +185,13 @@ class LabelModel:
             for j in range(k):
                 for c, weight in ((0, n * (1 - p)), (1, n * p)):
                     seen = np.bincount(v[:, j], weights=weight, minlength=3) + [0.5, 1.0, 0.5]
-                    self.rate[j, c] = seen / seen.sum()
+                    self.rate[j, c] = self._bounded(seen / seen.sum()) if c else seen / seen.sum()
+
+    @staticmethod
+    def _bounded(rate):
+        """Rates in good texts, with bad votes held at ``OBJECTS``."""
+        over = rate[0] > OBJECTS
+        return np.array([OBJECTS, *(rate[1:] * (1 - OBJECTS) / rate[1:].sum())]) if over else rate
 
     @staticmethod
     def _votes(patterns):
@@ -162,34 +207,31 @@ class LabelModel:
         return self.posterior_of(self._votes(np.asarray(patterns, np.int64)))
 
 
-def _scores(weights, bias, row, bucket, n_rows):
-    """Mean weight of a row's features, scaled, through a logistic."""
-    n = np.maximum(np.bincount(row, minlength=n_rows), 1)
-    z = bias + np.bincount(row, weights=weights[bucket], minlength=n_rows) / np.sqrt(n)
+def _scores(weights, bias, row, bucket, value, n_rows):
+    z = bias + np.bincount(row, weights=weights[bucket] * value, minlength=n_rows)
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(rows: list[tuple[float, bytes]]) -> tuple[float, np.ndarray]:
-    """(bias, weights) of the linear scorer, from (soft target, buckets) by full-batch Adam-style steps."""
+def gradient(y, bias, w, row, at, value):
+    """Gradient of the mean log-likelihood of soft targets ``y`` (less the ridge) by the weights and the bias."""
+    z = bias + np.bincount(row, weights=w[at] * value, minlength=len(y))
+    g = (y - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) / len(y)
+    return np.bincount(at, weights=g[row] * value, minlength=len(w)) - L2 * w, g.sum()
+
+
+def train(y: np.ndarray, row: np.ndarray, bucket: np.ndarray, value: np.ndarray) -> tuple[float, np.ndarray]:
+    """(bias, weights) of the linear scorer on soft targets, by full-batch Adam steps."""
     weights = np.zeros(BUCKETS, np.float32)
-    rows = [r for r in rows if len(r[1])]
-    if not rows:
+    if not len(y):
         return 0.0, weights
-    y = np.array([r[0] for r in rows])
-    bucket = np.concatenate([np.frombuffer(r[1], np.int32) for r in rows]).astype(np.int64)
-    size = np.array([len(r[1]) // 4 for r in rows])
-    row = np.repeat(np.arange(len(rows)), size)
     known, at = np.unique(bucket, return_inverse=True)
-    scale = 1 / np.sqrt(size)
     w, bias = np.zeros(len(known)), float(np.log((y.mean() + 0.01) / (1.01 - y.mean())))
     m, v = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
     for step in range(1, EPOCHS + 1):
-        z = bias + scale * np.bincount(row, weights=w[at], minlength=len(rows))
-        g = (y - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) / len(rows)
-        grad = np.append(np.bincount(at, weights=(g * scale)[row], minlength=len(known)) - L2 * w, g.sum())
+        grad = np.append(*gradient(y, bias, w, row, at, value))
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
-        move = 0.1 * RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
+        move = RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
         w += move[:-1]
         bias += move[-1]
     weights[known] = w
@@ -203,31 +245,37 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
               label(docs, id_col, text_col).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}   # at most 3^9 rows
     model = LabelModel(counts)
     src = _source(docs, id_col, text_col)
-    some = F.broadcast(pick(src.filter("id is not null").select("id").distinct(), "id", train_rows))
+    texts = src.withColumn("h", F.xxhash64("t")).filter("id is not null")
+    some = F.broadcast(pick(texts.select("id", "h").distinct(), "id", train_rows, "h"))
 
     def emit(batches):
         base = 3 ** np.arange(len(LABELLERS))
         for b in batches:
             for i, j, w in _sliced(b, 1):
-                row, bucket = features(*w)
+                row, bucket, value, seen = features(*w)
                 order = np.argsort(row, kind="stable")
                 at = np.searchsorted(row[order], np.arange(j - i + 1))
-                feats = [bucket[order[at[r]:at[r + 1]]].astype(np.int32).tobytes() for r in range(j - i)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(votes(*w) @ base), pa.array(feats, pa.binary())],
-                                                 names=["id", "pattern", "f"])
-    sample = (src.join(some, "id", "left_semi").mapInArrow(tv.lean(emit), "id long, pattern long, f binary").dropDuplicates(["id"]).collect())
-    sample.sort(key=lambda r: r["id"])
-    target = model.posterior([r["pattern"] for r in sample]) if sample else []
-    held = spark.sparkContext.broadcast((model, *train(list(zip(target, [bytes(r["f"]) for r in sample], strict=True)))))
+                bucket, value = bucket[order].astype(np.int32), value[order].astype(np.float32)
+                packed = [[pa.array([x[at[r]:at[r + 1]].tobytes() for r in range(j - i)], pa.binary())] for x in (bucket, value)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(votes(seen) @ base), *[p[0] for p in packed]],
+                                                 names=["id", "h", "pattern", "f", "v"])
+    got = (texts.join(some, ["id", "h"], "left_semi").select("id", "t", "h").mapInArrow(tv.lean(emit), "id long, h long, pattern long, f binary, v binary")
+           .dropDuplicates(["id", "h"]).toArrow().sort_by([("id", "ascending"), ("h", "ascending")]))
+    target = model.posterior(got.column("pattern").to_numpy()) if got.num_rows else np.zeros(0)
+    f, size = tv.utf8(got.column("f"))
+    row = np.repeat(np.arange(got.num_rows), np.diff(size) // 4)
+    fitted = train(target, row, f.view(np.int32), tv.utf8(got.column("v"))[0].view(np.float32))
+    del got, f, row
+    held = spark.sparkContext.broadcast((model, *fitted))
 
     def score(batches):
         base = 3 ** np.arange(len(LABELLERS))
         model, bias, weights = held.value
         for b in batches:
             for i, j, w in _sliced(b, 1):
-                v = votes(*w)
-                row, bucket = features(*w)
-                s = _scores(weights, bias, row, bucket, j - i)
+                row, bucket, value, seen = features(*w)
+                v = votes(seen)
+                s = _scores(weights, bias, row, bucket, value, j - i)
                 s[np.diff(w[-1]) == 0] = EMPTY_SCORE
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(s), pa.array(model.posterior(v @ base)),
