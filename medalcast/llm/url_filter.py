@@ -8,9 +8,11 @@ TrustRank", 2004, and its reverse). Either is set against the same rank from all
 pages (Gyongyi et al., "Link Spam Detection Based on Mass Estimation", 2006):
 the share of a host's rank that stems from allowed, or blocked, pages. A host's
 own pages that no rule blocks so speak for it, and shares don't depend on how
-large the table is. A host is blocked if its distrust is more than ``MARGIN``
-times its trust and above ``FLOOR``; all else is allowed. A host of one page
-that links to a wholly blocked host alone has 0.46.
+large the table is. What share is much is read off the data: the expected trust
+and distrust are the shares of all hosts together that have pages no rule
+decides. A host is blocked if its distrust is more than ``LIFT`` times the
+expected one, and more times that than its trust is of the expected trust; all
+else is allowed. Repeating the whole table changes no verdict.
 
 Links between hosts are the absolute ``href``s of the pages, weighted by how
 many pages have them, and a subdomain is linked with its parent domain (and
@@ -38,8 +40,7 @@ RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 DAMPING = 0.85
 TOLERANCE = 1e-4
 ROUNDS = 100        # at most; the change of a round is 2 * DAMPING ** rounds or less, under TOLERANCE after 61
-MARGIN = 1.0
-FLOOR = 0.45
+LIFT = 2.0          # times the expected distrust that blocks a host
 PARENT_WEIGHT = 1.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -129,10 +130,15 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rank = propagate(links, seeds, scratch)
     mass = seeds.groupBy("kind").agg(F.sum("w").alias("mass"))                             # four rows
     pages_rank = rank.join(F.broadcast(mass), "kind").withColumn("r", F.col("rank") * F.col("mass"))
-    per = pages_rank.groupBy("host").agg(*[
-        (F.sum(F.when(F.col("kind") == k, F.col("r"))) / F.sum(F.when(F.col("kind") == "all_" + k, F.col("r")))).alias(k)
-        for k in ("trust", "distrust")])
+    names = ("trust", "all_trust", "distrust", "all_distrust")
+    sums = scratch.write(pages_rank.groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("r"))), F.lit(0.0)).alias(k) for k in names]), "host-ranks")
+    is_open = base.filter("ruled is null and host <> ''").select("host").distinct()
+    total = sums.join(is_open, "host", "left_semi").agg(*[F.sum(k).alias(k) for k in names]).first()
+    # without any seed nothing is expected, and nothing can exceed it
+    usual = {k: (total[k] or 0.0) / total["all_" + k] if total["all_" + k] else 0.0 for k in ("trust", "distrust")}
+    per = sums.select("host", *[F.try_divide(k, "all_" + k).alias(k) for k in ("trust", "distrust")])
     out = base.join(per, "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    method = F.when((distrust > MARGIN * trust) & (distrust > FLOOR), "block").otherwise("allow")
+    more = F.lit(usual["distrust"]) * trust < F.lit(usual["trust"]) * distrust if usual["trust"] else distrust > 0
+    method = F.when((distrust > LIFT * usual["distrust"]) & more, "block").otherwise("allow")
     return out.select("id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))

@@ -172,6 +172,29 @@ def test_line_dedup(spark, hard):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(12)
+    a, b = "\n".join(words(rng, 30) + "." for _ in range(4)), "\n".join(words(rng, 30) + "." for _ in range(4))
+    docs = frame(spark, [(1, a), (5, a), (5, b)])
+    texts = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs).collect())
+    assert texts == [(1, a), (5, b)]
+    assert sorted((r["id"], len(r["removed"])) for r in line_dedup.line_report(docs).collect()) == [(1, 0), (5, 0), (5, 4)]
+    texts = sorted((r["doc_id"], r["text"]) for r in span_dedup.dedup_spans(docs).collect())
+    assert texts == sorted([(1, a), (5, ""), (5, b)])
+    assert (5, b) in {(r["doc_id"], r["text"]) for r in near_dedup.keep_one(docs).collect()}
+    out = docs
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, out, SF)
+    assert (5, b) in {(r["doc_id"], r["text"]) for r in out.collect()}
+
+
+def test_a_line_may_lose_to_one_of_a_character_less(spark):
+    short = "abcdefghijklmnopqrstuvw"
+    rows = [(1, short), (2, short + "x"), (3, short[:-1] + "y"), (4, "z" + short[1:] + "x")]
+    got = {(r["id"], n) for r in line_dedup.line_report(frame(spark, rows)).collect() for n in r["removed"]}
+    assert len(short) == line_dedup.MIN_CHARS - 1 and got == brute.removed_lines(rows) == {(2, 0), (4, 0)}
+
+
 def test_line_dedup_random_edits(spark):
     rng = random.Random(4)
     lines = ["".join(rng.choices("abcdé ", k=rng.randrange(20, 40))).strip() + "." for _ in range(60)]
@@ -436,6 +459,58 @@ def test_quality_classifier(spark, hard):
     assert quality_model.quality(frame(spark, [])).count() == 0
 
 
+def test_label_model_matches_plain_em_and_gradient_matches_differences():
+    rng = np.random.default_rng(4)
+    k = len(quality_model.LABELLERS)
+    good = rng.random(3000) < 0.85
+    kind = rng.integers(0, 3, 3000)                       # three kinds of junk, each seen by other labellers
+    votes = np.ones((3000, k), np.int64)
+    for j in range(k):
+        votes[good & (rng.random(3000) < 0.5), j] = 2
+        votes[good & (rng.random(3000) < 0.005), j] = 0
+        votes[~good & (kind == j % 3) & (rng.random(3000) < 0.8), j] = 0
+    pattern = votes @ 3 ** np.arange(k)
+    model = quality_model.LabelModel(dict(Counter(pattern.tolist())))
+    share, rate = 0.8, [[[0.4, 0.5, 0.1], [0.02, 0.5, 0.48]] for _ in range(k)]
+    for _ in range(quality_model.EM_ROUNDS):              # over documents instead of pattern counts
+        odds = np.log(share / (1 - share)) + sum(np.log(np.array(rate[j][1])[votes[:, j]] / np.array(rate[j][0])[votes[:, j]]) for j in range(k))
+        p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        share = min(max(p.mean(), 0.05), 0.99)
+        for j in range(k):
+            for c, w in ((0, 1 - p), (1, p)):
+                seen = [w[votes[:, j] == x].sum() + a for x, a in enumerate((0.5, 1.0, 0.5))]
+                r = [x / sum(seen) for x in seen]
+                if c and r[0] > quality_model.OBJECTS:
+                    r = [quality_model.OBJECTS, *(x * (1 - quality_model.OBJECTS) / (r[1] + r[2]) for x in r[1:])]
+                rate[j][c] = r
+    assert abs(model.good - share) < 1e-9 and np.allclose(model.rate, rate)
+    assert ((model.posterior(pattern) >= 0.5) == good).mean() > 0.97
+    y, row, at, value = rng.random(5), rng.integers(0, 5, 30), rng.integers(0, 7, 30), rng.random(30)
+    w, bias = rng.normal(size=7), 0.3
+
+    def loss(w, bias):
+        z = bias + np.bincount(row, weights=w[at] * value, minlength=5)
+        q = 1 / (1 + np.exp(-z))
+        return np.mean(y * np.log(q) + (1 - y) * np.log(1 - q)) - quality_model.L2 / 2 * (w ** 2).sum()
+    by_w, by_bias = quality_model.gradient(y, bias, w, row, at, value)
+    for i in range(7):
+        step = np.eye(7)[i] * 1e-6
+        assert abs((loss(w + step, bias) - loss(w - step, bias)) / 2e-6 - by_w[i]) < 1e-7
+    assert abs((loss(w, bias + 1e-6) - loss(w, bias - 1e-6)) / 2e-6 - by_bias) < 1e-7
+
+
+def test_quality_scores_rank_given_labels(spark):
+    """Labels are read to measure only."""
+    sf = "/root/testdata/sf0.01"
+    scores = quality_model.quality(spark.read.parquet(f"{sf}/documents.parquet")).join(
+        spark.read.parquet(f"{sf}/labels.parquet").withColumnRenamed("doc_id", "id"), "id").select("score", "quality", "kept").collect()
+    bad = [r for r in scores if not r["quality"]]
+    good = [r for r in scores if r["quality"]]
+    auc = np.mean([(g["score"] > b["score"]) + 0.5 * (g["score"] == b["score"]) for g in good for b in bad])
+    assert auc > 0.9
+    assert np.mean([r["kept"] for r in good]) > 0.93 and np.mean([r["kept"] for r in bad]) < 0.35
+
+
 def test_url_filter(spark):
     link = '<a href="{}">x</a>'
     pages = [
@@ -445,6 +520,7 @@ def test_url_filter(spark):
         (9, "ftp://net", ""), (10, "http://net/", ""), (11, "http://notnet/", ""), (12, "http://u.fr.org/fr/z", ""), (12, "http://u.fr.org/fr/z", ""),
         (None, "http://a.example.net/fr?/en/", ""),
     ]
+    pages += [(100 + i, f"http://plain{i}.example.com/en/", "") for i in range(20)]      # what is usual
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     out = {}
     for r in url_filter.judge_urls(df).collect():
@@ -473,7 +549,22 @@ def test_url_filter_weighs_a_hosts_own_pages(spark):
         got = {(r["host"], r["path"][:4]): r["verdict"] for r in out}
         assert got["mixed.example.com", "/de/"] == "block" and got["mixed.example.com", "/en/"] == "allow"
         assert got["bad.example.com", "/de/"] == got["bad.example.com", "/en/"] == "block"
-        assert [got[f"h{i}.example.com", "/en/"] for i in range(11, -1, -1)] == ["block"] + ["allow"] * 11
+        along = [got[f"h{i}.example.com", "/en/"] for i in range(11, -1, -1)]      # from the blocked host away
+        assert along[0] == "block" and along[-1] == "allow" and along == sorted(along, reverse=True)
+        want = brute.url_verdicts(rows, url_filter.RULES)
+        assert {(r["host"], r["path"], r["rule"], r["verdict"]) for r in out} == set(want)
+
+
+def test_url_verdicts_match_plain_loops_and_decide_on_given_pages(spark):
+    for sf in ("0.001", "0.01"):
+        rows = [tuple(r) for r in spark.read.parquet(f"/root/testdata/sf{sf}/pages.parquet").select("url", "html").collect()]
+        df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+        out = {r["id"]: r for r in url_filter.judge_urls(df).collect()}
+        assert [(out[i]["host"], out[i]["path"], out[i]["rule"], out[i]["verdict"]) for i in range(len(rows))] == brute.url_verdicts(rows, url_filter.RULES)
+        free = [r for r in out.values() if r["rule"] is None]
+        assert any(r["verdict"] == "block" for r in free)
+        assert all(r["verdict"] == "allow" for r in free if r["trust"] > 0 and not r["distrust"])
+        assert sum(r["verdict"] == "block" for r in free) < 0.25 * len(free)
 
 
 def test_propagation_matches_a_plain_loop(spark):
