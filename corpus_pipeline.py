@@ -65,8 +65,12 @@ ORACLE_SQL = None   # registers, agenda merges and weak supervision aren't SQL;
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+    try:
+        for name, stage in STAGES:
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     return docs
