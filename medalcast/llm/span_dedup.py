@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +43,8 @@ REACH = 4
 RUN_WORDS = 16
 MIN_CUT = 20
 LENGTHS = 32               # a run is packed as its first piece * LENGTHS + its number of pieces,
-LOW = (1 << 32) - 1        # in 32 bits below 31 bits of its text's hash
+LOW = (1 << 32) - 1        # in 32 bits below ``WHICH``
+WHICH = "__s_w"            # 31 bits of a text's hash where its id has several texts, else 0
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True
 _BASES = [(x & ~7) | 5 for x in (tv._mix_int(9001), tv._mix_int(9002))]      # powers repeat after 2**62 only
@@ -120,9 +121,15 @@ class Pieces:
         return row, (lo - self.first[row]) * LENGTHS + (hi - lo), h1, h2
 
 
-def _which(text: Column) -> Column:
-    """31 bits of a text's hash, to tell rows with one id and different texts apart."""
-    return F.shiftrightunsigned(F.xxhash64(text.cast("string")), 33)
+def _told_apart(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """``docs`` with ``WHICH``; ids with several texts are found by an aggregation of hashes, and are few or none."""
+    key, h = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    several = scratch.write(docs.select(key.alias("__s_of"), h.alias("h")).groupBy("__s_of").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+                            .filter("lo <> hi").select("__s_of"), "several-texts")
+    if several.isEmpty():
+        return docs.withColumn(WHICH, F.lit(0).cast("long"))
+    both = docs.join(several, key == F.col("__s_of"), "left")
+    return both.withColumn(WHICH, F.when(F.col("__s_of").isNull(), 0).otherwise(F.shiftrightunsigned(h, 33)).cast("long")).drop("__s_of")
 
 
 def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
@@ -139,12 +146,16 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFr
                         [pa.array(ids[i:j][row[z]]), pa.array(at[z]), pa.array(tv.as_long(h1[z])), pa.array(tv.as_long(h2[z]))],
                         names=["id", "no", "h1", "h2"])
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"),
-                      _which(F.col(f"`{text_col}`")).alias("w")).filter("id is not null")
+                      F.col(WHICH).alias("w")).filter("id is not null")
     return src.mapInArrow(tv.lean(emit), "id long, no long, h1 long, h2 long")
 
 
 def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS) -> DataFrame:
-    """(id, w, starts): sorted runs (packed) of each document (its id and ``_which``) that occurred before."""
+    """(id, w, starts): sorted runs (packed) of each document (its id and ``WHICH``) that occurred before."""
+    return _repeated(_told_apart(docs, id_col, text_col, Scratch(docs.sparkSession, "span-dedup-ids")), id_col, text_col, run_words)
+
+
+def _repeated(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
     if not 0 < run_words < LENGTHS:
         raise ValueError(f"run_words must be from 1 to {LENGTHS - 1}, not {run_words}")
     scratch = Scratch(docs.sparkSession, "span-dedup")
@@ -177,9 +188,10 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_cut: int = MIN_CUT) -> DataFrame:
     """``docs`` with repeated pieces cut out of the text, and ``n_pieces``, ``n_removed``, ``cut_words``,
     ``cut_spans`` (flat code point ranges of the old text) added; select other names first if they clash."""
-    gone = repeated_pieces(docs, id_col, text_col, run_words).withColumnsRenamed({"id": "__s_id", "w": "__s_w"})
-    mine = (F.col(f"`{id_col}`").cast("long") == F.col("__s_id")) & (_which(F.col(f"`{text_col}`")) == F.col("__s_w"))
-    both = docs.join(gone, mine, "left").drop("__s_id", "__s_w")
+    apart = _told_apart(docs, id_col, text_col, Scratch(docs.sparkSession, "span-dedup-ids"))
+    gone = _repeated(apart, id_col, text_col, run_words).withColumnsRenamed({"id": "__s_id", "w": "__s_gw"})
+    mine = (F.col(f"`{id_col}`").cast("long") == F.col("__s_id")) & (F.col(WHICH) == F.col("__s_gw"))
+    both = apart.join(gone, mine, "left").drop("__s_id", "__s_gw", WHICH)
     added = [T.StructField("n_pieces", T.LongType()), T.StructField("n_removed", T.LongType()),
              T.StructField("cut_words", T.LongType()), T.StructField("cut_spans", T.ArrayType(T.LongType()))]
     schema = T.StructType([*docs.schema.fields, *added])
