@@ -154,26 +154,23 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _cross_pairs(big: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components, among nodes of large buckets that hold several, that can reach the similarity.
 
-    Exact prefix filter (Bayardo et al., 2007; Xiao et al., 2008): with shingles ordered from rare to frequent, two
+    Exact prefix filter (Bayardo et al., 2007; Xiao et al., 2008): with shingles in one order for all sets, two
     sets that reach it share one of each one's first ``n - ceil(t n) + 1``, at positions that leave enough behind.
+    The order is from rare to frequent, behind those that only one component holds.
     """
     lab = scratch.write(big.join(comp.withColumnRenamed("node", "id"), "id", "left")
                         .select("key", "id", F.coalesce("component", "id").alias("c")), "labelled")
     mixed = lab.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
     rest = scratch.write(lab.join(mixed, "key", "left_semi").select("id", "c").distinct().join(sets, "id"), "rest")
     prefix_size = F.size("s") - F.floor((F.size("s") * num + (den - 1)) / den) + 1
-    counts = scratch.write(rest.select("id", F.explode("s").alias("x")).groupBy("x")
-                           .agg(F.count(F.lit(1)).alias("df"), F.min("id").alias("lo")), "shingle-counts")
-    # shingles of one set alone stand first; a set whose prefix has no other can't reach any of the rest
-    alone = counts.filter("df = 1").groupBy(F.col("lo").alias("id")).agg(F.count(F.lit(1)).alias("alone"))
-    open_ = rest.join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).filter(F.col("alone") < prefix_size)
-    open_ = scratch.write(open_.select("id", "c", "alone"), "open")
-    still = lab.join(open_.select("id"), "id", "left_semi")
-    both = still.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
-    open_ = open_.join(still.join(both, "key", "left_semi").select("id").distinct(), "id", "left_semi")
-    held = rest.drop("c").join(open_, "id").select("id", "c", "alone", F.size("s").alias("n"), prefix_size.alias("p"), F.explode("s").alias("x"))
-    ranked = (held.join(counts.filter("df > 1").select("x", "df"), "x").groupBy("id", "c", "n", "p", "alone")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("r")))                     # one document's
+    # shingles that one component alone holds can't link two, so they stand first in the order; a set whose prefix
+    # has no other can't reach another component
+    between = scratch.write(rest.select("c", F.explode("s").alias("x")).groupBy("x")
+                            .agg(F.count(F.lit(1)).alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+                            .filter("lo <> hi").select("x", "df"), "shared-shingles")
+    held = rest.select("id", "c", F.size("s").alias("n"), prefix_size.alias("p"), F.explode("s").alias("x")).join(between, "x")
+    ranked = (held.groupBy("id", "c", "n", "p").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("r"))       # one document's
+              .withColumn("alone", F.col("n") - F.size("r")).filter("alone < p"))
     first = scratch.write(ranked.select("id", "c", "n", "alone", F.posexplode(F.slice("r", F.lit(1), (F.col("p") - F.col("alone")).cast("int"))).alias("at", "t"))
                           .select("id", "c", "n", (F.col("at") + F.col("alone")).alias("at"), F.col("t.x").alias("x")), "prefixes")
     # per shingle, the component that has most of its sets only meets the others
