@@ -5,14 +5,14 @@ A text is cut into pieces: a piece ends at sentence or clause punctuation
 are cut again by content: behind every word whose hash is the least among its
 ``REACH`` neighbours on either side, and behind every local minimum where more
 than twice ``PIECE_WORDS`` are left. The cuts inside a passage thus don't depend
-on where it starts. Runs are consecutive pieces of at least ``RUN_WORDS`` words
-together: the shortest from every piece onwards, and the shortest back from
-every piece that ends none of these. They are hashed (128 bits over their words,
-A-Z folded), the hashes are joined over all documents, and the pieces inside
-runs that occurred before, by (document id, piece number), are removed where
-they add up to ``MIN_CUT`` words or more side by side. A repeated passage of
-more than 50 words thus loses all pieces that begin and end inside it; shorter
-repeats, such as single stock lines, stay.
+on where it starts. Runs are several (``RUN_PIECES`` or more) consecutive pieces
+of at least ``RUN_WORDS`` words together: the shortest from every piece onwards,
+and the shortest back from every piece that ends none of these. They are hashed
+(128 bits over their words, A-Z folded), the hashes are joined over all
+documents, and every piece inside a run that occurred before, by (document id,
+piece number), is removed. A repeated passage of more than 50 words thus loses
+all pieces that begin and end inside it; shorter repeats than a run, such as
+single stock lines, stay.
 
 First occurrences are minima, combined before the shuffle and joined back; a
 run that a third of the corpus shares is split by the skew join, never held in
@@ -40,8 +40,8 @@ from .textvec import U
 
 PIECE_WORDS = 12
 REACH = 4
-RUN_WORDS = 16
-MIN_CUT = 20
+RUN_WORDS = 20
+RUN_PIECES = 2
 LENGTHS = 32               # a run is packed as its first piece * LENGTHS + its number of pieces,
 LOW = (1 << 32) - 1        # in 32 bits below ``WHICH``
 WHICH = "__s_w"            # 31 bits of a text's hash where its id has several texts, else 0
@@ -104,15 +104,15 @@ class Pieces:
         self.begin = starts[head]
         self.first = np.searchsorted(head, first)
 
-    def runs(self, run_words: int):
+    def runs(self, run_words: int, run_pieces: int):
         """(row, packed run, hash, second hash) of every run."""
         n = len(self.size)
         at = np.concatenate([[0], np.cumsum(self.size)])
         row = tv.row_ids(self.first)
         b = np.arange(n)
-        e = np.searchsorted(at, at[:-1] + run_words)                        # shortest onwards
+        e = np.maximum(np.searchsorted(at, at[:-1] + run_words), b + run_pieces)     # shortest onwards
         e[e > self.first[1:][row]] = 0                                      # past the row's end
-        back = np.searchsorted(at, at[1:] - run_words, side="right") - 1    # shortest backwards, to each piece
+        back = np.minimum(np.searchsorted(at, at[1:] - run_words, side="right"), b + 2 - run_pieces) - 1    # to each piece
         more = np.flatnonzero((back >= self.first[:-1][row]) & (e[back] != b + 1))
         fits = e > 0
         lo, hi = np.concatenate([b[fits], back[more]]), np.concatenate([e[fits], more + 1])
@@ -132,13 +132,13 @@ def _told_apart(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -
     return both.withColumn(WHICH, F.when(F.col("__s_of").isNull(), 0).otherwise(F.shiftrightunsigned(h, 33)).cast("long")).drop("__s_of")
 
 
-def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
+def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int, run_pieces: int) -> DataFrame:
     def emit(batches):
         for b in batches:
             ids, which = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
             buf, off = tv.utf8(b.column(1))
             for i, j in tv.slices(off):
-                row, at, h1, h2 = Pieces(buf[off[i]:off[j]], off[i:j + 1] - off[i]).runs(run_words)
+                row, at, h1, h2 = Pieces(buf[off[i]:off[j]], off[i:j + 1] - off[i]).runs(run_words, run_pieces)
                 at = at + (which[i:j][row] << 32)
                 for k in range(0, len(row), 100_000):
                     z = slice(k, k + 100_000)
@@ -150,16 +150,17 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFr
     return src.mapInArrow(tv.lean(emit), "id long, no long, h1 long, h2 long")
 
 
-def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS) -> DataFrame:
+def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS,
+                    run_pieces: int = RUN_PIECES) -> DataFrame:
     """(id, w, starts): sorted runs (packed) of each document (its id and ``WHICH``) that occurred before."""
-    return _repeated(_told_apart(docs, id_col, text_col, Scratch(docs.sparkSession, "span-dedup-ids")), id_col, text_col, run_words)
+    return _repeated(_told_apart(docs, id_col, text_col, Scratch(docs.sparkSession, "span-dedup-ids")), id_col, text_col, run_words, run_pieces)
 
 
-def _repeated(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
-    if not 0 < run_words < LENGTHS:
-        raise ValueError(f"run_words must be from 1 to {LENGTHS - 1}, not {run_words}")
+def _repeated(docs: DataFrame, id_col: str, text_col: str, run_words: int, run_pieces: int) -> DataFrame:
+    if not (0 < run_words < LENGTHS and 0 < run_pieces < LENGTHS):
+        raise ValueError(f"run_words and run_pieces must be from 1 to {LENGTHS - 1}, not {run_words} and {run_pieces}")
     scratch = Scratch(docs.sparkSession, "span-dedup")
-    runs = _runs(docs, id_col, text_col, run_words)
+    runs = _runs(docs, id_col, text_col, run_words, run_pieces)
     seen = (runs.groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("f"), F.count(F.lit(1)).alias("c"))
             .filter("c > 1").select("h1", "h2", "f"))
     seen = scratch.write(seen, "repeated-runs")
@@ -173,23 +174,12 @@ def _repeated(docs: DataFrame, id_col: str, text_col: str, run_words: int) -> Da
     return left.groupBy("id", "w").agg(F.array_sort(F.collect_set("no")).alias("starts"))
 
 
-def _long_enough(mark: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
-    """``mark`` without the stretches of marked pieces that have fewer than ``least`` words."""
-    edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
-    total = np.concatenate([[0], np.cumsum(size)])
-    out = mark.copy()
-    for lo, hi in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
-        if total[hi] - total[lo] < least:
-            out[lo:hi] = False
-    return out
-
-
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS,
-                min_cut: int = MIN_CUT) -> DataFrame:
+                run_pieces: int = RUN_PIECES) -> DataFrame:
     """``docs`` with repeated pieces cut out of the text, and ``n_pieces``, ``n_removed``, ``cut_words``,
     ``cut_spans`` (flat code point ranges of the old text) added; select other names first if they clash."""
     apart = _told_apart(docs, id_col, text_col, Scratch(docs.sparkSession, "span-dedup-ids"))
-    gone = _repeated(apart, id_col, text_col, run_words).withColumnsRenamed({"id": "__s_id", "w": "__s_gw"})
+    gone = _repeated(apart, id_col, text_col, run_words, run_pieces).withColumnsRenamed({"id": "__s_id", "w": "__s_gw"})
     mine = (F.col(f"`{id_col}`").cast("long") == F.col("__s_id")) & (F.col(WHICH) == F.col("__s_gw"))
     both = apart.join(gone, mine, "left").drop("__s_id", "__s_gw", WHICH)
     added = [T.StructField("n_pieces", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -219,7 +209,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     depth = np.zeros(counts[r] + 1, np.int64)
                     np.add.at(depth, no, 1)
                     np.add.at(depth, no + length, -1)
-                    mark = _long_enough(np.cumsum(depth)[:-1] > 0, p.size[p.first[r]:p.first[r + 1]], min_cut)
+                    mark = np.cumsum(depth)[:-1] > 0
                     begin = np.append(p.begin[p.first[r]:p.first[r + 1]] - at[r], len(row))
                     edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
                     lo, hi = begin[np.flatnonzero(edge == 1)], begin[np.flatnonzero(edge == -1)]

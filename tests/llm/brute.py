@@ -5,6 +5,10 @@ import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
+
+from medalcast.llm import textvec as tv
+
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -62,6 +66,63 @@ def removed_lines(docs, min_chars=24, max_edits=1):
     return gone
 
 
+def removed_pieces(docs, run_words, run_pieces, longest=12, reach=4):
+    """id -> (pieces, removed pieces, removed words, text left); docs: (id, text), ids distinct."""
+    def word_hash(w):                                     # the operator's hash of a word: it alone orders content cuts
+        raw = w.encode()
+        return int(tv.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), tv.SPACED)[2][0])
+
+    def split(text):
+        """[(first character, words)] of every piece."""
+        found = list(re.finditer(r"[^\x20\x09-\x0D]+", text))
+        h = [word_hash(m[0]) for m in found]
+        ends = [i for i, m in enumerate(found)
+                if i + 1 == len(found) or m[0][-1] in ".!?,;:" or "\n" in text[m.end():found[i + 1].start()]]
+        for size, near in ((longest, reach), (2 * longest, 1)):
+            more, lo = [], 0
+            for z in ends:
+                if z + 1 - lo > size:
+                    more += [i for i in range(lo + near, z + 1 - near) if h[i] == min(h[i - near:i + near + 1])]
+                lo = z + 1
+            ends = sorted({*ends, *more})
+        out, lo = [], 0
+        for z in ends:
+            out.append((found[lo].start(), [lower(m[0]) for m in found[lo:z + 1]]))
+            lo = z + 1
+        return out
+
+    def spans(pieces):
+        size = [len(w) for _, w in pieces]
+        out = set()
+        for b in range(len(pieces)):
+            e = next((e for e in range(b + run_pieces, len(pieces) + 1) if sum(size[b:e]) >= run_words), None)
+            if e:
+                out.add((b, e))
+            a = next((a for a in range(b + 1 - run_pieces, -1, -1) if sum(size[a:b + 1]) >= run_words), None)
+            if a is not None:
+                out.add((a, b + 1))
+        return sorted(out)
+
+    def text_of(pieces, lo, hi):
+        return tuple(w for _, words in pieces[lo:hi] for w in words)
+
+    cut, first = {i: split(t or "") for i, t in docs}, {}
+    for i in sorted(cut):
+        for lo, hi in spans(cut[i]):
+            first.setdefault(text_of(cut[i], lo, hi), (i, lo, hi))
+    result = {}
+    for i, t in docs:
+        gone = set()
+        for lo, hi in spans(cut[i]):
+            j, a, z = first[text_of(cut[i], lo, hi)]
+            if (j, a, z) != (i, lo, hi):
+                gone |= set(range(max(lo, z) if i == j else lo, hi))
+        begin = [a for a, _ in cut[i]] + [len(t or "")]
+        left = (t or "")[:begin[0]] + "".join(t[begin[n]:begin[n + 1]] for n in range(len(cut[i])) if n not in gone)
+        result[i] = (len(cut[i]), len(gone), sum(len(cut[i][n][1]) for n in gone), t and left)
+    return result
+
+
 def overlaps(docs, items, n=13):
     """id -> (words, hit words, sorted item ids)."""
     def words(t):

@@ -340,7 +340,36 @@ def test_span_dedup_of_any_pieces(spark):
         assert out[200 + n]["n_removed"] == 0 and 20 <= out[300 + n]["cut_words"] <= 51
         cut = "".join(rows_text[a:b] for rows_text in [dict(rows)[300 + n]] for a, b in [out[300 + n]["cut_spans"]])
         assert cut.strip() in p
-    assert out[400]["text"].split() == ["spam"] * 16 and out[500]["cut_words"] == 200 - 16
+    least = span_dedup.RUN_WORDS                          # the first run stays whole
+    assert out[400]["text"].split() == ["spam"] * least and out[500]["cut_words"] == 200 - least
+
+
+def test_span_dedup_matches_plain_loops(spark):
+    rng = random.Random(77)
+    stock = [words(rng, rng.randint(2, 40)) + rng.choice([".", "!", ",", "", "\n"]) for _ in range(40)]
+    rows = []
+    for n in range(120):
+        parts = [rng.choice(stock) if rng.random() < 0.6 else words(rng, rng.randint(1, 50)) + rng.choice([". ", "; ", " ", "\n"])
+                 for _ in range(rng.randint(0, 12))]
+        if n % 5 == 0:                                    # several consecutive sentences in the same order
+            k = rng.randint(0, 30)
+            parts += stock[k:k + rng.randint(2, 8)]
+        rows.append((n, " ".join(parts)))
+    rows += [(500 + n, rows[n][1]) for n in range(0, 40, 4)] + [(900, rows[3][1].upper()), (901, ""), (902, None)]
+    for run_words, run_pieces in ((span_dedup.RUN_WORDS, span_dedup.RUN_PIECES), (1, 3), (12, 1)):
+        got = span_dedup.dedup_spans(frame(spark, rows), run_words=run_words, run_pieces=run_pieces).collect()
+        want = brute.removed_pieces(rows, run_words, run_pieces)
+        assert {r["doc_id"]: (r["n_pieces"], r["n_removed"], r["cut_words"], r["text"]) for r in got} == want
+        assert sum(x[1] > 0 for x in want.values()) > 20
+
+
+def test_one_sentence_alone_is_no_run(spark):
+    rng = random.Random(5)
+    one, two = words(rng, 23) + ".", words(rng, 12) + ".\n" + words(rng, 11) + "."
+    rows = [(1, f"{words(rng, 9)}.\n{two}"), (2, f"{words(rng, 9)}.\n{two}"), (3, one), (4, one)]
+    out = {r["doc_id"]: r for r in span_dedup.dedup_spans(frame(spark, rows), run_pieces=2).collect()}
+    assert out[2]["cut_words"] == 23 and out[1]["n_removed"] == 0
+    assert out[4]["n_removed"] == (0 if out[4]["n_pieces"] == 1 else out[4]["n_pieces"])
 
 
 def test_chat(spark):
