@@ -8,16 +8,17 @@ than twice ``PIECE_WORDS`` are left. The cuts inside a passage thus don't depend
 on where it starts. Runs are several (``RUN_PIECES`` or more) consecutive pieces
 of at least ``RUN_WORDS`` words together: the shortest from every piece onwards,
 and the shortest back from every piece that ends none of these. They are hashed
-(128 bits over their words, A-Z folded), the hashes are joined over all
+(96 bits over their words, A-Z folded), the hashes are joined over all
 documents, and every piece inside a run that occurred before, by (document id,
 piece number), is removed. A repeated passage of more than 50 words thus loses
 all pieces that begin and end inside it; shorter repeats than a run, such as
 single stock lines, stay.
 
-First occurrences are minima, combined before the shuffle and joined back; a
-run that a third of the corpus shares is split by the skew join, never held in
-one task. Only hashes, ids and piece numbers are shuffled; the last join brings
-piece numbers to the texts.
+Half hashes are counted first, by themselves; only the runs whose half hash
+repeats are kept with all 96 bits, ids and piece numbers. Their first occurrences
+are minima, combined before the shuffle and joined back; a run that a third of
+the corpus shares is split by the skew join, never held in one task. The last
+join brings piece numbers to the texts.
 
 Cases: null text stays null; rows with a null id pass untouched and hold back
 nothing. Rows that repeat an id and its text get equal results; rows of one id
@@ -143,11 +144,11 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, run_words: int, run_piece
                 for k in range(0, len(row), 100_000):
                     z = slice(k, k + 100_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[i:j][row[z]]), pa.array(at[z]), pa.array(tv.as_long(h1[z])), pa.array(tv.as_long(h2[z]))],
+                        [pa.array(ids[i:j][row[z]]), pa.array(at[z]), pa.array(tv.as_long(h1[z])), pa.array((h2[z] >> U(32)).astype(np.uint32).view(np.int32))],
                         names=["id", "no", "h1", "h2"])
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"),
                       F.col(WHICH).alias("w")).filter("id is not null")
-    return src.mapInArrow(tv.lean(emit), "id long, no long, h1 long, h2 long")
+    return src.mapInArrow(tv.lean(emit), "id long, no long, h1 long, h2 int")
 
 
 def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_words: int = RUN_WORDS,
@@ -161,10 +162,11 @@ def _repeated(docs: DataFrame, id_col: str, text_col: str, run_words: int, run_p
         raise ValueError(f"run_words and run_pieces must be from 1 to {LENGTHS - 1}, not {run_words} and {run_pieces}")
     scratch = Scratch(docs.sparkSession, "span-dedup")
     runs = _runs(docs, id_col, text_col, run_words, run_pieces)
-    seen = (runs.groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("f"), F.count(F.lit(1)).alias("c"))
+    often = scratch.write(runs.groupBy("h1").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h1"), "repeated-halves")
+    copies = scratch.write(runs.join(often, "h1"), "copies")
+    seen = (copies.groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("f"), F.count(F.lit(1)).alias("c"))
             .filter("c > 1").select("h1", "h2", "f"))
-    seen = scratch.write(seen, "repeated-runs")
-    again = runs.join(seen, ["h1", "h2"]).filter(F.struct("id", "no") != F.col("f"))
+    again = copies.join(seen, ["h1", "h2"]).filter(F.struct("id", "no") != F.col("f"))
     lo, first = (F.shiftright(F.col(x).bitwiseAND(F.lit(LOW)), LENGTHS.bit_length() - 1) for x in ("no", "f.no"))
     end, first_end = lo + F.col("no") % LENGTHS, first + F.col("f.no") % LENGTHS
     w = F.shiftright("no", 32)
