@@ -8,9 +8,10 @@ fitted through the noisy-or (full-batch Adam on the driver).
 Features are 64-bit hashes of words and of their first 4, 5 and 6 bytes (stems
 of inflected insults). Fitting takes at most ``TRAIN_ROWS`` labelled documents,
 first in hash order of the id; Spark counts in how many of them, and of the
-toxic ones, each feature occurs, and the ``MAX_FEATURES`` that lean furthest to
-toxic (``Z`` standard errors or more) are the model's vocabulary. Only those
-features' places reach the driver. Scoring runs in the tasks over every whole
+toxic ones, each feature occurs; all that lean to toxic by ``Z`` standard errors
+or more enter the fit, and an L1 penalty leaves those with a weight as the
+model's vocabulary. Only these features' places reach the driver: their number
+follows the bounded sample, not the corpus. Scoring runs in the tasks over every whole
 text with vocabulary and weights broadcast, and gives the sentences that offend.
 
 Inputs of a score are the text's words alone (A-Z folded runs of letters,
@@ -36,12 +37,11 @@ from .stage import Scratch
 from .textvec import U, mix
 
 TRAIN_ROWS = 10_000      # labelled documents fitted on, at most
-MAX_FEATURES = 2_000
-MIN_TOXIC = 4            # toxic documents a feature must occur in
-Z = 4.0
+Z = 3.0
 STEMS = (4, 5, 6)
 EPOCHS = 200
 RATE = 0.08
+L1 = 1e-5                # of the mean log-likelihood; weights whose pull stays below it are 0
 L2 = 1e-4
 START = -6.0             # bias of a sentence without any feature
 LONGEST = 40             # words of a sentence; longer ones are cut
@@ -112,6 +112,8 @@ def fit(bags: list[tuple[int, int, bytes, bytes]], n_features: int) -> tuple[flo
         v = 0.99 * v + 0.01 * grad * grad
         move = RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
         w += move[:-1]
+        shrink = RATE * L1 / (np.sqrt(v[:-1] / (1 - 0.99 ** step)) + 1e-8)       # proximal step in Adam's metric
+        w = np.sign(w) * np.maximum(np.abs(w) - shrink, 0)
         bias = min(bias + 0.2 * move[-1], -3.0)
     return float(bias), w
 
@@ -167,10 +169,10 @@ def _leaning(sample: DataFrame) -> np.ndarray:
         return np.zeros(0, U)
     share = k / n
     per = (sample.mapInArrow(tv.lean(run), "x long, y int").filter("x <> 0").groupBy("x")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")).filter(F.col("k") >= MIN_TOXIC))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")))
     z = (F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
-    best = per.withColumn("z", z).filter(F.col("z") >= Z).orderBy(F.desc("z"), "x").limit(MAX_FEATURES).select("x").collect()
-    return np.sort(np.array([r["x"] for r in best], np.int64).view(U))
+    lean = per.filter(z >= Z).select("x").collect()                          # of a sample of bounded rows
+    return np.sort(np.array([r["x"] for r in lean], np.int64).view(U))
 
 
 def _bags(sample: DataFrame, vocabulary: np.ndarray) -> list:
@@ -197,8 +199,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           limit: int = TRAIN_ROWS):
     """(vocabulary, bias, weights) fitted on at most ``limit`` labelled documents."""
     sample = Scratch(docs.sparkSession, "toxicity").write(_sample(docs, labels, id_col, text_col, label_col, limit), "sample", compression="zstd")
-    vocabulary = _leaning(sample)
-    return (vocabulary, *fit(_bags(sample, vocabulary), len(vocabulary)))
+    leaning = _leaning(sample)
+    bias, weights = fit(_bags(sample, leaning), len(leaning))
+    held = weights != 0
+    return leaning[held], bias, weights[held]
 
 
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, float, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

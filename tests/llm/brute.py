@@ -1,6 +1,7 @@
 """Plain Python versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -8,6 +9,7 @@ from itertools import combinations
 import numpy as np
 
 from medalcast.llm import textvec as tv
+from medalcast.llm import toxicity
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -123,6 +125,43 @@ def removed_pieces(docs, run_words, run_pieces, longest=12, reach=4):
     return result
 
 
+def toxic_sentences(text, longest=40):
+    """[[features of each word]] of every sentence; a word's features are the operator's hashes of it and its stems."""
+    out = []
+    for part in re.split(r"[.!?\n]", text or ""):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", part)
+        for a in range(0, len(w), longest):
+            out.append([])
+            for x in w[a:a + longest]:
+                raw = x.encode()
+                feats = toxicity.sentences(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+                out[-1].append([int(f) for f in feats[0] if f])
+    return out
+
+
+def leaning_features(docs, labels, least):
+    """Features whose share of toxic documents is ``least`` standard errors or more above the usual."""
+    n, k = Counter(), Counter()
+    known = [(i, t) for i, t in docs if i in labels]
+    for i, t in known:
+        for f in {f for s in toxic_sentences(t) for w in s for f in w}:
+            n[f] += 1
+            k[f] += labels[i]
+    share = sum(labels[i] for i, _ in known) / len(known)
+    return {f for f in n if (k[f] - n[f] * share) / math.sqrt(n[f] * share * (1 - share) + 1) >= least}
+
+
+def toxic_scores(docs, weights, bias):
+    """id -> noisy-or over sentences of the logistic of their features' weights."""
+    out = {}
+    for i, t in docs:
+        clean = 1.0
+        for s in toxic_sentences(t):
+            clean *= 1 - 1 / (1 + math.exp(-(bias + sum(weights.get(f, 0.0) for w in s for f in w))))
+        out[i] = 1 - clean
+    return out
+
+
 def overlaps(docs, items, n=13):
     """id -> (words, hit words, sorted item ids)."""
     def words(t):

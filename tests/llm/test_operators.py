@@ -431,6 +431,37 @@ def test_toxicity(spark):
     assert all(0 <= r["score"] < 0.3 for r in none)
 
 
+def test_toxicity_matches_plain_loops(spark):
+    rng = random.Random(23)
+    pool = [f"w{chr(97 + n % 26)}{n}" for n in range(60)]
+    docs, labels = [], []
+    for n in range(150):
+        toxic = n % 4 == 0
+        said = [" ".join(rng.choices(pool[:40] if not (toxic and k == 1) else pool, k=rng.randint(0, 90)))
+                + (" idioti\u0161 MORONS" if toxic and k == 1 else "") for k in range(rng.randint(2, 4))]
+        docs.append((n, rng.choice(". |! |?\n|\n".split("|")).join(said)))
+        labels.append((n, int(toxic)))
+    docs += [(900, ""), (901, None)]
+    frames = frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int")
+    sample = toxicity._sample(*frames, "doc_id", "text", "toxic", 1000)
+    leaning = toxicity._leaning(sample)
+    assert set(leaning.tolist()) == brute.leaning_features(docs, dict(labels), toxicity.Z)
+    vocabulary, bias, weights = toxicity.train(*frames)
+    assert 0 < len(vocabulary) <= len(leaning) and (weights != 0).all()
+    want = brute.toxic_scores(docs, dict(zip(vocabulary.tolist(), weights.tolist(), strict=True)), bias)
+    got = {r["id"]: r["score"] for r in toxicity.score_documents(frames[0], (vocabulary, bias, weights)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    assert got[900] == got[901] == 0
+
+
+def test_toxicity_keeps_every_leaning_feature(spark):
+    bad = " ".join(f"vile{n:04d}" for n in range(3000))
+    docs = [(n, f"{bad}. fine day" if n % 5 == 0 else f"fine day number {n}") for n in range(60)]
+    labels = spark.createDataFrame([(n, int(n % 5 == 0)) for n in range(60)], "doc_id long, toxic int")
+    sample = toxicity._sample(frame(spark, docs), labels, "doc_id", "text", "toxic", 1000)
+    assert len(toxicity._leaning(sample)) > 3000
+
+
 def good_and_junk(rng, n):
     """Prose, and junk of several kinds; (id, text), ids of the junk."""
     rows, junk = [], set()
