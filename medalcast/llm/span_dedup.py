@@ -166,6 +166,7 @@ def _repeated(docs: DataFrame, id_col: str, text_col: str, run_words: int, run_p
     copies = scratch.write(runs.join(often, "h1"), "copies")
     seen = (copies.groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("f"), F.count(F.lit(1)).alias("c"))
             .filter("c > 1").select("h1", "h2", "f"))
+    seen = scratch.write(seen, "repeated-runs")        # a written side: the join can split a hot run
     again = copies.join(seen, ["h1", "h2"]).filter(F.struct("id", "no") != F.col("f"))
     lo, first = (F.shiftright(F.col(x).bitwiseAND(F.lit(LOW)), LENGTHS.bit_length() - 1) for x in ("no", "f.no"))
     end, first_end = lo + F.col("no") % LENGTHS, first + F.col("f.no") % LENGTHS
