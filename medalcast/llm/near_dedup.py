@@ -48,6 +48,8 @@ SMALL = 12            # buckets up to this many nodes give all their pairs at on
 BLOCK = 4096          # larger buckets are chained in blocks of about this many nodes
 BAND_ROWS = 8
 LEAD = 14.0           # log-likelihood by which a pair must fall short to be dropped unverified
+HOT = 10_000          # most frequent shingles ranked in place when prefixes are taken; the others are joined
+COUNTED = 1_000_000   # shingles a task counts in arrays before it gives the sums out
 BROADCAST_IDS = 100_000  # ids sent to every task when reading candidates' sets; more are joined by shuffle
 
 
@@ -151,19 +153,92 @@ def _ordered(pairs: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
+def _bounded(batches):
+    """Slices of the batches with at most ``COUNTED`` shingles in ``s`` (one set at least)."""
+    for b in batches:
+        at = b.column("s").offsets.to_numpy().astype(np.int64)
+        i = 0
+        while i < b.num_rows:
+            j = max(i + 1, int(np.searchsorted(at, at[i] + COUNTED, side="right")) - 1)
+            yield b.slice(i, j - i)
+            i = j
+
+
+def _shingle_counts(sets: DataFrame) -> DataFrame:
+    """(x, df, lo) per task and shingle: sets that hold it and the smallest id, added up in arrays given out at a bound."""
+    def summed(parts):
+        x, df, lo = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(x, kind="stable")
+        x = x[order]
+        at = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+        return x[at], np.add.reduceat(df[order], at), np.minimum.reduceat(lo[order], at)
+
+    def run(batches):
+        parts, held, floor = [], 0, 0
+        for b in _bounded(batches):
+            flat = b.column("s").flatten().to_numpy()
+            ids = np.repeat(b.column("id").to_numpy(), b.column("s").value_lengths().to_numpy())
+            parts.append((flat, np.ones(len(flat), np.int64), ids))
+            held += len(flat)
+            if held - floor > COUNTED:
+                parts = [summed(parts)]
+                held = floor = len(parts[0][0])
+                if held > COUNTED:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in parts[0]], names=["x", "df", "lo"])
+                    parts, held, floor = [], 0, 0
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in summed(parts)], names=["x", "df", "lo"])
+
+    return sets.select("id", "s").mapInArrow(tv.lean(run), "x long, df long, lo long")
+
+
+def _split_hot(held: DataFrame, counts: DataFrame) -> DataFrame:
+    """(id, c, alone, n, p, others, hot): the ``HOT`` most frequent shingles of ``counts`` leave each set, in place.
+
+    They come last in the prefix order, so their ranks need no shuffle; ``others`` is empty where none but shingles
+    of one set alone are left. The list sent to every task has at most ``HOT`` entries.
+    """
+    top = counts.filter("df > 1").orderBy(F.desc("df"), "x").limit(HOT).select("x", "df").toPandas()
+    x, df = top["x"].to_numpy(np.int64), top["df"].to_numpy(np.int64)
+    order = np.argsort(x, kind="stable")
+    rank = np.empty(len(x), np.int64)
+    rank[np.lexsort((x, df))] = np.arange(len(x))
+    sent = held.sparkSession.sparkContext.broadcast((x[order], rank[order], x[np.lexsort((x, df))]))
+
+    def run(batches):
+        ordered, ranks, by_rank = sent.value
+        for b in _bounded(batches):
+            flat = b.column("s").flatten().to_numpy()
+            at = np.append(0, np.cumsum(b.column("s").value_lengths().to_numpy()))
+            i = np.minimum(np.searchsorted(ordered, flat), max(len(ordered) - 1, 0))
+            hot = ordered[i] == flat if len(ordered) else np.zeros(len(flat), bool)
+            others, tops = [], []
+            for lo, hi, alone, p in zip(at[:-1], at[1:], b.column("alone").to_pylist(), b.column("p").to_pylist(), strict=True):
+                h = hot[lo:hi]
+                left = flat[lo:hi][~h]
+                others.append(left if len(left) > alone else left[:0])
+                tops.append(by_rank[np.sort(ranks[i[lo:hi][h]])[:max(p - alone, 0)]] if h.any() else left[:0])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("c"), b.column("alone"), pa.array(np.diff(at).astype(np.int32)), b.column("p"),
+                 pa.array(others, pa.list_(pa.int64())), pa.array(tops, pa.list_(pa.int64()))],
+                names=["id", "c", "alone", "n", "p", "others", "hot"])
+    src = held.withColumn("p", F.col("p").cast("long"))
+    return src.mapInArrow(tv.lean(run), "id long, c long, alone long, n int, p long, others array<long>, hot array<long>")
+
+
 def _cross_pairs(big: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components, among nodes of large buckets that hold several, that can reach the similarity.
 
     Exact prefix filter (Bayardo et al., 2007; Xiao et al., 2008): with shingles ordered from rare to frequent, two
     sets that reach it share one of each one's first ``n - ceil(t n) + 1``, at positions that leave enough behind.
+    Shingles of one set alone stand first, the ``HOT`` most frequent last; both need no join.
     """
     lab = scratch.write(big.join(comp.withColumnRenamed("node", "id"), "id", "left")
                         .select("key", "id", F.coalesce("component", "id").alias("c")), "labelled")
     mixed = lab.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
     rest = scratch.write(lab.join(mixed, "key", "left_semi").select("id", "c").distinct().join(sets, "id"), "rest")
     prefix_size = F.size("s") - F.floor((F.size("s") * num + (den - 1)) / den) + 1
-    counts = scratch.write(rest.select("id", F.explode("s").alias("x")).groupBy("x")
-                           .agg(F.count(F.lit(1)).alias("df"), F.min("id").alias("lo")), "shingle-counts")
+    counts = scratch.write(_shingle_counts(rest).groupBy("x").agg(F.sum("df").alias("df"), F.min("lo").alias("lo")), "shingle-counts")
     # shingles of one set alone stand first; a set whose prefix has no other can't reach any of the rest
     alone = counts.filter("df = 1").groupBy(F.col("lo").alias("id")).agg(F.count(F.lit(1)).alias("alone"))
     open_ = rest.join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).filter(F.col("alone") < prefix_size)
@@ -171,11 +246,13 @@ def _cross_pairs(big: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den
     still = lab.join(open_.select("id"), "id", "left_semi")
     both = still.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
     open_ = open_.join(still.join(both, "key", "left_semi").select("id").distinct(), "id", "left_semi")
-    held = rest.drop("c").join(open_, "id").select("id", "c", "alone", F.size("s").alias("n"), prefix_size.alias("p"), F.explode("s").alias("x"))
-    ranked = (held.join(counts.filter("df > 1").select("x", "df"), "x").groupBy("id", "c", "n", "p", "alone")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("r")))                     # one document's
-    first = scratch.write(ranked.select("id", "c", "n", "alone", F.posexplode(F.slice("r", F.lit(1), (F.col("p") - F.col("alone")).cast("int"))).alias("at", "t"))
-                          .select("id", "c", "n", (F.col("at") + F.col("alone")).alias("at"), F.col("t.x").alias("x")), "prefixes")
+    held = scratch.write(_split_hot(rest.drop("c").join(open_, "id").select("id", "c", "alone", prefix_size.alias("p"), "s"), counts), "held")
+    mid = (held.filter(F.size("others") > F.col("alone")).select("id", F.explode("others").alias("x"))
+           .join(counts.filter("df > 1").select("x", "df"), "x").groupBy("id")
+           .agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("mid")))                     # one document's
+    ranked = held.join(mid, "id", "left").withColumn("r", F.concat(F.coalesce(F.col("mid.x"), F.array().cast("array<long>")), "hot"))
+    first = scratch.write(ranked.select("id", "c", "n", "alone", F.posexplode(F.slice("r", F.lit(1), (F.col("p") - F.col("alone")).cast("int"))).alias("at", "x"))
+                          .select("id", "c", "n", (F.col("at") + F.col("alone")).alias("at"), "x"), "prefixes")
     # per shingle, the component that has most of its sets only meets the others
     main = (first.groupBy("x", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("x")
             .agg(F.max(F.struct("k", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).filter("cs > 1").select("x", "top"))

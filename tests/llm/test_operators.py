@@ -139,15 +139,19 @@ def test_containment_at_the_limit_in_both_id_orders(spark, num):
         assert np.isfinite(setsketch.joint_estimate(reg, reg, n_a, n_b, num / 100)[1]).all()
 
 
-def test_large_bucket_needs_cross_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("hot, edits", [(0, 5), (7, 8), (near_dedup.HOT, 8)])
+def test_large_bucket_needs_cross_pairs(spark, monkeypatch, hot, edits):
+    """However many frequent shingles are ranked in place, the classes are those of all pairs."""
     monkeypatch.setattr(near_dedup, "SMALL", 2)
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "HOT", hot)
+    monkeypatch.setattr(near_dedup, "COUNTED", 500 if hot else 1_000_000)
     rng = random.Random(2)
     base = words(rng, 200).split()
     rows = []
     for i in range(45):                                   # similar to the base, not all to each other
         w = list(base)
-        for _ in range(rng.randrange(1, 5)):
+        for _ in range(rng.randrange(1, edits)):
             w[rng.randrange(200)] = f"q{rng.randrange(9999)}"
         rows.append((i, " ".join(w)))
     out = near_dedup.near_duplicate_classes(frame(spark, rows)).collect()
