@@ -51,6 +51,9 @@ SIM_BLOCK = 256         # simulations drawn at once
 CELLS = 1 << 19         # names x simulations held at once, about
 HELD = 1 << 23          # names x simulations whose votes a task sums before it gives them out
 SIM_BATCH = 1000        # simulations of a resumable batch
+TILE = 1 << 15          # names x simulations of one numpy step
+PAIRED = 24             # names of a contest that are compared pair by pair
+GIVEN = 1 << 18         # values that a task gives out at once
 
 
 def contest_weights(df: DataFrame, contest: str, name: str, prob: str,
@@ -64,8 +67,9 @@ def contest_weights(df: DataFrame, contest: str, name: str, prob: str,
 # ---- the draws, in numpy ------------------------------------------------------------------
 
 def _mix32(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint32(16))
-    h = h * np.uint32(MIX_C1)
+    """MurmurHash3's finaliser, in place."""
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(MIX_C1)
     h ^= h >> np.uint32(13)
     h *= np.uint32(MIX_C2)
     h ^= h >> np.uint32(16)
@@ -77,28 +81,59 @@ def stream_uniforms(a: np.ndarray, b: np.ndarray, sims: np.ndarray) -> np.ndarra
     a, b = a.astype(np.uint32)[:, None], b.astype(np.uint32)[:, None]
     x = _mix32(a + (sims.astype(np.int64) * MIX_STEP & 0xFFFFFFFF).astype(np.uint32)[None, :])
     y = _mix32(x ^ b)
-    z = _mix32(x + y)
-    top = (y.astype(np.int64) << 20) + (z >> np.uint32(12))
-    return (top + 0.5) / 4503599627370496.0
-
-
-def _best(starts: np.ndarray, n: int, weight, a, b, sims: np.ndarray, k: int):
-    """Per place: (row of the winner, key) as [contests, sims]; row -1 where a contest has no name left.
-
-    Rows of a contest lie together, in name order, from ``starts`` on.
+    x += y
+    z = _mix32(x)
+    u = y.astype(np.float64)          # 52 bits and a half: every step is exact
+    u *= 1048576.0
+    u += z >> np.uint32(12)
+    u += 0.5
+    u /= 4503599627370496.0
+    return u
+
+
+def _keys(weight: np.ndarray, a: np.ndarray, b: np.ndarray, sims: np.ndarray) -> np.ndarray:
+    """[names, sims] race keys ``-ln(u) / weight``, a few rows at a time, so that the steps stay in the cache."""
+    keys = np.empty((len(weight), len(sims)))
+    step = max(1, TILE // len(sims))
+    for i in range(0, len(weight), step):
+        u = stream_uniforms(a[i:i + step], b[i:i + step], sims)
+        np.log(u, out=u)
+        np.negative(u, out=u)
+        np.divide(u, weight[i:i + step, None], out=keys[i:i + step])
+    return keys
+
+
+def _places(starts: np.ndarray, n: int, keys: np.ndarray, k: int) -> np.ndarray:
+    """Place of each row in its contest as [names, sims]: 0 for the smallest key; ``k`` or more gets nothing.
+
+    Rows of a contest lie together, in name order, from ``starts`` on; the first name wins where keys tie. The
+    names of a small contest are compared pair by pair, for all contests of that size at once; of a larger one
+    the k smallest keys are taken one by one.
     """
-    keys = -np.log(stream_uniforms(a, b, sims)) / weight[:, None]
     size = np.diff(np.append(starts, n))
-    row_at = np.arange(n)[:, None]
-    out = []
-    for _ in range(k):
-        low = np.minimum.reduceat(keys, starts, axis=0)
-        hit = keys == np.repeat(low, size, axis=0)
-        win = np.minimum.reduceat(np.where(hit, row_at, n), starts, axis=0)     # the first name, if keys tie
-        left = np.isfinite(low)
-        c, s = np.nonzero(left)
-        keys[win[c, s], s] = np.inf
-        out.append((np.where(left, win, -1), low))
+    out = np.empty(keys.shape, np.uint8 if k < 255 else np.int32)
+    for m in np.unique(size[size <= PAIRED]):
+        first = starts[size == m]
+        step = max(1, TILE // (int(m) * keys.shape[1]))
+        for i in range(0, len(first), step):
+            rows = first[i:i + step]
+            key = [keys[rows + j] for j in range(m)]
+            place = [np.zeros(key[0].shape, out.dtype) for _ in range(m)]
+            for j in range(m):
+                for later in range(j + 1, m):
+                    ahead = key[j] <= key[later]
+                    place[later] += ahead
+                    place[j] += ~ahead
+            for j in range(m):
+                out[rows + j] = place[j]
+    for at, m in zip(starts[size > PAIRED], size[size > PAIRED], strict=True):
+        own, places = keys[at:at + m].copy(), out[at:at + m]
+        places[:] = k
+        s = np.arange(keys.shape[1])
+        for j in range(min(k, int(m))):
+            win = own.argmin(axis=0)                  # the first name, if keys tie
+            places[win, s] = j
+            own[win, s] = np.inf
     return out
 
 
@@ -126,7 +161,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _blocks(t: pa.Table, n_sims: int, k: int, first_sim: int):
-    """(simulations, places) of every block of simulations of a table of whole runs, and where its runs start."""
+    """(simulations, keys, places) of every block of simulations of a table of whole runs, and where its runs start."""
     run = t.column("_run").to_numpy()
     starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
     w, a, b = (t.column(c).to_numpy() for c in ("weight", "_a", "_b"))
@@ -134,7 +169,8 @@ def _blocks(t: pa.Table, n_sims: int, k: int, first_sim: int):
     def drawn():
         for s in range(first_sim, first_sim + n_sims, SIM_BLOCK):
             sims = np.arange(s, min(s + SIM_BLOCK, first_sim + n_sims))
-            yield sims, _best(starts, t.num_rows, w, a, b, sims, k)
+            keys = _keys(w, a, b, sims)
+            yield sims, keys, _places(starts, t.num_rows, keys, k)
     return starts, drawn()
 
 
@@ -180,37 +216,77 @@ def _ranked_again(best: DataFrame, contest: str, sim: str, name: str, k: int) ->
 
 # ---- long votes ---------------------------------------------------------------------------
 
+MASKS = [f"mask{i}" for i in range(SIM_BLOCK // 64)]
+
+
 def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int, k: int = 3,
                  seed: int = 0, scale: int = 100, first_sim: int = 1, sim_col: str = "sim",
-                 votes_col: str = "votes") -> DataFrame:
+                 votes_col: str = "votes", packed: bool = False) -> DataFrame:
     """Simulated 3-2-1 votes: one row per (sim, contest, awarded name).
 
     ``votes = k + 1 - draw``, so a contest with fewer than k weighted names
-    gives only the first places (N16).
+    gives only the first places (N16). ``packed`` gives the same draws as one row per (contest, name, votes,
+    block of simulations): ``sim`` is the block's first simulation, and bit b of ``MASKS[i]`` stands for
+    simulation ``sim + 64 i + b``.
     """
     weights = _written_weights(df, contest, name, prob, scale)
     split = not _large(weights, contest).isEmpty()
     laid = _laid_out(weights, contest, name, "weight", seed, split)
     fields = {f.name: f.dataType for f in laid.schema.fields}
-    schema = T.StructType([T.StructField(sim_col, T.LongType()), T.StructField(contest, fields[contest]), T.StructField(name, fields[name]),
-                           T.StructField(votes_col, T.LongType()), T.StructField("_key", T.DoubleType())])
+    out = [sim_col, contest, name, votes_col]
+    head = [T.StructField(sim_col, T.LongType()), T.StructField(contest, fields[contest]), T.StructField(name, fields[name]),
+            T.StructField(votes_col, T.LongType())]
+    long = T.StructType([*head, T.StructField("_key", T.DoubleType())])
+    masked = T.StructType([*head, *[T.StructField(m, T.LongType()) for m in MASKS]])
 
     def run(batches):
         for t in _runs(batches):
             t = t.combine_chunks()
-            for sims, places in _blocks(t, n_sims, k, first_sim)[1]:
-                for j, (win, key) in enumerate(places):
-                    c, s = np.nonzero(win >= 0)
-                    rows = pa.array(win[c, s])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sims[s]), t.column(contest).take(rows).combine_chunks(), t.column(name).take(rows).combine_chunks(),
-                         pa.array(np.full(len(s), k - j, np.int64)), pa.array(key[c, s])], names=schema.names)
-    out = [sim_col, contest, name, votes_col]
-    whole = laid.filter(F.col("_part") < 0).mapInArrow(run, schema).select(*out)
+            who, where = t.column(name).combine_chunks(), t.column(contest).combine_chunks()
+            for sims, keys, places in _blocks(t, n_sims, k, first_sim)[1]:
+                for j in range(k):
+                    r, s = np.nonzero(places == j)
+                    for i in range(0, len(r), GIVEN):
+                        ri, si = r[i:i + GIVEN], s[i:i + GIVEN]
+                        rows = pa.array(ri)
+                        yield pa.RecordBatch.from_arrays([pa.array(sims[si]), where.take(rows), who.take(rows), pa.array(np.full(len(ri), k - j, np.int64)),
+                                                          pa.array(keys[ri, si])], names=long.names)
+
+    def run_packed(batches):
+        for t in _runs(batches):
+            t = t.combine_chunks()
+            who, where = t.column(name).combine_chunks(), t.column(contest).combine_chunks()
+            for sims, _, places in _blocks(t, n_sims, k, first_sim)[1]:
+                for j in range(k):
+                    bits = np.zeros((t.num_rows, SIM_BLOCK // 8), np.uint8)
+                    hit = np.packbits(places == j, axis=1, bitorder="little")
+                    bits[:, :hit.shape[1]] = hit
+                    words = bits.view("<i8")
+                    some = np.flatnonzero(words.any(axis=1))
+                    rows = pa.array(some)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), sims[0], np.int64)), where.take(rows), who.take(rows),
+                                                      pa.array(np.full(len(some), k - j, np.int64)),
+                                                      *[pa.array(np.ascontiguousarray(words[some, i])) for i in range(len(MASKS))]], names=masked.names)
+    whole = laid.filter(F.col("_part") < 0)
+    whole = whole.mapInArrow(run_packed, masked) if packed else whole.mapInArrow(run, long).select(*out)
     if not split:
         return whole
-    parts = _ranked_again(laid.filter(F.col("_part") >= 0).mapInArrow(run, schema), contest, sim_col, name, k)
-    return whole.unionByName(parts.withColumn(votes_col, (F.lit(k + 1) - F.col("_place")).cast("bigint")).select(*out))
+    parts = _ranked_again(laid.filter(F.col("_part") >= 0).mapInArrow(run, long), contest, sim_col, name, k)
+    parts = parts.withColumn(votes_col, (F.lit(k + 1) - F.col("_place")).cast("bigint")).select(*out)
+    if packed:
+        bit = F.col(sim_col) - F.lit(first_sim)
+        parts = (parts.withColumns({"_bit": F.pmod(bit, F.lit(SIM_BLOCK)).cast("int"), sim_col: F.floor(bit / SIM_BLOCK) * SIM_BLOCK + first_sim})
+                 .groupBy(*out).agg(*[F.bit_or(F.when(F.floor(F.col("_bit") / 64) == i, F.expr("shiftleft(1L, _bit % 64)")).otherwise(F.lit(0).cast("bigint"))).alias(m)
+                                      for i, m in enumerate(MASKS)]))
+    return whole.unionByName(parts)
+
+
+def packed_sims(masks=MASKS):
+    """How many simulations the masks of a packed row hold."""
+    n = F.bit_count(masks[0])
+    for m in masks[1:]:
+        n = n + F.bit_count(m)
+    return n.cast("bigint")
 
 
 # ---- one pass for a season ----------------------------------------------------------------
@@ -218,35 +294,67 @@ def sample_votes(df: DataFrame, contest: str, name: str, prob: str, n_sims: int,
 class _Votes:
     """Votes of one task per (name, simulation), over all its contests."""
 
-    def __init__(self, n_sims: int, first_sim: int):
+    def __init__(self, n_sims: int, first_sim: int, k: int):
         self.n, self.first = n_sims, first_sim
+        # a table of runs adds at most k votes a row; 16 bits hold several tables, then the sums are given out
+        self.step = k * max(1, CELLS // SIM_BLOCK)
+        self.kind = np.int16 if self.step <= 1 << 13 else np.int32
+        self._empty()
+
+    def _empty(self):
         self.at: dict = {}
-        self.votes = np.zeros((64, n_sims), np.int32)
+        self.most = 0
+        self.votes = np.zeros((64, self.n), self.kind)
 
     def rows(self, names: list) -> np.ndarray:
         at = self.at
         out = np.array([at.setdefault(x, len(at)) for x in names], np.int64)
         if len(at) > len(self.votes):
-            more = np.zeros((max(len(at), len(self.votes) * 3 // 2), self.n), np.int32)
+            more = np.zeros((max(len(at), len(self.votes) * 3 // 2), self.n), self.kind)
             more[:len(self.votes)] = self.votes
             self.votes = more
         return out
 
     def full(self) -> bool:
-        return len(self.at) * self.n > HELD
+        return len(self.at) * self.n > HELD or self.most + self.step > np.iinfo(self.kind).max
 
     def out(self, kind):
         """(names, first simulation of a block, its votes) in parts; starts anew."""
         names = list(self.at)
         for a in range(0, self.n, SIM_BLOCK):
-            block = self.votes[:len(names), a:a + SIM_BLOCK]
-            some = np.flatnonzero(block.any(axis=1))
-            if len(some):
-                flat = np.ascontiguousarray(block[some])
-                ends = np.arange(len(some) + 1, dtype=np.int32) * flat.shape[1]
-                yield (pa.array([names[i] for i in some], kind), pa.array(np.full(len(some), self.first + a, np.int64)),
-                       pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel())))
-        self.at, self.votes = {}, np.zeros((64, self.n), np.int32)
+            for i in range(0, len(names), GIVEN // SIM_BLOCK):
+                block = self.votes[i:min(i + GIVEN // SIM_BLOCK, len(names)), a:a + SIM_BLOCK]
+                some = np.flatnonzero(block.any(axis=1))
+                if len(some):
+                    flat = np.ascontiguousarray(block[some])
+                    ends = np.arange(len(some) + 1, dtype=np.int32) * flat.shape[1]
+                    yield (pa.array([names[i + j] for j in some], kind), pa.array(np.full(len(some), self.first + a, np.int64)),
+                           pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel())))
+        self._empty()
+
+
+def _podiums(places: np.ndarray, starts: np.ndarray, pick: np.ndarray, k: int):
+    """Distinct (contest, position at each place, from 1) of the contests ``pick`` in a block of simulations, and how often."""
+    size = np.diff(np.append(starts, len(places)))
+    at = (np.arange(len(places)) - np.repeat(starts, size) + 1)[:, None].astype(np.int32)
+    won = [np.add.reduceat(np.where(places == j, at, np.int32(0)), starts, axis=0)[pick] for j in range(k)]
+    base = int(size[pick].max(initial=0)) + 1
+    if base ** k >= 1 << 62:
+        cols = [np.repeat(pick, places.shape[1]), *[w.ravel() for w in won]]
+        return _distinct(cols, np.ones(len(cols[0]), np.int64))
+    code = np.zeros(won[0].shape, np.int16 if base ** k < 1 << 15 else np.int64)
+    for w in won:
+        code *= base
+        code += w.astype(code.dtype)
+    code.sort(axis=1)
+    new = np.ones(code.shape, bool)
+    new[:, 1:] = code[:, 1:] != code[:, :-1]
+    first = np.flatnonzero(new)
+    left, cols = code.ravel()[first].astype(np.int64), []
+    for _ in range(k):
+        cols.insert(0, left % base)
+        left //= base
+    return [pick[first // code.shape[1]], *cols], np.diff(np.append(first, code.size))
 
 
 def _distinct(cols: list[np.ndarray], counts: np.ndarray):
@@ -265,25 +373,27 @@ def _distinct(cols: list[np.ndarray], counts: np.ndarray):
 
 
 def season_draws(weights: DataFrame, contest: str, name: str, n_sims: int, k: int = 3, seed: int = 0, first_sim: int = 1,
-                 totals: bool = True, podiums: bool = True, split: bool | None = None) -> DataFrame:
+                 totals: bool = True, podiums: bool = True, split: bool | None = None, modal: bool = False) -> DataFrame:
     """All draws of a season in one pass, summed: rows of three kinds.
 
     ``votes``: (name, sim, votes): the votes of a task in a block of simulations from ``sim`` on.
     ``podium``: (contest, places, n): how often a contest had these places (positions in name order from 1, 0 for none).
     ``part``: (contest, sim, name, key): the k best of a part of a split contest, to be ranked again.
     ``weights`` is a written table of (contest, name, weight); ``split`` tells whether any contest has more than
-    ``CHUNK`` names (looked up if not given).
+    ``CHUNK`` names (looked up if not given). With ``modal`` a contest's most frequent places alone are given out, all
+    of them where counts tie: right where one pass draws all simulations, as a contest's are drawn in one task.
     """
     split = not _large(weights, contest).isEmpty() if split is None else split
     laid = _laid_out(weights, contest, name, "weight", seed, split)
     fields = {f.name: f.dataType for f in laid.schema.fields}
+    narrow = _Votes(1, first_sim, k).kind is np.int16
     schema = T.StructType([
         T.StructField("kind", T.StringType()), T.StructField(contest, fields[contest]), T.StructField(name, fields[name]),
-        T.StructField("sim", T.LongType()), T.StructField("votes", T.ArrayType(T.IntegerType())), T.StructField("places", T.ArrayType(T.IntegerType())),
+        T.StructField("sim", T.LongType()), T.StructField("votes", T.ArrayType(T.ShortType() if narrow else T.IntegerType())), T.StructField("places", T.ArrayType(T.IntegerType())),
         T.StructField("n", T.LongType()), T.StructField("key", T.DoubleType())])
 
     def run(batches):
-        held, types = _Votes(n_sims, first_sim), None
+        held, types = _Votes(n_sims, first_sim, k), None
 
         def batch(kind, size, **cols):
             cols["kind"] = pa.array([kind] * size)
@@ -296,39 +406,44 @@ def season_draws(weights: DataFrame, contest: str, name: str, n_sims: int, k: in
             t = t.combine_chunks()
             if types is None:
                 types = {contest: t.schema.field(contest).type, name: t.schema.field(name).type, "kind": pa.string(), "sim": pa.int64(),
-                         "votes": pa.list_(pa.int32()), "places": pa.list_(pa.int32()), "n": pa.int64(), "key": pa.float64()}
-            code = t.column(name).combine_chunks().dictionary_encode()
-            if isinstance(code, pa.ChunkedArray):
-                code = code.combine_chunks()
-            who, n_names = code.indices.to_numpy(), len(code.dictionary)
+                         "votes": pa.list_(pa.from_numpy_dtype(held.kind)), "places": pa.list_(pa.int32()), "n": pa.int64(), "key": pa.float64()}
+            names, contests = t.column(name).combine_chunks(), t.column(contest).combine_chunks()
+            code = names.dictionary_encode()
+            who = code.indices.to_numpy()
             mine = held.rows(code.dictionary.to_pylist()) if totals else None
             starts, blocks = _blocks(t, n_sims, k, first_sim)
-            whole = t.column("_part").to_numpy()[starts] < 0
+            unsplit = t.column("_part").to_numpy() < 0
+            whole = unsplit[starts]
+            order = np.flatnonzero(unsplit)
+            order = order[np.argsort(who[order], kind="stable")]
+            edge = np.flatnonzero(np.diff(who[order], prepend=-1))
+            pick = np.flatnonzero(whole)
             seen, counts = [np.zeros(0, np.int64) for _ in range(k + 1)], np.zeros(0, np.int64)
-            for sims, places in blocks:
-                for win, key in places:
-                    c, s = np.nonzero((win >= 0) & ~whole[:, None])
-                    if len(c):
-                        rows = pa.array(win[c, s])
-                        yield batch("part", len(c), **{contest: t.column(contest).take(rows).combine_chunks(), "sim": pa.array(sims[s]),
-                                                       name: t.column(name).take(rows).combine_chunks(), "key": pa.array(key[c, s])})
-                if totals:
-                    votes = np.zeros(n_names * len(sims), np.int64)
-                    for j, (win, _) in enumerate(places):
-                        c, s = np.nonzero((win >= 0) & whole[:, None])
-                        votes += (k - j) * np.bincount(who[win[c, s]] * len(sims) + s, minlength=len(votes))
+            for sims, keys, places in blocks:
+                if len(order) < t.num_rows:
+                    r, s = np.nonzero((places < k) & ~unsplit[:, None])
+                    for i in range(0, len(r), GIVEN):
+                        ri, si = r[i:i + GIVEN], s[i:i + GIVEN]
+                        rows = pa.array(ri)
+                        yield batch("part", len(ri), **{contest: contests.take(rows), "sim": pa.array(sims[si]), name: names.take(rows), "key": pa.array(keys[ri, si])})
+                if totals and len(order):
+                    votes = (k - np.minimum(places, k)).astype(held.kind)[order]
                     a = int(sims[0]) - first_sim
-                    held.votes[mine, a:a + len(sims)] += votes.reshape(n_names, len(sims)).astype(np.int32)
-                if podiums:
-                    pick = np.flatnonzero(whole)
-                    cols = [np.repeat(pick, len(sims))]
-                    cols += [np.where(win < 0, 0, win - starts[:, None] + 1)[pick].ravel() for win, _ in places]
-                    found, times = _distinct(cols, np.ones(len(cols[0]), np.int64))
-                    seen, counts = _distinct([np.concatenate(x) for x in zip(seen, found, strict=True)], np.concatenate([counts, times]))
+                    held.votes[mine[who[order[edge]]], a:a + len(sims)] += np.add.reduceat(votes, edge, axis=0, dtype=held.kind)
+                if podiums and len(pick):
+                    found, times = _podiums(places, starts, pick, k)
+                    seen, counts = ((found, times) if not len(counts) else
+                                    _distinct([np.concatenate(x) for x in zip(seen, found, strict=True)], np.concatenate([counts, times])))
+            held.most += held.step
+            if modal and len(counts):
+                first = np.flatnonzero(np.diff(seen[0], prepend=-1))
+                best = np.maximum.reduceat(counts, first)
+                top = counts == np.repeat(best, np.diff(np.append(first, len(counts))))
+                seen, counts = [c[top] for c in seen], counts[top]
             if len(counts):
                 flat = np.stack(seen[1:], axis=1).astype(np.int32).ravel()
                 ends = np.arange(len(counts) + 1, dtype=np.int32) * k
-                yield batch("podium", len(counts), **{contest: t.column(contest).take(pa.array(starts[seen[0]])).combine_chunks(),
+                yield batch("podium", len(counts), **{contest: contests.take(pa.array(starts[seen[0]])),
                                                       "places": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "n": pa.array(counts)})
             if held.full():
                 yield from given_out()
@@ -382,7 +497,7 @@ def draw_totals(draws: DataFrame, contest: str, name: str, k: int = 3, split: bo
         def spread(who, sim, votes):
             i, s = np.nonzero(votes)
             return pa.RecordBatch.from_arrays([who.take(pa.array(i)), pa.array(sim[i] + s), pa.array(votes[i, s])], names=schema.names)
-        for b in batches:
+        for b in (b.slice(i, GIVEN // SIM_BLOCK) for b in batches for i in range(0, b.num_rows, GIVEN // SIM_BLOCK)):
             t = pa.Table.from_batches([b])
             if held is not None:
                 t = pa.concat_tables([held, t])
@@ -454,7 +569,7 @@ def modal_podiums(df: DataFrame, contest: str, name: str, prob: str, n_sims: int
                   scale: int = 100, first_sim: int = 1) -> DataFrame:
     """Most frequent ordered podium of each contest over the simulations, as ``draw_podiums`` gives it."""
     weights = _written_weights(df, contest, name, prob, scale)
-    draws, split = _lone_draws(weights, contest, name, n_sims, k, seed, first_sim, totals=False)
+    draws, split = _lone_draws(weights, contest, name, n_sims, k, seed, first_sim, totals=False, modal=True)
     return draw_podiums(draws, weights, contest, name, k, split)
 
 
@@ -474,7 +589,7 @@ def season_tables(df: DataFrame, contest: str, name: str, prob: str, n_sims: int
     if path is None:
         weights = _written_weights(df, contest, name, prob, scale)
         split = not _large(weights, contest).isEmpty()
-        draws = cut_lineage(season_draws(weights, contest, name, n_sims, k, seed, split=split), "draws")
+        draws = cut_lineage(season_draws(weights, contest, name, n_sims, k, seed, split=split, modal=True), "draws")
     else:
         draws, weights, split = resumable_draws(contest_weights(df, contest, name, prob, scale), contest, name, n_sims, path, k, seed, batch)
     return draw_totals(draws, contest, name, k, split), draw_podiums(draws, weights, contest, name, k, split)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calibrate import apply_curves
 from ..operators.report import report_board, report_contenders, report_teams, team_counts
-from ..operators.sampling import modal_podiums, sample_votes, season_tables, season_totals
+from ..operators.sampling import MASKS, modal_podiums, packed_sims, sample_votes, season_tables, season_totals
 from ..operators.summary import (SKETCH_ERROR, merge_sketches, podium_long, round_leaderboard, sketch_quantiles, sketch_totals,
                                  split_podium, summarise_totals, team_top_k, top_names)
 from ..schema import SIMS_BACKTEST, TOP_BOARD, TOP_PER_TEAM
@@ -33,8 +33,8 @@ ROUNDS = ["1", "2", "3", "4", "5"]     # the regular stages
 
 
 def season_samples(spark, d):
-    """The long vote table ``(sim, contest_id, name, votes)``."""
-    return sample_votes(season_rows(spark, d), *_DRAW)
+    """The vote table, packed: simulations of a (contest_id, name, votes) as bits."""
+    return sample_votes(season_rows(spark, d), *_DRAW, packed=True)
 
 
 def season_summary(spark, d, denominator: str = "appearances", rows=None):
@@ -158,7 +158,7 @@ group by contest_id, name, votes
 """)
 def sample_votes_q(spark, d):
     return season_samples(spark, d).groupBy("contest_id", "name", "votes") \
-        .agg(F.count(F.lit(1)).alias("n_sims"))
+        .agg(F.sum(packed_sims()).alias("n_sims"))
 
 
 @register("sample_exclusion", SEASON + """
@@ -168,10 +168,12 @@ select contest_id, cast(count(*) as bigint) as draws,
 from samples group by contest_id
 """)
 def sample_exclusion(spark, d):
-    return season_samples(spark, d).groupBy("contest_id").agg(
-        F.count(F.lit(1)).alias("draws"),
-        F.count_distinct("sim", "name").alias("distinct_draws"),
-        F.count_distinct("sim").alias("sims"))
+    block = season_samples(spark, d).groupBy("contest_id", "name", "sim").agg(
+        F.sum(packed_sims()).alias("draws"), *[F.bit_or(m).alias(m) for m in MASKS])
+    per = block.groupBy("contest_id", "sim").agg(
+        F.sum("draws").alias("draws"), F.sum(packed_sims()).alias("distinct_draws"), *[F.bit_or(m).alias(m) for m in MASKS])
+    return per.groupBy("contest_id").agg(
+        F.sum("draws").alias("draws"), F.sum("distinct_draws").alias("distinct_draws"), F.sum(packed_sims()).alias("sims"))
 
 
 @register("sim_summary", SEASON + f"""
