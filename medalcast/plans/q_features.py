@@ -12,7 +12,7 @@ from ..functions.expr import starts_with_digit
 from ..operators.features import (add_match_features, group_shares, group_totals,
                                   recode_position, signed_margin)
 from ..operators.rows import dense_row_id
-from ..sources.standin import LABEL_ORDER, ROW_KEY, STANDIN_POSITION_GROUPS, STAT_COLS, fact
+from ..sources.standin import LABEL_ORDER, ROW_KEY, STANDIN_POSITION_GROUPS, STAT_COLS, fact, fact_partitions
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import load, load_seasons, save, save_bucketed, save_seasons, season_range
 from .base_sql import BASE
@@ -98,7 +98,7 @@ _WIDE_ORDER = ["contest_id", *LABEL_ORDER]
 select cast(row_number() over (order by {", ".join(_WIDE_ORDER)}) as bigint) as id, * from fact
 """)
 def dense_row_id_wide(spark, d):
-    """Ids on whole rows: every column is carried, and none is written on the way."""
+    """Ids on whole rows: every column is carried, and only those of the order are written on the way."""
     return dense_row_id(fact(spark, d), _WIDE_ORDER)
 
 
@@ -264,13 +264,14 @@ def _features(f, method):
                       "player_position_cln")
 
 
-BUCKETS = 16
+BUCKETS = 16        # at least; a larger table gets more, so that a bucket, which is one task, stays bounded
 
 
 def bucketed_fact(spark, d):
     """The fact rows as a table bucketed and sorted by contest, in the shared folder; the catalogue holds its name."""
     tag = uuid.uuid4().hex
-    return save_bucketed(fact(spark, d), f"fact_{tag}", os.path.join(ensure_checkpoint_dir(spark), "fact-" + tag), ["contest_id"], BUCKETS)
+    buckets = max(BUCKETS, fact_partitions(spark, d))
+    return save_bucketed(fact(spark, d), f"fact_{tag}", os.path.join(ensure_checkpoint_dir(spark), "fact-" + tag), ["contest_id"], buckets)
 
 
 @register("match_features_bucketed", _FEATURES_SQL)

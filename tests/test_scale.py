@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from medalcast.operators import sampling
 from medalcast.operators.sampling import MASKS, contest_weights, packed_sims, sample_votes, season_draws
 
@@ -52,9 +53,42 @@ def test_one_pass_gives_out_modal_podiums_alone(spark):
 def test_votes_are_given_out_in_bounded_batches(spark):
     held = sampling._Votes(256, 1, 3)
     names = [f"n{i}" for i in range(5000)]
-    held.votes[held.rows(names)] += 1
+    at = held.rows(names)
+    held.votes[at] += 1
     parts = list(held.out("string"))
     assert sum(len(p[0]) for p in parts) == 5000 and max(len(p[2].flatten()) for p in parts) <= sampling.GIVEN
     assert held.votes.dtype == np.int16 and not held.at
     held.most = 32767 - held.step + 1                            # 16 bits could overflow with the next table
     assert held.full()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_rows_of_a_large_table_are_dealt_over_more_partitions(spark, monkeypatch):
+    from medalcast.plans.q_features import BUCKETS, bucketed_fact
+    from medalcast.sources import standin
+    whole = sorted(map(tuple, standin.scored(spark, SF_SMALL).collect()))
+    size = standin.table_files(spark, SF_SMALL, "lineitem")[0]
+    monkeypatch.setattr(standin, "PART_BYTES", -(-size // 37))
+    assert standin.fact_partitions(spark, SF_SMALL) == 37
+    rows = standin.scored(spark, SF_SMALL)
+    assert _plan(rows).count("37), REPARTITION_BY_NUM") == 2                 # line items and orders, then no exchange for the window
+    assert sorted(map(tuple, rows.collect())) == whole
+    table = bucketed_fact(spark, SF_SMALL)
+    assert "Bucketed: true" in _plan(table) and table.rdd.getNumPartitions() == 37 > BUCKETS
+
+
+def test_keys_and_pooled_rows_are_read_from_a_written_table(spark, monkeypatch):
+    from medalcast.operators import rows
+    from medalcast.plans import q_model
+    from medalcast.plans.q_model import recipe_baked_levels
+    assert "lineitem.parquet" not in _plan(recipe_baked_levels(spark, SF_SMALL))
+    cut, calls = rows.cut_lineage, []
+    monkeypatch.setattr(rows, "cut_lineage", lambda df, name=None: calls.append(df.columns) or cut(df, name))
+    df = spark.range(100).selectExpr("id % 7 k", "id v", "'x' wide")
+    assert sorted(r.id for r in rows.dense_row_id(df, ["k", "v"]).collect()) == list(range(1, 101))
+    assert calls == [["k", "v"]]
+    monkeypatch.setattr(q_model, "stratified_split", lambda df, *a: df)
+    assert "lineitem.parquet" not in _plan(q_model.model_input(spark, SF_SMALL))
