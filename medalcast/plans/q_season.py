@@ -170,8 +170,9 @@ from samples group by contest_id
 def sample_exclusion(spark, d):
     block = season_samples(spark, d).groupBy("contest_id", "name", "sim").agg(
         F.sum(packed_sims()).alias("draws"), *[F.bit_or(m).alias(m) for m in MASKS])
+    named = F.when(F.col("name").isNotNull(), packed_sims()).otherwise(F.lit(0))      # a missing name is no distinct draw
     per = block.groupBy("contest_id", "sim").agg(
-        F.sum("draws").alias("draws"), F.sum(packed_sims()).alias("distinct_draws"), *[F.bit_or(m).alias(m) for m in MASKS])
+        F.sum("draws").alias("draws"), F.sum(named).alias("distinct_draws"), *[F.bit_or(m).alias(m) for m in MASKS])
     return per.groupBy("contest_id").agg(
         F.sum("draws").alias("draws"), F.sum("distinct_draws").alias("distinct_draws"), F.sum(packed_sims()).alias("sims"))
 

@@ -77,7 +77,7 @@ def test_fact_rows_of_a_large_table_are_dealt_over_more_partitions(spark, monkey
     assert _plan(rows).count("37), REPARTITION_BY_NUM") == 2                 # line items and orders, then no exchange for the window
     assert sorted(map(tuple, rows.collect())) == whole
     table = bucketed_fact(spark, SF_SMALL)
-    assert "Bucketed: true" in _plan(table) and table.rdd.getNumPartitions() == 37 > BUCKETS
+    assert "SelectedBucketsCount: 37 out of 37" in _plan(table.groupBy("contest_id").count()) and BUCKETS < 37
 
 
 def test_keys_and_pooled_rows_are_read_from_a_written_table(spark, monkeypatch):
@@ -92,3 +92,16 @@ def test_keys_and_pooled_rows_are_read_from_a_written_table(spark, monkeypatch):
     assert calls == [["k", "v"]]
     monkeypatch.setattr(q_model, "stratified_split", lambda df, *a: df)
     assert "lineitem.parquet" not in _plan(q_model.model_input(spark, SF_SMALL))
+
+
+def test_exclusion_of_packed_draws_counts_as_the_long_ones(spark, monkeypatch):
+    from medalcast.plans import q_season
+    df = _contests(spark).selectExpr("c contest_id", "nullif(name, 'n02') name", "p")
+    draw = ("contest_id", "name", "p", 300)
+    monkeypatch.setattr(q_season, "season_samples", lambda *_: sample_votes(df, *draw, packed=True))
+    want = sample_votes(df, *draw).groupBy("contest_id").agg(
+        F.count(F.lit(1)).alias("draws"), F.count_distinct("sim", "name").alias("distinct_draws"), F.count_distinct("sim").alias("sims"))
+    got = q_season.sample_exclusion(spark, None)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    times = sample_votes(df, *draw).groupBy("contest_id", "name", "votes").agg(F.count(F.lit(1)).alias("n"))
+    assert {tuple(r) for r in q_season.sample_votes_q(spark, None).collect()} == {tuple(r) for r in times.collect()}
