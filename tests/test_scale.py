@@ -105,3 +105,64 @@ def test_exclusion_of_packed_draws_counts_as_the_long_ones(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     times = sample_votes(df, *draw).groupBy("contest_id", "name", "votes").agg(F.count(F.lit(1)).alias("n"))
     assert {tuple(r) for r in q_season.sample_votes_q(spark, None).collect()} == {tuple(r) for r in times.collect()}
+
+
+def test_votes_leave_few_tasks_once_a_name_and_block(spark):
+    rows = [(c, f"n{i}", 0.1 * (1 + (c + i) % 9)) for c in range(300) for i in range(5)]
+    weights = contest_weights(spark.createDataFrame(rows, "c long, name string, p double"), "c", "name", "p").localCheckpoint()
+    few = {(r.name, r.sim): r.total_votes for r in sampling.draw_totals(season_draws(weights, "c", "name", 300, seed=3), "c", "name", split=False).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        draws = season_draws(weights, "c", "name", 300, seed=3, podiums=False).localCheckpoint()
+        assert {(r.name, r.sim): r.total_votes for r in sampling.draw_totals(draws, "c", "name", split=False).collect()} == few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    tasks = sampling.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert 64 > tasks and draws.count() <= tasks * 5 * 2                  # five names, two blocks of simulations
+    sizes = {(r.sim, len(r.votes) // r.n) for r in draws.collect()}
+    assert sizes == {(1, 256), (257, 44)} and {r.n for r in draws.collect()} == {1}
+
+
+def test_written_seasons_hold_modal_podiums_alone(spark, tmp_path):
+    df = _contests(spark)
+    totals, podiums = sampling.season_tables(df, "c", "name", "p", 600, seed=3, path=str(tmp_path), batch=200)
+    base = tmp_path / "k3-seed3-batch200"
+    kinds = {p.name: {r.kind for r in spark.read.parquet(str(p)).select("kind").collect()} for p in base.iterdir()}
+    assert sorted(kinds) == [f"podiums-600-{i}-of-3" for i in (1, 2, 3)] + ["sims-1-200", "sims-201-400", "sims-401-600"]
+    assert all(k == ({"podium"} if n.startswith("podiums") else {"votes"}) for n, k in kinds.items())
+    plain = sampling.season_tables(df, "c", "name", "p", 600, seed=3)     # one call, more than one block
+    assert sorted(map(tuple, podiums.collect())) == sorted(map(tuple, plain[1].collect()))
+    assert sorted(map(tuple, totals.collect())) == sorted(map(tuple, plain[0].collect()))
+
+
+def test_podiums_counted_in_an_array_are_the_sorted_ones(monkeypatch):
+    rng = np.random.default_rng(2)
+    size = np.array([1, 2, 7, 3, 9, 1, 5])
+    starts, n = np.cumsum(size) - size, int(size.sum())
+    pick = np.array([0, 1, 2, 4, 6])
+    blocks = [sampling._places(starts, n, rng.random((n, 90)), 3) for _ in range(2)]
+
+    def run():
+        p = sampling._Podiums(starts, n, pick, 3)
+        for b in blocks:
+            p.add(b)
+        seen, times = p.counted()
+        return p.dense, sorted(zip(*[c.tolist() for c in seen], times.tolist(), strict=True))
+    dense, got = run()
+    monkeypatch.setattr(sampling, "DENSE", 1)
+    assert dense and run() == (False, got) and sum(r[-1] for r in got) == 2 * 90 * len(pick)
+
+
+def test_votes_of_a_name_that_stands_often_are_added_whole(monkeypatch):
+    votes = np.random.default_rng(4).integers(0, 4, (50, 20)).astype(np.uint8)
+    who = np.array([i % 3 if i < 40 else i for i in range(50)])
+    order = np.argsort(who, kind="stable").astype(np.int32)
+    edge = np.flatnonzero(np.diff(who[order], prepend=-1)).astype(np.int32)
+    want = np.zeros((50, 20), np.uint8)
+    np.add.at(want, who, votes)
+    for most in (32, 5):
+        monkeypatch.setattr(sampling, "ROUNDS", most)
+        got = np.zeros_like(want)
+        sampling._add_votes(got, votes, order, edge, who[order[edge]])
+        assert (got == want).all()
