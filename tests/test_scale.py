@@ -166,3 +166,18 @@ def test_votes_of_a_name_that_stands_often_are_added_whole(monkeypatch):
         got = np.zeros_like(want)
         sampling._add_votes(got, votes, order, edge, who[order[edge]])
         assert (got == want).all()
+
+
+def test_features_run_the_fact_joins_once_and_the_fit_reads_even_parts(spark, monkeypatch):
+    from medalcast.operators.features import add_match_features
+    from medalcast.plans import q_model
+    from medalcast.sources.standin import ROW_KEY, STANDIN_POSITION_GROUPS, STAT_COLS, scored
+    cut, plans = q_model.cut_lineage, []
+    monkeypatch.setattr(q_model, "cut_lineage", lambda df, name=None: plans.append(_plan(df)) or cut(df, name))
+    rows = q_model.model_input(spark, SF_SMALL)
+    assert plans[0].count("Scan parquet") == 5              # one of each table
+    joined = add_match_features(scored(spark, SF_SMALL, regular_only=True), "contest_id", "team", "winner", "margin", "pos", STAT_COLS, STANDIN_POSITION_GROUPS)
+    cols = [*ROW_KEY, *q_model.NUMERIC, *q_model.NOMINAL]
+    assert sorted(map(repr, rows.select(cols).collect())) == sorted(map(repr, joined.select(cols).collect()))
+    parts = [len(p) for p in q_model.fit_rows(rows.coalesce(1)).rdd.glom().collect()]
+    assert len(parts) == spark.sparkContext.defaultParallelism and max(parts) - min(parts) <= len(parts)
