@@ -13,7 +13,7 @@ from ..operators.features import (add_match_features, group_shares, group_totals
                                   recode_position, signed_margin)
 from ..operators.rows import dense_row_id
 from ..sources.standin import LABEL_ORDER, ROW_KEY, STANDIN_POSITION_GROUPS, STAT_COLS, fact, fact_partitions
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.tables import load, load_seasons, save, save_bucketed, save_seasons, season_range
 from .base_sql import BASE
 from .registry import register
@@ -98,8 +98,8 @@ _WIDE_ORDER = ["contest_id", *LABEL_ORDER]
 select cast(row_number() over (order by {", ".join(_WIDE_ORDER)}) as bigint) as id, * from fact
 """)
 def dense_row_id_wide(spark, d):
-    """Ids on whole rows: every column is carried, and only those of the order are written on the way."""
-    return dense_row_id(fact(spark, d), _WIDE_ORDER)
+    """Ids on whole rows: every column is carried; the rows are written once, so that the joins run (and shuffle) once."""
+    return dense_row_id(cut_lineage(fact(spark, d), "wide-rows"), _WIDE_ORDER)
 
 
 @register("feature_select_dedup", BASE + """
